@@ -73,3 +73,11 @@ def wrap_sql(sql: str, doubles) -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {n: wrap_sql(e.sql, e.doubles) for n, e in REGISTRY.items() if e.sql}
+
+
+def minus(day: str, n: int) -> str:
+    """ISO date (or 'date time') n days before ``day``, for SQL literals."""
+    import datetime as _dt
+    if " " in day:
+        return str(_dt.datetime.fromisoformat(day) - _dt.timedelta(days=n))
+    return str(_dt.date.fromisoformat(day) - _dt.timedelta(days=n))

@@ -1 +1,73 @@
-"""Registered queries."""
+"""Sorts, limits, top-k and pages (2.6)."""
+
+from pyspark.sql import functions as F
+
+from riskpanel.catalog.base import CASES_AS_OF, DISTRICT, EVENTS_AS_OF, EVENTS_AS_OF_TS, minus, register
+from riskpanel.operators import aggregates as A
+from riskpanel.operators import predicates as P
+from riskpanel.plans.panel import time_series
+
+
+@register("page", "L1", "SELECT * FROM cases ORDER BY id LIMIT 100 OFFSET 100")
+def q_page(t):
+    """Second page of 100 cases in id order."""
+    return P.page(t.cases, skip=100, limit=100)
+
+
+@register("recent_predictions", "L2", """
+SELECT * FROM risk_predictions ORDER BY prediction_date DESC, id DESC LIMIT 10""")
+def q_recent_predictions(t):
+    """Ten latest predictions."""
+    return P.recent_predictions(t.predictions)
+
+
+@register("top_districts", "L3", f"""
+SELECT d.district_name, count(*) AS case_count FROM cases c JOIN districts d USING (district_code)
+WHERE c.case_date >= DATE '{minus(CASES_AS_OF, 30)}' GROUP BY d.district_name
+ORDER BY case_count DESC, district_name LIMIT 10""")
+def q_top_districts(t):
+    """Ten districts (by name) with the most cases in 30 days."""
+    counts = A.district_name_counts(t.cases, t.districts, CASES_AS_OF, 30)
+    return counts.orderBy(F.col("case_count").desc(), F.col("district_name")).limit(10)
+
+
+@register("top_recent_risk", "L4", f"""
+SELECT id, district_code, prediction_date, prediction_horizon_weeks, risk_score, model_name,
+       confidence_interval_lower, confidence_interval_upper,
+       CASE WHEN risk_score > 75.0 THEN 'high' WHEN risk_score > 50.0 THEN 'medium'
+            WHEN risk_score IS NOT NULL THEN 'low' END AS risk_band
+FROM risk_predictions WHERE prediction_date >= DATE '{minus(EVENTS_AS_OF, 7)}'
+ORDER BY prediction_date DESC, risk_score DESC, id LIMIT 20""")
+def q_top_recent_risk(t):
+    """Predictions table: last 7 days, newest then riskiest, top 20, with band."""
+    return P.top_recent_risk(t.predictions, EVENTS_AS_OF)
+
+
+@register("active_alerts", "L5", """
+SELECT id, alert_id, district_code, alert_type, severity, coalesce(risk_score, 0.0) AS risk_score,
+       prediction_horizon_weeks, triggered_at, status FROM alerts WHERE status = 'active'""")
+def q_active_alerts(t):
+    """Active alerts, newest first."""
+    return P.active_alerts(t.alerts)
+
+
+@register("district_alerts", "L6", f"""
+SELECT id, alert_id, alert_type, severity, coalesce(risk_score, 0.0) AS risk_score,
+       prediction_horizon_weeks, triggered_at, acknowledged_at, acknowledged_by, status
+FROM alerts WHERE district_code = '{DISTRICT}' AND triggered_at >= TIMESTAMP '{minus(EVENTS_AS_OF_TS, 30)}'""")
+def q_district_alerts(t):
+    """One district's alerts of the last 30 days, newest first."""
+    return P.district_alerts(t.alerts, DISTRICT, EVENTS_AS_OF_TS, 30)
+
+
+@register("ordered_series", "L7", f"""
+WITH cal_ AS (SELECT district_code, CAST(unnest(generate_series(TIMESTAMP '{minus(CASES_AS_OF, 90)}',
+              TIMESTAMP '{CASES_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date FROM districts),
+daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
+           WHERE case_date BETWEEN DATE '{minus(CASES_AS_OF, 90)}' AND DATE '{CASES_AS_OF}' GROUP BY ALL)
+SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count
+FROM cal_ c LEFT JOIN daily_ d USING (district_code, date) ORDER BY district_code, date""")
+def q_ordered_series(t):
+    """Daily case series of every district, sorted only at the sink."""
+    ts = time_series(t.cases, t.climate, t.districts, CASES_AS_OF, 90)
+    return P.ordered_series(ts.select("district_code", "date", "cases_count"))

@@ -38,11 +38,12 @@ def filter_date_range(df: DataFrame, column: str, start, end, **equalities) -> D
 
 def trailing_since(as_of, days: int, column_type: str = "date"):
     """The lower bound as_of - days as a literal of the column's type."""
-    if isinstance(as_of, _dt.datetime):
-        bound = as_of - _dt.timedelta(days=days)
-    else:
-        bound = (as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))) \
-            - _dt.timedelta(days=days)
+    if isinstance(as_of, str):
+        as_of = (_dt.datetime.fromisoformat(as_of) if (" " in as_of or "T" in as_of)
+                 else _dt.date.fromisoformat(as_of))
+    if column_type == "timestamp" and not isinstance(as_of, _dt.datetime):
+        as_of = _dt.datetime.combine(as_of, _dt.time())
+    bound = as_of - _dt.timedelta(days=days)
     return F.lit(bound).cast("timestamp_ntz" if column_type == "timestamp" else "date")
 
 

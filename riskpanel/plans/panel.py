@@ -103,3 +103,15 @@ def time_series(cases: DataFrame, climate: DataFrame, districts: DataFrame, as_o
         F.coalesce("cases_count", F.lit(0)).cast("long").alias("cases_count"),
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("rainfall_mm", "temperature_celsius",
                                                       "humidity_percent")])
+
+
+def raw_panel(cases: DataFrame, climate: DataFrame, districts: DataFrame, as_of,
+              days: int = C.LOOKBACK_DAYS) -> DataFrame:
+    """Calendar joined to daily cases and climate *before* any fill (nulls kept)."""
+    end = _as_date(as_of)
+    start = end - _dt.timedelta(days=days)
+    cal = calendar_cross(districts, start, end)
+    daily = daily_cases(cases, start, end)
+    clim = filter_date_range(climate, "date", start, end) \
+        .select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
+    return calendar_left_join(cal, daily, clim)
