@@ -62,8 +62,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: (lambda spark, sf_dir, _n=n: run(_n, spark, sf_dir)) for n in REGISTRY}
 
 
+def _count_if_to_filter(sql: str) -> str:
+    """DuckDB's count_if gives NULL on empty or all-null input where Spark gives
+    0; ``count(*) FILTER (WHERE e)`` counts like Spark."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(tok)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append("count(*) FILTER (WHERE " + _count_if_to_filter(sql[j + len(tok):k - 1]) + ")")
+        i = k
+
+
 def wrap_sql(sql: str, doubles) -> str:
-    body = with_bindings(sql)
+    body = _count_if_to_filter(with_bindings(sql))
     if not doubles:
         return body
     rep = ", ".join(f"floor({c} * 1e4::DOUBLE + 0.500001::DOUBLE) / 1e4::DOUBLE AS {c}"
