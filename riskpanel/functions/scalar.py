@@ -141,8 +141,9 @@ def display_count(c) -> Column:
 
 
 def display_score(c) -> Column:
-    """One decimal: 57.5 (half-up on the 4-decimal rounded value)."""
-    return F.format_string("%.1f", r4(c))
+    """One decimal, half-up: 57.5. Rounded before formatting so no binary tie
+    reaches the formatter."""
+    return F.format_string("%.1f", F.floor(to_col(c) * F.lit(10.0) + F.lit(0.500001)) / F.lit(10.0))
 
 
 def display_stamp(c) -> Column:
