@@ -121,3 +121,29 @@ def q_ensemble_predictions(t):
     """Prediction rows of the two statistical models and their Ensemble mean."""
     p = training_panel(t.cases, t.climate, t.water, t.districts, CASES_AS_OF)
     return predict(p, CASES_AS_OF, H, learned=False)
+
+
+def _panel(t):
+    return training_panel(t.cases, t.climate, t.water, t.districts, CASES_AS_OF)
+
+
+@register("boosted_forecast", "P4", None)
+def q_boosted(t):
+    """Pooled gradient-boosted trees (100 trees, depth 6, rate 0.1, seed 42) on the
+    panel features; score of each district's last day, clamped, 50 on failure."""
+    from riskpanel.operators.learn import boosted_forecast
+    return _final(boosted_forecast(_panel(t), CASES_AS_OF, H))
+
+
+@register("sequence_forecast", "P5", None)
+def q_sequence(t):
+    """Pooled linear model on 14 days x 4 features; score of each district's last
+    window, clamped, 50 where a district has no training window."""
+    from riskpanel.operators.learn import sequence_forecast
+    return _final(sequence_forecast(_panel(t), CASES_AS_OF, H))
+
+
+@register("ensemble_predictions_full", "P6", None)
+def q_ensemble_full(t):
+    """Prediction rows of all four models and their Ensemble mean."""
+    return predict(_panel(t), CASES_AS_OF, H, learned=True)
