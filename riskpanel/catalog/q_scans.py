@@ -1 +1,141 @@
-"""Registered queries."""
+"""Sources and sinks (2.1): each query writes a bound table in the format the
+source reads (to the shared checkpoint folder) and reads it back through the
+library's reader."""
+
+from pyspark.sql import functions as F
+
+from riskpanel.catalog.base import CASES_AS_OF, DISTRICT, minus, register
+from riskpanel.session import scratch_path
+from riskpanel.sources import files as Fs
+
+R30 = minus(CASES_AS_OF, 30)
+
+
+def _csv_roundtrip(t, table, frame):
+    cols = [n for n, _ in Fs.CSV_LAYOUTS[table]]
+    types = dict(Fs.CSV_LAYOUTS[table])
+    src = frame.select(*[F.col(c) if c in frame.columns else F.lit(None).cast(types[c]).alias(c) for c in cols])
+    path = scratch_path(t.spark, f"{table}-csv")
+    src.write.option("header", True).csv(path)
+    good, _ = Fs.read_csv(t.spark, path, table)
+    return good
+
+
+def _csv_sql(table, source, cols_null=()):
+    cols = [n for n, _ in Fs.CSV_LAYOUTS[table]]
+    return "SELECT " + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" if c in cols_null else c for c in cols) + \
+        f" FROM {source}"
+
+
+@register("read_districts_csv", "S1", _csv_sql("districts", "districts", ("latitude", "longitude")))
+def q_read_districts_csv(t):
+    """Districts through a header CSV with the fixed layout."""
+    return _csv_roundtrip(t, "districts", t.districts)
+
+
+@register("read_cases_csv", "S2", _csv_sql("cases", "cases"))
+def q_read_cases_csv(t):
+    """The case line list through a header CSV with the fixed layout."""
+    return _csv_roundtrip(t, "cases", t.cases)
+
+
+@register("read_climate_csv", "S3", _csv_sql("climate_data", "climate_data"),
+          ["rainfall_mm", "temperature_celsius", "humidity_percent"])
+def q_read_climate_csv(t):
+    """Combined climate through a header CSV with the fixed layout."""
+    return _csv_roundtrip(t, "climate_data", t.climate)
+
+
+@register("read_water_csv", "S5", _csv_sql("water_extent", "water_extent"), ["water_area_sqkm", "flood_risk_score"])
+def q_read_water_csv(t):
+    """Water extent through a header CSV with the fixed layout."""
+    return _csv_roundtrip(t, "water_extent", t.water)
+
+
+@register("read_facilities_csv", "S6", _csv_sql("health_facilities", "health_facilities"))
+def q_read_facilities_csv(t):
+    """Health facilities through a header CSV with the fixed layout."""
+    return _csv_roundtrip(t, "health_facilities", t.facilities)
+
+
+D_RAIN = minus(CASES_AS_OF, 100)
+D_TEMP = minus(CASES_AS_OF, 400)
+
+
+@register("merge_climate_files", "S4", f"""
+WITH r_ AS (SELECT district_code, date, rainfall_mm, data_source FROM climate_data WHERE date < DATE '{D_RAIN}'),
+t_ AS (SELECT district_code, date, temperature_celsius, data_source FROM climate_data WHERE date > DATE '{D_TEMP}'),
+h_ AS (SELECT district_code, date, humidity_percent, data_source FROM climate_data)
+SELECT district_code, date, rainfall_mm, temperature_celsius, humidity_percent,
+       coalesce(r_.data_source, t_.data_source, h_.data_source) AS data_source
+FROM r_ FULL OUTER JOIN t_ USING (district_code, date) FULL OUTER JOIN h_ USING (district_code, date)""",
+          ["rainfall_mm", "temperature_celsius", "humidity_percent"])
+def q_merge_climate_files(t):
+    """Rainfall, temperature and humidity files (each covering other dates) merged
+    by (district, date) through CSV round trips."""
+    c = t.climate
+    parts = {}
+    for name, frame in (("rain", c.filter(F.col("date") < F.lit(D_RAIN).cast("date"))),
+                        ("temp", c.filter(F.col("date") > F.lit(D_TEMP).cast("date"))),
+                        ("hum", c)):
+        path = scratch_path(t.spark, f"climate-{name}")
+        frame.select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent",
+                     "data_source").write.option("header", True).csv(path)
+        parts[name] = Fs.read_csv(t.spark, path, "climate_data")[0]
+    return Fs.merge_climate_files(parts["rain"], parts["temp"], parts["hum"])
+
+
+@register("scan_table", "S8", f"SELECT * FROM cases WHERE district_code = '{DISTRICT}'")
+def q_scan_table(t):
+    """One district of the case table stored partitioned by district (partition pruning)."""
+    path = scratch_path(t.spark, "cases-by-district")
+    t.cases.write.partitionBy("district_code").parquet(path)
+    return Fs.scan_table(t.spark, path, DISTRICT)
+
+
+@register("ingest_json", "S11", """
+SELECT case_id, district_code, facility_code, case_date, age_group, gender, case_status,
+       coalesce(lab_confirmed, false) AS lab_confirmed, outcome FROM cases""")
+def q_ingest_json(t):
+    """Case records as JSON text parsed into typed rows with defaults (rejects apart)."""
+    rec = t.cases.select(F.to_json(F.struct("case_id", "district_code", "facility_code",
+                                            F.date_format("case_date", "yyyy-MM-dd").alias("case_date"),
+                                            "age_group", "gender", "case_status", "lab_confirmed",
+                                            "outcome")).alias("value"))
+    good, _ = Fs.ingest_json(rec, "cases")
+    return good
+
+
+@register("append_rows", "S9", "SELECT * FROM cases")
+def q_append_rows(t):
+    """Cases of the last 30 days appended (constraint-checked) to a table holding the older ones."""
+    path = scratch_path(t.spark, "cases-append")
+    old = t.cases.filter(F.col("case_date") < F.lit(R30).cast("date"))
+    new = t.cases.filter(F.col("case_date") >= F.lit(R30).cast("date"))
+    old.write.parquet(path)
+    existing = t.spark.read.parquet(path)
+    Fs.append_rows(new, path, "cases", existing)
+    return t.spark.read.parquet(path)
+
+
+@register("import_csv", "S10", """
+SELECT case_id, district_code, facility_code, case_date, age_group, gender, case_status, lab_confirmed, outcome
+FROM cases""")
+def q_import_csv(t):
+    """A CSV of the last 30 days' cases imported into a table holding the older ones."""
+    path = scratch_path(t.spark, "cases-import")
+    t.cases.filter(F.col("case_date") < F.lit(R30).cast("date")).write.parquet(path)
+    csv = scratch_path(t.spark, "cases-import-csv")
+    cols = [n for n, _ in Fs.CSV_LAYOUTS["cases"]]
+    t.cases.filter(F.col("case_date") >= F.lit(R30).cast("date")).select(*cols) \
+        .write.option("header", True).csv(csv)
+    Fs.import_csv(t.spark, csv, path, "cases", t.spark.read.parquet(path))
+    return t.spark.read.parquet(path).select(*cols)
+
+
+@register("read_api_shapes", "S12", """
+SELECT id, case_id, district_code, facility_code, case_date, age_group, gender, case_status, lab_confirmed,
+       outcome, created_at, updated_at FROM cases""")
+def q_read_api_shapes(t):
+    """The response projection of the case table, generated from its record schema."""
+    return Fs.api_shape(t.cases, "cases")
