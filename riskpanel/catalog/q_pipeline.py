@@ -1,0 +1,19 @@
+"""The pipeline (P12, A24) and the weekly training run."""
+
+from riskpanel.catalog.base import CASES_AS_OF, register
+from riskpanel.plans.pipeline import daily_job, weekly_training
+
+
+@register("prediction_pipeline", "P12", None)
+def q_prediction_pipeline(t):
+    """Daily job: gate, all four forecasters + ensemble, upsert, alerts,
+    retention; returns the run summary (districts, successes, failures,
+    alerts generated, deletions)."""
+    return daily_job(t, CASES_AS_OF).summary
+
+
+@register("weekly_training", "P13", None)
+def q_weekly_training(t):
+    """Weekly training: fit the boosted-tree and sequence models for all gated
+    districts; one model-run row (params, hold-out metrics) per district and model."""
+    return weekly_training(t, CASES_AS_OF)

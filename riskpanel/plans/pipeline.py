@@ -1,0 +1,132 @@
+"""The prediction pipeline and the daily / weekly jobs.
+
+One driver function builds one DataFrame graph: the panel is built once and
+checkpointed (the application builds it twice per district), the gate's
+reason column replaces counted exceptions, and every step is set-based over
+all districts. Any scheduler can call ``daily_job`` / ``weekly_training``.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from riskpanel import config as C
+from riskpanel.operators.quality import panel_gate
+from riskpanel.operators.state import append_alerts, generate_alerts, retain, upsert
+from riskpanel.plans.panel import training_panel
+from riskpanel.plans.predictions import predict
+
+PRED_KEYS = ["district_code", "prediction_date", "prediction_horizon_weeks", "model_name"]
+
+
+@dataclass
+class PipelineResult:
+    panel: DataFrame
+    gate: DataFrame
+    new_predictions: DataFrame
+    predictions: DataFrame
+    new_alerts: DataFrame
+    alerts: DataFrame
+    summary: DataFrame
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    from riskpanel.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _prediction_rows(new: DataFrame, existing: DataFrame, as_of_ts) -> DataFrame:
+    """Prediction rows in the table's schema; ids continue after the current maximum."""
+    from pyspark.sql import Window as W
+    top = existing.agg(F.max("id")).first()[0] or 0
+    ts = F.lit(as_of_ts).cast("timestamp_ntz")
+    # one row per (district, model) of this run: bounded by the key space
+    numbered = new.withColumn("id", (F.lit(int(top)) + F.row_number().over(
+        W.orderBy("district_code", "model_name"))).cast("long"))
+    return numbered.select(*[F.col(c) for c in ("id", "district_code", "prediction_date",
+                                                "prediction_horizon_weeks", "risk_score",
+                                                "confidence_interval_lower", "confidence_interval_upper",
+                                                "model_name", "model_version", "features_used")],
+                           ts.alias("created_at"), ts.alias("updated_at"))
+
+
+def prediction_pipeline(cases, climate, water, districts, predictions, alerts, as_of, as_of_ts=None,
+                        horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, district_codes=None,
+                        learned: bool = True, retention_days: int = C.RETENTION_DAYS,
+                        min_days: int = C.MIN_DAYS, **model_params) -> PipelineResult:
+    """Gate -> forecasts + ensemble -> upsert -> alerts -> retention -> summary."""
+    as_of_d = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
+    as_of_ts = as_of_ts or _dt.datetime.combine(as_of_d, _dt.time())
+    panel = _cut(training_panel(cases, climate, water, districts, as_of_d, district_code=district_codes))
+    gate = panel_gate(panel, min_days=min_days)
+    ok_panel = panel.join(gate.filter("passed").select("district_code"), "district_code", "left_semi")
+    new = _cut(predict(ok_panel, as_of_d, horizon_weeks, learned=learned, **model_params))
+    rows = _prediction_rows(new, predictions, as_of_ts)
+    preds = upsert(predictions, rows, PRED_KEYS)
+    fresh = generate_alerts(rows, alerts, as_of_d, as_of_ts)
+    all_alerts = append_alerts(alerts, fresh)
+    kept_p, kept_a, pc, ac = retain(preds, all_alerts, as_of_d, retention_days)
+
+    def metric(df, name, col):
+        return df.select(F.lit(name).alias("metric"), col.cast("long").alias("value"))
+    summary = reduce(DataFrame.unionByName, [
+        metric(gate.agg(F.count(F.lit(1)).alias("v")), "total_districts", F.col("v")),
+        metric(gate.agg(F.count_if("passed").alias("v")), "successful_predictions", F.col("v")),
+        metric(gate.agg(F.count_if(~F.col("passed")).alias("v")), "failed_predictions", F.col("v")),
+        metric(fresh.agg(F.count(F.lit(1)).alias("v")), "alerts_generated", F.col("v")),
+        metric(pc, "old_predictions_deleted", F.col("old_predictions_deleted")),
+        metric(ac, "old_alerts_deleted", F.col("old_alerts_deleted")),
+    ])
+    return PipelineResult(panel, gate, new, kept_p, fresh, kept_a, summary)
+
+
+def daily_job(tables, as_of, as_of_ts=None, **kw) -> PipelineResult:
+    """The daily run = the pipeline at 8 weeks."""
+    return prediction_pipeline(tables.cases, tables.climate, tables.water, tables.districts,
+                               tables.predictions, tables.alerts, as_of, as_of_ts,
+                               horizon_weeks=C.DEFAULT_HORIZON_WEEKS, **kw)
+
+
+@dataclass
+class TrainingRequest:
+    """Which model, which districts, which dates."""
+    model_name: str
+    district_codes: list | None = None
+    start_date: _dt.date | None = None
+    end_date: _dt.date | None = None
+
+
+def weekly_training(tables, as_of, request: TrainingRequest | None = None,
+                    horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, **params) -> DataFrame:
+    """Fit the requested learned model(s) for all gated districts and
+    return model-run rows (S14) with hold-out MAE, MSE and R^2."""
+    from riskpanel.operators.learn import boosted_forecast, model_runs, sequence_forecast
+    req = request or TrainingRequest("all")
+    panel = training_panel(tables.cases, tables.climate, tables.water, tables.districts, as_of,
+                           district_code=req.district_codes)
+    if req.start_date:
+        panel = panel.filter(F.col("date") >= F.lit(req.start_date).cast("date"))
+    if req.end_date:
+        panel = panel.filter(F.col("date") <= F.lit(req.end_date).cast("date"))
+    panel = _cut(panel)
+    gate = panel_gate(panel)
+    panel = panel.join(gate.filter("passed").select("district_code"), "district_code", "left_semi")
+    runs = []
+    if req.model_name in ("all", "XGBoost"):
+        bp = params.get("boosted", {})
+        _, m = boosted_forecast(panel, as_of, horizon_weeks, with_metrics=True, **bp)
+        runs.append(model_runs(m, "XGBoost", as_of, {"n_estimators": bp.get("trees", C.BOOST_TREES),
+                                                     "max_depth": bp.get("depth", C.BOOST_DEPTH),
+                                                     "horizon_weeks": horizon_weeks}))
+    if req.model_name in ("all", "LSTM"):
+        sp = params.get("sequence", {})
+        _, m = sequence_forecast(panel, as_of, horizon_weeks, with_metrics=True, **sp)
+        runs.append(model_runs(m, "LSTM", as_of, {"seq_length": C.SEQUENCE_LENGTH,
+                                                  "horizon_weeks": horizon_weeks}))
+    return reduce(DataFrame.unionByName, runs)
