@@ -75,11 +75,11 @@ PCT = ["unexpected_pct"]
 
 
 def _suite_query(name, section, table, rules, attr):
-    @register(name, section, suite_sql(table, rules), PCT)
     def q(t):
         return Q.evaluate_suite(getattr(t, attr), table, rules)
-    q.__doc__ = f"Rule rows of {name} for every district with {table} rows."
-    return q
+    kinds = ", ".join(sorted({r.kind for r in rules}))
+    q.__doc__ = f"Rule rows ({kinds}) of the {table} table for every district that has rows."
+    return register(name, section, suite_sql(table, rules), PCT)(q)
 
 
 _suite_query("dq_cases_suite", "D9", "cases", Q.CASES_SUITE, "cases")

@@ -48,9 +48,16 @@ def _required(table: str) -> list[str]:
 
 def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
     """CSV with header and the table's fixed layout.
-    Returns (good rows, rejected rows with the raw line)."""
+    Returns (good rows, rejected rows with the raw line).
+
+    Whether a row is malformed is only known once every column is parsed, and
+    a consumer that selects few columns (a count) would prune the parse; so
+    the parsed file is saved once (reliable checkpoint in the shared folder,
+    as Spark advises for corrupt-record columns) and both frames read that."""
+    from riskpanel.session import checkpoint_dir
+    checkpoint_dir(spark)
     raw = (spark.read.schema(csv_schema(table)).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path)).checkpoint(eager=True)
     bad = F.col(CORRUPT).isNotNull()
     for c in _required(table):
         bad = bad | F.col(c).isNull()
