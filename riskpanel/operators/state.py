@@ -66,10 +66,10 @@ def append_alerts(alerts: DataFrame, new_alerts: DataFrame) -> DataFrame:
 
 def upsert(old: DataFrame, new: DataFrame, keys, order: str = "id") -> DataFrame:
     """New rows replace old rows with the same key; within the new batch the
-    last row by ``order`` wins."""
-    from pyspark.sql import Window as W
-    w = W.partitionBy(*keys).orderBy(F.col(order).desc())
-    newest = new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    last row by ``order`` wins (a max_by aggregate, so repeated copies of one
+    key are combined per task before the shuffle)."""
+    from riskpanel.operators.windows import pick_per_key
+    newest = pick_per_key(new, keys, order, latest=True)
     kept = old.join(newest.select(*keys), list(keys), "left_anti")
     return newest.unionByName(kept)
 

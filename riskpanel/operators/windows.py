@@ -79,17 +79,29 @@ def chrono_split(df: DataFrame, frac: float = 0.8, key="district_code", order="d
     return df.withColumn(out, rn <= F.floor(F.lit(frac) * n))
 
 
+def pick_per_key(df: DataFrame, keys, order, latest: bool = True) -> DataFrame:
+    """One whole row per key: the one with the largest (latest=True) or
+    smallest ``order`` tuple. Written as a ``max_by``/``min_by`` aggregate, not a
+    ``row_number`` window: partial aggregation keeps one candidate per key in
+    every task before the shuffle, so a key holding a third of all rows costs
+    one row per task, not one task sorting that third."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    others = [c for c in df.columns if c not in keys]
+    pick = F.max_by if latest else F.min_by
+    rec = F.struct(*[F.col(c) for c in others])
+    agg = df.groupBy(*keys).agg(pick(rec, F.struct(*[F.col(c) for c in order])).alias("_r"))
+    return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in others]).select(*df.columns)
+
+
 def last_row(df: DataFrame, key="district_code", order="date") -> DataFrame:
     """The latest row of each partition."""
-    keys = [key] if isinstance(key, str) else list(key)
-    w = W.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return pick_per_key(df, key, order, latest=True)
 
 
 def first_per_key(df: DataFrame, keys, order=("id",)) -> DataFrame:
     """One row per key: the first by ``order``."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return pick_per_key(df, keys, order, latest=False)
 
 
 def difference(df: DataFrame, column: str, key="district_code", order="date",
@@ -100,6 +112,5 @@ def difference(df: DataFrame, column: str, key="district_code", order="date",
 
 def latest_prediction(preds: DataFrame,
                       keys=("district_code", "model_name", "prediction_horizon_weeks")) -> DataFrame:
-    """Latest prediction per key by prediction_date, then id."""
-    w = W.partitionBy(*keys).orderBy(F.col("prediction_date").desc(), F.col("id").desc())
-    return preds.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Latest prediction per key by prediction_date, then id (skew-safe, see pick_per_key)."""
+    return pick_per_key(preds, keys, ("prediction_date", "id"), latest=True)
