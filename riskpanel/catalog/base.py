@@ -8,7 +8,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from riskpanel.functions.scalar import r4
 from riskpanel.oracle_bindings import with_bindings
 from riskpanel.sources.bindings import Tables, bind
 
@@ -45,13 +44,17 @@ def register(name: str, section: str, sql: str | None = None, doubles=()):
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
-    cols = []
+    """The tie-safe 4-decimal rounding (``r4``) of every DOUBLE output column,
+    written as one ``selectExpr`` (one call to the JVM for the whole list)."""
+    exprs, changed = [], False
     for f in df.schema.fields:
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(r4(f.name).alias(f.name))
+            exprs.append(f"floor({q} * 1e4D + 0.500001D) / 1e4D AS {q}")
+            changed = True
         else:
-            cols.append(f.name)
-    return df.select(*cols)
+            exprs.append(q)
+    return df.selectExpr(*exprs) if changed else df
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

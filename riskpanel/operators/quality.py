@@ -86,75 +86,90 @@ def type_matches(df: DataFrame, column: str, kind: str) -> bool:
     return f is not None and isinstance(f, _TYPES[kind])
 
 
-def _counters(rule: Rule, i: int, key: str) -> list[Column]:
-    c = F.col(rule.column) if rule.column else None
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "\\'") + "'"
+    return repr(float(v)) + "D" if isinstance(v, float) else str(v)
+
+
+def _counters(rule: Rule, i: int, key: str) -> list[str]:
+    """Two aggregate expressions per rule: evaluated and unexpected counts."""
+    c = _q(rule.column) if rule.column else None
     if rule.kind == "row_count":
-        return [F.count(F.lit(1)).alias(f"e{i}"), F.lit(None).cast("long").alias(f"u{i}")]
+        return [f"count(1) AS e{i}", f"CAST(NULL AS BIGINT) AS u{i}"]
     if rule.kind == "not_null":
-        return [F.count(F.lit(1)).alias(f"e{i}"), F.count_if(c.isNull()).alias(f"u{i}")]
+        return [f"count(1) AS e{i}", f"count_if({c} IS NULL) AS u{i}"]
     if rule.kind == "equals":
-        return [F.count(c).alias(f"e{i}"), F.count_if(c != F.col(key)).alias(f"u{i}")]
+        return [f"count({c}) AS e{i}", f"count_if({c} <> {_q(key)}) AS u{i}"]
     if rule.kind == "in_set":
-        return [F.count(c).alias(f"e{i}"), F.count_if(c.isNotNull() & ~c.isin(list(rule.args))).alias(f"u{i}")]
+        vals = ", ".join(_sql_lit(v) for v in rule.args)
+        return [f"count({c}) AS e{i}", f"count_if({c} IS NOT NULL AND NOT {c} IN ({vals})) AS u{i}"]
     if rule.kind == "between":
         lo, hi = rule.args
-        return [F.count(c).alias(f"e{i}"), F.count_if(c.isNotNull() & ~c.between(lo, hi)).alias(f"u{i}")]
+        return [f"count({c}) AS e{i}",
+                f"count_if({c} IS NOT NULL AND NOT ({c} BETWEEN {_sql_lit(lo)} AND {_sql_lit(hi)})) AS u{i}"]
     raise ValueError(rule.kind)
 
 
-def _success(rule: Rule) -> Column:
-    e, u = F.col("evaluated"), F.col("unexpected")
+def _success(rule: Rule) -> str:
     if rule.kind == "row_count":
         lo, hi = rule.args
-        return e.between(lo, hi)
+        return f"evaluated BETWEEN {lo} AND {hi}"
     if rule.kind == "not_null":
-        return u == 0
-    return (e == 0) | ((e - u).cast("double") >= F.lit(rule.mostly) * e.cast("double"))
+        return "unexpected = 0"
+    return (f"(evaluated = 0 OR CAST(evaluated - unexpected AS DOUBLE) >= "
+            f"{float(rule.mostly)!r}D * CAST(evaluated AS DOUBLE))")
 
 
 def evaluate_suite(df: DataFrame, table: str, rules=None, key: str = "district_code") -> DataFrame:
     """All rules of a suite for every district present in ``df`` (empty tables
-    produce no rows, as the application skips them)."""
+    produce no rows, as the application skips them).
+
+    One scan: a grouped aggregate computes two counters per rule (with a
+    uniqueness rule it is two-level: per (district, value), then per district,
+    both levels combined map-side); ``stack`` unpivots the counters into rule
+    rows; the schema rules' rows reuse the same aggregate. Expressions are SQL
+    text, so building the plan costs a few calls to the JVM whatever the rules."""
     rules = rules if rules is not None else SUITES[table]
+    k = _q(key)
     data_rules = [(i, r) for i, r in enumerate(rules) if r.kind not in ("columns", "type", "unique")]
-    agg = df.groupBy(key).agg(*[x for i, r in data_rules for x in _counters(r, i, key)])
-
-    parts = []
-    if data_rules:
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("rule_idx"), F.lit(r.name).alias("rule"),
-                     F.lit(r.column).cast("string").alias("column_name"),
-                     F.col(f"e{i}").cast("long").alias("evaluated"),
-                     F.col(f"u{i}").cast("long").alias("unexpected"))
-            for i, r in data_rules]))
-        long = agg.select(key, rows.alias("r")).select(key, "r.*")
-        succ = reduce(lambda acc, ir: acc.when(F.col("rule_idx") == ir[0], _success(ir[1])),
-                      data_rules[1:], F.when(F.col("rule_idx") == data_rules[0][0], _success(data_rules[0][1])))
-        parts.append(long.withColumn("success", succ))
-
-    schema_rules = [(i, r) for i, r in enumerate(rules) if r.kind in ("columns", "type")]
-    if schema_rules:
-        keys = df.select(key).distinct()
-        lits = []
-        for i, r in schema_rules:
-            ok = columns_match(df, r.args) if r.kind == "columns" else type_matches(df, r.column, r.args[0])
-            lits.append(F.struct(F.lit(i).alias("rule_idx"), F.lit(r.name).alias("rule"),
-                                 F.lit(r.column).cast("string").alias("column_name"),
-                                 F.lit(None).cast("long").alias("evaluated"),
-                                 F.lit(None).cast("long").alias("unexpected"),
-                                 F.lit(ok).alias("success")))
-        parts.append(keys.select(key, F.explode(F.array(*lits)).alias("r")).select(key, "r.*"))
-
+    uniq = [(i, r) for i, r in enumerate(rules) if r.kind == "unique"]
+    counters = [x for i, r in data_rules for x in _counters(r, i, key)]
+    if uniq:
+        ucol = uniq[0][1].column
+        uq = _q(ucol)
+        lvl1 = df.groupBy(key, ucol).agg(F.expr("count(1) AS _n"), *[F.expr(x) for x in counters])
+        outer = [f"sum(e{i}) AS e{i}" if not r.kind == "row_count" else f"sum(e{i}) AS e{i}" for i, r in data_rules]
+        outer += [f"CAST(NULL AS BIGINT) AS u{i}" if r.kind == "row_count" else f"sum(u{i}) AS u{i}"
+                  for i, r in data_rules]
+        outer += [f"coalesce(sum(CASE WHEN {uq} IS NOT NULL THEN _n END), 0) AS e_uniq",
+                  f"coalesce(sum(CASE WHEN {uq} IS NOT NULL AND _n > 1 THEN _n END), 0) AS u_uniq"]
+        agg = lvl1.groupBy(key).agg(*[F.expr(x) for x in outer])
+    else:
+        agg = df.groupBy(key).agg(*[F.expr(x) for x in counters]) if counters else df.select(key).distinct()
+
+    cells = []
     for i, r in enumerate(rules):
-        if r.kind == "unique":
-            parts.append(unique_rule(df, r.column, key).select(
-                key, F.lit(i).alias("rule_idx"), F.lit(r.name).alias("rule"),
-                F.lit(r.column).alias("column_name"), "evaluated", "unexpected", "success"))
-
-    out = reduce(DataFrame.unionByName, parts)
-    pct = F.try_divide(F.col("unexpected").cast("double") * F.lit(100.0), F.col("evaluated").cast("double"))
-    return out.select(F.lit(table).alias("table_name"), key, "rule_idx", "rule", "column_name",
-                      "evaluated", "unexpected", pct.alias("unexpected_pct"), "success")
+        name, col = _sql_lit(r.name), (_sql_lit(r.column) if r.column else "CAST(NULL AS STRING)")
+        if r.kind in ("columns", "type"):
+            ok = columns_match(df, r.args) if r.kind == "columns" else type_matches(df, r.column, r.args[0])
+            cells.append(f"{i}, {name}, {col}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), {str(ok).lower()}")
+        elif r.kind == "unique":
+            cells.append(f"{i}, {name}, {col}, CAST(e_uniq AS BIGINT), CAST(u_uniq AS BIGINT), u_uniq = 0")
+        else:
+            e, u = f"CAST(e{i} AS BIGINT)", f"CAST(u{i} AS BIGINT)"
+            succ = _success(r).replace("evaluated", e).replace("unexpected", u)
+            cells.append(f"{i}, {name}, {col}, {e}, {u}, {succ}")
+    long = agg.selectExpr(k, f"stack({len(cells)}, {', '.join(cells)}) "
+                             f"AS (rule_idx, rule, column_name, evaluated, unexpected, success)")
+    return long.selectExpr(f"{_sql_lit(table)} AS table_name", k, "rule_idx", "rule", "column_name",
+                           "evaluated", "unexpected",
+                           "try_divide(CAST(unexpected AS DOUBLE) * 100.0D, CAST(evaluated AS DOUBLE)) AS unexpected_pct",
+                           "success")
 
 
 def unique_rule(df: DataFrame, column: str, key: str = "district_code") -> DataFrame:

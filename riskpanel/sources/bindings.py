@@ -36,8 +36,24 @@ N_DISTRICTS_EVENTS = 25
 FACILITY_MODULUS = 110
 
 
+# Schemas of the driver's parquet files, given explicitly so that reading a
+# table starts no schema-inference job.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def _r(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _no_stamp():
@@ -214,5 +230,14 @@ class Tables:
         return self.health_facilities
 
 
+_BOUND: dict = {}
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(spark, sf_dir)
+    """The bound tables of one folder; the (lazy, uncached) DataFrames are built
+    once per session and folder and reused by every query."""
+    key = (id(spark), sf_dir)
+    t = _BOUND.get(key)
+    if t is None or t.spark is not spark:
+        t = _BOUND[key] = Tables(spark, sf_dir)
+    return t
