@@ -184,7 +184,21 @@ def q_ensemble_mean(t):
     return A.ensemble_mean(base)
 
 
-@register("fit_metrics", "A18", None)
+from riskpanel.catalog.sqlparts import panel_sql  # noqa: E402
+
+FIT_SQL = f"""
+WITH s_ AS (SELECT district_code, CAST(cases_count AS DOUBLE) AS y, CAST(cases_lag_7 AS DOUBLE) AS yhat,
+                   row_number() OVER (PARTITION BY district_code ORDER BY date) AS rn_,
+                   count(*) OVER (PARTITION BY district_code) AS n_ FROM ({panel_sql()}) p_),
+t_ AS (SELECT * FROM s_ WHERE rn_ > floor(0.8 * n_) AND yhat IS NOT NULL),
+g_ AS (SELECT district_code, avg(abs(y - yhat)) AS mae, avg((y - yhat) * (y - yhat)) AS mse,
+              sum((y - yhat) * (y - yhat)) AS sse, avg(y) AS ybar, sum(y * y) AS syy, count(y) AS n
+       FROM t_ GROUP BY 1)
+SELECT district_code, mae, mse, n,
+  1.0 - sse / CASE WHEN syy - n * ybar * ybar > 1e-12 THEN syy - n * ybar * ybar END AS r2 FROM g_"""
+
+
+@register("fit_metrics", "A18", FIT_SQL, ["mae", "mse", "r2"])
 def q_fit_metrics(t):
     """MAE, MSE, R^2 per district of the seasonal-naive forecast (value a week
     before) over the panel's last 20 % of days."""
