@@ -8,7 +8,7 @@ from riskpanel import config as C
 from riskpanel.catalog.base import CASES_AS_OF, minus, register
 from riskpanel.catalog.sqlparts import calendar
 from riskpanel.functions.scalar import clamp, fallback_flag
-from riskpanel.operators.forecast import arima_111_forecast, seasonal_trend_forecast, series_from_panel
+from riskpanel.operators.forecast import arima_111_forecast, seasonal_trend_forecast
 from riskpanel.plans.panel import training_panel
 from riskpanel.plans.predictions import ensemble_predictions, predict
 
@@ -83,7 +83,9 @@ def _final(df):
 
 
 def _series(t):
-    return series_from_panel(training_panel(t.cases, t.climate, t.water, t.districts, CASES_AS_OF))
+    """The 366-day daily case series of every district (the panel's cases_count)."""
+    from riskpanel.plans.panel import case_series
+    return case_series(t.cases, t.districts, CASES_AS_OF)
 
 
 @register("arima_111_forecast", "P3", _final_sql(ARIMA_RAW_SQL), ["raw_score", "risk_score"])
@@ -119,8 +121,7 @@ FROM r_"""
           ["risk_score", "confidence_interval_lower", "confidence_interval_upper"])
 def q_ensemble_predictions(t):
     """Prediction rows of the two statistical models and their Ensemble mean."""
-    p = training_panel(t.cases, t.climate, t.water, t.districts, CASES_AS_OF)
-    return predict(p, CASES_AS_OF, H, learned=False)
+    return predict(None, CASES_AS_OF, H, learned=False, series=_series(t))
 
 
 def _panel(t):

@@ -14,8 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel import config as C
@@ -27,24 +26,16 @@ def _as_date(d):
     return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
 
-def _whole(key="district_code"):
-    return W.partitionBy(key)
+def _solve2_sql(s11, s12, s22, t1, t2):
+    """Least squares of d on two regressors from moment sums (no intercept)."""
+    det = f"CASE WHEN ({s11}) * ({s22}) - ({s12}) * ({s12}) <> 0 THEN ({s11}) * ({s22}) - ({s12}) * ({s12}) END"
+    return (f"try_divide(({t1}) * ({s22}) - ({t2}) * ({s12}), {det})",
+            f"try_divide(({t2}) * ({s11}) - ({t1}) * ({s12}), {det})")
 
 
-def _ordered(key="district_code"):
-    return W.partitionBy(key).orderBy("date")
-
-
-def _solve2(s11: Column, s12: Column, s22: Column, t1: Column, t2: Column):
-    """Least squares of d on (x1, x2) from moment sums (no intercept)."""
-    det = s11 * s22 - s12 * s12
-    den = F.when(det != 0, det)
-    return (F.try_divide(t1 * s22 - t2 * s12, den), F.try_divide(t2 * s11 - t1 * s12, den))
-
-
-def _clip(c: Column, lim: float = PHI_CLIP) -> Column:
+def _clip_sql(c: str, lim: float = PHI_CLIP) -> str:
     """Clip into [-lim, lim]; a null stays null (least/greatest would skip it)."""
-    return F.when(c.isNotNull(), F.greatest(F.lit(-lim), F.least(F.lit(lim), c)))
+    return f"CASE WHEN {c} IS NOT NULL THEN greatest(-{lim}D, least({lim}D, {c})) END"
 
 
 def arima_111_forecast(series: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
@@ -55,33 +46,33 @@ def arima_111_forecast(series: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_
     residual e; stage 2 regresses d on (d_(t-1), e_(t-1)) for (phi, theta), both
     clipped to +-0.99. The value H = 7h days ahead is
     y_T + (phi d_T + theta e_T) (1 - phi^H) / (1 - phi). Singular moments give null.
-    """
+    Every step is a window over one ``PARTITION BY district`` (SQL text)."""
     H = 7 * int(horizon_weeks)
-    wo, wa = _ordered(key), _whole(key)
-    s = series.select(key, "date", F.col(y).cast("double").alias("y"))
-    s = s.withColumn("d", F.col("y") - F.lag("y", 1).over(wo))
-    s = s.withColumn("x1", F.lag("d", 1).over(wo)).withColumn("x2", F.lag("d", 2).over(wo))
-    ok1 = F.col("d").isNotNull() & F.col("x1").isNotNull() & F.col("x2").isNotNull()
-
-    def msum(expr, cond):
-        return F.sum(F.when(cond, expr)).over(wa)
-
-    b1, b2 = _solve2(msum(F.col("x1") * F.col("x1"), ok1), msum(F.col("x1") * F.col("x2"), ok1),
-                     msum(F.col("x2") * F.col("x2"), ok1), msum(F.col("d") * F.col("x1"), ok1),
-                     msum(F.col("d") * F.col("x2"), ok1))
-    s = s.withColumn("b1", b1).withColumn("b2", b2)
-    s = s.withColumn("e", F.when(ok1, F.col("d") - F.col("b1") * F.col("x1") - F.col("b2") * F.col("x2")))
-    s = s.withColumn("el", F.lag("e", 1).over(wo))
-    ok2 = F.col("d").isNotNull() & F.col("x1").isNotNull() & F.col("el").isNotNull()
-    phi, theta = _solve2(msum(F.col("x1") * F.col("x1"), ok2), msum(F.col("x1") * F.col("el"), ok2),
-                         msum(F.col("el") * F.col("el"), ok2), msum(F.col("d") * F.col("x1"), ok2),
-                         msum(F.col("d") * F.col("el"), ok2))
-    s = s.withColumn("phi", _clip(phi)).withColumn("theta", _clip(theta))
-    s = s.withColumn("_rn", F.row_number().over(W.partitionBy(key).orderBy(F.col("date").desc())))
-    last = s.filter(F.col("_rn") == 1)
-    step = F.col("phi") * F.col("d") + F.col("theta") * F.col("e")
-    f = F.col("y") + step * (F.lit(1.0) - F.pow(F.col("phi"), F.lit(float(H)))) / (F.lit(1.0) - F.col("phi"))
-    return _long(last.select(key, f.alias("raw_score"), "phi", "theta"), as_of, horizon_weeks, "ARIMA", key)
+    k = f"`{key}`"
+    wo = f"OVER (PARTITION BY {k} ORDER BY date)"
+    wa = f"OVER (PARTITION BY {k})"
+
+    def msum(expr, ok):
+        return f"sum(CASE WHEN {ok} THEN {expr} END) {wa}"
+
+    s = series.selectExpr(k, "date", f"CAST(`{y}` AS DOUBLE) AS y")
+    s = s.selectExpr("*", f"y - lag(y, 1) {wo} AS d")
+    s = s.selectExpr("*", f"lag(d, 1) {wo} AS x1", f"lag(d, 2) {wo} AS x2")
+    s = s.selectExpr("*", "d IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL AS ok1")
+    b1, b2 = _solve2_sql(msum("x1 * x1", "ok1"), msum("x1 * x2", "ok1"), msum("x2 * x2", "ok1"),
+                         msum("d * x1", "ok1"), msum("d * x2", "ok1"))
+    s = s.selectExpr("*", f"{b1} AS b1", f"{b2} AS b2")
+    s = s.selectExpr("*", "CASE WHEN ok1 THEN d - b1 * x1 - b2 * x2 END AS e")
+    s = s.selectExpr("*", f"lag(e, 1) {wo} AS el")
+    s = s.selectExpr("*", "d IS NOT NULL AND x1 IS NOT NULL AND el IS NOT NULL AS ok2")
+    phi, theta = _solve2_sql(msum("x1 * x1", "ok2"), msum("x1 * el", "ok2"), msum("el * el", "ok2"),
+                             msum("d * x1", "ok2"), msum("d * el", "ok2"))
+    s = s.selectExpr("*", f"{_clip_sql(phi)} AS phi", f"{_clip_sql(theta)} AS theta",
+                     f"row_number() OVER (PARTITION BY {k} ORDER BY date DESC) AS _rn")
+    last = s.where("_rn = 1").selectExpr(
+        k, f"y + (phi * d + theta * e) * (1.0D - power(phi, {float(H)}D)) / (1.0D - phi) AS raw_score",
+        "phi", "theta")
+    return _long(last, as_of, horizon_weeks, "ARIMA", key)
 
 
 def seasonal_trend_forecast(series: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
@@ -92,29 +83,25 @@ def seasonal_trend_forecast(series: DataFrame, as_of, horizon_weeks: int = C.DEF
     weekday index = sum(y) / sum(trend) per weekday; month index =
     sum(y) / sum(trend * weekday index) per month; the forecast at as_of + 7h is
     trend x both indices of that day. Regressors held at their mean add nothing
-    to the point forecast, so none is used. A zero denominator gives null.
-    """
+    to the point forecast, so none is used. A zero denominator gives null."""
     end = _as_date(as_of)
     target = end + _dt.timedelta(days=7 * int(horizon_weeks))
-    wa = _whole(key)
-    s = series.select(key, "date", F.col(y).cast("double").alias("y"))
-    s = s.withColumn("t", F.datediff("date", F.min("date").over(wa)).cast("double"))
-    s = s.withColumn("b", F.regr_slope("y", "t").over(wa)).withColumn("a", F.regr_intercept("y", "t").over(wa))
-    s = s.withColumn("trend", F.greatest(F.col("a") + F.col("b") * F.col("t"), F.lit(1e-6)))
-    s = s.withColumn("wd", F.weekday("date")).withColumn("mo", F.month("date"))
-    wwd = W.partitionBy(key, "wd")
-    s = s.withColumn("wi", F.try_divide(F.sum("y").over(wwd), F.sum("trend").over(wwd)))
-    wmo = W.partitionBy(key, "mo")
-    den = F.sum(F.col("trend") * F.col("wi")).over(wmo)
-    s = s.withColumn("mi", F.try_divide(F.sum("y").over(wmo), F.when(den != 0, den)))
-    t_f = F.datediff(F.lit(target), F.min("date").over(wa)).cast("double")
-    s = s.withColumn("trend_f", F.greatest(F.col("a") + F.col("b") * t_f, F.lit(1e-6)))
-    tw, tm = target.weekday(), target.month
-    g = s.groupBy(key).agg(F.first("trend_f").alias("trend_f"),
-                           F.max(F.when(F.col("wd") == tw, F.col("wi"))).alias("wi_f"),
-                           F.max(F.when(F.col("mo") == tm, F.col("mi"))).alias("mi_f"))
-    return _long(g.select(key, (F.col("trend_f") * F.col("wi_f") * F.col("mi_f")).alias("raw_score")),
-                 as_of, horizon_weeks, "Prophet", key)
+    k = f"`{key}`"
+    wa = f"OVER (PARTITION BY {k})"
+    s = series.selectExpr(k, "date", f"CAST(`{y}` AS DOUBLE) AS y", f"min(date) {wa} AS d0")
+    s = s.selectExpr("*", "CAST(datediff(date, d0) AS DOUBLE) AS t")
+    s = s.selectExpr("*", f"regr_slope(y, t) {wa} AS b", f"regr_intercept(y, t) {wa} AS a",
+                     "weekday(date) AS wd", "month(date) AS mo")
+    s = s.selectExpr("*", "greatest(a + b * t, 1e-6D) AS trend")
+    s = s.selectExpr("*", f"try_divide(sum(y) OVER (PARTITION BY {k}, wd), sum(trend) OVER (PARTITION BY {k}, wd)) AS wi")
+    s = s.selectExpr("*", f"sum(trend * wi) OVER (PARTITION BY {k}, mo) AS _den",
+                     f"sum(y) OVER (PARTITION BY {k}, mo) AS _num")
+    s = s.selectExpr("*", "try_divide(_num, CASE WHEN _den <> 0 THEN _den END) AS mi",
+                     f"greatest(a + b * CAST(datediff(DATE'{target}', d0) AS DOUBLE), 1e-6D) AS trend_f")
+    g = s.groupBy(key).agg(F.expr("first(trend_f) AS trend_f"),
+                           F.expr(f"max(CASE WHEN wd = {target.weekday()} THEN wi END) AS wi_f"),
+                           F.expr(f"max(CASE WHEN mo = {target.month} THEN mi END) AS mi_f"))
+    return _long(g.selectExpr(k, "trend_f * wi_f * mi_f AS raw_score"), as_of, horizon_weeks, "Prophet", key)
 
 
 def _long(df: DataFrame, as_of, horizon_weeks: int, model: str, key: str) -> DataFrame:

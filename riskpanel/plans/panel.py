@@ -115,3 +115,17 @@ def raw_panel(cases: DataFrame, climate: DataFrame, districts: DataFrame, as_of,
     clim = filter_date_range(climate, "date", start, end) \
         .select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
     return calendar_left_join(cal, daily, clim)
+
+
+def case_series(cases: DataFrame, districts: DataFrame, as_of, days: int = C.LOOKBACK_DAYS,
+                district_code=None) -> DataFrame:
+    """The panel's daily case series alone (``district_code, date, y``): the
+    calendar joined to daily counts, gaps -> 0. Equal to the panel's
+    ``cases_count`` without its climate, water and feature columns, for jobs
+    that only forecast the counts."""
+    end = _as_date(as_of)
+    start = end - _dt.timedelta(days=days)
+    cal = calendar_cross(_restrict(districts, district_code), start, end)
+    daily = daily_cases(_restrict(cases, district_code), start, end)
+    return calendar_left_join(cal, daily).select(
+        "district_code", "date", F.coalesce("cases_count", F.lit(0)).cast("double").alias("y"))

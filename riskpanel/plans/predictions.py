@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from riskpanel import config as C
 from riskpanel.functions.scalar import clamp, fallback_flag, features_json, interval_bounds
-from riskpanel.operators.aggregates import ensemble_mean
 from riskpanel.operators.forecast import arima_111_forecast, seasonal_trend_forecast, series_from_panel
 
 KEYS = ["district_code", "prediction_date", "prediction_horizon_weeks"]
 
 
-def statistical_models(panel: DataFrame, as_of, horizon_weeks: int) -> list[DataFrame]:
-    s = series_from_panel(panel)
+def statistical_models(panel: DataFrame, as_of, horizon_weeks: int, series: DataFrame | None = None) -> list[DataFrame]:
+    """P2 and P3 on the daily case series (taken from the panel unless given)."""
+    s = series if series is not None else series_from_panel(panel)
     return [seasonal_trend_forecast(s, as_of, horizon_weeks), arima_111_forecast(s, as_of, horizon_weeks)]
 
 
@@ -41,10 +41,15 @@ def finalize_scores(raw: DataFrame) -> DataFrame:
 def ensemble_predictions(model_outputs: list[DataFrame]) -> DataFrame:
     """Union the per-model rows, add the Ensemble mean, and shape prediction rows."""
     scores = finalize_scores(reduce(DataFrame.unionByName, model_outputs))
-    ens = ensemble_mean(scores, KEYS, "risk_score", "risk_score").select(
-        *KEYS, F.lit(C.ENSEMBLE).alias("model_name"), "risk_score",
-        F.lit(False).alias("fallback"))
-    rows = scores.unionByName(ens)
+    # one pass: per key the model rows (at most one per model, so the list is
+    # bounded by the number of models) plus their mean as the Ensemble row;
+    # reusing ``scores`` twice would run every model twice
+    per_key = scores.groupBy(*KEYS).agg(
+        F.collect_list(F.struct("model_name", "risk_score", "fallback")).alias("m"),
+        F.avg("risk_score").alias("ens"))
+    ens_row = F.struct(F.lit(C.ENSEMBLE).alias("model_name"), F.col("ens").alias("risk_score"),
+                       F.lit(False).alias("fallback"))
+    rows = per_key.select(*KEYS, F.explode(F.concat("m", F.array(ens_row))).alias("r")).select(*KEYS, "r.*")
     lo, hi = interval_bounds("risk_score")
     return rows.select(*KEYS, "risk_score", lo.alias("confidence_interval_lower"),
                        hi.alias("confidence_interval_upper"), "model_name",
@@ -52,10 +57,12 @@ def ensemble_predictions(model_outputs: list[DataFrame]) -> DataFrame:
                        features_json().alias("features_used"), "fallback")
 
 
-def predict(panel: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
-            learned: bool = True, **params) -> DataFrame:
-    """All forecasters (statistical, and learned unless disabled) + ensemble."""
-    outs = statistical_models(panel, as_of, horizon_weeks)
+def predict(panel: DataFrame | None, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
+            learned: bool = True, series: DataFrame | None = None, **params) -> DataFrame:
+    """All forecasters (statistical, and learned unless disabled) + ensemble.
+    The statistical models only need the case series: pass ``series`` to skip
+    the panel's feature columns when ``learned`` is off."""
+    outs = statistical_models(panel, as_of, horizon_weeks, series)
     if learned:
         outs += learned_models(panel, as_of, horizon_weeks, **params)
     return ensemble_predictions(outs)
