@@ -89,3 +89,13 @@ def test_boosted_learns_constant_series(spark):
     p = _panel_like(spark, 60).withColumn("cases_count", F.lit(7).cast("long"))
     raw = boosted_forecast(p, AS_OF, 8, trees=10, depth=3).first().raw_score
     assert raw == pytest.approx(7.0, abs=0.01)
+
+
+def test_direct_mode_uses_future_label(spark):
+    from riskpanel.operators.learn import boosted_forecast, sequence_forecast
+    p = _panel_like(spark, 120)
+    a = boosted_forecast(p, AS_OF, 1, trees=5, depth=3, mode="direct").first().raw_score
+    b = sequence_forecast(p, AS_OF, 1, mode="direct").first().raw_score
+    assert a is not None and b is not None
+    with pytest.raises(ValueError):
+        boosted_forecast(p, AS_OF, 1, trees=2, depth=2, mode="bogus")

@@ -44,3 +44,33 @@ def test_stream_alerts_equal_batch(spark, tables):
     streamed = spark.read.parquet(out)
     batch = generate_alerts(tables.predictions, tables.alerts, EVENTS_AS_OF, EVENTS_AS_OF_TS)
     assert _rows(streamed.select("alert_id", "severity")) == _rows(batch.select("alert_id", "severity"))
+
+
+def test_stream_daily_counts_drop_rows_later_than_watermark(spark, tmp_dir):
+    import datetime as dt
+    import os
+    import time
+    from riskpanel import schemas
+    src = os.path.join(tmp_dir, "src")
+
+    def batch(days, name):
+        rows = [(i, f"C{name}{i}", "D1", None, d, None, None, None, None, None, None, None)
+                for i, d in enumerate(days)]
+        spark.createDataFrame(rows, schemas.CASES).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # distinct modification times keep the file order
+
+    base = dt.date(2024, 1, 10)
+    batch([base + dt.timedelta(days=i) for i in range(11)], "a")          # days 10..20
+    batch([base + dt.timedelta(days=8)], "b")                             # day 18: in time
+    # Spark filters late rows against the watermark of the previous batch, so
+    # the late row comes in the third batch: day 5 < 19 (= 20 - 1 day)
+    batch([dt.date(2024, 1, 5)], "c")
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    q = (St.daily_case_counts(spark.readStream.schema(schemas.CASES).option("maxFilesPerTrigger", 1).parquet(src))
+         .writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {str(r.date): r.cases_count for r in spark.read.parquet(out).collect()}
+    assert "2024-01-05" not in got              # later than the watermark: dropped
+    assert got["2024-01-18"] == 2               # on time in the second batch: counted
+    assert "2024-01-19" not in got              # window ends after the last watermark: still open
