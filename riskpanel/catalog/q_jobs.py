@@ -1,11 +1,11 @@
-"""The pipeline (P12, A24) and the weekly training run."""
+"""The daily prediction run (P12, A24) and the weekly training run."""
 
 from riskpanel.catalog.base import CASES_AS_OF, register
-from riskpanel.plans.pipeline import daily_job, weekly_training
+from riskpanel.plans.jobs import daily_job, weekly_training
 
 
-@register("prediction_pipeline", "P12", None)
-def q_prediction_pipeline(t):
+@register("daily_job", "P12", None)
+def q_daily_job(t):
     """Daily job: gate, all four forecasters + ensemble, upsert, alerts,
     retention; returns the run summary (districts, successes, failures,
     alerts generated, deletions)."""

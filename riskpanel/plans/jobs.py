@@ -1,4 +1,4 @@
-"""The prediction pipeline and the daily / weekly jobs.
+"""The daily prediction run and the weekly training run.
 
 One driver function builds one DataFrame graph: the panel is built once and
 checkpointed (the application builds it twice per district), the gate's
@@ -25,7 +25,7 @@ PRED_KEYS = ["district_code", "prediction_date", "prediction_horizon_weeks", "mo
 
 
 @dataclass
-class PipelineResult:
+class DailyRunResult:
     panel: DataFrame
     gate: DataFrame
     new_predictions: DataFrame
@@ -56,10 +56,10 @@ def _prediction_rows(new: DataFrame, existing: DataFrame, as_of_ts) -> DataFrame
                            ts.alias("created_at"), ts.alias("updated_at"))
 
 
-def prediction_pipeline(cases, climate, water, districts, predictions, alerts, as_of, as_of_ts=None,
+def predict_and_alert(cases, climate, water, districts, predictions, alerts, as_of, as_of_ts=None,
                         horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, district_codes=None,
                         learned: bool = True, retention_days: int = C.RETENTION_DAYS,
-                        min_days: int = C.MIN_DAYS, **model_params) -> PipelineResult:
+                        min_days: int = C.MIN_DAYS, **model_params) -> DailyRunResult:
     """Gate -> forecasts + ensemble -> upsert -> alerts -> retention -> summary."""
     as_of_d = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     as_of_ts = as_of_ts or _dt.datetime.combine(as_of_d, _dt.time())
@@ -83,12 +83,12 @@ def prediction_pipeline(cases, climate, water, districts, predictions, alerts, a
         metric(pc, "old_predictions_deleted", F.col("old_predictions_deleted")),
         metric(ac, "old_alerts_deleted", F.col("old_alerts_deleted")),
     ])
-    return PipelineResult(panel, gate, new, kept_p, fresh, kept_a, summary)
+    return DailyRunResult(panel, gate, new, kept_p, fresh, kept_a, summary)
 
 
-def daily_job(tables, as_of, as_of_ts=None, **kw) -> PipelineResult:
-    """The daily run = the pipeline at 8 weeks."""
-    return prediction_pipeline(tables.cases, tables.climate, tables.water, tables.districts,
+def daily_job(tables, as_of, as_of_ts=None, **kw) -> DailyRunResult:
+    """The daily run at 8 weeks."""
+    return predict_and_alert(tables.cases, tables.climate, tables.water, tables.districts,
                                tables.predictions, tables.alerts, as_of, as_of_ts,
                                horizon_weeks=C.DEFAULT_HORIZON_WEEKS, **kw)
 
