@@ -292,3 +292,26 @@ def foreign_key_report(tables: dict) -> DataFrame:
                      .select(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
                              F.lit(parent).alias("parent_table"), "orphans"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def validate_cases(cases: DataFrame) -> DataFrame:
+    """Rule rows of the case suite for every district."""
+    return evaluate_suite(cases, "cases")
+
+
+def validate_climate(climate: DataFrame) -> DataFrame:
+    """Rule rows of the climate suite for every district."""
+    return evaluate_suite(climate, "climate_data")
+
+
+def validate_predictions(preds: DataFrame) -> DataFrame:
+    """Rule rows of the prediction suite for every district."""
+    return evaluate_suite(preds, "risk_predictions")
+
+
+def quality_report(districts: DataFrame, cases: DataFrame, climate: DataFrame, preds: DataFrame):
+    """(rule rows of all suites, one row per district, the summary row)."""
+    tables = {"cases": cases, "climate_data": climate, "risk_predictions": preds}
+    rules = reduce(DataFrame.unionByName, [evaluate_suite(df, name) for name, df in tables.items()])
+    per_district = validate_districts(districts, tables)
+    return rules, per_district, quality_summary(per_district)

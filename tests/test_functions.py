@@ -77,3 +77,23 @@ def test_display_formats(spark):
 def test_r4_tie_safe(spark):
     df = spark.createDataFrame([(0.12345,), (1.00005,), (2.0,)], "x double")
     assert [r[0] for r in df.select(X.r4("x")).collect()] == [0.1235, 1.0001, 2.0]
+
+
+def test_panel_fill_rules(tables):
+    """Cases and flood score fill with 0; measures with the district mean; a
+    district with no climate rows keeps null measures (sf0.001 has such districts)."""
+    from pyspark.sql import functions as F
+    from riskpanel.plans.panel import training_panel
+    p = training_panel(tables.cases, tables.climate, tables.water, tables.districts, "2001-08-01")
+    assert p.filter(F.col("cases_count").isNull() | F.col("flood_risk_score").isNull()).count() == 0
+    per = p.groupBy("district_code").agg(F.count("rainfall_mm").alias("n"), F.count("*").alias("rows")).collect()
+    assert all(r.rows == 366 for r in per)
+    assert all(r.n in (0, 366) for r in per)
+    assert any(r.n == 0 for r in per) and any(r.n == 366 for r in per)
+
+
+def test_district_statistics_zero_fill(tables):
+    from riskpanel.plans.reports import district_statistics
+    rows = district_statistics(tables.districts, tables.cases, tables.climate, "2001-08-01").collect()
+    assert len(rows) == 25
+    assert all(r.avg_rainfall_30d is not None and r.total_cases is not None for r in rows)

@@ -71,3 +71,13 @@ def test_gate_post_fill_vs_pre_fill(spark):
     assert short.reason == "insufficient_days"
     post = Q.panel_gate(df.fillna({"cases_count": 0, "rainfall_mm": 1.0})).first()
     assert post.passed and post.reason is None
+
+
+def test_quality_report_parts(tables):
+    from riskpanel.api import quality_report
+    rules, per_district, summary = quality_report(tables.districts, tables.cases, tables.climate, tables.predictions)
+    s = summary.first()
+    assert s.total_validated == tables.districts.count() == per_district.count()
+    assert s.successful_validations + s.failed_validations == s.total_validated
+    assert set(r.table_name for r in rules.select("table_name").distinct().collect()) == \
+        {"cases", "climate_data", "risk_predictions"}
