@@ -141,15 +141,21 @@ def api_shape(df: DataFrame, table: str) -> DataFrame:
 
 def check_constraints(new: DataFrame, existing: DataFrame | None, table: str) -> tuple[DataFrame, DataFrame]:
     """Rows of ``new`` that keep NOT NULL and unique-key rules, and the rest.
-    Key duplicates inside the batch keep the lowest id; keys already present
-    in ``existing`` are rejected (anti-join, no collect)."""
-    from pyspark.sql import Window as W
+
+    Key duplicates inside the batch keep the lowest id: the first id per key is
+    an aggregate (combined map-side, so many copies of one key are one row per
+    task) joined back null-safely; keys already present in ``existing`` are
+    rejected by anti-join (no collect)."""
     keys = schemas.KEYS[table]
     ok = reduce(lambda a, c: a & F.col(c).isNotNull(), schemas.REQUIRED[table], F.lit(True))
-    w = W.partitionBy(*keys).orderBy("id")
-    marked = new.withColumn("_first", F.row_number().over(w) == 1)
-    good = marked.filter(ok & F.col("_first")).drop("_first")
-    bad = marked.filter(~(ok & F.col("_first"))).drop("_first")
+    firsts = new.groupBy(*keys).agg(F.min("id").alias("_first_id")).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_first_id")
+    conds = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
+    marked = new.join(firsts, reduce(lambda a, b: a & b, conds), "left").select(
+        *new.columns, (F.col("id") == F.col("_first_id")).alias("_first"))
+    keep = ok & F.coalesce(F.col("_first"), F.lit(False))
+    good = marked.filter(keep).drop("_first")
+    bad = marked.filter(~keep).drop("_first")
     if existing is not None:
         clash = good.join(existing.select(*keys), keys, "left_semi")
         good = good.join(existing.select(*keys), keys, "left_anti")
