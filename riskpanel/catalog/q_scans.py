@@ -63,9 +63,12 @@ D_TEMP = minus(CASES_AS_OF, 400)
 
 
 @register("merge_climate_files", "S4", f"""
-WITH r_ AS (SELECT district_code, date, rainfall_mm, data_source FROM climate_data WHERE date < DATE '{D_RAIN}'),
-t_ AS (SELECT district_code, date, temperature_celsius, data_source FROM climate_data WHERE date > DATE '{D_TEMP}'),
-h_ AS (SELECT district_code, date, humidity_percent, data_source FROM climate_data)
+WITH r_ AS (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm, min(data_source) AS data_source
+            FROM climate_data WHERE date < DATE '{D_RAIN}' GROUP BY ALL),
+t_ AS (SELECT district_code, date, avg(temperature_celsius) AS temperature_celsius, min(data_source) AS data_source
+       FROM climate_data WHERE date > DATE '{D_TEMP}' GROUP BY ALL),
+h_ AS (SELECT district_code, date, avg(humidity_percent) AS humidity_percent, min(data_source) AS data_source
+       FROM climate_data GROUP BY ALL)
 SELECT district_code, date, rainfall_mm, temperature_celsius, humidity_percent,
        coalesce(r_.data_source, t_.data_source, h_.data_source) AS data_source
 FROM r_ FULL OUTER JOIN t_ USING (district_code, date) FULL OUTER JOIN h_ USING (district_code, date)""",

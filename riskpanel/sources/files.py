@@ -90,11 +90,16 @@ def merge_climate_files(rain: DataFrame, temp: DataFrame, hum: DataFrame,
                         keys=("district_code", "date")) -> DataFrame:
     """Rainfall, temperature and humidity from three files into one row per
     (district, date): two full outer joins, the source taken from the first file
-    that has the row."""
-    r = rain.select(*keys, "rainfall_mm", F.col("data_source").alias("_s1"))
-    t = temp.select(*keys, "temperature_celsius", F.col("data_source").alias("_s2"))
-    h = hum.select(*keys, "humidity_percent", F.col("data_source").alias("_s3"))
-    j = r.join(t, list(keys), "full_outer").join(h, list(keys), "full_outer")
+    that has the row.
+
+    (district, date) is the table's unique key, so each file is first reduced to
+    one row per key (the mean of repeated readings, the first source name):
+    repeated keys in two files would otherwise multiply in the outer join, and
+    the reduction is combined map-side before the shuffle."""
+    def one(df, measure, tag):
+        return df.groupBy(*keys).agg(F.avg(measure).alias(measure), F.min("data_source").alias(tag))
+    j = (one(rain, "rainfall_mm", "_s1").join(one(temp, "temperature_celsius", "_s2"), list(keys), "full_outer")
+         .join(one(hum, "humidity_percent", "_s3"), list(keys), "full_outer"))
     return j.select(*keys, "rainfall_mm", "temperature_celsius", "humidity_percent",
                     F.coalesce("_s1", "_s2", "_s3").alias("data_source"))
 

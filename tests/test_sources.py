@@ -116,3 +116,13 @@ def test_create_drop_tables_and_metrics(spark, tmp_dir):
 
 def test_api_shape(tables):
     assert Fs.api_shape(tables.cases, "cases").columns == schemas.response_columns("cases")
+
+
+def test_merge_reduces_repeated_keys(spark):
+    schema = "district_code string, date string, rainfall_mm double, temperature_celsius double, " \
+             "humidity_percent double, data_source string"
+    r = spark.createDataFrame([("A", "d1", 1.0, None, None, "r1"), ("A", "d1", 3.0, None, None, "r2")], schema)
+    t = spark.createDataFrame([("A", "d1", None, 20.0, None, "t")] * 3, schema)
+    h = spark.createDataFrame([("A", "d1", None, None, 50.0, "h")], schema)
+    out = Fs.merge_climate_files(r, t, h).collect()
+    assert len(out) == 1 and out[0].rainfall_mm == 2.0 and out[0].data_source == "r1"
