@@ -133,8 +133,9 @@ def q_model_distribution(t):
 WITH cal_ AS ({calendar(Y1, CASES_AS_OF)}),
 daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
            WHERE case_date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL),
-clim_ AS (SELECT district_code, date, rainfall_mm, temperature_celsius FROM climate_data
-          WHERE date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}'),
+clim_ AS (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm,
+                 avg(temperature_celsius) AS temperature_celsius FROM climate_data
+          WHERE date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL),
 j_ AS (SELECT * FROM cal_ LEFT JOIN daily_ USING (district_code, date)
        LEFT JOIN clim_ USING (district_code, date))
 SELECT district_code, count(*) AS n_rows,

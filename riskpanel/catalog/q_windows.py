@@ -18,8 +18,9 @@ def q_training_panel(t):
 WITH cal_ AS ({calendar('2001-05-03', CASES_AS_OF)}),
 daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
            WHERE case_date BETWEEN DATE '2001-05-03' AND DATE '{CASES_AS_OF}' GROUP BY ALL),
-clim_ AS (SELECT district_code, date, rainfall_mm, temperature_celsius, humidity_percent
-          FROM climate_data WHERE date BETWEEN DATE '2001-05-03' AND DATE '{CASES_AS_OF}')
+clim_ AS (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm,
+                 avg(temperature_celsius) AS temperature_celsius, avg(humidity_percent) AS humidity_percent
+          FROM climate_data WHERE date BETWEEN DATE '2001-05-03' AND DATE '{CASES_AS_OF}' GROUP BY ALL)
 SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count,
        coalesce(cl.rainfall_mm, 0.0) AS rainfall_mm,
        coalesce(cl.temperature_celsius, 0.0) AS temperature_celsius,
@@ -40,8 +41,9 @@ T90 = minus(CASES_AS_OF, 90)
 TS_SQL = f"""(WITH cal_ AS ({calendar(T90, CASES_AS_OF)}),
 daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
            WHERE case_date BETWEEN DATE '{T90}' AND DATE '{CASES_AS_OF}' GROUP BY ALL),
-clim_ AS (SELECT district_code, date, rainfall_mm, temperature_celsius, humidity_percent
-          FROM climate_data WHERE date BETWEEN DATE '{T90}' AND DATE '{CASES_AS_OF}')
+clim_ AS (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm,
+                 avg(temperature_celsius) AS temperature_celsius, avg(humidity_percent) AS humidity_percent
+          FROM climate_data WHERE date BETWEEN DATE '{T90}' AND DATE '{CASES_AS_OF}' GROUP BY ALL)
 SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count,
        coalesce(cl.rainfall_mm, 0.0) AS rainfall_mm,
        coalesce(cl.temperature_celsius, 0.0) AS temperature_celsius,

@@ -31,10 +31,12 @@ def panel_sql(as_of: str = CASES_AS_OF, start: str = "2000-08-01") -> str:
 WITH cal_ AS ({calendar(start, as_of)}),
 daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
            WHERE case_date BETWEEN DATE '{start}' AND DATE '{as_of}' GROUP BY ALL),
-clim_ AS (SELECT district_code, date, rainfall_mm, temperature_celsius, humidity_percent
-          FROM climate_data WHERE date BETWEEN DATE '{start}' AND DATE '{as_of}'),
-wat_ AS (SELECT district_code, date, water_area_sqkm, flood_risk_score FROM water_extent
-         WHERE date BETWEEN DATE '{start}' AND DATE '{as_of}'),
+clim_ AS (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm,
+                 avg(temperature_celsius) AS temperature_celsius, avg(humidity_percent) AS humidity_percent
+          FROM climate_data WHERE date BETWEEN DATE '{start}' AND DATE '{as_of}' GROUP BY ALL),
+wat_ AS (SELECT district_code, date, avg(water_area_sqkm) AS water_area_sqkm,
+                avg(flood_risk_score) AS flood_risk_score FROM water_extent
+         WHERE date BETWEEN DATE '{start}' AND DATE '{as_of}' GROUP BY ALL),
 j_ AS (SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count,
               cl.rainfall_mm, cl.temperature_celsius, cl.humidity_percent, w.water_area_sqkm,
               coalesce(w.flood_risk_score, 0.0) AS flood_risk_score

@@ -28,6 +28,8 @@ from riskpanel.operators.predicates import filter_date_range
 from riskpanel.operators.windows import lag_columns, mean_fill, rolling_columns
 
 PANEL_MEASURES = ["rainfall_mm", "temperature_celsius", "humidity_percent", "water_area_sqkm"]
+CLIMATE_MEASURES = ["rainfall_mm", "temperature_celsius", "humidity_percent"]
+WATER_MEASURES = ["water_area_sqkm", "flood_risk_score"]
 
 
 def _as_date(d):
@@ -41,6 +43,15 @@ def _restrict(df: DataFrame, district_code, key="district_code"):
     return df.filter(F.col(key).isin(codes))
 
 
+def one_per_day(df: DataFrame, columns, start, end, key: str = "district_code") -> DataFrame:
+    """A measurement table in start..end reduced to one row per (district, day):
+    the mean of repeated readings. The key is unique by declaration; reducing
+    first (combined map-side) keeps repeated keys in two tables from
+    multiplying in the calendar joins."""
+    f = filter_date_range(df, "date", start, end)
+    return f.groupBy(key, "date").agg(*[F.avg(c).alias(c) for c in columns])
+
+
 def training_panel(cases: DataFrame, climate: DataFrame, water: DataFrame, districts: DataFrame,
                    as_of, days: int = C.LOOKBACK_DAYS, district_code=None) -> DataFrame:
     """Complete daily calendar per district (both ends inclusive: days+1 rows)
@@ -55,10 +66,8 @@ def training_panel(cases: DataFrame, climate: DataFrame, water: DataFrame, distr
     d = _restrict(districts, district_code)
     cal = calendar_cross(d, start, end)
     daily = daily_cases(_restrict(cases, district_code), start, end)
-    clim = filter_date_range(_restrict(climate, district_code), "date", start, end) \
-        .select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
-    wat = filter_date_range(_restrict(water, district_code), "date", start, end) \
-        .select("district_code", "date", "water_area_sqkm", "flood_risk_score")
+    clim = one_per_day(_restrict(climate, district_code), CLIMATE_MEASURES, start, end)
+    wat = one_per_day(_restrict(water, district_code), WATER_MEASURES, start, end)
 
     panel = calendar_left_join(cal, daily, clim, wat)
     panel = panel.withColumns({
@@ -95,8 +104,7 @@ def time_series(cases: DataFrame, climate: DataFrame, districts: DataFrame, as_o
     d = _restrict(districts, district_code)
     cal = calendar_cross(d, start, end)
     daily = daily_cases(_restrict(cases, district_code), start, end)
-    clim = filter_date_range(_restrict(climate, district_code), "date", start, end) \
-        .select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
+    clim = one_per_day(_restrict(climate, district_code), CLIMATE_MEASURES, start, end)
     out = calendar_left_join(cal, daily, clim)
     return out.select(
         "district_code", "date",
@@ -112,8 +120,7 @@ def raw_panel(cases: DataFrame, climate: DataFrame, districts: DataFrame, as_of,
     start = end - _dt.timedelta(days=days)
     cal = calendar_cross(districts, start, end)
     daily = daily_cases(cases, start, end)
-    clim = filter_date_range(climate, "date", start, end) \
-        .select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
+    clim = one_per_day(climate, CLIMATE_MEASURES, start, end)
     return calendar_left_join(cal, daily, clim)
 
 

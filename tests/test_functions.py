@@ -97,3 +97,17 @@ def test_district_statistics_zero_fill(tables):
     rows = district_statistics(tables.districts, tables.cases, tables.climate, "2001-08-01").collect()
     assert len(rows) == 25
     assert all(r.avg_rainfall_30d is not None and r.total_cases is not None for r in rows)
+
+
+def test_panel_is_one_row_per_day_with_repeated_readings(tables):
+    """Copies of a (district, day) in both climate and water do not multiply."""
+    from pyspark.sql import functions as F
+    from riskpanel.plans.panel import training_panel
+    clim = tables.climate.unionByName(tables.climate).unionByName(tables.climate)
+    wat = tables.water.unionByName(tables.water)
+    p = training_panel(tables.cases, clim, wat, tables.districts, "2001-08-01")
+    base = training_panel(tables.cases, tables.climate, tables.water, tables.districts, "2001-08-01")
+    assert p.count() == base.count() == 25 * 366
+    a = p.agg(F.sum("rainfall_mm"), F.sum("water_area_sqkm")).first()
+    b = base.agg(F.sum("rainfall_mm"), F.sum("water_area_sqkm")).first()
+    assert abs(a[0] - b[0]) < 1e-6 and abs(a[1] - b[1]) < 1e-6
