@@ -28,14 +28,21 @@ daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM
 SELECT cal_.district_code, cal_.date, daily_.cases_count, k.rainfall_mm, k.temperature_celsius,
        k.humidity_percent, w.water_area_sqkm, w.flood_risk_score
 FROM cal_ LEFT JOIN daily_ USING (district_code, date)
-LEFT JOIN climate_data k USING (district_code, date) LEFT JOIN water_extent w USING (district_code, date)""",
+LEFT JOIN (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm, avg(temperature_celsius) AS temperature_celsius,
+                  avg(humidity_percent) AS humidity_percent FROM climate_data
+           WHERE date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL) k USING (district_code, date)
+LEFT JOIN (SELECT district_code, date, avg(water_area_sqkm) AS water_area_sqkm, avg(flood_risk_score) AS flood_risk_score
+           FROM water_extent WHERE date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL) w
+USING (district_code, date)""",
           ["rainfall_mm", "temperature_celsius", "humidity_percent", "water_area_sqkm", "flood_risk_score"])
 def q_calendar_left_join(t):
-    """Calendar of every district left-joined to daily cases, climate and water (no fill)."""
+    """Calendar of every district left-joined to daily cases, climate and water
+    (each side one row per district-day; no fill)."""
+    from riskpanel.plans.panel import CLIMATE_MEASURES, WATER_MEASURES, one_per_day
     cal = J.calendar_cross(t.districts, Y1, CASES_AS_OF)
     daily = A.daily_cases(t.cases, Y1, CASES_AS_OF)
-    clim = t.climate.select("district_code", "date", "rainfall_mm", "temperature_celsius", "humidity_percent")
-    wat = t.water.select("district_code", "date", "water_area_sqkm", "flood_risk_score")
+    clim = one_per_day(t.climate, CLIMATE_MEASURES, Y1, CASES_AS_OF)
+    wat = one_per_day(t.water, WATER_MEASURES, Y1, CASES_AS_OF)
     return J.calendar_left_join(cal, daily, clim, wat)
 
 
