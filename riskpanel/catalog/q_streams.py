@@ -49,4 +49,4 @@ def q_stream_alerts(t):
     t.alerts.write.parquet(alerts)
     out, ck = scratch_path(sp, "alerts-stream-out"), scratch_path(sp, "alerts-stream-ck")
     St.run_stream_alerts(sp, preds, alerts, out, ck, EVENTS_AS_OF, EVENTS_AS_OF_TS).awaitTermination()
-    return sp.read.parquet(out)
+    return sp.read.parquet(out).drop("epoch")

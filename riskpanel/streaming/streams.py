@@ -72,19 +72,28 @@ def run_daily_case_counts(spark: SparkSession, cases_dir: str, out_path: str, ch
 
 
 def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new_alerts_path: str,
-                      checkpoint: str, as_of, as_of_ts) -> StreamingQuery:
+                      checkpoint: str, as_of, as_of_ts, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Predictions arriving -> alert generation per micro-batch against the
     alert table as it stands (its own earlier output included), so the 7-day
-    suppression holds across batches. Batches run one after another."""
-    src = spark.readStream.schema(schemas.PREDICTIONS).parquet(preds_dir)
+    suppression holds across batches. Batches run one after another.
+
+    Each micro-batch writes its alerts to ``epoch=<id>`` with overwrite, so a
+    batch that Spark replays after a failure replaces its own output instead of
+    appending it twice; earlier epochs are read without the one being written."""
+    reader = spark.readStream.schema(schemas.PREDICTIONS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(preds_dir)
 
     cols = ["district_code", "prediction_horizon_weeks", "status", "triggered_at"]
 
     def batch(df: DataFrame, epoch_id: int):
         alerts = spark.read.parquet(alerts_path).select(*cols)
         if path_exists(spark, new_alerts_path):
-            alerts = alerts.unionByName(spark.read.parquet(new_alerts_path).select(*cols))
-        generate_alerts(df, alerts, as_of, as_of_ts).write.mode("append").parquet(new_alerts_path)
+            earlier = spark.read.parquet(new_alerts_path).filter(F.col("epoch") < epoch_id)
+            alerts = alerts.unionByName(earlier.select(*cols))
+        (generate_alerts(df, alerts, as_of, as_of_ts).write.mode("overwrite")
+         .parquet(f"{new_alerts_path}/epoch={epoch_id}"))
 
     return (src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

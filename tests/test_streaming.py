@@ -74,3 +74,22 @@ def test_stream_daily_counts_drop_rows_later_than_watermark(spark, tmp_dir):
     assert "2024-01-05" not in got              # later than the watermark: dropped
     assert got["2024-01-18"] == 2               # on time in the second batch: counted
     assert "2024-01-19" not in got              # window ends after the last watermark: still open
+
+
+def test_stream_alerts_suppress_across_batches(spark, tables, tmp_dir):
+    import os
+    import time
+    preds, alerts = os.path.join(tmp_dir, "p"), os.path.join(tmp_dir, "a")
+    mid = tables.predictions.approxQuantile("id", [0.5], 0.0)[0]
+    tables.predictions.filter(F.col("id") < mid).coalesce(1).write.parquet(preds)
+    time.sleep(1.1)
+    tables.predictions.filter(F.col("id") >= mid).coalesce(1).write.mode("append").parquet(preds)
+    tables.alerts.write.parquet(alerts)
+    out, ck = os.path.join(tmp_dir, "o"), os.path.join(tmp_dir, "ck")
+    q = St.run_stream_alerts(spark, preds, alerts, out, ck, EVENTS_AS_OF, EVENTS_AS_OF_TS, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    streamed = spark.read.parquet(out)
+    batch = generate_alerts(tables.predictions, tables.alerts, EVENTS_AS_OF, EVENTS_AS_OF_TS)
+    assert streamed.groupBy("district_code", "prediction_horizon_weeks").count().filter("count > 1").count() == 0
+    assert _rows(streamed.select("alert_id")) == _rows(batch.select("alert_id"))
