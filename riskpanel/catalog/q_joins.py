@@ -1,7 +1,5 @@
 """Joins (2.3)."""
 
-import datetime as _dt
-
 from pyspark.sql import functions as F
 
 from riskpanel import config as C

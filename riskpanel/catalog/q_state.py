@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from riskpanel import config as C
 from riskpanel.catalog.base import EVENTS_AS_OF, EVENTS_AS_OF_TS, DISTRICT, minus, register
 from riskpanel.catalog.q_scalars import sev_sql
 from riskpanel.operators import state as S
