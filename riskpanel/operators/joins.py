@@ -54,9 +54,11 @@ def regressor_left_join(series: DataFrame, regressor: DataFrame, column: str,
 
 def suppress_existing(preds: DataFrame, alerts: DataFrame, since_ts,
                       keys=("district_code", "prediction_horizon_weeks")) -> DataFrame:
-    """Predictions with no active alert for the same keys triggered since ``since_ts``."""
+    """Predictions with no active alert for the same keys triggered since ``since_ts``.
+    The alert side is reduced to distinct keys first (combined map-side), so
+    many alerts of one district ship as one row per task."""
     live = alerts.filter((F.col("status") == "active") & (F.col("triggered_at") >= since_ts)) \
-        .select(*keys)
+        .select(*keys).distinct()
     return preds.join(live, list(keys), "left_anti")
 
 
@@ -67,8 +69,8 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
 
 
 def existing_keys(keys: DataFrame, table: DataFrame, key: str = "district_code") -> DataFrame:
-    """Which of the given keys exist in the table."""
-    return keys.join(table.select(key), key, "left_semi")
+    """Which of the given keys exist in the table (table side reduced to distinct keys)."""
+    return keys.join(table.select(key).distinct(), key, "left_semi")
 
 
 def facility_cases(facilities: DataFrame, cases: DataFrame, districts: DataFrame) -> DataFrame:
