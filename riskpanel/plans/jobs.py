@@ -59,12 +59,27 @@ def _prediction_rows(new: DataFrame, existing: DataFrame, as_of_ts) -> DataFrame
 def predict_and_alert(cases, climate, water, districts, predictions, alerts, as_of, as_of_ts=None,
                         horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, district_codes=None,
                         learned: bool = True, retention_days: int = C.RETENTION_DAYS,
-                        min_days: int = C.MIN_DAYS, **model_params) -> DailyRunResult:
-    """Gate -> forecasts + ensemble -> upsert -> alerts -> retention -> summary."""
+                        min_days: int = C.MIN_DAYS, gate_stage: str = "post_fill",
+                        **model_params) -> DailyRunResult:
+    """Gate -> forecasts + ensemble -> upsert -> alerts -> retention -> summary.
+
+    gate_stage="post_fill" checks the filled panel, as the application does (a
+    filled calendar always has every day, so sparse districts pass);
+    "pre_fill" checks the calendar before filling, where they fail."""
     as_of_d = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     as_of_ts = as_of_ts or _dt.datetime.combine(as_of_d, _dt.time())
     panel = _cut(training_panel(cases, climate, water, districts, as_of_d, district_code=district_codes))
-    gate = panel_gate(panel, min_days=min_days)
+    if gate_stage == "pre_fill":
+        from riskpanel.plans.panel import raw_panel
+        gated_input = raw_panel(cases, climate, districts, as_of_d)
+        if district_codes is not None:
+            codes = [district_codes] if isinstance(district_codes, str) else list(district_codes)
+            gated_input = gated_input.filter(F.col("district_code").isin(codes))
+    elif gate_stage == "post_fill":
+        gated_input = panel
+    else:
+        raise ValueError(gate_stage)
+    gate = panel_gate(gated_input, min_days=min_days, stage=gate_stage)
     ok_panel = panel.join(gate.filter("passed").select("district_code"), "district_code", "left_semi")
     new = _cut(predict(ok_panel, as_of_d, horizon_weeks, learned=learned, **model_params))
     rows = _prediction_rows(new, predictions, as_of_ts)

@@ -76,3 +76,28 @@ def test_models_to_rows(spark):
                                  "ARIMA double, Ensemble double")
     rows = S.models_to_rows(wide, ["district_code", "h"]).collect()
     assert sorted(r.model_name for r in rows) == ["ARIMA", "Ensemble", "LSTM", "Prophet"]
+
+
+def test_daily_run_gate_stages(spark, tables):
+    """Post-fill (the application's gate) only districts whose climate column is
+    entirely missing fail (sf0.001 has 15 without climate rows); pre-fill the
+    unfilled calendar is judged, so at least those fail too. Predictions are
+    made for passing districts only, and the summary counts the failures."""
+    from pyspark.sql import functions as F
+    from riskpanel.plans.jobs import predict_and_alert
+    args = (tables.cases, tables.climate, tables.water, tables.districts, tables.predictions,
+            tables.alerts, "2001-08-01")
+    post = predict_and_alert(*args, learned=False)
+    pre = predict_and_alert(*args, learned=False, gate_stage="pre_fill")
+    with_climate = {r.district_code for r in tables.climate.filter(
+        F.col("date").between(F.lit("2000-08-01").cast("date"), F.lit("2001-08-01").cast("date")))
+        .select("district_code").distinct().collect()}
+    post_ok = {r.district_code for r in post.gate.filter("passed").collect()}
+    assert post_ok == with_climate and 0 < len(post_ok) < 25
+    assert {r.reason for r in post.gate.filter("NOT passed").collect()} == {"low_completeness"}
+    pre_ok = {r.district_code for r in pre.gate.filter("passed").collect()}
+    assert pre_ok <= post_ok
+    for run, ok in ((post, post_ok), (pre, pre_ok)):
+        s = {r.metric: r.value for r in run.summary.collect()}
+        assert s["failed_predictions"] == 25 - len(ok) and s["successful_predictions"] == len(ok)
+        assert {r.district_code for r in run.new_predictions.select("district_code").distinct().collect()} == ok
