@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="riskpanel-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                               "(a machine-local folder does not survive a lost executor)")
+        conf_dir = tempfile.mkdtemp(prefix="riskpanel-ckpt-")  # local mode only: one machine
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
