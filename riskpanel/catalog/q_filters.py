@@ -22,6 +22,13 @@ def q_filter_optional(t):
     return P.filter_optional(t.predictions, district_code=DISTRICT, model_name=C.ENSEMBLE, status=None)
 
 
+@register("filter_optional_alerts", "F2", f"""
+SELECT * FROM alerts WHERE district_code = '{DISTRICT}' AND status = 'active'""")
+def q_filter_optional_alerts(t):
+    """Alerts filtered by the given (district, status) only; severity not given."""
+    return P.filter_optional(t.alerts, district_code=DISTRICT, status="active", severity=None)
+
+
 @register("filter_date_range", "F3", f"""
 SELECT * FROM climate_data WHERE date BETWEEN DATE '{minus(CASES_AS_OF, 90)}' AND DATE '{CASES_AS_OF}'
 AND district_code = '{DISTRICT}'""", ["rainfall_mm", "temperature_celsius", "humidity_percent"])
