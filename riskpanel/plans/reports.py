@@ -53,25 +53,42 @@ def _metric(df: DataFrame, metric: str, value, label=None, rank=None) -> DataFra
 def national_statistics(districts: DataFrame, cases: DataFrame, as_of, days: int = C.RECENT_DAYS,
                         top: int = C.TOP_DISTRICTS) -> DataFrame:
     """Totals, recent cases, recent cases by region and the top districts by name,
-    as rows (metric, label, value, rank)."""
+    as rows (metric, label, value, rank).
+
+    One pass over the cases: counts per district (combined map-side, saved
+    once), joined once to the districts, then one grouping-sets aggregate gives the totals,
+    the per-region and the per-name sums; a window over the per-name rows
+    (bounded by the number of district names) ranks the top ``top``. Cases
+    whose district is unknown count in the totals only, as in the application."""
+    from pyspark.sql import Window as W
     since = trailing_since(as_of, days)
     per = cases.groupBy("district_code").agg(F.count(F.lit(1)).alias("n"),
                                               F.count_if(F.col("case_date") >= since).alias("recent"))
-    tot = per.agg(F.sum("n").alias("n"), F.sum("recent").alias("recent"))
-    dims = districts.select("district_code", "district_name", "region")
-    joined = per.filter(F.col("recent") > 0).join(dims, "district_code", "inner")
-    by_region = joined.groupBy("region").agg(F.sum("recent").alias("c"))
-    by_name = joined.groupBy("district_name").agg(F.sum("recent").alias("c"))
-    top_rows = by_name.orderBy(F.col("c").desc(), F.col("district_name")).limit(top)
-    from pyspark.sql import Window as W
-    ranked = top_rows.withColumn("rank", F.row_number().over(
-        W.orderBy(F.col("c").desc(), F.col("district_name"))))
+    # one row per district: saved once (reliable checkpoint in the shared
+    # folder) so the report's branches, which prune different columns, all read
+    # it instead of each scanning the cases again
+    from riskpanel.session import checkpoint_dir
+    checkpoint_dir(per.sparkSession)
+    per = per.checkpoint(eager=True)
+    dims = districts.select("district_code", "district_name", "region", F.lit(True).alias("known"))
+    joined = per.join(dims, "district_code", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    g = (joined.groupingSets([[], ["known", "region"], ["known", "district_name"]], "known", "region", "district_name")
+         .agg(F.sum("n").alias("n"), F.sum("recent").alias("recent"), F.grouping_id().alias("gid")))
+    # gid bits follow the cube columns (known, region, district_name): 7 = (), 1 = by region, 2 = by name
+    totals = g.filter(F.col("gid") == 7)
+    groups = g.filter((F.col("gid") != 7) & F.col("known") & (F.col("recent") > 0)).select(
+        F.when(F.col("gid") == 1, "cases_by_region").otherwise("top_affected_districts").alias("metric"),
+        F.when(F.col("gid") == 1, F.col("region")).otherwise(F.col("district_name")).alias("label"),
+        F.col("recent").alias("value"))
+    rank = F.row_number().over(W.partitionBy("metric").orderBy(F.col("value").desc(), F.col("label")))
+    ranked = groups.withColumn("rank", F.when(F.col("metric") == "top_affected_districts", rank)) \
+        .filter((F.col("metric") == "cases_by_region") | (F.col("rank") <= top))
     parts = [
         _metric(districts.agg(F.count(F.lit(1)).alias("v")), "total_districts", F.col("v")),
-        _metric(tot, "total_cases", F.coalesce(F.col("n"), F.lit(0))),
-        _metric(tot, "recent_cases_30d", F.coalesce(F.col("recent"), F.lit(0))),
-        _metric(by_region, "cases_by_region", F.col("c"), F.col("region")),
-        _metric(ranked, "top_affected_districts", F.col("c"), F.col("district_name"), F.col("rank")),
+        _metric(totals, "total_cases", F.coalesce(F.col("n"), F.lit(0))),
+        _metric(totals, "recent_cases_30d", F.coalesce(F.col("recent"), F.lit(0))),
+        ranked.select("metric", F.col("label").cast("string"), F.col("value").cast("long"),
+                      F.col("rank").cast("int")),
     ]
     return reduce(DataFrame.unionByName, parts)
 
