@@ -283,14 +283,29 @@ def fits_type_report(tables: dict) -> DataFrame:
 
 
 def foreign_key_report(tables: dict) -> DataFrame:
-    """J5 over every declared foreign key: orphan rows per (table, column)."""
-    from riskpanel.operators.joins import orphans
-    parts = []
+    """J5 over every declared foreign key: orphan rows per (table, column).
+
+    One pass per child table: each parent contributes its distinct keys
+    (unique, so the left joins never multiply rows; small, so the planner may
+    broadcast them), and a single aggregate counts the rows whose non-null key
+    found no parent, for all of the child's foreign keys at once."""
+    by_child: dict = {}
     for child, col, parent, pcol in schemas.FOREIGN_KEYS:
-        o = orphans(tables[child], tables[parent], col, pcol)
-        parts.append(o.agg(F.count(F.lit(1)).alias("orphans"))
-                     .select(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
-                             F.lit(parent).alias("parent_table"), "orphans"))
+        by_child.setdefault(child, []).append((col, parent, pcol))
+    parts = []
+    for child, fks in by_child.items():
+        df = tables[child].select(*sorted({c for c, _, _ in fks}))
+        counters = []
+        for i, (col, parent, pcol) in enumerate(fks):
+            keys = tables[parent].select(F.col(pcol).alias(f"_pk{i}")).distinct() \
+                .withColumn(f"_hit{i}", F.lit(True))
+            df = df.join(keys, F.col(col) == F.col(f"_pk{i}"), "left")
+            counters.append(F.count_if(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"o{i}"))
+        row = df.agg(*counters)
+        parts.append(row.select(F.explode(F.array(*[
+            F.struct(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
+                     F.lit(parent).alias("parent_table"), F.col(f"o{i}").cast("long").alias("orphans"))
+            for i, (col, parent, _) in enumerate(fks)])).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
