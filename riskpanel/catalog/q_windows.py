@@ -1,6 +1,6 @@
 """Window operators (2.5) and the panels built on them."""
 
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
 from riskpanel import config as C
 from riskpanel.catalog.base import CASES_AS_OF, EVENTS_AS_OF, register
@@ -139,14 +139,28 @@ def q_mean_fill(t):
     return Wn.mean_fill(j, ["rainfall_mm", "temperature_celsius", "humidity_percent"])
 
 
-@register("sequence_window", "W6", None)
+SEQ_FEATURES = ["rainfall_mm", "temperature_celsius", "cases_count", "water_area_sqkm"]
+SEQ_COLS = [f"{f}_t{i}" for i in range(C.SEQUENCE_LENGTH) for f in SEQ_FEATURES]
+
+
+def _seq_sql():
+    n = C.SEQUENCE_LENGTH
+    lags = ", ".join(
+        f"coalesce(CAST(lag({f}, {n - i}) OVER w AS DOUBLE), 0.0) AS {f}_t{i}"
+        for i in range(n) for f in SEQ_FEATURES)
+    return (f"SELECT district_code, date, cases_count, {', '.join(SEQ_COLS)} FROM ("
+            f"SELECT district_code, date, cases_count, {lags}, row_number() OVER w AS rn_ "
+            f"FROM {PANEL_SQL} p_ WINDOW w AS (PARTITION BY district_code ORDER BY date)) WHERE rn_ > {n}")
+
+
+@register("sequence_window", "W6", _seq_sql(), SEQ_COLS)
 def q_sequence_window(t):
-    """For each panel day after the 14th: the 14 previous days x 4 features as an array."""
+    """For each panel day after the 14th: the 14 previous days x 4 features
+    (array of structs, nulls as 0), flattened oldest first into 56 columns."""
     p = _panel(t)
-    return Wn.sequence_window(p.select("district_code", "date", "rainfall_mm", "temperature_celsius",
-                                       "cases_count", "water_area_sqkm"),
-                              ["rainfall_mm", "temperature_celsius", "cases_count", "water_area_sqkm"],
-                              C.SEQUENCE_LENGTH).select("district_code", "date", "cases_count", "seq")
+    s = Wn.sequence_window(p.select("district_code", "date", *SEQ_FEATURES), SEQ_FEATURES, C.SEQUENCE_LENGTH)
+    flat = [F.col("seq")[i][f].alias(f"{f}_t{i}") for i in range(C.SEQUENCE_LENGTH) for f in SEQ_FEATURES]
+    return s.select("district_code", "date", F.col("cases_count").cast("long").alias("cases_count"), *flat)
 
 
 @register("chrono_split", "W7", f"""
