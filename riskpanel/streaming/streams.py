@@ -17,8 +17,14 @@ from riskpanel.operators.state import generate_alerts
 from riskpanel.sources.files import ingest_json
 
 
-def event_time(c) -> F.Column:
-    return F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp")
+def event_time(c, is_date: bool = False) -> F.Column:
+    """Event time as TIMESTAMP. A DATE becomes its UTC midnight instant, so
+    1-day windows (aligned to the epoch) are calendar days whatever the session
+    time zone; a TIMESTAMP_NTZ is read in the session zone (UTC here)."""
+    col = F.col(c) if isinstance(c, str) else c
+    if is_date:
+        return F.timestamp_seconds(F.unix_date(col).cast("long") * F.lit(86400))
+    return col.cast("timestamp")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -48,7 +54,7 @@ def parsed_case_stream(spark: SparkSession, json_dir: str, watermark: str = "30
     """R1 as a streaming DataFrame: parsed cases, duplicates dropped within the watermark."""
     raw = spark.readStream.schema("value STRING").text(json_dir)
     good, _ = ingest_json(raw, "cases")
-    return (good.withColumn("event_time", event_time("case_date"))
+    return (good.withColumn("event_time", event_time("case_date", is_date=True))
             .withWatermark("event_time", watermark)
             .dropDuplicatesWithinWatermark(["case_id"]))
 
@@ -57,9 +63,11 @@ def daily_case_counts(cases_stream: DataFrame, watermark: str = "1 day",
                       time_col: str = "case_date") -> DataFrame:
     """R2: running count per (district, day) by event time; in append mode a
     day is emitted once the watermark passes its end, later rows are dropped."""
-    s = cases_stream.withColumn("event_time", event_time(time_col)).withWatermark("event_time", watermark)
+    s = cases_stream.withColumn("event_time", event_time(time_col, is_date=True)) \
+        .withWatermark("event_time", watermark)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / F.lit(86400)).cast("int"))
     return (s.groupBy(F.window("event_time", "1 day"), "district_code").agg(F.count(F.lit(1)).alias("cases_count"))
-            .select("district_code", F.to_date(F.col("window.start")).alias("date"), "cases_count"))
+            .select("district_code", day.alias("date"), "cases_count"))
 
 
 def run_daily_case_counts(spark: SparkSession, cases_dir: str, out_path: str, checkpoint: str,

@@ -93,3 +93,20 @@ def test_stream_alerts_suppress_across_batches(spark, tables, tmp_dir):
     batch = generate_alerts(tables.predictions, tables.alerts, EVENTS_AS_OF, EVENTS_AS_OF_TS)
     assert streamed.groupBy("district_code", "prediction_horizon_weeks").count().filter("count > 1").count() == 0
     assert _rows(streamed.select("alert_id")) == _rows(batch.select("alert_id"))
+
+
+def test_stream_days_do_not_depend_on_session_time_zone(spark, tables):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        src = scratch_path(spark, "tz-src")
+        tables.cases.write.parquet(src)
+        out, ck = scratch_path(spark, "tz-out"), scratch_path(spark, "tz-ck")
+        St.run_daily_case_counts(spark, src, out, ck).awaitTermination()
+        streamed = spark.read.parquet(out)
+        last = tables.cases.agg(F.max("case_date")).first()[0]
+        batch = daily_cases(tables.cases).filter(F.col("date") <= F.date_sub(F.lit(last), 2))
+        assert _rows(streamed.select("district_code", "date", "cases_count")) == \
+            _rows(batch.select("district_code", "date", "cases_count"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
