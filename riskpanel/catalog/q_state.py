@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.catalog.base import EVENTS_AS_OF, EVENTS_AS_OF_TS, DISTRICT, minus, register
 from riskpanel.catalog.q_scalars import sev_sql
+from riskpanel.functions.scalar import ntz_lit
 from riskpanel.operators import state as S
 
 D7 = minus(EVENTS_AS_OF, 7)
@@ -71,7 +72,7 @@ def q_acknowledge_alert(t):
     f"status = 'acknowledged' AND triggered_at < TIMESTAMP '{T7}'", {"status": "'resolved'"}))
 def q_resolve_alert(t):
     """Resolve acknowledged alerts older than 7 days, set-based."""
-    ids = t.alerts.filter((F.col("status") == "acknowledged") & (F.col("triggered_at") < F.lit(T7).cast("timestamp_ntz")))
+    ids = t.alerts.filter((F.col("status") == "acknowledged") & (F.col("triggered_at") < ntz_lit(T7)))
     return S.resolve(t.alerts, ids.select("alert_id"), EVENTS_AS_OF_TS)
 
 

@@ -13,10 +13,29 @@ __all__ = [
     "r4", "to_col", "severity", "risk_band", "clamp", "fallback", "fallback_flag",
     "interval_bounds", "calendar_parts", "season_flags", "null_to_zero", "date_shift",
     "to_date_col", "features_json", "features_map", "alert_id", "display_count",
-    "display_score", "display_stamp", "iso_text", "code", "thresholds",
+    "display_score", "display_stamp", "iso_text", "code", "thresholds", "ntz_lit", "date_lit",
 ]
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or ISO text. Built from
+    text, so neither the Python process's zone nor the session zone moves it."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat() + " 00:00:00"
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def date_lit(value) -> Column:
+    """A DATE literal from a date or ISO text."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.date()
+    return F.lit(value.isoformat() if isinstance(value, _dt.date) else str(value)).cast("date")
+
+
 def to_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

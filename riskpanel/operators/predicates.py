@@ -44,7 +44,8 @@ def trailing_since(as_of, days: int, column_type: str = "date"):
     if column_type == "timestamp" and not isinstance(as_of, _dt.datetime):
         as_of = _dt.datetime.combine(as_of, _dt.time())
     bound = as_of - _dt.timedelta(days=days)
-    return F.lit(bound).cast("timestamp_ntz" if column_type == "timestamp" else "date")
+    from riskpanel.functions.scalar import date_lit, ntz_lit
+    return ntz_lit(bound) if column_type == "timestamp" else date_lit(bound)
 
 
 def trailing_days(df: DataFrame, column: str, as_of, days: int, column_type: str = "date") -> DataFrame:

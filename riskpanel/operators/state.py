@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel import config as C
-from riskpanel.functions.scalar import alert_id, severity
+from riskpanel.functions.scalar import alert_id, ntz_lit, severity
 from riskpanel.operators.joins import suppress_existing
 from riskpanel.operators.predicates import trailing_days, trailing_since
 from riskpanel.operators.windows import first_per_key
@@ -41,7 +41,7 @@ def generate_alerts(preds: DataFrame, alerts: DataFrame, as_of, as_of_ts,
     sev = fresh.withColumn("severity", severity("risk_score", thresholds))
     raising = sev.filter(F.col("severity").isin(C.ALERTING_SEVERITIES))
     one = first_per_key(raising, ALERT_KEYS, order_by)
-    ts = F.lit(as_of_ts).cast("timestamp_ntz")
+    ts = ntz_lit(as_of_ts)
     return one.select(
         F.col("id").alias("prediction_id"),
         alert_id("district_code", "prediction_horizon_weeks", "prediction_date", "id").alias("alert_id"),
@@ -90,7 +90,7 @@ def apply_updates(table: DataFrame, updates: DataFrame, key: str, as_of_ts,
         if c in set_cols:
             out.append(F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
         elif c == stamp:
-            out.append(F.when(changed, F.lit(as_of_ts).cast("timestamp_ntz")).otherwise(F.col(c)).alias(c))
+            out.append(F.when(changed, ntz_lit(as_of_ts)).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)
@@ -105,7 +105,7 @@ def acknowledge(alerts: DataFrame, actions: DataFrame, as_of_ts) -> DataFrame:
     """actions(alert_id, acknowledged_by) -> status acknowledged, who, when."""
     a = actions.dropDuplicates(["alert_id"]).select(
         "alert_id", "acknowledged_by",
-        F.lit(as_of_ts).cast("timestamp_ntz").alias("acknowledged_at"),
+        ntz_lit(as_of_ts).alias("acknowledged_at"),
         F.lit("acknowledged").alias("status"))
     return apply_updates(alerts, a, "alert_id", as_of_ts)
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel import config as C
+from riskpanel.functions.scalar import ntz_lit
 from riskpanel.operators.quality import panel_gate
 from riskpanel.operators.state import append_alerts, generate_alerts, retain, upsert
 from riskpanel.plans.panel import training_panel
@@ -45,7 +46,7 @@ def _prediction_rows(new: DataFrame, existing: DataFrame, as_of_ts) -> DataFrame
     """Prediction rows in the table's schema; ids continue after the current maximum."""
     from pyspark.sql import Window as W
     top = existing.agg(F.max("id")).first()[0] or 0
-    ts = F.lit(as_of_ts).cast("timestamp_ntz")
+    ts = ntz_lit(as_of_ts)
     # one row per (district, model) of this run: bounded by the key space
     numbered = new.withColumn("id", (F.lit(int(top)) + F.row_number().over(
         W.orderBy("district_code", "model_name"))).cast("long"))
