@@ -40,3 +40,12 @@ def test_rule_suite_is_one_scan(spark):
 def test_district_scan_prunes_partitions(spark):
     p = plan(spark, "scan_table")
     assert "PartitionFilters: [isnotnull(district_code" in p and "(district_code#" in p
+
+
+def test_broadcast_only_within_proven_bound(tables):
+    from riskpanel.operators.joins import bounded_broadcast
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(bounded_broadcast(tables.districts, max_rows=100))      # 25 rows <= 100
+    assert not hinted(bounded_broadcast(tables.districts, max_rows=10))   # beyond the bound: planner decides
