@@ -111,3 +111,20 @@ def test_panel_is_one_row_per_day_with_repeated_readings(tables):
     a = p.agg(F.sum("rainfall_mm"), F.sum("water_area_sqkm")).first()
     b = base.agg(F.sum("rainfall_mm"), F.sum("water_area_sqkm")).first()
     assert abs(a[0] - b[0]) < 1e-6 and abs(a[1] - b[1]) < 1e-6
+
+
+def test_national_statistics_unknown_district_counts_in_totals_only(spark, tables):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from riskpanel.plans.reports import national_statistics
+    stray = tables.cases.limit(1).select(
+        *[F.lit("ZZZ").alias(c) if c == "district_code" else
+          (F.lit(dt.date(2001, 7, 30)).alias(c) if c == "case_date" else F.col(c)) for c in tables.cases.columns])
+    base = {(r.metric, r.label): r.value for r in national_statistics(tables.districts, tables.cases, "2001-08-01").collect()}
+    more = {(r.metric, r.label): r.value for r in
+            national_statistics(tables.districts, tables.cases.unionByName(stray), "2001-08-01").collect()}
+    assert more[("total_cases", None)] == base[("total_cases", None)] + 1
+    assert more[("recent_cases_30d", None)] == base[("recent_cases_30d", None)] + 1
+    region = {k: v for k, v in base.items() if k[0] == "cases_by_region"}
+    assert {k: v for k, v in more.items() if k[0] == "cases_by_region"} == region
+    assert sum(region.values()) == base[("recent_cases_30d", None)]
