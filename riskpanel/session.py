@@ -18,6 +18,23 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int | None = None) -> dict:
+    """Settings for a large cluster (pass as ``extra`` to ``get_session``).
+
+    Shuffle partitions are sized to about 128 MB of the largest expected
+    shuffle (AQE coalesces small ones at run time); file splits are 128 MB; the
+    streaming de-duplication state lives in RocksDB instead of the JVM heap."""
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+    if largest_shuffle_bytes:
+        conf["spark.sql.shuffle.partitions"] = str(max(200, -(-int(largest_shuffle_bytes) // (128 << 20))))
+    return conf
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "riskpanel", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
