@@ -9,12 +9,15 @@ so a restarted driver or lost executor resumes from the last committed batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from riskpanel import config as C
 from riskpanel import schemas
+from riskpanel.operators.predicates import trailing_since
 from riskpanel.operators.state import generate_alerts
-from riskpanel.sources.files import ingest_json
 
 
 def event_time(c, is_date: bool = False) -> F.Column:
@@ -33,36 +36,141 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def stream_ingest_cases(spark: SparkSession, json_dir: str, table_path: str, checkpoint: str,
-                        watermark: str = "30 days", rejects_path: str | None = None,
-                        rejects_checkpoint: str | None = None) -> list[StreamingQuery]:
-    """JSON case records arriving as files -> typed rows, repeated case ids
-    dropped within the watermark (state kept in the checkpoint), appended to the
-    table; unparsable records go to a rejects folder by a second query."""
-    good = parsed_case_stream(spark, json_dir, watermark).drop("event_time")
-    qs = [good.writeStream.outputMode("append").format("parquet").option("path", table_path)
-          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()]
-    if rejects_path:
-        raw = spark.readStream.schema("value STRING").text(json_dir)
-        _, bad = ingest_json(raw, "cases")
-        qs.append(bad.writeStream.outputMode("append").format("parquet").option("path", rejects_path)
-                  .option("checkpointLocation", rejects_checkpoint).trigger(availableNow=True).start())
-    return qs
-
-
-def parsed_case_stream(spark: SparkSession, json_dir: str, watermark: str = "30 days") -> DataFrame:
-    """R1 as a streaming DataFrame: parsed cases, duplicates dropped within the watermark."""
-    raw = spark.readStream.schema("value STRING").text(json_dir)
-    good, _ = ingest_json(raw, "cases")
-    return (good.withColumn("event_time", event_time("case_date", is_date=True))
-            .withWatermark("event_time", watermark)
-            .dropDuplicatesWithinWatermark(["case_id"]))
+def _epochs(spark: SparkSession, path: str, before: int, schema) -> DataFrame | None:
+    """Rows of the epochs written before ``before`` (None if there is none)."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(schema).option("mergeSchema", False).parquet(path).filter(F.col("epoch") < before)
+
+
+CASE_RECORD = T.StructType([T.StructField(n, t) for n, t, _, _ in schemas.CREATE_RECORDS["cases"]])
+REJECT = T.StructType([T.StructField("record", T.StringType()), T.StructField("reason", T.StringType()),
+                       T.StructField("n_rows", T.LongType())])
+
+
+def split_case_records(records: DataFrame, stored: DataFrame | None, districts: DataFrame | None = None):
+    """JSON records (``value``) -> (cases to store, rejects with reason and count).
+
+    Every input row is in one of the two: equal records are counted first, one
+    of each is parsed; unparsable records, records without a required value, of
+    an unknown district (if ``districts`` is given), of a case_id that ``stored``
+    has, and all but the least text of a repeated case_id are rejects.
+    """
+    counted = records.groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+    spec = schemas.CREATE_RECORDS["cases"]
+    st = schemas.record_schema("cases").add("_corrupt_record", T.StringType(), True)
+    parsed = counted.select("value", "n_rows", F.from_json("value", st, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    bad = F.col("value").isNull() | F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
+    for name, _, required, _ in spec:
+        if required:
+            bad = bad | F.col("r")[name].isNull()
+    parsed = parsed.withColumn("case_id", F.col("r.case_id")) \
+        .withColumn("reason", F.when(F.coalesce(bad, F.lit(True)), "invalid record"))
+    if districts is not None:
+        known = districts.select(F.col("district_code").alias("_d")).distinct()
+        parsed = parsed.join(known, F.col("r.district_code") == F.col("_d"), "left").withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("_d").isNull(), "unknown district"))).drop("_d")
+    if stored is not None:
+        # of the stored table only the ids of this batch are kept, so the table is scanned, not shuffled as a whole
+        ids = stored.select(F.col("case_id").alias("_s")).join(
+            parsed.select(F.col("case_id").alias("_s")).distinct(), "_s", "left_semi").distinct()
+        parsed = parsed.join(ids, F.col("case_id") == F.col("_s"), "left").withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("_s").isNotNull(), "case_id already stored"))).drop("_s")
+    first = parsed.filter("reason IS NULL").groupBy("case_id").agg(F.min("value").alias("_v")) \
+        .select(F.col("case_id").alias("_c"), "_v")
+    marked = parsed.join(first, (F.col("case_id") == F.col("_c")) & F.col("reason").isNull(), "left").withColumn(
+        "kept", F.coalesce(F.col("reason").isNull() & (F.col("value") == F.col("_v")), F.lit(False)))
+    good = marked.filter("kept").select(*[
+        (F.coalesce(F.col("r")[n], F.lit(d)) if d is not None else F.col("r")[n]).alias(n) for n, _, _, d in spec])
+    repeats = F.when(F.col("kept"), F.col("n_rows") - 1).otherwise(F.col("n_rows"))
+    rejects = marked.withColumn("n_rows", repeats).filter("n_rows > 0").select(
+        F.col("value").alias("record"), F.coalesce("reason", F.lit("repeated case_id")).alias("reason"),
+        F.col("n_rows").cast("long").alias("n_rows"))
+    return good, rejects
+
+
+def stream_ingest_cases(spark: SparkSession, json_dir: str, table_path: str, rejects_path: str, checkpoint: str,
+                        existing: DataFrame | None = None, districts: DataFrame | None = None,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """JSON case records arriving as files -> checked case rows in
+    ``table_path``, everything else in ``rejects_path`` with reason and count.
+
+    A case id is stored once, however late it comes: each micro-batch is checked
+    against ``existing`` and all earlier epochs of the table, so no watermark
+    drops a back-filled record. Each batch writes its own ``epoch=<id>`` folder
+    with overwrite, so a replayed batch replaces its own output."""
+    reader = spark.readStream.schema("value STRING")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def batch(records: DataFrame, epoch_id: int):
+        stored = _epochs(spark, table_path, epoch_id, T.StructType([*CASE_RECORD.fields, T.StructField("epoch", T.IntegerType())]))
+        stored = stored.select("case_id") if stored is not None else None
+        if existing is not None:
+            old = existing.select("case_id")
+            stored = old if stored is None else stored.unionByName(old)
+        good, rejects = split_case_records(records, stored, districts)
+        good.write.mode("overwrite").parquet(f"{table_path}/epoch={epoch_id}")
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
+
+    return (reader.text(json_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
+    """The rows that ``stream_ingest_cases`` stored, all epochs."""
+    return spark.read.schema(CASE_RECORD).option("recursiveFileLookup", True).parquet(table_path)
+
+
+DAY_COUNT = T.StructType([T.StructField("district_code", T.StringType()), T.StructField("date", T.DateType()),
+                          T.StructField("cases_count", T.LongType())])
+
+
+def run_daily_case_counts(spark: SparkSession, cases_dir: str, out_path: str, checkpoint: str,
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """R2: cases arriving as files -> counts per (district, day), one partial count
+    per micro-batch and key in ``epoch=<id>``. Nothing is dropped for coming
+    late; ``read_daily_counts`` adds the partial counts up."""
+    reader = spark.readStream.schema(schemas.CASES)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def batch(cases: DataFrame, epoch_id: int):
+        counts = cases.groupBy("district_code", F.col("case_date").alias("date")).agg(F.count(F.lit(1)).alias("cases_count"))
+        counts.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
+
+    return (reader.parquet(cases_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_daily_counts(spark: SparkSession, out_path: str, delay_days: int = 1) -> DataFrame:
+    """(district_code, date, cases_count, late_cases) of the closed days.
+
+    A day is closed when a case more than ``delay_days`` days after it has come
+    in; ``late_cases`` are those that came in a batch after the one that closed
+    their day. They are counted, and told apart, not dropped."""
+    parts = spark.read.schema(T.StructType([*DAY_COUNT.fields, T.StructField("epoch", T.IntegerType())])).parquet(out_path)
+    # one row per micro-batch: the newest day seen up to the batch before
+    newest = parts.groupBy("epoch").agg(F.max("date").alias("newest"))
+    before = newest.select("epoch", F.max("newest").over(
+        W.orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)).alias("before"),
+        F.max("newest").over(W.orderBy("epoch").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("last"))
+    late = F.col("date") < F.date_sub("before", delay_days)
+    return (parts.join(F.broadcast(before), "epoch")
+            .groupBy("district_code", "date").agg(
+                F.sum("cases_count").alias("cases_count"),
+                F.coalesce(F.sum(F.when(late, F.col("cases_count"))), F.lit(0)).alias("late_cases"),
+                F.max("last").alias("last"))
+            .filter(F.col("date") < F.date_sub("last", delay_days)).drop("last"))
 
 
 def daily_case_counts(cases_stream: DataFrame, watermark: str = "1 day",
                       time_col: str = "case_date") -> DataFrame:
-    """R2: running count per (district, day) by event time; in append mode a
-    day is emitted once the watermark passes its end, later rows are dropped."""
+    """R2 with Spark's own state: running count per (district, day) by event time;
+    in append mode a day is emitted once the watermark passes its end. Rows
+    later than the watermark are not counted (the query's progress tells how
+    many): use ``run_daily_case_counts`` where late rows matter."""
     s = cases_stream.withColumn("event_time", event_time(time_col, is_date=True)) \
         .withWatermark("event_time", watermark)
     day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / F.lit(86400)).cast("int"))
@@ -70,24 +178,19 @@ def daily_case_counts(cases_stream: DataFrame, watermark: str = "1 day",
             .select("district_code", day.alias("date"), "cases_count"))
 
 
-def run_daily_case_counts(spark: SparkSession, cases_dir: str, out_path: str, checkpoint: str,
-                          watermark: str = "1 day") -> StreamingQuery:
-    src = spark.readStream.schema(schemas.CASES).parquet(cases_dir)
-    q = (daily_case_counts(src, watermark).writeStream.outputMode("append").format("parquet")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    return q
-
-
 def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new_alerts_path: str,
-                      checkpoint: str, as_of, as_of_ts, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      checkpoint: str, as_of=None, as_of_ts=None,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Predictions arriving -> alert generation per micro-batch against the
     alert table as it stands (its own earlier output included), so the 7-day
     suppression holds across batches. Batches run one after another.
 
     Each micro-batch writes its alerts to ``epoch=<id>`` with overwrite, so a
     batch that Spark replays after a failure replaces its own output instead of
-    appending it twice; earlier epochs are read without the one being written."""
+    appending it twice; earlier epochs are read without the one being written.
+
+    Without ``as_of`` each batch runs as of the newest prediction date among the
+    Ensemble predictions it brings, so a long-lived stream moves on with its data."""
     reader = spark.readStream.schema(schemas.PREDICTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -96,11 +199,18 @@ def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new
     cols = ["district_code", "prediction_horizon_weeks", "status", "triggered_at"]
 
     def batch(df: DataFrame, epoch_id: int):
+        day = as_of or df.filter(F.col("model_name") == C.ENSEMBLE).agg(F.max("prediction_date")).first()[0]
+        if day is None:
+            return
+        stamp = as_of_ts or f"{str(day)[:10]} 00:00:00"
+        # only alerts that can still suppress one are read, from the table and from earlier epochs
+        recent = F.col("triggered_at") >= trailing_since(str(day)[:10], C.ALERT_WINDOW_DAYS, "timestamp")
         alerts = spark.read.parquet(alerts_path).select(*cols)
         if path_exists(spark, new_alerts_path):
             earlier = spark.read.parquet(new_alerts_path).filter(F.col("epoch") < epoch_id)
             alerts = alerts.unionByName(earlier.select(*cols))
-        (generate_alerts(df, alerts, as_of, as_of_ts).write.mode("overwrite")
+        alerts = alerts.filter(recent)
+        (generate_alerts(df, alerts, str(day)[:10], stamp).write.mode("overwrite")
          .parquet(f"{new_alerts_path}/epoch={epoch_id}"))
 
     return (src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

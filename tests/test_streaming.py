@@ -16,7 +16,7 @@ def test_stream_daily_counts_equal_batch_on_closed_days(spark, tables):
     tables.cases.write.parquet(src)
     out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
     St.run_daily_case_counts(spark, src, out, ck).awaitTermination()
-    streamed = spark.read.parquet(out)
+    streamed = St.read_daily_counts(spark, out)
     last = tables.cases.agg(F.max("case_date")).first()[0]
     batch = daily_cases(tables.cases).filter(F.col("date") <= F.date_sub(F.lit(last), 2))
     assert _rows(streamed.select("district_code", "date", "cases_count")) == \
@@ -28,11 +28,42 @@ def test_stream_ingest_drops_repeats(spark, tables):
     rec = tables.cases.select(F.to_json(F.struct("case_id", "district_code",
                                                  F.date_format("case_date", "yyyy-MM-dd").alias("case_date"))).alias("v"))
     rec.unionAll(rec.limit(5)).write.text(src)
-    out, ck = scratch_path(spark, "t-ing"), scratch_path(spark, "t-ing-ck")
-    for q in St.stream_ingest_cases(spark, src, out, ck):
-        q.awaitTermination()
-    got = spark.read.parquet(out)
+    out, bad, ck = scratch_path(spark, "t-ing"), scratch_path(spark, "t-ing-bad"), scratch_path(spark, "t-ing-ck")
+    St.stream_ingest_cases(spark, src, out, bad, ck).awaitTermination()
+    got = St.read_ingested(spark, out)
     assert got.count() == tables.cases.count() == got.select("case_id").distinct().count()
+    assert spark.read.parquet(bad).agg(F.sum("n_rows")).first()[0] == 5
+
+
+def test_stream_ingest_keeps_late_records_and_accounts_for_every_row(spark, tmp_dir):
+    import os
+    src, out, bad, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "bad", "ck"))
+
+    def feed(*records):
+        spark.createDataFrame([(r,) for r in records], "value string").coalesce(1).write.mode("append").text(src)
+        St.stream_ingest_cases(spark, src, out, bad, ck).awaitTermination()
+
+    def case(i, day):
+        return f'{{"case_id":"{i}","district_code":"D1","case_date":"{day}"}}'
+    feed(case("A", "2024-06-01"), case("B", "2024-06-01"), case("B", "2024-06-02"))
+    feed(case("C", "2024-01-01"), case("A", "2024-06-03"), "nonsense")
+    feed(case("C", "2024-01-01"))
+    rows = {r.case_id: str(r.case_date) for r in St.read_ingested(spark, out).collect()}
+    assert rows == {"A": "2024-06-01", "B": "2024-06-01", "C": "2024-01-01"}
+    assert spark.read.parquet(bad).agg(F.sum("n_rows")).first()[0] == 4
+
+
+def test_daily_counts_count_late_rows(spark, tmp_dir):
+    import datetime as dt
+    import os
+    from riskpanel import schemas
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    for days in ([10, 12, 14], [5, 13], [20]):
+        rows = [(i, f"C{d}", "D1", None, dt.date(2024, 1, d), *[None] * 7) for i, d in enumerate(days)]
+        spark.createDataFrame(rows, schemas.CASES).write.mode("append").parquet(src)
+        St.run_daily_case_counts(spark, src, out, ck).awaitTermination()
+    got = {r.date.day: (r.cases_count, r.late_cases) for r in St.read_daily_counts(spark, out).collect()}
+    assert got == {5: (1, 1), 10: (1, 0), 12: (1, 0), 13: (1, 0), 14: (1, 0)}
 
 
 def test_stream_alerts_equal_batch(spark, tables):
@@ -103,7 +134,7 @@ def test_stream_days_do_not_depend_on_session_time_zone(spark, tables):
         tables.cases.write.parquet(src)
         out, ck = scratch_path(spark, "tz-out"), scratch_path(spark, "tz-ck")
         St.run_daily_case_counts(spark, src, out, ck).awaitTermination()
-        streamed = spark.read.parquet(out)
+        streamed = St.read_daily_counts(spark, out)
         last = tables.cases.agg(F.max("case_date")).first()[0]
         batch = daily_cases(tables.cases).filter(F.col("date") <= F.date_sub(F.lit(last), 2))
         assert _rows(streamed.select("district_code", "date", "cases_count")) == \
