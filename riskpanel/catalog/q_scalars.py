@@ -135,8 +135,8 @@ def q_features_json(t):
 
 
 @register("alert_id", "X13", """
-SELECT id, sha256(concat_ws('|', district_code, CAST(prediction_date AS VARCHAR),
-       CAST(prediction_horizon_weeks AS VARCHAR), model_name)) AS alert_key FROM risk_predictions""")
+SELECT id, substr(sha256(concat_ws('|', district_code, CAST(prediction_date AS VARCHAR),
+       CAST(prediction_horizon_weeks AS VARCHAR), model_name)), 1, 32) AS alert_key FROM risk_predictions""")
 def q_alert_id(t):
     """Deterministic alert key: sha-256 of (district, date, horizon, model)."""
     return t.predictions.select("id", X.alert_id("district_code", "prediction_date",

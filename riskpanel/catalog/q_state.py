@@ -30,12 +30,15 @@ r_ AS (SELECT * FROM (SELECT *, {sev_sql('risk_score')} AS severity FROM fresh_)
 one_ AS (SELECT * EXCLUDE (rn_) FROM (SELECT *, row_number() OVER (
   PARTITION BY district_code, prediction_horizon_weeks ORDER BY id) AS rn_ FROM r_) WHERE rn_ = 1)
 SELECT id AS prediction_id,
-  sha256(concat_ws('|', district_code, CAST(prediction_horizon_weeks AS VARCHAR),
-         CAST(prediction_date AS VARCHAR), CAST(id AS VARCHAR))) AS alert_id,
+  substr(sha256(concat_ws('|', district_code, CAST(prediction_horizon_weeks AS VARCHAR),
+         CAST(prediction_date AS VARCHAR), CAST(id AS VARCHAR), '@TS@')), 1, 32) AS alert_id,
   district_code, 'cholera_risk' AS alert_type, severity, risk_score, prediction_horizon_weeks,
-  TIMESTAMP '{TS}' AS triggered_at, CAST(NULL AS TIMESTAMP) AS acknowledged_at,
+  TIMESTAMP '@TS@' AS triggered_at, CAST(NULL AS TIMESTAMP) AS acknowledged_at,
   CAST(NULL AS VARCHAR) AS acknowledged_by, 'active' AS status,
-  TIMESTAMP '{TS}' AS created_at, TIMESTAMP '{TS}' AS updated_at FROM one_"""
+  TIMESTAMP '@TS@' AS created_at, TIMESTAMP '@TS@' AS updated_at FROM one_"""
+GEN_AT = GEN_SQL
+GEN_SQL = GEN_AT.replace("@TS@", TS)
+AFTERNOON = TS[:10] + " 15:00:00"
 
 
 @register("generate_alerts", "P8", GEN_SQL)
@@ -45,6 +48,12 @@ def q_generate_alerts(t):
     return S.generate_alerts(t.predictions, t.alerts, EVENTS_AS_OF, EVENTS_AS_OF_TS)
 
 
+@register("generate_alerts_afternoon", "P8", GEN_AT.replace("@TS@", AFTERNOON))
+def q_generate_alerts_afternoon(t):
+    """The same run at 15:00: suppression looks back whole days, only stamps and ids differ."""
+    return S.generate_alerts(t.predictions, t.alerts, EVENTS_AS_OF, AFTERNOON)
+
+
 ALERT_COLS = ["id", "alert_id", "district_code", "alert_type", "severity", "risk_score",
               "prediction_horizon_weeks", "triggered_at"]
 

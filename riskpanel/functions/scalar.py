@@ -150,8 +150,9 @@ def features_map(c) -> Column:
 
 
 def alert_id(*keys) -> Column:
-    """Deterministic alert id: sha2 of the key columns, so re-runs agree."""
-    return F.sha2(F.concat_ws("|", *[to_col(k).cast("string") for k in keys]), 256)
+    """Deterministic id of 32 characters: the first half of the SHA-256 of the
+    key columns, so re-runs agree (the declared width is 50)."""
+    return F.substring(F.sha2(F.concat_ws("|", *[to_col(k).cast("string") for k in keys]), 256), 1, 32)
 
 
 def display_count(c) -> Column:

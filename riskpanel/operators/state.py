@@ -31,12 +31,15 @@ def generate_alerts(preds: DataFrame, alerts: DataFrame, as_of, as_of_ts,
     """New alert rows from recent Ensemble predictions.
 
     candidates -> drop those with an active alert for the same (district, horizon)
-    triggered since as_of - days (anti-join) -> severity of the score (null -> 0)
+    triggered since the day as_of - days (anti-join; the bound is a date, so the
+    hour of the run does not move it) -> severity of the score (null -> 0)
     -> keep medium/high/critical -> at most one per (district, horizon): the
-    first by ``order_by`` -> alert rows stamped ``as_of_ts``.
+    first by ``order_by`` -> alert rows stamped ``as_of_ts``. The id hashes the
+    prediction and the stamp: a later run that raises the same prediction again
+    gets another id, a repeated run the same one.
     """
     cand = alert_candidates(preds, as_of, days)
-    since = trailing_since(as_of_ts, days, "timestamp")
+    since = trailing_since(_day(as_of), days, "timestamp")
     fresh = suppress_existing(cand, alerts, since, ALERT_KEYS)
     sev = fresh.withColumn("severity", severity("risk_score", thresholds))
     raising = sev.filter(F.col("severity").isin(C.ALERTING_SEVERITIES))
@@ -44,7 +47,7 @@ def generate_alerts(preds: DataFrame, alerts: DataFrame, as_of, as_of_ts,
     ts = ntz_lit(as_of_ts)
     return one.select(
         F.col("id").alias("prediction_id"),
-        alert_id("district_code", "prediction_horizon_weeks", "prediction_date", "id").alias("alert_id"),
+        alert_id("district_code", "prediction_horizon_weeks", "prediction_date", "id", ts).alias("alert_id"),
         "district_code", F.lit(C.ALERT_TYPE).alias("alert_type"), "severity",
         F.col("risk_score").cast("double").alias("risk_score"), "prediction_horizon_weeks",
         ts.alias("triggered_at"), F.lit(None).cast("timestamp_ntz").alias("acknowledged_at"),
@@ -52,10 +55,17 @@ def generate_alerts(preds: DataFrame, alerts: DataFrame, as_of, as_of_ts,
         ts.alias("created_at"), ts.alias("updated_at"))
 
 
+def _day(as_of):
+    """The calendar day of a date, datetime or ISO text, as ISO text."""
+    return str(as_of)[:10]
+
+
 def append_alerts(alerts: DataFrame, new_alerts: DataFrame) -> DataFrame:
     """The alert table after adding generated alerts; ids continue after the
-    current maximum (one scalar read back, not a table)."""
+    current maximum (one scalar read back, not a table). Alerts whose alert_id
+    the table already has (a repeated run) are not added again."""
     from pyspark.sql import Window as W
+    new_alerts = new_alerts.join(alerts.select("alert_id"), "alert_id", "left_anti")
     top = alerts.agg(F.max("id")).first()[0] or 0
     # numbering runs over the generated frame only: at most one row per
     # (district, horizon), so bounded by the key space, not by the data
@@ -76,10 +86,12 @@ def upsert(old: DataFrame, new: DataFrame, keys, order: str = "id") -> DataFrame
 
 def apply_updates(table: DataFrame, updates: DataFrame, key: str, as_of_ts,
                   stamp: str = "updated_at") -> DataFrame:
-    """Set-based UPDATE: ``updates`` has ``key`` plus the columns to set (one row
-    per key). Rows whose values really change get ``stamp = as_of_ts`` (P11)."""
+    """Set-based UPDATE: ``updates`` has ``key`` plus the columns to set. Rows
+    whose values really change get ``stamp = as_of_ts`` (P11). Several updates of
+    one key count as one, the largest row, so no table row is multiplied."""
     set_cols = [c for c in updates.columns if c != key]
-    u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in set_cols], F.lit(True).alias("_hit"))
+    one = updates.groupBy(key).agg(F.max(F.struct(*set_cols)).alias("_u"))
+    u = one.select(key, *[F.col("_u")[c].alias(f"_new_{c}") for c in set_cols], F.lit(True).alias("_hit"))
     j = table.join(u, key, "left")
     changed = F.lit(False)
     for c in set_cols:
@@ -102,9 +114,13 @@ def unknown_ids(actions: DataFrame, table: DataFrame, key: str = "alert_id") ->
 
 
 def acknowledge(alerts: DataFrame, actions: DataFrame, as_of_ts) -> DataFrame:
-    """actions(alert_id, acknowledged_by) -> status acknowledged, who, when."""
-    a = actions.dropDuplicates(["alert_id"]).select(
-        "alert_id", "acknowledged_by",
+    """actions(alert_id, acknowledged_by[, acted_at]) -> status acknowledged,
+    who, when. Of several actions on one alert the latest ``acted_at`` counts
+    (without that column, or at equal times, the greatest name)."""
+    when = F.col("acted_at") if "acted_at" in actions.columns else F.lit(0)
+    last = actions.groupBy("alert_id").agg(F.max(F.struct(when.alias("t"), F.col("acknowledged_by").alias("who"))).alias("m"))
+    a = last.select(
+        "alert_id", F.col("m.who").alias("acknowledged_by"),
         ntz_lit(as_of_ts).alias("acknowledged_at"),
         F.lit("acknowledged").alias("status"))
     return apply_updates(alerts, a, "alert_id", as_of_ts)

@@ -65,7 +65,7 @@ def test_alert_id_deterministic(spark):
     df = spark.createDataFrame([("D001", 8)], "d string, h int")
     a = df.select(X.alert_id("d", "h")).first()[0]
     b = df.select(X.alert_id("d", "h")).first()[0]
-    assert a == b and len(a) == 64
+    assert a == b and len(a) == 32
 
 
 def test_display_formats(spark):

@@ -101,3 +101,63 @@ def test_daily_run_gate_stages(spark, tables):
         s = {r.metric: r.value for r in run.summary.collect()}
         assert s["failed_predictions"] == 25 - len(ok) and s["successful_predictions"] == len(ok)
         assert {r.district_code for r in run.new_predictions.select("district_code").distinct().collect()} == ok
+
+
+def test_raise_acknowledge_rerun_gives_new_ids_that_fit(spark, tables):
+    from riskpanel.operators.quality import fits_type_report
+    alerts = tables.alerts.limit(0)
+    first = S.generate_alerts(tables.predictions, alerts, EVENTS_AS_OF, f"{EVENTS_AS_OF} 09:00:00")
+    table = S.append_alerts(alerts, first)
+    assert S.append_alerts(table, first).count() == table.count()  # a repeated run adds nothing
+    actions = table.select("alert_id", F.lit("ann").alias("acknowledged_by"))
+    table = S.acknowledge(table, actions, f"{EVENTS_AS_OF} 10:00:00")
+    again = S.generate_alerts(tables.predictions, table, EVENTS_AS_OF, f"{EVENTS_AS_OF} 15:00:00")
+    table = S.append_alerts(table, again)
+    assert table.count() == 2 * first.count() == table.select("alert_id").distinct().count() > 0
+    assert fits_type_report({"alerts": table}).filter("column_name = 'alert_id' AND violations > 0").count() == 0
+
+
+def test_suppression_looks_back_whole_days(spark, tables):
+    p = tables.predictions.filter("model_name = 'Ensemble' AND risk_score >= 50").orderBy(F.desc("prediction_date")).limit(1)
+    row = p.first()
+    live = tables.alerts.limit(1).select(*[
+        F.lit(row.district_code).alias(c) if c == "district_code"
+        else F.lit(row.prediction_horizon_weeks).alias(c) if c == "prediction_horizon_weeks"
+        else F.lit("active").alias(c) if c == "status"
+        else F.lit("2024-01-23 09:00:00").cast("timestamp_ntz").alias(c) if c == "triggered_at" else F.col(c)
+        for c in tables.alerts.columns])
+    p = p.withColumn("prediction_date", F.lit("2024-01-30").cast("date"))
+    for hour in ("00:00:00", "15:00:00"):
+        assert S.generate_alerts(p, live, "2024-01-30", f"2024-01-30 {hour}").count() == 0
+    assert S.generate_alerts(p, live, "2024-01-31", "2024-01-31 00:00:00").count() == 1
+
+
+def test_updates_of_one_key_do_not_multiply_rows(spark, tables):
+    i = tables.alerts.first().alert_id
+    upd = spark.createDataFrame([(i, "active"), (i, "resolved")], "alert_id string, status string")
+    out = S.apply_updates(tables.alerts, upd, "alert_id", EVENTS_AS_OF_TS)
+    assert out.count() == tables.alerts.count() and out.filter(F.col("alert_id") == i).first().status == "resolved"
+
+
+def test_the_latest_action_wins(spark, tables):
+    i = tables.alerts.filter("status = 'active'").first().alert_id
+    acts = spark.createDataFrame([(i, "zoe", 1), (i, "ann", 2)], "alert_id string, acknowledged_by string, acted_at int")
+    assert S.acknowledge(tables.alerts, acts, EVENTS_AS_OF_TS).filter(F.col("alert_id") == i).first().acknowledged_by == "ann"
+
+
+def test_unknown_models_are_refused(tables):
+    import pytest as _pytest
+    from riskpanel.plans.jobs import TrainingRequest
+    assert TrainingRequest().models() == ("XGBoost", "Prophet", "ARIMA") and TrainingRequest("LSTM").models() == ("LSTM",)
+    for name in ("Ensemble", "Oracle", ""):
+        with _pytest.raises(ValueError):
+            TrainingRequest(name).models()
+
+
+def test_training_covers_the_requested_start(spark, tables):
+    import datetime as _dt
+    from riskpanel.plans.jobs import TrainingRequest, weekly_training
+    long = weekly_training(tables, "2001-08-01", TrainingRequest("Prophet", ["D003", "D007"], _dt.date(1999, 8, 1)))
+    short = weekly_training(tables, "2001-08-01", TrainingRequest("Prophet", ["D003", "D007"]))
+    a, b = ({r.district_code: r.metrics["mae"] for r in x.collect()} for x in (long, short))
+    assert a and (not b or a != b)
