@@ -115,6 +115,31 @@ SELECT district_code, prediction_date, prediction_horizon_weeks, risk_score,
 FROM r_"""
 
 
+Y15 = minus(CASES_AS_OF, 14)
+
+
+@register("short_series_forecast", "P3", f"""
+SELECT district_code, DATE '{CASES_AS_OF}' AS prediction_date, {H} AS prediction_horizon_weeks, m_.model_name,
+  CAST(NULL AS DOUBLE) AS raw_score, 50.0 AS risk_score, true AS fallback
+FROM districts CROSS JOIN (SELECT unnest(['ARIMA', 'Prophet']) AS model_name) m_""", ["raw_score", "risk_score"])
+def q_short_series(t):
+    """Both statistical models on the last 15 days only: fewer than 30 days score 50."""
+    from riskpanel.operators.forecast import statistical_forecasts
+    from riskpanel.plans.panel import case_series
+    return _final(statistical_forecasts(case_series(t.cases, t.districts, CASES_AS_OF, days=14), CASES_AS_OF, H))
+
+
+ARIMA_FIT_SQL = ARIMA_RAW_SQL[:ARIMA_RAW_SQL.index("last_ AS (")].rstrip().rstrip(",") + """
+SELECT district_code, y, y - d + phi * x1 + theta * el AS yhat FROM s6_ JOIN c2_ USING (district_code) WHERE ok2"""
+SEASONAL_FIT_SQL = SEASONAL_RAW_SQL[:SEASONAL_RAW_SQL.index("SELECT c_.district_code, DATE")] + """
+SELECT s3_.district_code, y, trend * wi * mi AS yhat FROM s3_ JOIN mi_ USING (district_code, mo)"""
+FIT_METRICS_SQL = f"""
+SELECT 'ARIMA' AS model_name, district_code, avg(abs(y - yhat)) AS mae, avg((y - yhat) * (y - yhat)) AS mse
+FROM ({ARIMA_FIT_SQL}) GROUP BY district_code
+UNION ALL SELECT 'Prophet', district_code, avg(abs(y - yhat)), avg((y - yhat) * (y - yhat))
+FROM ({SEASONAL_FIT_SQL}) GROUP BY district_code"""
+
+
 @register("ensemble_predictions", "P6", ENSEMBLE_SQL,
           ["risk_score", "confidence_interval_lower", "confidence_interval_upper"])
 def q_ensemble_predictions(t):

@@ -1,9 +1,10 @@
 """Learned forecasters with ``pyspark.ml``, pooled over all districts.
 
 The application fits one small model per district in a Python loop; here one
-distributed fit covers every district (the district enters as an indexed
-categorical feature), so the work is spread over the cluster instead of a loop
-on one machine.
+distributed fit covers every district (a district enters through the level,
+spread and trend of its own training days, so the model does not grow with the
+number of districts), and the work is spread over the cluster instead of a
+loop on one machine.
 
 mode="nowcast" (default) reproduces the application: the label is the
 current day's count and the features include columns built from it, so the
@@ -16,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -76,6 +77,30 @@ def _out(pred: DataFrame, as_of, horizon_weeks, model_name) -> DataFrame:
                        F.col("prediction").cast("double").alias("raw_score"))
 
 
+DISTRICT_FEATURES = ["district_level", "district_spread", "district_trend"]
+
+
+def with_district_features(df: DataFrame) -> DataFrame:
+    """Mean, standard deviation and daily trend of each district's training labels
+    (0 where a district has too few), computed on training rows only."""
+    y = "CASE WHEN is_train THEN label END"
+    over = "OVER (PARTITION BY district_code)"
+    t = "CAST(unix_date(date) AS DOUBLE)"
+    return df.selectExpr("*", f"coalesce(avg({y}) {over}, 0D) AS district_level",
+                         f"coalesce(stddev_pop({y}) {over}, 0D) AS district_spread",
+                         f"coalesce(regr_slope({y}, {t}) {over}, 0D) AS district_trend")
+
+
+def _no_scores(panel: DataFrame, as_of, horizon_weeks, model_name, with_metrics: bool):
+    """Null scores for every district (50.0 downstream): nothing to train on."""
+    out = _out(panel.select("district_code").distinct().withColumn("prediction", F.lit(None).cast("double")),
+               as_of, horizon_weeks, model_name)
+    if not with_metrics:
+        return out
+    none = panel.limit(0).select("district_code", F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("yhat"))
+    return out, fit_metrics(none)
+
+
 def boosted_forecast(panel: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
                      trees: int = C.BOOST_TREES, depth: int = C.BOOST_DEPTH, rate: float = C.BOOST_RATE,
                      seed: int = C.SEED, mode: str = "nowcast", with_metrics: bool = False):
@@ -85,13 +110,14 @@ def boosted_forecast(panel: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HOR
     df, feats = boosted_features(panel)
     if mode == "direct":
         feats = [f for f in feats if not (f.startswith("cases_roll") or f.startswith("cases_count_roll"))]
-    df = _cut(chrono_split(_label(df, horizon_weeks, mode)))
-    indexer = StringIndexer(inputCol="district_code", outputCol="district_idx", handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=feats + ["district_idx"], outputCol="features")
+    df = _cut(with_district_features(chrono_split(_label(df, horizon_weeks, mode))))
+    train = df.filter(F.col("is_train") & F.col("label").isNotNull())
+    if train.isEmpty():
+        return _no_scores(panel, as_of, horizon_weeks, "XGBoost", with_metrics)
+    assembler = VectorAssembler(inputCols=feats + DISTRICT_FEATURES, outputCol="features")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth,
                        stepSize=rate, seed=seed, maxBins=64)
-    train = df.filter(F.col("is_train") & F.col("label").isNotNull())
-    model = Pipeline(stages=[indexer, assembler, gbt]).fit(train)
+    model = Pipeline(stages=[assembler, gbt]).fit(train)
     pred = model.transform(_last_rows(df))
     out = _out(pred, as_of, horizon_weeks, "XGBoost")
     if not with_metrics:
@@ -117,6 +143,8 @@ def sequence_forecast(panel: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HO
     s = sequence_features(panel, seq)
     s = _cut(chrono_split(_label(s, horizon_weeks, mode)))
     train = s.filter(F.col("is_train") & F.col("label").isNotNull())
+    if train.isEmpty():
+        return _no_scores(panel, as_of, horizon_weeks, "LSTM", with_metrics)
     lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg,
                           elasticNetParam=elastic, standardization=True,
                           solver="normal" if elastic == 0.0 else "auto")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskpanel import config as C
 from riskpanel.functions.scalar import clamp, fallback_flag, features_json, interval_bounds
-from riskpanel.operators.forecast import arima_111_forecast, seasonal_trend_forecast, series_from_panel
+from riskpanel.operators.forecast import series_from_panel, statistical_forecasts
 
 KEYS = ["district_code", "prediction_date", "prediction_horizon_weeks"]
 
@@ -23,7 +23,7 @@ KEYS = ["district_code", "prediction_date", "prediction_horizon_weeks"]
 def statistical_models(panel: DataFrame, as_of, horizon_weeks: int, series: DataFrame | None = None) -> list[DataFrame]:
     """P2 and P3 on the daily case series (taken from the panel unless given)."""
     s = series if series is not None else series_from_panel(panel)
-    return [seasonal_trend_forecast(s, as_of, horizon_weeks), arima_111_forecast(s, as_of, horizon_weeks)]
+    return [statistical_forecasts(s, as_of, horizon_weeks)]
 
 
 def learned_models(panel: DataFrame, as_of, horizon_weeks: int, **params) -> list[DataFrame]:

@@ -99,3 +99,36 @@ def test_direct_mode_uses_future_label(spark):
     assert a is not None and b is not None
     with pytest.raises(ValueError):
         boosted_forecast(p, AS_OF, 1, trees=2, depth=2, mode="bogus")
+
+
+@pytest.mark.parametrize("model", [arima_111_forecast, seasonal_trend_forecast])
+def test_fewer_than_30_days_fall_back(spark, model):
+    assert _score(model(_series(spark, [3 + i % 7 for i in range(29)]), AS_OF, 0)).s == 50.0
+    assert not _score(model(_series(spark, [3 + i % 7 for i in range(30)]), AS_OF, 0)).f
+
+
+def test_one_pass_equals_the_single_models(spark):
+    from riskpanel.operators.forecast import statistical_forecasts
+    s = _series(spark, [5 + (i * 7) % 11 for i in range(200)]).unionByName(_series(spark, [1] * 10, "D2"))
+    single = arima_111_forecast(s, AS_OF, 4).unionByName(seasonal_trend_forecast(s, AS_OF, 4))
+    key = lambda df: {(r.district_code, r.model_name): r.raw_score for r in df.collect()}
+    assert key(statistical_forecasts(s, AS_OF, 4)) == pytest.approx(key(single))
+
+
+def test_a_lone_short_district_scores_the_default(spark):
+    from riskpanel.operators.learn import boosted_forecast, sequence_forecast
+    short = _panel_like(spark, 15)
+    r = _score(sequence_forecast(short, AS_OF, 8))
+    assert r.s == 50.0
+    assert 0.0 <= _score(boosted_forecast(short, AS_OF, 8, trees=2, depth=2)).s <= 100.0
+    none = short.limit(0)
+    for f in (sequence_forecast, boosted_forecast):
+        assert f(none, AS_OF, 8).count() == 0
+
+
+def test_boosting_holds_with_500_districts(spark):
+    from riskpanel.operators.learn import boosted_forecast
+    one = _panel_like(spark, 10)
+    many = one.drop("district_code").crossJoin(spark.range(500).select(F.format_string("K%03d", "id").alias("district_code")))
+    out = boosted_forecast(many, AS_OF, 8, trees=2, depth=2)
+    assert out.count() == 500 and out.filter("raw_score IS NULL OR isnan(raw_score)").count() == 0
