@@ -85,7 +85,8 @@ def predict_and_alert(cases, climate, water, districts, predictions, alerts, as_
     new = _cut(predict(ok_panel, as_of_d, horizon_weeks, learned=learned, **model_params))
     rows = _prediction_rows(new, predictions, as_of_ts)
     preds = upsert(predictions, rows, PRED_KEYS)
-    fresh = generate_alerts(rows, alerts, as_of_d, as_of_ts)
+    # candidates are the stored predictions of the last days, those of this run included
+    fresh = _cut(generate_alerts(preds, alerts, as_of_d, as_of_ts))
     all_alerts = append_alerts(alerts, fresh)
     kept_p, kept_a, pc, ac = retain(preds, all_alerts, as_of_d, retention_days)
 
@@ -109,40 +110,81 @@ def daily_job(tables, as_of, as_of_ts=None, **kw) -> DailyRunResult:
                                horizon_weeks=C.DEFAULT_HORIZON_WEEKS, **kw)
 
 
+#: What the weekly run trains; LSTM only on request.
+WEEKLY_MODELS = ("XGBoost", "Prophet", "ARIMA")
+
+
+def stored_daily_job(spark, tables, base: str, as_of, as_of_ts=None, **kw) -> DailyRunResult:
+    """The daily run against stored state: predictions and alerts are read from
+    their current snapshots under ``base`` (the given tables before the first),
+    and the new ones stored as the next versions. Storing the same run twice
+    leaves the same rows: predictions are replaced by key, alerts by id."""
+    from riskpanel.sources.files import current_version, read_snapshot, replace_table
+    paths = {"risk_predictions": f"{base}/risk_predictions", "alerts": f"{base}/alerts"}
+    given = {"risk_predictions": tables.predictions, "alerts": tables.alerts}
+    now = {n: given[n] if current_version(spark, p) is None else read_snapshot(spark, p, n) for n, p in paths.items()}
+    run = predict_and_alert(tables.cases, tables.climate, tables.water, tables.districts,
+                            now["risk_predictions"], now["alerts"], as_of, as_of_ts, **kw)
+    replace_table(run.predictions, paths["risk_predictions"], "risk_predictions")
+    replace_table(run.alerts, paths["alerts"], "alerts")
+    return run
+
+
 @dataclass
 class TrainingRequest:
-    """Which model, which districts, which dates."""
-    model_name: str
+    """Which model ("all": the weekly set), which districts, which dates."""
+    model_name: str = "all"
     district_codes: list | None = None
     start_date: _dt.date | None = None
     end_date: _dt.date | None = None
 
+    def models(self) -> tuple[str, ...]:
+        if self.model_name == "all":
+            return WEEKLY_MODELS
+        if self.model_name not in C.MODEL_NAMES or self.model_name == C.ENSEMBLE:
+            raise ValueError(f"unknown model: {self.model_name}")
+        return (self.model_name,)
+
 
 def weekly_training(tables, as_of, request: TrainingRequest | None = None,
-                    horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, **params) -> DataFrame:
-    """Fit the requested learned model(s) for all gated districts and
-    return model-run rows (S14) with hold-out MAE, MSE and R^2."""
+                    horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS, metrics_path: str | None = None,
+                    **params) -> DataFrame:
+    """Fit the requested models for all gated districts and return
+    model-run rows (S14); ``metrics_path`` also appends them to that table.
+
+    The panel covers ``start_date`` (default: one look-back before the end) to
+    ``end_date`` (default: as_of), however long that is. Learned models report
+    MAE, MSE and R^2 on held-out days, the statistical ones MAE and MSE on the
+    days they were fitted to, as the application logs them."""
+    from riskpanel.operators.forecast import arima_111_fitted, seasonal_trend_fitted, series_from_panel
     from riskpanel.operators.learn import boosted_forecast, model_runs, sequence_forecast
-    req = request or TrainingRequest("all")
-    panel = training_panel(tables.cases, tables.climate, tables.water, tables.districts, as_of,
-                           district_code=req.district_codes)
-    if req.start_date:
-        panel = panel.filter(F.col("date") >= F.lit(req.start_date).cast("date"))
-    if req.end_date:
-        panel = panel.filter(F.col("date") <= F.lit(req.end_date).cast("date"))
-    panel = _cut(panel)
+    from riskpanel.operators.aggregates import fit_metrics
+    req = request or TrainingRequest()
+    models = req.models()
+    as_day = lambda d: d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)[:10])
+    end = as_day(req.end_date or as_of)
+    start = as_day(req.start_date) if req.start_date else end - _dt.timedelta(days=C.LOOKBACK_DAYS)
+    panel = _cut(training_panel(tables.cases, tables.climate, tables.water, tables.districts, end,
+                                days=(end - start).days, district_code=req.district_codes))
     gate = panel_gate(panel)
     panel = panel.join(gate.filter("passed").select("district_code"), "district_code", "left_semi")
     runs = []
-    if req.model_name in ("all", "XGBoost"):
-        bp = params.get("boosted", {})
-        _, m = boosted_forecast(panel, as_of, horizon_weeks, with_metrics=True, **bp)
-        runs.append(model_runs(m, "XGBoost", as_of, {"n_estimators": bp.get("trees", C.BOOST_TREES),
-                                                     "max_depth": bp.get("depth", C.BOOST_DEPTH),
-                                                     "horizon_weeks": horizon_weeks}))
-    if req.model_name in ("all", "LSTM"):
-        sp = params.get("sequence", {})
-        _, m = sequence_forecast(panel, as_of, horizon_weeks, with_metrics=True, **sp)
-        runs.append(model_runs(m, "LSTM", as_of, {"seq_length": C.SEQUENCE_LENGTH,
-                                                  "horizon_weeks": horizon_weeks}))
-    return reduce(DataFrame.unionByName, runs)
+    for name in models:
+        extra = params.get({"XGBoost": "boosted", "LSTM": "sequence"}.get(name, name), {})
+        if name == "XGBoost":
+            _, m = boosted_forecast(panel, as_of, horizon_weeks, with_metrics=True, **extra)
+            logged = {"n_estimators": extra.get("trees", C.BOOST_TREES), "max_depth": extra.get("depth", C.BOOST_DEPTH)}
+        elif name == "LSTM":
+            _, m = sequence_forecast(panel, as_of, horizon_weeks, with_metrics=True, **extra)
+            logged = {"seq_length": C.SEQUENCE_LENGTH}
+        else:
+            fitted = seasonal_trend_fitted if name == "Prophet" else arima_111_fitted
+            m = fit_metrics(fitted(series_from_panel(panel))).withColumn("r2", F.lit(None).cast("double"))
+            logged = {"order": "(1,1,1)"} if name == "ARIMA" else {}
+        runs.append(model_runs(m, name, as_of, {**logged, "horizon_weeks": horizon_weeks}))
+    out = reduce(DataFrame.unionByName, runs)
+    if metrics_path:
+        from riskpanel.sources.files import write_metrics
+        out = _cut(out)
+        write_metrics(out, metrics_path)
+    return out
