@@ -4,7 +4,8 @@ library's reader."""
 
 from pyspark.sql import functions as F
 
-from riskpanel.catalog.base import CASES_AS_OF, DISTRICT, minus, register
+from riskpanel import schemas
+from riskpanel.catalog.base import CASES_AS_OF, DISTRICT, EVENTS_AS_OF_TS, minus, register
 from riskpanel.session import scratch_path
 from riskpanel.sources import files as Fs
 
@@ -92,7 +93,7 @@ def q_merge_climate_files(t):
 def q_scan_table(t):
     """One district of the case table stored partitioned by district (partition pruning)."""
     path = scratch_path(t.spark, "cases-by-district")
-    t.cases.write.partitionBy("district_code").parquet(path)
+    t.cases.repartition("district_code").write.partitionBy("district_code").parquet(path)
     return Fs.scan_table(t.spark, path, DISTRICT)
 
 
@@ -132,7 +133,7 @@ def q_import_csv(t):
     cols = [n for n, _ in Fs.CSV_LAYOUTS["cases"]]
     t.cases.filter(F.col("case_date") >= F.lit(R30).cast("date")).select(*cols) \
         .write.option("header", True).csv(csv)
-    Fs.import_csv(t.spark, csv, path, "cases", t.spark.read.parquet(path))
+    Fs.import_csv(t.spark, csv, path, "cases", EVENTS_AS_OF_TS, t.spark.read.parquet(path))
     return t.spark.read.parquet(path).select(*cols)
 
 
@@ -142,3 +143,80 @@ SELECT id, case_id, district_code, facility_code, case_date, age_group, gender,
 def q_read_api_shapes(t):
     """The response projection of the case table, generated from its record schema."""
     return Fs.api_shape(t.cases, "cases")
+
+
+SHAPES_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, count({schemas.CREATE_RECORDS[name][0][0]}) AS n_keys, "
+    f"{len(schemas.response_columns(name))} AS n_columns FROM {name}" for name in sorted(schemas.TABLES))
+
+
+@register("read_api_shapes_all", "S12", SHAPES_SQL)
+def q_read_api_shapes_all(t):
+    """The response projection of each of the seven tables: rows, keys and columns it returns."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    parts = []
+    for name in sorted(schemas.TABLES):
+        shape = Fs.api_shape(getattr(t, name), name)
+        parts.append(shape.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                               F.count(schemas.CREATE_RECORDS[name][0][0]).alias("n_keys"),
+                               F.lit(len(shape.columns)).alias("n_columns")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("read_districts_geojson", "S7", "SELECT district_code, district_name, region, population, geometry FROM districts")
+def q_read_districts_geojson(t):
+    """Districts written as one GeoJSON FeatureCollection per region and read back."""
+    path = scratch_path(t.spark, "districts-geojson")
+    feature = F.struct(F.lit("Feature").alias("type"),
+                       F.struct("district_code", "district_name", "region", "population").alias("properties"),
+                       F.col("geometry").alias("geometry"))
+    docs = t.districts.groupBy("region").agg(F.collect_list(feature).alias("features")) \
+        .select(F.lit("FeatureCollection").alias("type"), "features")
+    docs.write.option("maxRecordsPerFile", 1).json(path)  # a GeoJSON file is one document
+    return Fs.read_districts_geojson(t.spark, path)
+
+
+@register("append_rows_checked", "S9", f"""
+WITH n_ AS (SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN 'NOPE' WHEN id % 11 = 0 THEN repeat('x', 30)
+                              ELSE district_code END AS district_code) FROM cases WHERE case_date >= DATE '{R30}')
+SELECT case_id, district_code, 'stored' AS result FROM n_ WHERE district_code IN (SELECT district_code FROM districts)
+  AND (facility_code IS NULL OR facility_code IN (SELECT facility_code FROM health_facilities))
+UNION ALL
+SELECT case_id, district_code, 'rejected' FROM n_ WHERE NOT (district_code IN (SELECT district_code FROM districts)
+  AND (facility_code IS NULL OR facility_code IN (SELECT facility_code FROM health_facilities)))""")
+def q_append_rows_checked(t):
+    """Recent cases, some given an unknown or too long district, appended with foreign
+    keys and widths checked: what is stored and what is rejected."""
+    path = scratch_path(t.spark, "cases-append-fk")
+    code = F.when(F.col("id") % 7 == 0, "NOPE").when(F.col("id") % 11 == 0, F.repeat(F.lit("x"), 30)) \
+        .otherwise(F.col("district_code"))
+    new = t.cases.filter(F.col("case_date") >= F.lit(R30).cast("date")).withColumn("district_code", code)
+    bad = Fs.append_rows(new, path, "cases", None, {"districts": t.districts, "health_facilities": t.facilities})
+    stored = t.spark.read.parquet(path)
+    return stored.select("case_id", "district_code", F.lit("stored").alias("result")).unionByName(
+        bad.select("case_id", "district_code", F.lit("rejected").alias("result")))
+
+
+@register("create_drop_tables", "S13", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, {len(schemas.TABLES[n].fields)} AS n_columns, "
+    f"(SELECT count(*) FROM {n}) AS n_rows, true AS dropped" for n in sorted(schemas.TABLES)))
+def q_create_drop_tables(t):
+    """Create every table, fill it with the bound rows, count them, and drop all again."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    from riskpanel.streaming.streams import path_exists
+    base = scratch_path(t.spark, "all-tables")
+    paths = Fs.create_tables(t.spark, base)
+    counts = []
+    for n in sorted(paths):
+        getattr(t, n).select(*schemas.TABLES[n].fieldNames()).write.mode("append").parquet(paths[n])
+        counts.append(t.spark.read.schema(schemas.TABLES[n]).parquet(paths[n]).agg(
+            F.lit(n).alias("table_name"), F.lit(len(schemas.TABLES[n].fields)).alias("n_columns"),
+            F.count(F.lit(1)).alias("n_rows")))
+    from riskpanel.session import checkpoint_dir
+    checkpoint_dir(t.spark)
+    out = reduce(DataFrame.unionByName, counts).checkpoint(eager=True)
+    Fs.drop_tables(t.spark, base)
+    gone = [n for n in paths if not path_exists(t.spark, paths[n])]
+    return out.withColumn("dropped", F.col("table_name").isin(gone))

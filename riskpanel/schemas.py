@@ -115,6 +115,9 @@ DECLARED = {
 CREATE_RECORDS = {
     "districts": [("district_code", S, True, None), ("district_name", S, True, None),
                   ("region", S, False, None), ("population", I, False, None)],
+    "health_facilities": [("facility_code", S, True, None), ("facility_name", S, True, None),
+                          ("district_code", S, True, None), ("facility_type", S, False, None),
+                          ("latitude", D, False, None), ("longitude", D, False, None)],
     "cases": [("case_id", S, True, None), ("district_code", S, True, None),
               ("facility_code", S, False, None), ("case_date", DT, True, None),
               ("age_group", S, False, None), ("gender", S, False, None),

@@ -3,8 +3,8 @@
 CSV and JSON are read PERMISSIVE with a ``_corrupt_record`` column; rows that
 do not parse or miss a required field go to a rejects frame instead of failing
 the job. Writes go to folders under a base path; updates are written as a new
-snapshot folder and only then become the current one (readers never see a
-half-written table, and no path is overwritten while it is read).
+snapshot folder, which readers take as current once its write has finished
+(they never see a half-written table, and no path is overwritten while read).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel import schemas
+from riskpanel.functions.scalar import ntz_lit
 
 S, I, D, DT, B = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.BooleanType()
 
@@ -48,21 +49,39 @@ def _required(table: str) -> list[str]:
 
 def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
     """CSV with header and the table's fixed layout.
-    Returns (good rows, rejected rows with the raw line).
-
-    Whether a row is malformed is only known once every column is parsed, and
-    a consumer that selects few columns (a count) would prune the parse; so
-    the parsed file is saved once (reliable checkpoint in the shared folder,
-    as Spark advises for corrupt-record columns) and both frames read that."""
-    from riskpanel.session import checkpoint_dir
-    checkpoint_dir(spark)
-    raw = (spark.read.schema(csv_schema(table)).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path)).checkpoint(eager=True)
-    bad = F.col(CORRUPT).isNotNull()
-    for c in _required(table):
-        bad = bad | F.col(c).isNull()
-    good = raw.filter(~bad).drop(CORRUPT)
-    rejects = raw.filter(bad)
+    Returns (good rows, rejected rows with the raw record in _corrupt_record).
+
+    Each record is read as one line of text and split by ``from_csv`` into text
+    fields plus two spare ones; every field is then tested with ``try_cast``.
+    A record with a field too few or too many, a value its column cannot hold,
+    or a missing required value is rejected. Both frames are plain lazy plans
+    over the file (no copy is made), and since the test is part of the filter it
+    is not pruned away when few columns are read. Records are single lines; the
+    header line is left out."""
+    layout = CSV_LAYOUTS[table]
+    names = [n for n, _ in layout]
+    fields = T.StructType([T.StructField(n, S, True) for n in names] + [T.StructField("_spare", S, True)])
+    # with a quote never closed or too many fields the last column swallows or drops text: count fields apart
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_csv("value", fields.simpleString()[len("struct<"):-1].replace(":", " "),
+                                              {"mode": "PERMISSIVE", "quote": '"'}).alias("r"))
+    is_header = F.lit(True)
+    for n in names:
+        is_header = is_header & (F.lower(F.trim(F.col("r")[n])) == n)
+    parsed = parsed.filter(~F.coalesce(is_header, F.lit(False)))
+    n_fields = F.size(F.split(F.regexp_replace("value", '"([^"]|"")*"', "q"), ",", -1))
+    bad = n_fields != len(names)
+    typed = {}
+    for n, t in layout:
+        raw = F.col("r")[n]
+        text = F.when(raw != "", raw)
+        typed[n] = text if t == S else F.trim(text).try_cast(t)
+        bad = bad | (text.isNotNull() & typed[n].isNull())
+    for n in _required(table):
+        bad = bad | typed[n].isNull()
+    cols = [typed[n].alias(n) for n in names]
+    good = parsed.filter(~bad).select(*cols)
+    rejects = parsed.filter(bad).select(*cols, F.col("value").alias(CORRUPT))
     return good, rejects
 
 
@@ -105,12 +124,19 @@ def merge_climate_files(rain: DataFrame, temp: DataFrame, hum: DataFrame,
 
 
 def read_districts_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoJSON FeatureCollection -> one row a district, geometry kept as JSON text."""
-    doc = spark.read.option("multiLine", True).json(path)
-    f = doc.select(F.explode("features").alias("f"))
-    props = f.select("f.properties.*", F.to_json("f.geometry").alias("geometry"))
-    cols = [c for c in ("district_code", "district_name", "region", "population") if c in props.columns]
-    return props.select(*[F.col(c).cast("int") if c == "population" else F.col(c) for c in cols], "geometry")
+    """A GeoJSON FeatureCollection -> one row a district, geometry kept as JSON text.
+
+    The schema is fixed, so the columns do not vary with the file and no
+    inference job runs: a missing property is null. A FeatureCollection is one
+    JSON document, so one task parses a file; many files are parsed in parallel."""
+    props = T.StructType([T.StructField("district_code", S), T.StructField("district_name", S),
+                          T.StructField("region", S), T.StructField("population", T.LongType())])
+    feature = T.StructType([T.StructField("properties", props), T.StructField("geometry", S)])
+    doc = spark.read.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])) \
+        .option("multiLine", True).json(path)
+    return doc.select(F.explode("features").alias("f")).select(
+        "f.properties.district_code", "f.properties.district_name", "f.properties.region",
+        F.col("f.properties.population").cast("int").alias("population"), "f.geometry")
 
 
 def scan_table(spark: SparkSession, path: str, district_code: str | None = None) -> DataFrame:
@@ -144,23 +170,69 @@ def api_shape(df: DataFrame, table: str) -> DataFrame:
     return df.select(*schemas.response_columns(table))
 
 
-def check_constraints(new: DataFrame, existing: DataFrame | None, table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``new`` that keep NOT NULL and unique-key rules, and the rest.
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """Decimal columns rounded half up to their declared scale, as the declared
+    DECIMAL columns store them (74.996 becomes 75.00)."""
+    out = {}
+    for c, spec in schemas.DECLARED[table].items():
+        if spec[0] == "decimal" and c in df.columns:
+            v, unit = F.abs(F.col(c)), F.lit(10.0 ** spec[2])
+            out[c] = F.signum(c) * F.floor(v * unit + F.lit(0.500001)) / unit
+    return df.withColumns(out) if out else df
+
+
+def fits_declared(df: DataFrame, table: str):
+    """Column: every value of the row fits its declared width or precision."""
+    ok = F.lit(True)
+    for c, spec in schemas.DECLARED[table].items():
+        if c not in df.columns:
+            continue
+        if spec[0] == "string":
+            ok = ok & F.coalesce(F.length(c) <= spec[1], F.lit(True))
+        else:
+            ok = ok & (F.col(c).isNull() | (F.abs(F.col(c)) < F.lit(10.0 ** (spec[1] - spec[2]))))
+    return ok
+
+
+def known_parents(df: DataFrame, table: str, parents: dict) -> tuple[DataFrame, list[str]]:
+    """``df`` with one flag column per declared foreign key whose parent table is
+    given: true where the key is null or the parent has it. Parents contribute
+    their distinct keys, so no row is multiplied."""
+    flags = []
+    for i, (child, col, parent, pcol) in enumerate(schemas.FOREIGN_KEYS):
+        if child != table or parent not in parents:
+            continue
+        keys = parents[parent].select(F.col(pcol).alias(f"_p{i}")).distinct()
+        df = df.join(keys, F.col(col) == F.col(f"_p{i}"), "left") \
+            .withColumn(f"_known{i}", F.col(col).isNull() | F.col(f"_p{i}").isNotNull()).drop(f"_p{i}")
+        flags.append(f"_known{i}")
+    return df, flags
+
+
+def check_constraints(new: DataFrame, existing: DataFrame | None, table: str,
+                      parents: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``new`` that keep the table's rules, and the rest: NOT NULL columns,
+    declared widths, foreign keys into the given ``parents`` (table name ->
+    frame) and the unique key.
 
     Key duplicates inside the batch keep the lowest id: the first id per key is
     an aggregate (combined map-side, so many copies of one key are one row per
     task) joined back null-safely; keys already present in ``existing`` are
     rejected by anti-join (no collect)."""
     keys = schemas.KEYS[table]
+    columns = new.columns
     ok = reduce(lambda a, c: a & F.col(c).isNotNull(), schemas.REQUIRED[table], F.lit(True))
-    firsts = new.groupBy(*keys).agg(F.min("id").alias("_first_id")).select(
+    ok = ok & fits_declared(new, table)
+    new, flags = known_parents(new, table, parents or {})
+    ok = reduce(lambda a, f: a & F.col(f), flags, ok)
+    new = new.withColumn("_ok", ok)
+    firsts = new.filter("_ok").groupBy(*keys).agg(F.min("id").alias("_first_id")).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_first_id")
     conds = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
     marked = new.join(firsts, reduce(lambda a, b: a & b, conds), "left").select(
-        *new.columns, (F.col("id") == F.col("_first_id")).alias("_first"))
-    keep = ok & F.coalesce(F.col("_first"), F.lit(False))
-    good = marked.filter(keep).drop("_first")
-    bad = marked.filter(~keep).drop("_first")
+        *columns, (F.col("_ok") & F.coalesce(F.col("id") == F.col("_first_id"), F.lit(False))).alias("_keep"))
+    good = marked.filter("_keep").drop("_keep")
+    bad = marked.filter("NOT _keep").drop("_keep")
     if existing is not None:
         clash = good.join(existing.select(*keys), keys, "left_semi")
         good = good.join(existing.select(*keys), keys, "left_anti")
@@ -168,28 +240,30 @@ def check_constraints(new: DataFrame, existing: DataFrame | None, table: str) ->
     return good, bad
 
 
-def append_rows(new: DataFrame, path: str, table: str, existing: DataFrame | None = None) -> DataFrame:
-    """Constraint-checked append; returns the rejected rows."""
-    good, bad = check_constraints(new, existing, table)
-    good.write.mode("append").parquet(path)
+def append_rows(new: DataFrame, path: str, table: str, existing: DataFrame | None = None,
+                parents: dict | None = None) -> DataFrame:
+    """Constraint-checked append, decimals stored at their declared scale;
+    returns the rejected rows."""
+    good, bad = check_constraints(new, existing, table, parents)
+    conform(good, table).write.mode("append").parquet(path)
     return bad
 
 
-def import_csv(spark: SparkSession, csv_path: str, table_path: str, table: str,
-               existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def import_csv(spark: SparkSession, csv_path: str, table_path: str, table: str, as_of_ts,
+               existing: DataFrame | None = None, parents: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """CSV with header -> checked append into the table; new ids are
     unique and above the existing maximum (not contiguous: numbering is done
     per task, with no single-partition window). Returns (parse rejects,
     constraint rejects)."""
     good, rejects = read_csv(spark, csv_path, table)
     top = 0 if existing is None else (existing.agg(F.max("id")).first()[0] or 0)
-    stamp = F.current_timestamp().cast("timestamp_ntz")
+    stamp = ntz_lit(as_of_ts)
     # numbering is per file import; the import is one bounded file batch
     rows = good.withColumn("id", (F.lit(int(top)) + F.monotonically_increasing_id() + 1).cast("long"))
     full = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                          for f in schemas.TABLES[table].fields if f.name not in ("created_at", "updated_at")],
                        stamp.alias("created_at"), stamp.alias("updated_at"))
-    bad = append_rows(full, table_path, table, existing)
+    bad = append_rows(full, table_path, table, existing, parents)
     return rejects, bad
 
 
@@ -201,6 +275,37 @@ def write_snapshot(df: DataFrame, base: str, version: int) -> str:
     return path
 
 
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """The latest finished snapshot: the highest ``v=<n>`` whose write left its
+    ``_SUCCESS`` mark (the committer writes it last, so a version becomes current
+    at once and a broken write never does)."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(base)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return None
+    found = [s.getPath() for s in fs.listStatus(top)]
+    done = [int(p.getName()[2:]) for p in found if p.getName().startswith("v=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(done, default=None)
+
+
+def read_snapshot(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The current version of a table; empty before its first snapshot."""
+    v = current_version(spark, base)
+    if v is None:
+        return spark.createDataFrame([], schemas.TABLES[table])
+    return spark.read.schema(schemas.TABLES[table]).parquet(f"{base}/v={v:06d}")
+
+
+def replace_table(df: DataFrame, base: str, table: str) -> int:
+    """Store ``df`` as the next version of a table, decimals at their declared
+    scale; returns the version."""
+    v = (current_version(df.sparkSession, base) or 0) + 1
+    write_snapshot(conform(df, table).select(*[f.name for f in schemas.TABLES[table].fields]), base, v)
+    return v
+
+
 def create_tables(spark: SparkSession, base: str, tables=None) -> dict:
     """An empty parquet table with the schema of every engine table."""
     out = {}
