@@ -62,8 +62,8 @@ def q_recent_count(t):
 
 
 @register("recent_climate_avg", "A6", f"""
-SELECT district_code, avg(rainfall_mm) AS avg_rainfall_30d,
-       avg(temperature_celsius) AS avg_temperature_30d, avg(humidity_percent) AS avg_humidity_30d
+SELECT district_code, coalesce(avg(rainfall_mm), 0.0) AS avg_rainfall_30d,
+       coalesce(avg(temperature_celsius), 0.0) AS avg_temperature_30d, coalesce(avg(humidity_percent), 0.0) AS avg_humidity_30d
 FROM climate_data WHERE date >= DATE '{R30}' GROUP BY district_code""",
           ["avg_rainfall_30d", "avg_temperature_30d", "avg_humidity_30d"])
 def q_recent_climate_avg(t):
@@ -258,15 +258,20 @@ def q_alert_statistics(t):
 
 
 DASH_SQL = """
-WITH top_ AS (SELECT risk_score FROM risk_predictions ORDER BY prediction_date DESC, id DESC LIMIT 10)
+WITH top_ AS (SELECT *, CAST(row_number() OVER (ORDER BY prediction_date DESC, id DESC) AS INTEGER) AS rn_
+              FROM risk_predictions QUALIFY rn_ <= 10),
+cards_ AS (
 SELECT 'total_districts' AS metric, CAST(count(*) AS DOUBLE) AS value FROM districts
 UNION ALL SELECT 'total_cases', CAST(count(*) AS DOUBLE) FROM cases
 UNION ALL SELECT 'active_alerts', CAST(count_if(status = 'active') AS DOUBLE) FROM alerts
 UNION ALL SELECT 'avg_risk_score', coalesce(avg(CASE WHEN risk_score <> 0 THEN risk_score END), 0.0)
-FROM top_"""
+FROM top_)
+SELECT metric, CAST(NULL AS INTEGER) AS rank, CAST(NULL AS VARCHAR) AS label, value FROM cards_
+UNION ALL SELECT 'recent_prediction', rn_, concat_ws('|', district_code, CAST(prediction_horizon_weeks AS VARCHAR),
+       model_name, CAST(prediction_date AS VARCHAR)), risk_score FROM top_"""
 
 
 @register("dashboard_summary", "A22", DASH_SQL, ["value"])
 def q_dashboard_summary(t):
-    """Dashboard cards: districts, cases, active alerts, mean recent risk."""
+    """Dashboard cards (districts, cases, active alerts, mean recent risk) and the ten latest predictions."""
     return R.dashboard_summary(t.districts, t.cases, t.alerts, t.predictions)

@@ -50,7 +50,8 @@ daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM
            WHERE case_date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL),
 s_ AS (SELECT district_code, date, coalesce(cases_count, 0) AS y FROM cal_ LEFT JOIN daily_ USING (district_code, date)),
 j_ AS (SELECT s_.*, k.rainfall_mm FROM s_ LEFT JOIN
-       (SELECT district_code, date, rainfall_mm FROM climate_data WHERE rainfall_mm IS NOT NULL) k
+       (SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm FROM climate_data
+        WHERE rainfall_mm IS NOT NULL AND date BETWEEN DATE '{Y1}' AND DATE '{CASES_AS_OF}' GROUP BY ALL) k
        USING (district_code, date))
 SELECT district_code, date, y,
        coalesce(rainfall_mm, avg(rainfall_mm) OVER (PARTITION BY district_code)) AS rainfall_mm FROM j_""",
@@ -60,7 +61,8 @@ def q_regressor_left_join(t):
     cal = J.calendar_cross(t.districts, Y1, CASES_AS_OF)
     s = J.calendar_left_join(cal, A.daily_cases(t.cases, Y1, CASES_AS_OF)) \
         .select("district_code", "date", F.coalesce("cases_count", F.lit(0)).alias("y"))
-    return J.regressor_left_join(s, t.climate, "rainfall_mm")
+    climate = P.filter_date_range(t.climate, "date", Y1, CASES_AS_OF)
+    return J.regressor_left_join(s, climate, "rainfall_mm")
 
 
 @register("suppress_existing", "J4", f"""

@@ -20,7 +20,8 @@ def _sql_counters(r: Rule, i: int) -> str:
     if r.kind == "not_null":
         return f"count(*) AS e{i}, count_if({c} IS NULL) AS u{i}"
     if r.kind == "equals":
-        return f"count({c}) AS e{i}, count_if({c} <> district_code) AS u{i}"
+        wanted = _lit(r.args[0]) if r.args else "district_code"
+        return f"count({c}) AS e{i}, count_if({c} <> {wanted}) AS u{i}"
     if r.kind == "in_set":
         vals = ", ".join(_lit(v) for v in r.args)
         return f"count({c}) AS e{i}, count_if({c} IS NOT NULL AND {c} NOT IN ({vals})) AS u{i}"
@@ -157,8 +158,10 @@ def q_quality_summary(t):
 def _gate_sql(src: str, stage: str) -> str:
     cols = C.GATE_COLUMNS
     comps = [f"avg(CAST({c} IS NOT NULL AS DOUBLE))" for c in cols]
+    days = "count(*)" if stage == "post_fill" else (
+        "count(CASE WHEN coalesce(CAST(cases_count AS DOUBLE), rainfall_mm, temperature_celsius) IS NOT NULL THEN 1 END)")
     return f"""
-WITH g_ AS (SELECT district_code, count(*) AS n_days, least({', '.join(comps)}) AS min_completeness
+WITH g_ AS (SELECT district_code, {days} AS n_days, least({', '.join(comps)}) AS min_completeness
             FROM {src} GROUP BY 1)
 SELECT district_code, n_days, min_completeness, '{stage}' AS stage,
   CASE WHEN n_days < {C.MIN_DAYS} THEN 'insufficient_days'
@@ -257,3 +260,71 @@ def _fk_sql():
 def q_fk_orphans(t):
     """Orphan rows of every declared foreign key."""
     return Q.foreign_key_report(_tables(t))
+
+
+_suite_query("dq_equals_value", "D5", "risk_predictions",
+             [Rule("equals", "model_name", ("Ensemble",)), Rule("equals", "prediction_horizon_weeks", (8,), 0.2)],
+             "risk_predictions")
+_suite_query("dq_unique_two", "D3", "cases", [Rule("unique", "case_id"), Rule("unique", "facility_code")], "cases")
+
+
+def _schema_rules_sql(rows):
+    return "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{name}' AS table_name, district_code, '{r.name}' AS rule, "
+        f"{_lit(r.column) if r.column else 'CAST(NULL AS VARCHAR)'} AS column_name, {str(ok).lower()} AS success FROM {name}"
+        for name, r, ok in rows)
+
+
+SCHEMA_RULES = [("cases", Rule("columns", None, tuple(C.CASES_COLUMNS)), False),
+                ("cases", Rule("type", "case_date", ("date",)), False),
+                ("cases", Rule("type", "lab_confirmed", ("boolean",)), True),
+                ("cases", Rule("type", "missing", ("date",)), False)]
+
+
+@register("dq_columns_and_types", "D2", _schema_rules_sql(SCHEMA_RULES))
+def q_dq_columns_and_types(t):
+    """The column-list and type rules on a case table with one column dropped and
+    the case date as text: what must fail fails (D2, D6)."""
+    from pyspark.sql import functions as F
+    wrong = t.cases.drop("gender").withColumn("case_date", F.col("case_date").cast("string"))
+    return Q.evaluate_suite(wrong, "cases", [r for _, r, _ in SCHEMA_RULES]).select(
+        "table_name", "district_code", "rule", "column_name", "success")
+
+
+@register("model_features", "F12", """
+SELECT district_code, count(*) AS n_days, count(cases_roll_7) AS n_cases_roll_7, 32 AS n_features FROM ("""
+          + panel_sql() + """) GROUP BY 1""")
+def q_model_features(t):
+    """The feature columns of the panel (all but the keys' date and the target), used to
+    select the training frame: rows and non-null values per district."""
+    from pyspark.sql import functions as F
+    from riskpanel.operators.predicates import model_features
+    panel = training_panel(t.cases, t.climate, t.water, t.districts, CASES_AS_OF)
+    feats = model_features(panel)
+    return panel.select(*feats).groupBy("district_code").agg(
+        F.count(F.lit(1)).alias("n_days"), F.count("cases_roll_7").alias("n_cases_roll_7"),
+        F.lit(len(feats)).alias("n_features"))
+
+
+STATS_SQL = f"""
+WITH r_ AS ({ALL_SUITES_SQL}),
+s_ AS (
+SELECT 'cases' AS table_name, district_code, min(case_date) AS start_date, max(case_date) AS end_date,
+       count(*) AS total_records, count_if(lab_confirmed) AS lab_confirmed_cases, CAST(NULL AS DOUBLE) AS avg_rainfall,
+       CAST(NULL AS DOUBLE) AS avg_temperature, CAST(NULL AS DOUBLE) AS avg_humidity, CAST(NULL AS DOUBLE) AS avg_risk_score,
+       CAST(NULL AS VARCHAR) AS model_distribution FROM cases GROUP BY district_code
+UNION ALL SELECT 'climate_data', district_code, min(date), max(date), count(*), NULL, avg(rainfall_mm),
+       avg(temperature_celsius), avg(humidity_percent), NULL, NULL FROM climate_data GROUP BY district_code
+UNION ALL SELECT 'risk_predictions', p.district_code, min(prediction_date), max(prediction_date), count(*), NULL, NULL, NULL, NULL,
+       avg(risk_score), any_value(m.d) FROM risk_predictions p LEFT JOIN (
+         SELECT district_code, '{{' || string_agg('"' || model_name || '":' || n, ',' ORDER BY model_name) || '}}' AS d
+         FROM (SELECT district_code, model_name, count(*) AS n FROM risk_predictions WHERE model_name IS NOT NULL GROUP BY ALL)
+         GROUP BY district_code) m ON m.district_code = p.district_code GROUP BY p.district_code)
+SELECT r_.*, s_.* EXCLUDE (table_name, district_code) FROM r_ LEFT JOIN s_ USING (table_name, district_code)"""
+
+
+@register("quality_report", "D13", STATS_SQL, PCT + ["avg_rainfall", "avg_temperature", "avg_humidity", "avg_risk_score"])
+def q_quality_report(t):
+    """The report's rule rows with each suite's statistics beside them."""
+    rules, _, _ = Q.quality_report(t.districts, t.cases, t.climate, t.predictions)
+    return rules

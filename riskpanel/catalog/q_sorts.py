@@ -43,21 +43,37 @@ def q_top_recent_risk(t):
     return P.top_recent_risk(t.predictions, EVENTS_AS_OF)
 
 
+def _placed(ordered):
+    """An ordered frame's rows with their 1-based place, as a reader of its
+    output meets them: partitions of a sorted frame are in order, so a row's
+    place is its place in its partition plus the sizes of those before."""
+    from pyspark.sql import Window as W
+    parts = ordered.withColumn("_m", F.monotonically_increasing_id()) \
+        .withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") - F.shiftleft("_p", 33))
+    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    starts = sizes.select("_p", F.coalesce(F.sum("_n").over(
+        W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_s"))
+    return parts.join(F.broadcast(starts), "_p").withColumn("position", F.col("_s") + F.col("_i") + 1) \
+        .drop("_m", "_p", "_i", "_s")
+
+
 @register("active_alerts", "L5", """
 SELECT id, alert_id, district_code, alert_type, severity, coalesce(risk_score, 0.0) AS risk_score,
-       prediction_horizon_weeks, triggered_at, status FROM alerts WHERE status = 'active'""")
+       prediction_horizon_weeks, triggered_at, status,
+       row_number() OVER (ORDER BY triggered_at DESC, id) AS position FROM alerts WHERE status = 'active'""")
 def q_active_alerts(t):
-    """Active alerts, newest first."""
-    return P.active_alerts(t.alerts)
+    """Active alerts, newest first, each with the place the listing gives it."""
+    return _placed(P.active_alerts(t.alerts))
 
 
 @register("district_alerts", "L6", f"""
 SELECT id, alert_id, alert_type, severity, coalesce(risk_score, 0.0) AS risk_score,
-       prediction_horizon_weeks, triggered_at, acknowledged_at, acknowledged_by, status
+       prediction_horizon_weeks, triggered_at, acknowledged_at, acknowledged_by, status,
+       row_number() OVER (ORDER BY triggered_at DESC, id) AS position
 FROM alerts WHERE district_code = '{DISTRICT}' AND triggered_at >= TIMESTAMP '{minus(EVENTS_AS_OF_TS, 30)}'""")
 def q_district_alerts(t):
-    """One district's alerts of the last 30 days, newest first."""
-    return P.district_alerts(t.alerts, DISTRICT, EVENTS_AS_OF_TS, 30)
+    """One district's alerts of the last 30 days, newest first, each with its place."""
+    return _placed(P.district_alerts(t.alerts, DISTRICT, EVENTS_AS_OF_TS, 30))
 
 
 @register("ordered_series", "L7", f"""
@@ -65,9 +81,10 @@ WITH cal_ AS (SELECT district_code, CAST(unnest(generate_series(TIMESTAMP '{minu
               TIMESTAMP '{CASES_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date FROM districts),
 daily_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
            WHERE case_date BETWEEN DATE '{minus(CASES_AS_OF, 90)}' AND DATE '{CASES_AS_OF}' GROUP BY ALL)
-SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count
-FROM cal_ c LEFT JOIN daily_ d USING (district_code, date) ORDER BY district_code, date""")
+SELECT c.district_code, c.date, coalesce(d.cases_count, 0) AS cases_count,
+       row_number() OVER (ORDER BY c.district_code, c.date) AS position
+FROM cal_ c LEFT JOIN daily_ d USING (district_code, date)""")
 def q_ordered_series(t):
-    """Daily case series of every district, sorted only at the sink."""
+    """Daily case series of every district, sorted only at the sink; the place of each row in it."""
     ts = time_series(t.cases, t.climate, t.districts, CASES_AS_OF, 90)
-    return P.ordered_series(ts.select("district_code", "date", "cases_count"))
+    return _placed(P.ordered_series(ts.select("district_code", "date", "cases_count")))

@@ -124,7 +124,11 @@ def q_rolling_mean_strict(t):
 @register("mean_fill", "W5", f"""
 WITH cal_ AS ({calendar(minus(CASES_AS_OF, 365), CASES_AS_OF)}),
 j_ AS (SELECT cal_.district_code, cal_.date, k.rainfall_mm, k.temperature_celsius, k.humidity_percent
-       FROM cal_ LEFT JOIN climate_data k USING (district_code, date))
+       FROM cal_ LEFT JOIN (
+         SELECT district_code, date, avg(rainfall_mm) AS rainfall_mm, avg(temperature_celsius) AS temperature_celsius,
+                avg(humidity_percent) AS humidity_percent FROM climate_data
+         WHERE date BETWEEN DATE '{minus(CASES_AS_OF, 365)}' AND DATE '{CASES_AS_OF}' GROUP BY ALL) k
+       USING (district_code, date))
 SELECT district_code, date,
   coalesce(rainfall_mm, avg(rainfall_mm) OVER (PARTITION BY district_code)) AS rainfall_mm,
   coalesce(temperature_celsius, avg(temperature_celsius) OVER (PARTITION BY district_code)) AS temperature_celsius,
@@ -133,9 +137,10 @@ FROM j_""", ["rainfall_mm", "temperature_celsius", "humidity_percent"])
 def q_mean_fill(t):
     """Calendar climate with gaps filled by the district's mean (all-null stays null)."""
     from riskpanel.operators.joins import calendar_cross, calendar_left_join
-    cal = calendar_cross(t.districts, minus(CASES_AS_OF, 365), CASES_AS_OF)
-    j = calendar_left_join(cal, t.climate.select("district_code", "date", "rainfall_mm",
-                                                 "temperature_celsius", "humidity_percent"))
+    from riskpanel.plans.panel import CLIMATE_MEASURES, one_per_day
+    start = minus(CASES_AS_OF, 365)
+    cal = calendar_cross(t.districts, start, CASES_AS_OF)
+    j = calendar_left_join(cal, one_per_day(t.climate, CLIMATE_MEASURES, start, CASES_AS_OF))
     return Wn.mean_fill(j, ["rainfall_mm", "temperature_celsius", "humidity_percent"])
 
 

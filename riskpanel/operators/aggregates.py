@@ -62,9 +62,9 @@ def recent_climate_avg(climate: DataFrame, as_of, days: int = C.RECENT_DAYS,
                        key="district_code") -> DataFrame:
     """Mean rainfall/temperature/humidity over the last ``days`` days; null -> 0."""
     c = trailing_days(climate, "date", as_of, days)
-    return (c.groupBy(key).agg(F.avg("rainfall_mm").alias("avg_rainfall_30d"),
-                               F.avg("temperature_celsius").alias("avg_temperature_30d"),
-                               F.avg("humidity_percent").alias("avg_humidity_30d")))
+    return c.groupBy(key).agg(*[F.coalesce(F.avg(m), F.lit(0.0)).alias(a) for m, a in (
+        ("rainfall_mm", "avg_rainfall_30d"), ("temperature_celsius", "avg_temperature_30d"),
+        ("humidity_percent", "avg_humidity_30d"))])
 
 
 def cases_by_region(cases: DataFrame, districts: DataFrame, as_of, days: int = C.RECENT_DAYS) -> DataFrame:

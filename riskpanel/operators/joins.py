@@ -1,5 +1,5 @@
-"""Joins. Dimension sides are broadcast only behind a row-count check;
-otherwise the join is left to the planner (sort-merge, AQE may switch)."""
+"""Joins. No side is forced: the planner broadcasts a side only within its size
+threshold, and AQE re-plans on the sizes found at run time."""
 
 from __future__ import annotations
 
@@ -8,22 +8,10 @@ from pyspark.sql import functions as F
 
 from riskpanel.operators.predicates import trailing_days
 
-# A side is broadcast only when it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the row bound (a job that stops at
-    max_rows + 1 rows); beyond it the frame is returned unhinted so the planner
-    shuffles it instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def cases_with_district(cases: DataFrame, districts: DataFrame, as_of=None, days=None) -> DataFrame:
     """Inner equi-join of cases to their district (optionally trailing window)."""
     c = cases if as_of is None else trailing_days(cases, "case_date", as_of, days)
-    d = bounded_broadcast(districts.select("district_code", "district_name", "region", "population"))
+    d = districts.select("district_code", "district_name", "region", "population")
     return c.join(d, "district_code", "inner")
 
 
@@ -45,9 +33,12 @@ def calendar_left_join(calendar: DataFrame, *sides: DataFrame,
 
 def regressor_left_join(series: DataFrame, regressor: DataFrame, column: str,
                         keys=("district_code", "date")) -> DataFrame:
-    """series left-join regressor, then fill gaps with the district's mean."""
+    """series left-join regressor, then fill gaps with the district's mean. The
+    regressor is reduced to one row per key (the mean of repeated readings), so
+    it never multiplies rows."""
     from pyspark.sql import Window as W
-    j = series.join(regressor.select(*keys, column).dropna(subset=[column]), list(keys), "left")
+    one = regressor.dropna(subset=[column]).groupBy(*keys).agg(F.avg(column).alias(column))
+    j = series.join(one, list(keys), "left")
     w = W.partitionBy(keys[0])
     return j.withColumn(column, F.coalesce(F.col(column), F.avg(column).over(w)))
 

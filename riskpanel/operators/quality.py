@@ -104,7 +104,8 @@ def _counters(rule: Rule, i: int, key: str) -> list[str]:
     if rule.kind == "not_null":
         return [f"count(1) AS e{i}", f"count_if({c} IS NULL) AS u{i}"]
     if rule.kind == "equals":
-        return [f"count({c}) AS e{i}", f"count_if({c} <> {_q(key)}) AS u{i}"]
+        wanted = _sql_lit(rule.args[0]) if rule.args else _q(key)
+        return [f"count({c}) AS e{i}", f"count_if({c} <> {wanted}) AS u{i}"]
     if rule.kind == "in_set":
         vals = ", ".join(_sql_lit(v) for v in rule.args)
         return [f"count({c}) AS e{i}", f"count_if({c} IS NOT NULL AND NOT {c} IN ({vals})) AS u{i}"]
@@ -139,18 +140,26 @@ def evaluate_suite(df: DataFrame, table: str, rules=None, key: str = "district_c
     data_rules = [(i, r) for i, r in enumerate(rules) if r.kind not in ("columns", "type", "unique")]
     uniq = [(i, r) for i, r in enumerate(rules) if r.kind == "unique"]
     counters = [x for i, r in data_rules for x in _counters(r, i, key)]
-    if uniq:
+    if len(uniq) == 1:
         ucol = uniq[0][1].column
         uq = _q(ucol)
         lvl1 = df.groupBy(key, ucol).agg(F.expr("count(1) AS _n"), *[F.expr(x) for x in counters])
-        outer = [f"sum(e{i}) AS e{i}" if not r.kind == "row_count" else f"sum(e{i}) AS e{i}" for i, r in data_rules]
+        outer = [f"sum(e{i}) AS e{i}" for i, _ in data_rules]
         outer += [f"CAST(NULL AS BIGINT) AS u{i}" if r.kind == "row_count" else f"sum(u{i}) AS u{i}"
                   for i, r in data_rules]
-        outer += [f"coalesce(sum(CASE WHEN {uq} IS NOT NULL THEN _n END), 0) AS e_uniq",
-                  f"coalesce(sum(CASE WHEN {uq} IS NOT NULL AND _n > 1 THEN _n END), 0) AS u_uniq"]
+        i = uniq[0][0]
+        outer += [f"coalesce(sum(CASE WHEN {uq} IS NOT NULL THEN _n END), 0) AS e{i}",
+                  f"coalesce(sum(CASE WHEN {uq} IS NOT NULL AND _n > 1 THEN _n END), 0) AS u{i}"]
         agg = lvl1.groupBy(key).agg(*[F.expr(x) for x in outer])
     else:
         agg = df.groupBy(key).agg(*[F.expr(x) for x in counters]) if counters else df.select(key).distinct()
+        for i, r in uniq:  # several unique columns: each has its own grouping by value
+            per_value = df.groupBy(key, r.column).agg(F.expr("count(1) AS _n"))
+            c = _q(r.column)
+            one = per_value.groupBy(F.col(key).alias(f"_k{i}")).agg(
+                F.expr(f"coalesce(sum(CASE WHEN {c} IS NOT NULL THEN _n END), 0) AS e{i}"),
+                F.expr(f"coalesce(sum(CASE WHEN {c} IS NOT NULL AND _n > 1 THEN _n END), 0) AS u{i}"))
+            agg = agg.join(one, F.col(key).eqNullSafe(F.col(f"_k{i}")), "left").drop(f"_k{i}")
 
     cells = []
     for i, r in enumerate(rules):
@@ -159,7 +168,7 @@ def evaluate_suite(df: DataFrame, table: str, rules=None, key: str = "district_c
             ok = columns_match(df, r.args) if r.kind == "columns" else type_matches(df, r.column, r.args[0])
             cells.append(f"{i}, {name}, {col}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), {str(ok).lower()}")
         elif r.kind == "unique":
-            cells.append(f"{i}, {name}, {col}, CAST(e_uniq AS BIGINT), CAST(u_uniq AS BIGINT), u_uniq = 0")
+            cells.append(f"{i}, {name}, {col}, CAST(e{i} AS BIGINT), CAST(u{i} AS BIGINT), u{i} = 0")
         else:
             e, u = f"CAST(e{i} AS BIGINT)", f"CAST(u{i} AS BIGINT)"
             succ = _success(r).replace("evaluated", e).replace("unexpected", u)
@@ -200,6 +209,11 @@ def validate_districts(districts: DataFrame, tables: dict, key: str = "district_
     """One row per district: suites run, suites passed, overall success
     (all passed; a district with no data at all is valid, as in the application)."""
     rows = reduce(DataFrame.unionByName, [evaluate_suite(df, name) for name, df in tables.items()])
+    return district_results(districts, rows, key)
+
+
+def district_results(districts: DataFrame, rows: DataFrame, key: str = "district_code") -> DataFrame:
+    """D12 from rule rows that are already there."""
     per_table = rows.groupBy(key, "table_name").agg(F.bool_and("success").alias("ok"))
     per_district = per_table.groupBy(key).agg(F.count(F.lit(1)).alias("tables_checked"),
                                               F.count_if("ok").alias("tables_passed"))
@@ -220,11 +234,17 @@ def panel_gate(panel: DataFrame, min_days: int = C.MIN_DAYS, min_completeness: f
                required=tuple(C.GATE_COLUMNS), key: str = "district_code", stage: str = "post_fill") -> DataFrame:
     """Per district: enough days, required columns present, completeness.
 
-    ``stage`` only labels the input: pass the filled panel ("post_fill", what the
-    application checks) or the calendar before filling ("pre_fill")."""
+    Pass the filled panel as "post_fill" (what the application checks: every day
+    counts) or the calendar before filling as "pre_fill": there a day counts
+    only if one of the required measurements was observed on it."""
     missing = [c for c in required if c not in panel.columns]
     present = [c for c in required if c in panel.columns]
-    aggs = [F.count(F.lit(1)).alias("n_days")]
+    measured = [c for c in present if c not in (key, "date")]
+    if stage == "pre_fill" and measured:
+        n_days = F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in measured]))
+    else:
+        n_days = F.count(F.lit(1))
+    aggs = [n_days.alias("n_days")]
     aggs += [F.avg(F.col(c).isNotNull().cast("double")).alias(f"_c{i}") for i, c in enumerate(present)]
     g = panel.groupBy(key).agg(*aggs)
     comp = F.least(*[F.col(f"_c{i}") for i in range(len(present))]) if len(present) > 1 else \
@@ -285,22 +305,24 @@ def fits_type_report(tables: dict) -> DataFrame:
 def foreign_key_report(tables: dict) -> DataFrame:
     """J5 over every declared foreign key: orphan rows per (table, column).
 
-    One pass per child table: each parent contributes its distinct keys
-    (unique, so the left joins never multiply rows; small, so the planner may
-    broadcast them), and a single aggregate counts the rows whose non-null key
-    found no parent, for all of the child's foreign keys at once."""
+    One pass per child table: its rows are first counted per combination of
+    foreign-key values (combined map-side, so a hot key is one row per task),
+    the few counted rows are joined to each parent's distinct keys, and a
+    single aggregate sums the counts whose non-null key found no parent."""
     by_child: dict = {}
     for child, col, parent, pcol in schemas.FOREIGN_KEYS:
         by_child.setdefault(child, []).append((col, parent, pcol))
     parts = []
     for child, fks in by_child.items():
-        df = tables[child].select(*sorted({c for c, _, _ in fks}))
+        cols = sorted({c for c, _, _ in fks})
+        df = tables[child].groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
         counters = []
         for i, (col, parent, pcol) in enumerate(fks):
             keys = tables[parent].select(F.col(pcol).alias(f"_pk{i}")).distinct() \
                 .withColumn(f"_hit{i}", F.lit(True))
             df = df.join(keys, F.col(col) == F.col(f"_pk{i}"), "left")
-            counters.append(F.count_if(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"o{i}"))
+            missing = F.col(col).isNotNull() & F.col(f"_hit{i}").isNull()
+            counters.append(F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias(f"o{i}"))
         row = df.agg(*counters)
         parts.append(row.select(F.explode(F.array(*[
             F.struct(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
@@ -325,8 +347,47 @@ def validate_predictions(preds: DataFrame) -> DataFrame:
 
 
 def quality_report(districts: DataFrame, cases: DataFrame, climate: DataFrame, preds: DataFrame):
-    """(rule rows of all suites, one row per district, the summary row)."""
+    """(rule rows of all suites with the suites' statistics, one row per
+    district, the summary row). The tables are scanned once for the rule rows
+    and once for the statistics; rule rows are saved (districts x rules), and
+    the district rows and the summary are derived from them."""
+    from riskpanel.session import checkpoint_dir
+    checkpoint_dir(districts.sparkSession)
     tables = {"cases": cases, "climate_data": climate, "risk_predictions": preds}
-    rules = reduce(DataFrame.unionByName, [evaluate_suite(df, name) for name, df in tables.items()])
-    per_district = validate_districts(districts, tables)
+    rules = reduce(DataFrame.unionByName, [suite_with_statistics(df, name) for name, df in tables.items()])
+    rules = rules.checkpoint(eager=True)
+    per_district = district_results(districts, rules)
     return rules, per_district, quality_summary(per_district)
+
+
+STATISTICS = ["start_date", "end_date", "total_records", "lab_confirmed_cases", "avg_rainfall",
+              "avg_temperature", "avg_humidity", "avg_risk_score", "model_distribution"]
+
+
+def suite_statistics(df: DataFrame, table: str, key: str = "district_code") -> DataFrame:
+    """The statistics that go with a suite's result, one row per district: date
+    extent and row count, and the table's own means or counts (null where a
+    column belongs to another table; the model distribution as JSON text,
+    models in order)."""
+    date = {"cases": "case_date", "climate_data": "date", "risk_predictions": "prediction_date"}[table]
+    own = {"cases": {"lab_confirmed_cases": F.count_if(F.col("lab_confirmed")) if "lab_confirmed" in df.columns else None},
+           "climate_data": {"avg_rainfall": F.avg("rainfall_mm"), "avg_temperature": F.avg("temperature_celsius"),
+                            "avg_humidity": F.avg("humidity_percent")} if table == "climate_data" else {},
+           "risk_predictions": {"avg_risk_score": F.avg("risk_score")} if table == "risk_predictions" else {}}[table]
+    types = {"start_date": "date", "end_date": "date", "total_records": "long", "lab_confirmed_cases": "long",
+             "model_distribution": "string"}
+    aggs = {"start_date": F.min(date), "end_date": F.max(date), "total_records": F.count(F.lit(1)), **own}
+    out = df.groupBy(key).agg(*[v.alias(k) for k, v in aggs.items() if v is not None])
+    if table == "risk_predictions":
+        from riskpanel.operators.aggregates import model_distribution
+        m = model_distribution(df, key).filter(F.col("model_name").isNotNull()).groupBy(key).agg(
+            F.array_sort(F.collect_list(F.struct("model_name", "n_predictions"))).alias("_m"))
+        text = F.to_json(F.map_from_entries("_m"))
+        out = out.join(m, key, "left").withColumn("model_distribution", text).drop("_m")
+    return out.select(key, *[(F.col(c) if c in out.columns else F.lit(None)).cast(types.get(c, "double")).alias(c)
+                             for c in STATISTICS])
+
+
+def suite_with_statistics(df: DataFrame, table: str, rules=None, key: str = "district_code") -> DataFrame:
+    """Rule rows of a suite, each with its district's statistics beside it."""
+    return evaluate_suite(df, table, rules, key).join(suite_statistics(df, table, key), key, "left")

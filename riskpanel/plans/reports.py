@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskpanel import config as C
 from riskpanel.operators.aggregates import (avg_recent_risk, recent_climate_avg,
                                             severity_counts, status_counts)
-from riskpanel.operators.predicates import trailing_since
+from riskpanel.operators.predicates import recent_predictions, trailing_since
 
 
 def district_statistics(districts: DataFrame, cases: DataFrame, climate: DataFrame, as_of,
@@ -43,54 +43,43 @@ def district_statistics(districts: DataFrame, cases: DataFrame, climate: DataFra
           ("avg_rainfall_30d", "avg_temperature_30d", "avg_humidity_30d")])
 
 
-def _metric(df: DataFrame, metric: str, value, label=None, rank=None) -> DataFrame:
-    return df.select(F.lit(metric).alias("metric"),
-                     (F.lit(label) if not hasattr(label, "alias") else label).cast("string").alias("label"),
-                     value.cast("long").alias("value"),
-                     (F.lit(rank) if not hasattr(rank, "alias") else rank).cast("int").alias("rank"))
-
-
 def national_statistics(districts: DataFrame, cases: DataFrame, as_of, days: int = C.RECENT_DAYS,
                         top: int = C.TOP_DISTRICTS) -> DataFrame:
     """Totals, recent cases, recent cases by region and the top districts by name,
     as rows (metric, label, value, rank).
 
-    One pass over the cases: counts per district (combined map-side, saved
-    once), joined once to the districts, then one grouping-sets aggregate gives the totals,
-    the per-region and the per-name sums; a window over the per-name rows
-    (bounded by the number of district names) ranks the top ``top``. Cases
-    whose district is unknown count in the totals only, as in the application."""
+    One lazy pass over the cases: counts per district (combined map-side),
+    joined once to the districts, each district's counts exploded to the totals,
+    its region and its name, and one aggregate over those few rows; a window
+    over the per-name rows (bounded by the number of district names) ranks the
+    top ``top``. Cases whose district is unknown count in the totals only, as in
+    the application."""
     from pyspark.sql import Window as W
     since = trailing_since(as_of, days)
     per = cases.groupBy("district_code").agg(F.count(F.lit(1)).alias("n"),
                                               F.count_if(F.col("case_date") >= since).alias("recent"))
-    # one row per district: saved once (reliable checkpoint in the shared
-    # folder) so the report's branches, which prune different columns, all read
-    # it instead of each scanning the cases again
-    from riskpanel.session import checkpoint_dir
-    checkpoint_dir(per.sparkSession)
-    per = per.checkpoint(eager=True)
-    dims = districts.select("district_code", "district_name", "region", F.lit(True).alias("known"))
-    joined = per.join(dims, "district_code", "left").withColumn("known", F.coalesce("known", F.lit(False)))
-    g = (joined.groupingSets([[], ["known", "region"], ["known", "district_name"]], "known", "region", "district_name")
-         .agg(F.sum("n").alias("n"), F.sum("recent").alias("recent"), F.grouping_id().alias("gid")))
-    # gid bits follow the cube columns (known, region, district_name): 7 = (), 1 = by region, 2 = by name
-    totals = g.filter(F.col("gid") == 7)
-    groups = g.filter((F.col("gid") != 7) & F.col("known") & (F.col("recent") > 0)).select(
-        F.when(F.col("gid") == 1, "cases_by_region").otherwise("top_affected_districts").alias("metric"),
-        F.when(F.col("gid") == 1, F.col("region")).otherwise(F.col("district_name")).alias("label"),
-        F.col("recent").alias("value"))
+    dims = districts.select("district_code", "district_name", "region", F.lit(1).alias("one"))
+    # full join: districts without cases count as districts, cases without a district in the totals
+    joined = per.join(dims, "district_code", "full_outer")
+    known = F.col("one").isNotNull() & (F.col("recent") > 0)
+
+    def row(metric, label, value):
+        return F.struct(F.lit(metric).alias("metric"), label.cast("string").alias("label"),
+                        F.coalesce(value, F.lit(0)).cast("long").alias("value"))
+    none = F.lit(None).cast("string")
+    always = F.array(row("total_districts", none, F.col("one")), row("total_cases", none, F.col("n")),
+                     row("recent_cases_30d", none, F.col("recent")))
+    some = F.array(row("cases_by_region", F.col("region"), F.col("recent")),
+                   row("top_affected_districts", F.col("district_name"), F.col("recent")))
+    rows = joined.select(F.explode(F.when(known, F.concat(always, some)).otherwise(always)).alias("r")).select("r.*")
+    # the totals exist even without any district or case
+    zero = districts.sparkSession.createDataFrame([(m, None, 0) for m in ("total_districts", "total_cases", "recent_cases_30d")],
+                                                  "metric string, label string, value long")
+    g = rows.unionByName(zero).groupBy("metric", "label").agg(F.sum("value").alias("value"))
     rank = F.row_number().over(W.partitionBy("metric").orderBy(F.col("value").desc(), F.col("label")))
-    ranked = groups.withColumn("rank", F.when(F.col("metric") == "top_affected_districts", rank)) \
-        .filter((F.col("metric") == "cases_by_region") | (F.col("rank") <= top))
-    parts = [
-        _metric(districts.agg(F.count(F.lit(1)).alias("v")), "total_districts", F.col("v")),
-        _metric(totals, "total_cases", F.coalesce(F.col("n"), F.lit(0))),
-        _metric(totals, "recent_cases_30d", F.coalesce(F.col("recent"), F.lit(0))),
-        ranked.select("metric", F.col("label").cast("string"), F.col("value").cast("long"),
-                      F.col("rank").cast("int")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return (g.withColumn("rank", F.when(F.col("metric") == "top_affected_districts", rank).cast("int"))
+            .filter((F.col("metric") != "top_affected_districts") | (F.col("rank") <= top))
+            .select("metric", "label", "value", "rank"))
 
 
 def alert_statistics(alerts: DataFrame, as_of_ts, days: int = C.RECENT_DAYS) -> DataFrame:
@@ -108,14 +97,24 @@ def alert_statistics(alerts: DataFrame, as_of_ts, days: int = C.RECENT_DAYS) ->
 
 def dashboard_summary(districts: DataFrame, cases: DataFrame, alerts: DataFrame,
                       preds: DataFrame) -> DataFrame:
-    """Cards of the dashboard as (metric, value) rows."""
+    """The dashboard's summary as rows (metric, rank, label, value): the cards
+    (rank and label null), then the ten latest predictions as 'recent_prediction',
+    newest first, with their score and 'district|horizon|model|date' as label."""
     def one(df, name, col):
-        return df.select(F.lit(name).alias("metric"), col.cast("double").alias("value"))
+        return df.select(F.lit(name).alias("metric"), F.lit(None).cast("int").alias("rank"),
+                         F.lit(None).cast("string").alias("label"), col.cast("double").alias("value"))
+    from pyspark.sql import Window as W
+    latest = recent_predictions(preds)  # ten rows
+    newest = W.orderBy(F.col("prediction_date").desc(), F.col("id").desc())
+    text = F.concat_ws("|", "district_code", F.col("prediction_horizon_weeks").cast("string"), "model_name",
+                       F.col("prediction_date").cast("string"))
     parts = [
         one(districts.agg(F.count(F.lit(1)).alias("v")), "total_districts", F.col("v")),
         one(cases.agg(F.count(F.lit(1)).alias("v")), "total_cases", F.col("v")),
         one(alerts.agg(F.count_if(F.col("status") == "active").alias("v")), "active_alerts", F.col("v")),
         one(avg_recent_risk(preds), "avg_risk_score", F.col("avg_risk_score")),
+        latest.select(F.lit("recent_prediction").alias("metric"), F.row_number().over(newest).cast("int").alias("rank"),
+                      text.alias("label"), F.col("risk_score").cast("double").alias("value")),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -124,7 +123,7 @@ def summary_cards(summary: DataFrame) -> DataFrame:
     """Display text of the dashboard cards: counts with thousands separators,
     the average risk with one decimal."""
     from riskpanel.functions.scalar import display_count, display_score
-    return summary.select("metric", F.when(F.col("metric") == "avg_risk_score",
+    return summary.filter(F.col("metric") != "recent_prediction").select("metric", F.when(F.col("metric") == "avg_risk_score",
                                            display_score("value"))
                           .otherwise(display_count("value")).alias("text"))
 

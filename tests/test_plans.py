@@ -6,8 +6,9 @@ from riskpanel.catalog import REGISTRY, run
 
 SF = "/root/testdata/sf0.001"
 # queries whose building runs jobs of their own (file round trips, streams, model fits)
-EAGER = {e.name for e in REGISTRY.values() if e.section[0] in "SR"} | {
-    "boosted_forecast", "sequence_forecast", "ensemble_predictions_full", "daily_job", "weekly_training"}
+EAGER = {e.name for e in REGISTRY.values() if e.section[0] in "SR" and e.section != "A24"} | {
+    "boosted_forecast", "sequence_forecast", "ensemble_predictions_full", "daily_job", "weekly_training",
+    "daily_job_statistical", "daily_job_stored", "training_request", "write_metrics", "quality_report"}
 
 
 def plan(spark, name):
@@ -42,10 +43,32 @@ def test_district_scan_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(district_code" in p and "(district_code#" in p
 
 
-def test_broadcast_only_within_proven_bound(tables):
-    from riskpanel.operators.joins import bounded_broadcast
+def test_no_broadcast_is_forced(spark, tables):
+    from riskpanel.operators.joins import cases_with_district
+    logical = cases_with_district(tables.cases, tables.districts)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in logical
 
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(bounded_broadcast(tables.districts, max_rows=100))      # 25 rows <= 100
-    assert not hinted(bounded_broadcast(tables.districts, max_rows=10))   # beyond the bound: planner decides
+
+def scans(spark, name):
+    """Planned scans and exchanges, with broadcast joins off and nothing reused."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return p.count("FileScan parquet"), p.count("Exchange hashpartitioning")
+
+
+def test_ensemble_reads_its_series_once(spark):
+    both, one = scans(spark, "ensemble_predictions"), scans(spark, "arima_111_forecast")
+    assert both[0] == one[0] and both[1] <= one[1] + 1
+
+
+def test_national_statistics_scan_the_cases_once(spark):
+    assert scans(spark, "national_statistics")[0] <= 4  # cases (orders, customer), districts (customer or nation)
+
+
+def test_foreign_keys_are_counted_before_they_are_joined(spark):
+    p = plan(spark, "fk_orphans")
+    assert "partial_count" in p
