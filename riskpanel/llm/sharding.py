@@ -174,9 +174,10 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     where = fixed_shards([x[1] for x in got], shards)
     spark = docs.sparkSession
     placed = spark.createDataFrame([(bytearray(k), s) for (k, _), s in zip(got, where)], "bundle binary, shard int")
-    of_group = (groups.select("g").join(bundles.select("g", "bundle"), "g", "left")
-                .select("g", F.coalesce("bundle", "g").alias("bundle"))
-                .join(F.broadcast(placed), "bundle").select("g", "shard"))
+    of_group = written(
+        groups.select("g").join(bundles.select("g", "bundle"), "g", "left")
+        .select("g", F.coalesce("bundle", "g").alias("bundle"))
+        .join(F.broadcast(placed), "bundle").select("g", "shard"), "shard-of-group")
     located = rows.join(of_group, "g").drop("g")
     order = ["doc_id", "size", "text_crc32"] if "doc_id" in rest else ["size", "text_crc32"]
     return numbered(written(located, "shard-located"), "shard", order, "slot")
