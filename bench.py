@@ -7,9 +7,8 @@ with local[$BENCH_CPUS] and prints one JSON line:
 Every run writes the full result through the ``noop`` sink, so all columns and
 rows are computed (``count()`` would let Catalyst prune columns). First every
 query runs once (warm-up of the JVM and code generation for all of them), then
-each gets ``BENCH_RUNS`` timed runs (default 3) and the median is reported.
-Queries whose warm-up run took over 20 s are not rerun: that first run is
-reported (it is dominated by per-iteration jobs, not by warm-up).
+each gets the same number of timed runs, ``BENCH_RUNS`` (default 1), and the
+median is reported.
 """
 
 from __future__ import annotations
@@ -30,14 +29,15 @@ HEADLINE = [
     "dq_report", "dq_district", "panel_gate", "dq_unique_key", "fk_orphans",
     "generate_alerts", "upsert_predictions", "acknowledge_alert", "retain",
     "arima_111_forecast", "seasonal_trend_forecast", "ensemble_predictions",
-    "sequence_forecast", "boosted_forecast",
+    "sequence_forecast", "boosted_forecast", "daily_job", "weekly_training",
+    "stream_ingest_cases", "stream_daily_cases", "stream_alerts",
 ]
 
 
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     from riskpanel import catalog
     from riskpanel.session import get_session
@@ -51,11 +51,9 @@ def main():
         catalog.run(n, spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    first = {n: once(n) for n in names}
-    out = {}
     for n in names:
-        times = [first[n]] if first[n] > 20 else [once(n) for _ in range(runs)]
-        out[n] = round(statistics.median(times), 3)
+        once(n)
+    out = {n: round(statistics.median([once(n) for _ in range(runs)]), 3) for n in names}
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(out.values()), 3),
                       "unit": "sec", "queries": out, "sf": float(sf.group(1)) if sf else sf_dir,

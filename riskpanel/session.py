@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,18 +78,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared checkpoint folder for a written table."""
+    """A fresh sub-path of the shared checkpoint folder for a written table
+    (named by a UUID: drivers that share the folder never meet)."""
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, "tables", f"{name}-{os.getpid()}-{next(_COUNTER)}")
-
-
-def _counter():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_COUNTER = _counter()
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+    # the folder goes when the driver's file system closes
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
