@@ -13,53 +13,138 @@ length that a third of all pieces share is no single task.
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 from bisect import bisect_right
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel.llm.common import numbered, shipped, written
 
-#: Words whose ids a Python worker remembers between batches and tasks; then it starts anew.
-CACHED_WORDS = 300_000
+#: Words, and parts of words, whose ids a Python worker remembers; beyond, it starts anew.
+CACHED_WORDS, CACHED_PARTS = 400_000, 700_000
+#: ASCII marks but the apostrophe; and runs of small letters that are not all ASCII.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+class WordEncoder:
+    """Ids of texts by way of their words, each encoded once.
 
+    The tokenizer drops white space and never joins text across it, so a text's
+    ids are those of its words in turn. A word of small letters with marks
+    around it is cut by the tokenizer into marks, letters, marks; the letter
+    runs of many words are encoded in one call (with the file's own model and
+    byte mapping) and told apart by the tokens that end a word. All other words
+    go through the whole tokenizer one by one.
+    """
 
-@lru_cache(maxsize=2)
-def _words(path: str) -> dict:
-    return {}
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        marks_bytes = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        spec |= {"normalizer": None, "added_tokens": [],
+                 "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, marks_bytes]}}
+        self.letters = Tokenizer.from_str(json.dumps(spec))
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers, without special tokens added."""
+        words = [t.lower().split() for t in texts]
+        every: set[bytes] = set()
+        for w in words:
+            every.update(w)
+        new = every.difference(self.words)
+        if new:
+            if len(self.words) + len(new) > CACHED_WORDS:
+                self.words.clear()
+                new = every
+            self._learn(new)
+        known = self.words
+        return [b"".join([known[x] for x in w]) for w in words]
+
+    def _learn(self, new: set[bytes]) -> None:
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {b"": b""}
+        bare, marked, other = [], [], []
+        for w in new:
+            run = w.strip(_MARKS)
+            if not (run.isalpha() or _LETTERS.fullmatch(run)) or b"<|" in w:
+                other.append(w)
+            elif len(run) == len(w):
+                bare.append(w)
+            else:
+                at = w.index(run)
+                marked.append((w, w[:at], run, w[at + len(run):]))
+        runs = set(bare)
+        runs.update(m[2] for m in marked)
+        self._letter_runs(list(runs.difference(self.parts)))
+        marks = {x for m in marked for x in (m[1], m[3])}
+        self._one_by_one(list(marks.difference(self.parts)), self.parts)
+        parts = self.parts
+        for w in bare:
+            self.words[w] = parts[w]
+        for w, before, run, after in marked:
+            self.words[w] = parts[before] + parts[run] + parts[after]
+        self._one_by_one(other, self.words)
+
+    def _letter_runs(self, runs: list[bytes]) -> None:
+        for i in range(0, len(runs), 4000):
+            part = runs[i:i + 4000]
+            got = self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
+            ids = np.array(got, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(part):
+                self._one_by_one(part, self.parts)
+                continue
+            whole, start = ids.tobytes(), 0
+            for w, end in zip(part, (4 * last).tolist()):
+                self.parts[w] = whole[start:end]
+                start = end
+
+    def _one_by_one(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        for i in range(0, len(words), 4000):
+            part = words[i:i + 4000]
+            got = self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for w, e in zip(part, got):
+                into[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
 
-def token_bytes(text: bytes, path: str) -> bytes:
-    """Ids of a text as little-endian unsigned 32-bit numbers, without special tokens added.
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for each Python worker."""
+    return WordEncoder(path)
 
-    The tokenizer drops white space and never joins text across it, so a text's
-    ids are those of its words in turn; each word is encoded once and kept.
-    """
-    known = _words(path)
-    words = text.lower().split()
-    new = [w for w in set(words) if w not in known]
-    if new:
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        # in slices: encodings of a very long text's words take much memory
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            got = _tokenizer(path).encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, got):
-                known[w] = b"".join(x.to_bytes(4, "little") for x in e.ids)
-    return b"".join([known[w] for w in words])
+
+#: Bytes of text encoded together.
+GROUP_BYTES = 2_000_000
+
+
+def _groups(sizes: np.ndarray, most: int):
+    """Runs of consecutive rows with about ``most`` bytes; a larger row is a run of its own."""
+    start, held = 0, 0
+    for r, n in enumerate(sizes.tolist()):
+        if held and held + n > most:
+            yield range(start, r)
+            start, held = r, 0
+        held += n
+    if start < len(sizes):
+        yield range(start, len(sizes))
 
 
 def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2) -> DataFrame:
@@ -85,23 +170,25 @@ def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int =
              pa.array(ids, pa.binary())], [*names, *new])
 
     def run(batches):
+        encoder = word_encoder(path)
         for b in batches:
-            out, held = ([], [], [], [], []), 0
             text = b.column(len(names))
-            for r in range(b.num_rows):
-                t = text[r].as_py()
-                ids = (token_bytes(t, path) if t else b"") + end
-                total = len(ids) // 4
-                for at in range(0, len(ids), step):
-                    piece = ids[at:at + step]
-                    for x, v in zip(out, (r, at // 4, len(piece) // 4, total, piece)):
-                        x.append(v)
-                    held += len(piece)
-                    if held > 8 << 20:
-                        yield flush(b, *out)
-                        out, held = ([], [], [], [], []), 0
-            if out[0]:
-                yield flush(b, *out)
+            size = pc.fill_null(pc.binary_length(text), 0).to_numpy()
+            for rows in _groups(size, GROUP_BYTES):
+                texts = [text[r].as_py() or b"" for r in rows]
+                out, held = ([], [], [], [], []), 0
+                for r, ids in zip(rows, encoder.encode(texts)):
+                    ids += end
+                    for at in range(0, len(ids), step):
+                        piece = ids[at:at + step]
+                        for x, v in zip(out, (r, at // 4, len(piece) // 4, len(ids) // 4, piece)):
+                            x.append(v)
+                        held += len(piece)
+                        if held > 8 << 20:
+                            yield flush(b, *out)
+                            out, held = ([], [], [], [], []), 0
+                if out[0]:
+                    yield flush(b, *out)
 
     return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("binary").alias("text")) \
         .mapInArrow(run, schema)
