@@ -81,8 +81,7 @@ def numbered(df: DataFrame, key: str, order: list[str], out: str, rows_per_bucke
     of a key, and a small table of bucket sizes gives each bucket its start.
     Equal rows get positions in some order among themselves.
     """
-    total = df.count()
-    buckets = max(1, -(-total // rows_per_bucket))
+    buckets = max(2 * parallelism(df), -(-df.count() // rows_per_bucket))
     b = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = (b.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"))
