@@ -27,6 +27,10 @@ from riskpanel.llm.common import shipped, written
 SAMPLE = 20_000
 #: Terms of the lexicon, at most, and the toxic documents a term must occur in.
 TERMS, SUPPORT = 256, 8
+#: A term is matched with misspellings if at most this share of clean documents has a near miss of it.
+NEAR_MISSES = 0.003
+#: Weight of a match lost with each edit.
+EDIT_LOSS = 0.15
 PREFIX = (4, 5, 6, 7)
 WINDOW = 8
 QUOTES = "\"“”„«»‟"
@@ -50,15 +54,18 @@ def allowed_edits(term: str) -> int:
 class Lexicon:
     """Trie of whole terms and word beginnings, read through a lazily built Levenshtein automaton."""
 
-    def __init__(self, words: dict[str, float], beginnings: dict[str, float]):
+    def __init__(self, words: dict[str, float], beginnings: dict[str, float], exact: frozenset[str] = frozenset()):
+        """``exact``: the words that are matched without misspellings."""
+        self.words, self.beginnings = words, beginnings
         self.child: list[dict[str, int]] = [{}]
         self.term: list[float | None] = [None]
         self.edits: list[int] = [0]
         self.reach: list[int] = [0]  # most edits any term below a node allows
         self.beginning: list[float | None] = [None]
+        self.name: list[str | None] = [None]
         for w, weight in words.items():
-            at, k = self._path(w), allowed_edits(w)
-            self.term[at[-1]], self.edits[at[-1]] = weight, k
+            at, k = self._path(w), 0 if w in exact else allowed_edits(w)
+            self.term[at[-1]], self.edits[at[-1]], self.name[at[-1]] = weight, k, w
             for n in at:
                 self.reach[n] = max(self.reach[n], k)
         for w, weight in beginnings.items():
@@ -82,6 +89,7 @@ class Lexicon:
                 self.edits.append(0)
                 self.reach.append(0)
                 self.beginning.append(None)
+                self.name.append(None)
             at.append(nxt)
         return at
 
@@ -103,8 +111,8 @@ class Lexicon:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.step.append({})
-            best = [(e, -self.term[n]) for n, e in key if self.term[n] is not None and e <= self.edits[n]]
-            self.accept.append((-min(best)[1], min(best)[0]) if best else None)
+            best = [(e, -self.term[n], self.name[n]) for n, e in key if self.term[n] is not None and e <= self.edits[n]]
+            self.accept.append(min(best) if best else None)
         return self.states[key]
 
     def _move(self, state: int, c: str) -> int:
@@ -120,8 +128,9 @@ class Lexicon:
                 put(kid, e if letter == c else e + 1)  # the right letter, or another
         return self._state(self._close(nodes))
 
-    def read(self, word: str) -> tuple[int, float] | None:
-        """(kind, weight) of a word: 1 exact term, 2 misspelled term, 3 beginning; None if nothing matches."""
+    def read(self, word: str) -> tuple[int, float, str] | None:
+        """(kind, weight, term) of a word: kind 1 exact term, 2 misspelled term (less
+        weight for each edit), 3 beginning; None if nothing matches."""
         s = self.start
         for c in word[:64]:
             c = c if c in self.letters else "\0"
@@ -133,7 +142,7 @@ class Lexicon:
                 break
         got = self.accept[s] if len(word) <= 64 else None
         if got is not None:
-            return (2, got[0]) if got[1] else (1, got[0])
+            return (2 if got[0] else 1, -got[1] * (1 - EDIT_LOSS * got[0]), got[2])
         n, best = 0, None
         for c in word:
             n = self.child[n].get(c)
@@ -141,14 +150,16 @@ class Lexicon:
                 break
             if self.beginning[n] is not None:
                 best = max(best or 0.0, self.beginning[n])
-        return (3, best) if best is not None else None
+        return (3, best, "") if best is not None else None
 
 
-FEATURES = 9
+FEATURES = 8
 
 
 def features(text: str | None, lexicon: Lexicon, known: dict) -> list[float]:
-    """Counts and rates of matches of one text by kind, quoted ones apart."""
+    """What the matches of one text amount to: the largest weight of a term, the
+    sum over different terms and their number, the rate of matches; the same for
+    word beginnings; and matches that are quoted, apart from all others."""
     tokens = (text or "").lower().split()
     new = set(tokens).difference(known)
     if new:
@@ -158,9 +169,10 @@ def features(text: str | None, lexicon: Lexicon, known: dict) -> list[float]:
         for t in new:
             w = core(t)
             known[t] = lexicon.read(w) if w else None
-    n, weight = [0, 0, 0, 0], [0.0, 0.0, 0.0, 0.0]
+    terms: dict[str, float] = {}
+    hits = starts = quoted = 0
+    start_weight = 0.0
     found = [known[t] for t in tokens]
-    quoted = 0
     if any(found):
         inside, run = [], 0  # whether an odd number of quote marks stand before the token's end
         marked = any(q in (text or "") for q in QUOTES)
@@ -177,12 +189,16 @@ def features(text: str | None, lexicon: Lexicon, known: dict) -> list[float]:
                 if not REPORTING.isdisjoint(near) and ADDRESS.isdisjoint(near):
                     quoted += 1
                     continue
-            n[hit[0]] += 1
-            weight[hit[0]] += hit[1]
+            if hit[0] == 3:
+                starts += 1
+                start_weight += hit[1]
+            else:
+                hits += 1
+                terms[hit[2]] = max(hit[1], terms.get(hit[2], 0.0))
     total = max(1, len(tokens))
-    return [math.log1p(n[1]), math.log1p(n[2]), math.log1p(n[3]), min(5.0, 100.0 * n[1] / total),
-            min(5.0, 100.0 * n[2] / total), min(5.0, 100.0 * n[3] / total), min(5.0, weight[3] * 20.0 / total),
-            math.log1p(quoted), 1.0 if n[1] or n[2] else 0.0]
+    return [max(terms.values(), default=0.0), math.log1p(sum(terms.values())), math.log1p(len(terms)),
+            min(5.0, 100.0 * hits / total), math.log1p(starts), min(5.0, 100.0 * starts / total),
+            min(5.0, 20.0 * start_weight / total), math.log1p(quoted)]
 
 
 def _terms_of(text: str) -> set[str]:
@@ -238,7 +254,29 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, support: int = SUPPORT)
     beginnings = {r["term"][:-1]: r["weight"] for r in best if r["term"].endswith("*")
                   and not any(w.startswith(r["term"][:-1]) and r["toxic"] <= 1.2 * max(
                       x["toxic"] for x in best if x["term"] == w) for w in words)}
-    return Lexicon(words, beginnings)
+    return Lexicon(words, beginnings, _noisy_terms(sample, Lexicon(words, beginnings), good))
+
+
+def _noisy_terms(sample: DataFrame, lexicon: Lexicon, clean: int) -> frozenset[str]:
+    """The terms of which too many clean documents have a near miss: their
+    neighbours are ordinary words, so they are matched exactly."""
+    def run(batches):
+        known: dict = {}
+        near = Counter()
+        for b in batches:
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if y == 0:
+                    tokens = set(t.lower().split())
+                    for x in tokens.difference(known):
+                        w = core(x)
+                        hit = lexicon.read(w) if w else None
+                        known[x] = hit[2] if hit and hit[0] == 2 else ""
+                    near.update({known[x] for x in tokens} - {""})
+        yield pa.RecordBatch.from_arrays([pa.array(list(near), pa.string()), pa.array(list(near.values()), pa.int64())],
+                                         ["term", "n"])
+
+    counts = shipped(sample).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return frozenset(r["term"] for r in counts.filter(F.col("n") > NEAR_MISSES * clean).collect())  # lexicon terms
 
 
 def _featured(df: DataFrame, lexicon: Lexicon, column: str, keep: list[str], score) -> DataFrame:

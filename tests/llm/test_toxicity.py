@@ -31,8 +31,9 @@ def test_automaton_agrees_with_edit_distances():
             elif p < len(w):
                 w[p:p + 1] = [] if kind == 1 else [r.choice("abdeimnort@")]
         w = "".join(w)
-        near = [(distance(w, t), -x) for t, x in words.items() if distance(w, t) <= X.allowed_edits(t)]
-        want = None if not near else (2 if min(near)[0] else 1, -min(near)[1])
+        near = [(distance(w, t), -x, t) for t, x in words.items() if distance(w, t) <= X.allowed_edits(t)]
+        e, x, t = min(near, default=(0, 0, ""))
+        want = None if not near else (2 if e else 1, -x * (1 - X.EDIT_LOSS * e), t)
         assert lex.read(w) == want, w
         seen += want is not None
     assert seen > 1000
@@ -40,7 +41,9 @@ def test_automaton_agrees_with_edit_distances():
 
 def test_word_beginnings_match_exactly():
     lex = X.Lexicon({"idiot": 3.0}, {"stup": 2.0, "stupid": 2.5})
-    assert lex.read("stupor") == (3, 2.0) and lex.read("stupidity") == (3, 2.5)
+    assert lex.read("stupor") == (3, 2.0, "") and lex.read("stupidity") == (3, 2.5, "")
+    exact = X.Lexicon({"idiot": 3.0, "clown": 1.0}, {}, frozenset({"idiot"}))
+    assert exact.read("idiot") and exact.read("idi0t") is None and exact.read("cl0wn")
     assert lex.read("stp") is None and lex.read("") is None and lex.read("x" * 500) is None
 
 
