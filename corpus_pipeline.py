@@ -7,6 +7,7 @@ it as Parquet and rereads it as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskpanel.llm import line_dedup, mixing, near_dedup, packing, toxicity
 from riskpanel.llm.common import table, written
@@ -19,14 +20,12 @@ ORACLE_SQL = None
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model (fitted on the labelled ones) does not reject."""
     lexicon, w = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs.withColumnRenamed("text", "__text").withColumn("text", docs["text"]), lexicon, w)
-    return scored.filter("predicted = 0").withColumnRenamed("__text", "text").select(*docs.columns)
+    return toxicity.score_toxicity(docs, lexicon, w, with_text=True).filter("predicted = 0").select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that at least three documents share; n_chars follows the text."""
     out = line_dedup.dedup_lines(docs)
-    from pyspark.sql import functions as F
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

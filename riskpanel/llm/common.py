@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 def shipped(df: DataFrame) -> DataFrame:
     """``df``, after making sure that Python workers can import this package.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.llm.common import shipped
+from riskpanel.llm.common import fresh, shipped
 
 DIM = 1024
 GRAM = 3
@@ -206,7 +206,7 @@ def predict_language(docs: DataFrame, langs: list[str], prototypes: np.ndarray,
                 [*[b.column(i + 1) for i in range(len(keep))], pa.array(pred, pa.string()), pa.array(s)],
                 [*keep, "lang_pred", "score"])
 
-    cols = docs.select(F.col(text).cast("string").alias("__text"), *[F.col(f"`{c}`") for c in keep])
+    cols = docs.select(F.col(text).cast("string").alias(fresh("__text", keep)), *[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*cols.schema.fields[1:], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return shipped(cols).mapInArrow(run, schema)

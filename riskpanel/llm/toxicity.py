@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.llm.common import shipped, written
+from riskpanel.llm.common import fresh, shipped, written
 
 #: Labelled rows the model is fitted on, at most (chosen by a hash of the id).
 SAMPLE = 20_000
@@ -282,6 +282,7 @@ def _noisy_terms(sample: DataFrame, lexicon: Lexicon, clean: int) -> frozenset[s
 def _featured(df: DataFrame, lexicon: Lexicon, column: str, keep: list[str], score) -> DataFrame:
     """``keep`` columns and the result of ``score`` (a list of doubles) for each row's text."""
     kept = df.select(*[F.col(f"`{c}`") for c in keep])
+    read = fresh("__text", keep)
     schema = T.StructType([*kept.schema.fields, T.StructField(column, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
@@ -290,7 +291,7 @@ def _featured(df: DataFrame, lexicon: Lexicon, column: str, keep: list[str], sco
             out = [score(features(t.as_py(), lexicon, known)) for t in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(pa.float64()))], [*keep, column])
 
-    return shipped(df).select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text")) \
+    return shipped(df).select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias(read)) \
         .mapInArrow(run, schema)
 
 
@@ -324,19 +325,20 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> tuple[Lexic
     return lexicon, fit(np.array([r["x"] for r in got]), y)
 
 
-def score_toxicity(docs: DataFrame, lexicon: Lexicon, w: np.ndarray) -> DataFrame:
-    """The input's columns without text, with score (0 to 1) and predicted (1 if score >= 0.5).
+def score_toxicity(docs: DataFrame, lexicon: Lexicon, w: np.ndarray, with_text: bool = False) -> DataFrame:
+    """The input's columns, text only if asked for, with score (0 to 1) and predicted (1 if score >= 0.5).
 
     Null and empty texts get the score of a text without matches. Rows repeat as
     in the input; input columns named score or predicted are replaced.
     """
-    keep = [c for c in docs.columns if c not in ("text", "score", "predicted", "__s")]
+    keep = [c for c in docs.columns if c not in ("score", "predicted") and (with_text or c != "text")]
+    result = fresh("__s", keep)
     coef, const = [float(v) for v in w[:-1]], float(w[-1])
 
     def score(f):
         z = const + sum(a * b for a, b in zip(coef, f))
         return [1 / (1 + math.exp(-max(-30.0, min(30.0, z))))]
 
-    out = _featured(docs, lexicon, "__s", keep, score)
-    return out.withColumn("score", F.col("__s")[0]).drop("__s") \
+    out = _featured(docs, lexicon, result, keep, score)
+    return out.withColumn("score", F.col(result)[0]).drop(result) \
         .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))

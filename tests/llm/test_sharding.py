@@ -47,8 +47,8 @@ def test_tree_keeps_order_over_many_leaves():
 
 def test_groups_stay_whole_and_slots_are_gapless(spark):
     r = random.Random(6)
-    docs = [(i, "t" * r.randrange(1, 300)) for i in range(400)] + [(1000 + i, "copy " * 40) for i in range(200)]
-    docs += [(2000, None), (2001, None), (2002, ""), (None, "null id"), (5, "repeated"), (5, "repeated")]
+    docs = [(i, "t" * r.randrange(1, 300)) for i in range(400)] + [(1000 + i, "copy " * 40) for i in range(20)]
+    docs += [(2000, None), (2001, None), (2002, ""), (None, "null id"), (3000, "repeated"), (3000, "repeated")]
     df = documents(spark, docs).withColumnRenamed("lang", "shard").withColumnRenamed("source", "size")
     got = S.assign_shards(df, 8).collect()
     assert len(got) == len(docs)
