@@ -210,7 +210,8 @@ def _sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                      pa.array(sets, pa.list_(pa.int64()))], ["rep", "jobs", "s"])
 
     text = shipped(docs).select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text"))
-    return text.join(members, "rep").select("rep", "text", "c1", "c2", "jobs") \
+    # members grow with the input, so the join shuffles at every size instead of turning into a broadcast at some
+    return text.join(members.hint("merge"), "rep").select("rep", "text", "c1", "c2", "jobs") \
         .mapInArrow(run, "rep long, jobs array<string>, s array<long>")
 
 
