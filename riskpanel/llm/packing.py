@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,27 +148,32 @@ def _groups(sizes: np.ndarray, most: int):
         yield range(start, len(sizes))
 
 
-def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2) -> DataFrame:
+def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = True,
+                  places: str | None = None) -> DataFrame:
     """Pieces of at most ``window`` ids: the input's other columns, then start, length, doc_tokens, ids.
 
     ``ids`` is binary (little-endian unsigned 32-bit). Each document ends with
     ``end_id``; a null or empty text has this id alone. All pieces but a
-    document's last are full windows. ``text`` is replaced by the ids; input
-    columns with the names of new columns are dropped.
+    document's last are full windows. ``text`` is replaced by the ids, which are
+    left out without ``with_ids``; input columns with the names of new columns
+    are dropped. ``places`` names a column with the (start, sequence_id, offset)
+    of the document's pieces in order: it is replaced by each piece's own
+    sequence_id and offset.
     """
-    new = ("start", "length", "doc_tokens", "ids")
-    keep = [f for f in docs.schema.fields if f.name != "text" and f.name not in new]
+    placed = ("sequence_id", "offset") if places else ()
+    new = ("start", "length", "doc_tokens", "ids", *placed)
+    keep = [f for f in docs.schema.fields if f.name not in ("text", places, *new)]
     names = [f.name for f in keep]
-    schema = T.StructType([*keep, T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
-                           T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    longs = [T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", *placed)]
+    schema = T.StructType([*keep, *longs, *([T.StructField("ids", T.BinaryType())] if with_ids else [])])
     end = end_id.to_bytes(4, "little")
     step = 4 * window
 
-    def flush(batch, rows, start, length, total, ids):
+    def flush(batch, rows, *out):
         cols = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(names))]
-        return pa.RecordBatch.from_arrays(
-            [*cols, pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(total, pa.int64()),
-             pa.array(ids, pa.binary())], [*names, *new])
+        kinds = [pa.int64()] * len(longs) + ([pa.binary()] if with_ids else [])
+        return pa.RecordBatch.from_arrays([*cols, *[pa.array(x, k) for x, k in zip(out, kinds)]],
+                                          [f.name for f in schema.fields])
 
     def run(batches):
         encoder = word_encoder(path)
@@ -176,22 +182,26 @@ def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int =
             size = pc.fill_null(pc.binary_length(text), 0).to_numpy()
             for rows in _groups(size, GROUP_BYTES):
                 texts = [text[r].as_py() or b"" for r in rows]
-                out, held = ([], [], [], [], []), 0
+                none = lambda: [[] for _ in range(1 + len(longs) + with_ids)]
+                out, held = none(), 0
                 for r, ids in zip(rows, encoder.encode(texts)):
                     ids += end
-                    for at in range(0, len(ids), step):
+                    own = b.column(len(names) + 1)[r].as_py() if places else None
+                    for k, at in enumerate(range(0, len(ids), step)):
                         piece = ids[at:at + step]
-                        for x, v in zip(out, (r, at // 4, len(piece) // 4, len(ids) // 4, piece)):
+                        where = (own[k]["sequence_id"], own[k]["offset"]) if places else ()
+                        last = (piece,) if with_ids else ()
+                        for x, v in zip(out, (r, at // 4, len(piece) // 4, len(ids) // 4, *where, *last)):
                             x.append(v)
                         held += len(piece)
                         if held > 8 << 20:
                             yield flush(b, *out)
-                            out, held = ([], [], [], [], []), 0
+                            out, held = none(), 0
                 if out[0]:
                     yield flush(b, *out)
 
-    return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(run, schema)
+    return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("binary").alias("text"),
+                                *([F.col(places)] if places else [])).mapInArrow(run, schema)
 
 
 class CapacityTree:
@@ -302,6 +312,34 @@ def place(pieces: DataFrame, window: int = 4096) -> DataFrame:
         .mapInArrow(find, schema)
 
 
+def _stable_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key (__file, __row) that every scan gives alike.
+
+    A Parquet table's rows are named by file and position; anything else is
+    written to such a table first.
+    """
+    def keyed(df):
+        return df.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+    base = docs.drop("__file", "__row", "__places")
+    try:
+        return keyed(base)
+    except AnalysisException:  # not a scan: no file, no position
+        return keyed(written(base, "pack-docs"))
+
+
 def pack(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2) -> DataFrame:
-    """Cut and place whole documents: the pieces with their ids, sequence_id and offset."""
-    return place(written(cut_documents(docs, path, window, end_id), "pieces"), window)
+    """Cut and place whole documents: the pieces with their ids, sequence_id and offset.
+
+    Ids are large and texts are not, so placing works on the pieces' lengths
+    alone; each document then gets its pieces' places and is encoded once more
+    where its pieces are returned.
+    """
+    rows = _stable_rows(docs)
+    key = ["__file", "__row"]
+    order = [c for c in ("doc_id",) if c in rows.columns]
+    lengths = written(cut_documents(rows.select(*key, *order, "text"), path, window, end_id, with_ids=False), "pieces")
+    places = place(lengths, window).groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("start", "sequence_id", "offset"))).alias("__places"))
+    placed = rows.join(places.hint("merge"), key).drop(*key)
+    return cut_documents(placed, path, window, end_id, places="__places")

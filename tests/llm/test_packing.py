@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from riskpanel.llm import packing as P
 from riskpanel.llm import queries
+from riskpanel.llm.common import written
 from tests.llm.helpers import documents, read
 
 SF = "/root/testdata/sf0.01"
@@ -81,7 +82,10 @@ def test_ids_equal_the_tokenizers(monkeypatch):
 def test_pieces_and_places_of_odd_rows(spark):
     docs = [(1, None), (2, ""), (3, "word " * 200), (3, "word " * 200), (None, "no id"), (4, "a b c"), (5, "x y " * 40_000)]
     df = documents(spark, docs).withColumnRenamed("lang", "offset").withColumnRenamed("source", "length")
+    table = written(df, "test-pack")
     got = P.pack(df, PATH, window=64).collect()
+    from_files = P.pack(table, PATH, window=64).collect()  # a scan's rows are named by file and position
+    assert Counter((r["doc_id"], r["start"], bytes(r["ids"])) for r in got) == Counter((r["doc_id"], r["start"], bytes(r["ids"])) for r in from_files)
     assert P.pack(documents(spark, []), PATH).count() == 0
     want = Counter(tuple(ids + [2]) for ids in encode([t for _, t in docs]))
     per_seq, back, lone = defaultdict(list), defaultdict(list), Counter()
