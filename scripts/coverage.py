@@ -12,14 +12,7 @@ sys.path.insert(0, ROOT)
 
 # ids with no registered query: where they live and what tests them
 FUNCTION_ONLY = {
-    "F12": "operators/predicates.py `model_features` (schema only); used by the boosted model's feature list",
-    "D2": "operators/quality.py `columns_match`; runs inside every suite as a rule row; tests/test_quality.py",
-    "D6": "operators/quality.py `type_matches`; runs inside every suite as a rule row; tests/test_quality.py",
-    "S7": "sources/files.py `read_districts_geojson`; tests/test_sources.py",
-    "S13": "sources/files.py `create_tables` / `drop_tables`; tests/test_sources.py",
-    "S14": "sources/files.py `write_metrics`, operators/learn.py `model_runs`; rows produced by `weekly_training`",
-    "A24": "plans/jobs.py summary of `predict_and_alert`; the `daily_job` query returns it",
-    "P14": "plans/jobs.py `TrainingRequest`, argument of `weekly_training`",
+    "D6": "operators/quality.py `type_matches`; checked by `dq_columns_and_types` (O) together with D2",
 }
 
 
