@@ -43,7 +43,7 @@ def encoded_lengths(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return shipped(docs).select("text").mapInArrow(run, "length long")
 
 
-def length_histogram(docs: DataFrame, path: str, pattern: str, block: int = 4096) -> DataFrame:
+def length_histogram(docs: DataFrame, path: str, pattern: str, block: int = 256) -> DataFrame:
     """One row per encoded length, ascending meaning in the columns, any row order:
 
     length, n_docs (documents of it), n_tokens (their tokens), docs_up_to (with
