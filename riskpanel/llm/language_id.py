@@ -2,9 +2,10 @@
 
 Every letter has a random vector of +1 and -1. An n-gram's vector binds its
 letters: the vectors, permuted by their place, are multiplied. A document's
-vector bundles (sums) those of its n-grams, a language's prototype those of its
-training documents, and a document gets the language whose prototype has the
-largest cosine with its own vector.
+vector bundles (sums) those of its n-grams, each with the square root of its
+count, so that a line repeated many times does not drown the rest; a language's
+prototype bundles its training documents, and a document gets the language whose
+prototype has the largest cosine with its own vector.
 
 Prototypes are sums, so learning is one pass with partial sums per task. A
 document's inner products are taken per distinct n-gram of a batch.
@@ -141,7 +142,7 @@ def learn_prototypes(train: DataFrame, dim: int = DIM) -> DataFrame:
                 lang_of = np.array([langs[i] for i in at], object)
                 for lang in set(lang_of):
                     mine = (lang_of == lang)[of]
-                    weight = np.bincount(index[mine], n[mine], len(grams)).astype(np.float32)
+                    weight = np.bincount(index[mine], np.sqrt(n[mine]), len(grams)).astype(np.float32)
                     sums[lang] = sums.get(lang, 0) + (weight @ vectors).astype(np.float64)
         for lang, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dim), pa.array(range(dim), pa.int32()),
@@ -183,7 +184,7 @@ def predict_language(docs: DataFrame, langs: list[str], prototypes: np.ndarray,
             start = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
             stop = np.append(start[1:], len(of))
             for s, e in zip(start, stop):
-                v = n[s:e].astype(np.float32) @ hv[index[s:e]].astype(np.float32)
+                v = np.sqrt(n[s:e]).astype(np.float32) @ hv[index[s:e]].astype(np.float32)
                 i = at[of[s]]
                 if len(texts[i]) > CHUNK:  # bundle the parts of a long text
                     vectors[i] = vectors.get(i, 0) + v.astype(np.float64)

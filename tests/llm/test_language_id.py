@@ -63,7 +63,7 @@ def test_a_long_text_in_parts_scores_like_its_whole(spark, monkeypatch):
     langs, proto = L.collect_prototypes(L.learn_prototypes(documents(spark, [(1, "the cat sat", "en"), (2, "der hund", "de")])))
     whole = L.predict_language(documents(spark, [(1, text)]), langs, proto).first()["score"]
     of, index, n, grams = L.count_grams([text])
-    v = n.astype(float) @ L.gram_vectors(grams, L.DIM).astype(float)
+    v = np.sqrt(n) @ L.gram_vectors(grams, L.DIM).astype(float)
     assert abs(whole - (proto[1] @ v) / np.linalg.norm(v)) < 1e-6
 
 
