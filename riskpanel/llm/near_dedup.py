@@ -237,6 +237,7 @@ def comparison_jobs(members: DataFrame, percent: int) -> DataFrame:
     for step, name in ((1, "b1"), (-1, "b_1")):
         near = near.join(blocks.select("cluster", (F.col("layer") - step).alias("layer"),
                                        F.col("blocks").alias(name)), ["cluster", "layer"], "left")
+    near = written(near, "near-blocks")  # plain tables on both sides: a hot layer's partition can be split
     big = big.join(near, ["cluster", "layer"]).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("b0")))
     own = F.expr("""transform(sequence(0L, b0 - 1), j -> concat_ws(':', cluster, layer, least(i, j), layer, greatest(i, j)))""")
     up = F.expr("""case when b1 is null then array() else
