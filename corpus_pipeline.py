@@ -30,8 +30,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near_dedup.drop_near_duplicates(docs)
+    """One document of each group of near duplicates (similarity 0.8 or more)."""
+    return near_dedup.drop_near_duplicates(docs, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

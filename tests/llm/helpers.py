@@ -24,7 +24,7 @@ def shingle_set(text, k=5):
     return frozenset([tuple(w)]) if len(w) < k else frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
 
 
-def near_components(docs):
+def near_components(docs, percent=85):
     """{doc_id: (set size, smallest reachable id)} by comparing all pairs."""
     sets = {i: shingle_set(t) for i, t in docs}
     root = {i: i for i in sets}
@@ -39,7 +39,7 @@ def near_components(docs):
         for b in ids:
             if a < b and sets[a] and sets[b]:
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
     return {i: (len(sets[i]), find(i)) for i in ids}

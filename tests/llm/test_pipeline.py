@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline as C
 from riskpanel.llm.common import table, written
-from tests.llm.helpers import dedup_lines, near_components, read, words
+from tests.llm.helpers import dedup_lines, documents, near_components, read, words
 from tests.llm.test_mixing import plain_targets
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,15 @@ def test_run_is_registered(spark):
     assert "pipeline" in __spark_entry__.queries()
     out = C.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_near_dedup_stage_links_from_four_fifths(spark):
+    base = [f"w{i}" for i in range(100)]  # 96 shingles; changing the last n words changes n of them
+    docs = [(1, " ".join(base))] + [(10 + n, " ".join(base[:100 - n] + [f"x{n}-{j}" for j in range(n)])) for n in (8, 10, 11)]
+    far = {i: c for i, (_, c) in near_components(docs, 80).items()}
+    assert far == {1: 1, 18: 1, 20: 1, 21: 21} and near_components(docs)[18][1] == 18
+    near = C.near_dedup_stage(spark, documents(spark, docs), SF).collect()
+    assert {r["doc_id"] for r in near} == {1, 21}
+    docs = [(r["doc_id"], r["text"]) for r in read("/root/testdata/sf0.01", "documents")]
+    near = C.near_dedup_stage(spark, documents(spark, docs), SF).collect()
+    assert {r["doc_id"] for r in near} == {i for i, (_, c) in near_components(docs, 80).items() if i == c}
