@@ -66,7 +66,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers, without special tokens added."""
-        words = [t.lower().split() for t in texts]
+        # special tokens are found before lower-casing: words that may hold one keep their spelling
+        words = [[w if b"<|" in w else w.lower() for w in t.split()] if b"<|" in t else t.lower().split()
+                 for t in texts]
         every: set[bytes] = set()
         for w in words:
             every.update(w)

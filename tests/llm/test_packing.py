@@ -124,3 +124,10 @@ def test_query_round_trip(spark):
             end += n
         assert end == len(want[i])
     assert sum(used.values()) > 0.995 * 4096 * len(used)
+
+
+def test_special_strings_count_in_their_own_spelling():
+    texts = ["<|ENDOFTEXT|>", "Ab <|EndOfText|>x C", "<|endoftext|>", "Ab<|endoftext|>CD É<|StartOfText|>Ü <|startoftext|>",
+             "<|endoftext|>", "A <| B |> <|ENDOFTEXT|>"]
+    got = P.WordEncoder(PATH).encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == encode(texts)
