@@ -36,7 +36,7 @@ def test_stages(spark):
     assert {r["doc_id"]: r["text"] for r in lines} == {i: t for i, (_, _, t) in want.items()}
     assert all(r["n_chars"] == len(r["text"]) for r in lines)
 
-    groups = near_components([(r["doc_id"], r["text"]) for r in lines])
+    groups = near_components([(r["doc_id"], r["text"]) for r in lines], 80)
     assert {r["doc_id"] for r in near} == {i for i, (_, c) in groups.items() if i == c}
 
     sizes = Counter()
