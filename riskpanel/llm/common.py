@@ -49,20 +49,26 @@ def shipped(df: DataFrame) -> DataFrame:
     return df
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """Make a folder (named by a UUID) under the shared checkpoint folder; it goes when the driver's file system closes."""
+    path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)  # a folder must be there to be marked
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage at files that outlive a lost executor. The folder has a
     name of its own (UUID) and goes when the driver's file system closes.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name) + "/table"
     schema = df.schema
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(schema).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def fold(doc_id: str | Column = "doc_id") -> Column:

@@ -13,196 +13,72 @@ length that a third of all pieces share is no single task.
 
 from __future__ import annotations
 
-import json
-import os
-import re
-import struct
-from bisect import bisect_right
-from functools import lru_cache
+import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel.llm.common import numbered, shipped, written
-
-#: Words, and parts of words, whose ids a Python worker remembers; beyond, it starts anew.
-CACHED_WORDS, CACHED_PARTS = 400_000, 700_000
-#: ASCII marks but the apostrophe; and runs of small letters that are not all ASCII.
-_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
-_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-
-
-class WordEncoder:
-    """Ids of texts by way of their words, each encoded once.
-
-    The tokenizer drops white space and never joins text across it, so a text's
-    ids are those of its words in turn. A word of small letters with marks
-    around it is cut by the tokenizer into marks, letters, marks; the letter
-    runs of many words are encoded in one call (with the file's own model and
-    byte mapping) and told apart by the tokens that end a word. All other words
-    go through the whole tokenizer one by one.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        marks_bytes = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        spec |= {"normalizer": None, "added_tokens": [],
-                 "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, marks_bytes]}}
-        self.letters = Tokenizer.from_str(json.dumps(spec))
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers, without special tokens added."""
-        # special tokens are found before lower-casing: words that may hold one keep their spelling
-        words = [[w if b"<|" in w else w.lower() for w in t.split()] if b"<|" in t else t.lower().split()
-                 for t in texts]
-        every: set[bytes] = set()
-        for w in words:
-            every.update(w)
-        new = every.difference(self.words)
-        if new:
-            if len(self.words) + len(new) > CACHED_WORDS:
-                self.words.clear()
-                new = every
-            self._learn(new)
-        known = self.words
-        return [b"".join([known[x] for x in w]) for w in words]
-
-    def _learn(self, new: set[bytes]) -> None:
-        if len(self.parts) > CACHED_PARTS:
-            self.parts = {b"": b""}
-        bare, marked, other = [], [], []
-        for w in new:
-            run = w.strip(_MARKS)
-            if not (run.isalpha() or _LETTERS.fullmatch(run)) or b"<|" in w:
-                other.append(w)
-            elif len(run) == len(w):
-                bare.append(w)
-            else:
-                at = w.index(run)
-                marked.append((w, w[:at], run, w[at + len(run):]))
-        runs = set(bare)
-        runs.update(m[2] for m in marked)
-        self._letter_runs(list(runs.difference(self.parts)))
-        marks = {x for m in marked for x in (m[1], m[3])}
-        self._one_by_one(list(marks.difference(self.parts)), self.parts)
-        parts = self.parts
-        for w in bare:
-            self.words[w] = parts[w]
-        for w, before, run, after in marked:
-            self.words[w] = parts[before] + parts[run] + parts[after]
-        self._one_by_one(other, self.words)
-
-    def _letter_runs(self, runs: list[bytes]) -> None:
-        for i in range(0, len(runs), 4000):
-            part = runs[i:i + 4000]
-            got = self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
-            ids = np.array(got, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(part):
-                self._one_by_one(part, self.parts)
-                continue
-            whole, start = ids.tobytes(), 0
-            for w, end in zip(part, (4 * last).tolist()):
-                self.parts[w] = whole[start:end]
-                start = end
-
-    def _one_by_one(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
-        for i in range(0, len(words), 4000):
-            part = words[i:i + 4000]
-            got = self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, got):
-                into[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-
-@lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
-    """One for each Python worker."""
-    return WordEncoder(path)
-
-
-#: Bytes of text encoded together.
-GROUP_BYTES = 2_000_000
-
-
-def _groups(sizes: np.ndarray, most: int):
-    """Runs of consecutive rows with about ``most`` bytes; a larger row is a run of its own."""
-    start, held = 0, 0
-    for r, n in enumerate(sizes.tolist()):
-        if held and held + n > most:
-            yield range(start, r)
-            start, held = r, 0
-        held += n
-    if start < len(sizes):
-        yield range(start, len(sizes))
-
+from riskpanel.llm.word_encoder import byte_sizes, groups, word_encoder
 
 def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = True,
-                  places: str | None = None) -> DataFrame:
+                  with_crc: bool = False, places: str | None = None) -> DataFrame:
     """Pieces of at most ``window`` ids: the input's other columns, then start, length, doc_tokens, ids.
 
     ``ids`` is binary (little-endian unsigned 32-bit). Each document ends with
     ``end_id``; a null or empty text has this id alone. All pieces but a
     document's last are full windows. ``text`` is replaced by the ids, which are
-    left out without ``with_ids``; input columns with the names of new columns
-    are dropped. ``places`` names a column with the (start, sequence_id, offset)
-    of the document's pieces in order: it is replaced by each piece's own
+    left out without ``with_ids``; ``with_crc`` adds their ids_crc32, computed
+    where they are made. Input columns with the names of new columns are
+    dropped. ``places`` names a column with the (start, sequence_id, offset) of
+    the document's pieces in order: it is replaced by each piece's own
     sequence_id and offset.
     """
     placed = ("sequence_id", "offset") if places else ()
-    new = ("start", "length", "doc_tokens", "ids", *placed)
-    keep = [f for f in docs.schema.fields if f.name not in ("text", places, *new)]
+    longs = ("start", "length", "doc_tokens", *placed, *(("ids_crc32",) if with_crc else ()))
+    keep = [f for f in docs.schema.fields if f.name not in ("text", places, "ids", *longs)]
     names = [f.name for f in keep]
-    longs = [T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", *placed)]
-    schema = T.StructType([*keep, *longs, *([T.StructField("ids", T.BinaryType())] if with_ids else [])])
-    end = end_id.to_bytes(4, "little")
-    step = 4 * window
-
-    def flush(batch, rows, *out):
-        cols = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(names))]
-        kinds = [pa.int64()] * len(longs) + ([pa.binary()] if with_ids else [])
-        return pa.RecordBatch.from_arrays([*cols, *[pa.array(x, k) for x, k in zip(out, kinds)]],
-                                          [f.name for f in schema.fields])
+    schema = T.StructType([*keep, *[T.StructField(n, T.LongType()) for n in longs],
+                           *([T.StructField("ids", T.BinaryType())] if with_ids else [])])
+    at_once = max(1, (2 << 20) // window)  # pieces of a batch: at most 8 MB of ids
+
+    def pieces_of(batch, first, n):
+        """All pieces of n rows, as columns, a bounded number at a time."""
+        ids, bounds = word_encoder(path).encode_column(batch.column(len(names)).slice(first, n), end_id)
+        tokens = np.diff(bounds)
+        times = -(-tokens // window)
+        row = np.repeat(np.arange(n), times)
+        start = (np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)) * window
+        length = np.minimum(window, tokens[row] - start)
+        begin = bounds[row] + start
+        if places:
+            own = batch.column(len(names) + 1).slice(first, n).flatten()
+        view = memoryview(ids).cast("B")
+        for a in range(0, len(row), at_once):
+            s = slice(a, a + at_once)
+            out = [batch.column(i).take(pa.array(first + row[s])) for i in range(len(names))]
+            out += [pa.array(x[s], pa.int64()) for x in (start, length, tokens[row])]
+            if places:
+                out += [own.field(x).slice(a, at_once).cast(pa.int64()) for x in placed]
+            ends = (begin + length)[s]
+            if with_crc:
+                out.append(pa.array([zlib.crc32(view[4 * x:4 * y]) for x, y in zip(begin[s].tolist(), ends.tolist())], pa.int64()))
+            if with_ids:
+                offsets = np.append(begin[s], ends[-1:]) - begin[a]
+                out.append(pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((4 * offsets).astype(np.int32)),
+                                                                          pa.py_buffer(ids[begin[a]:ends[-1]])]))
+            yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
 
     def run(batches):
-        encoder = word_encoder(path)
         for b in batches:
-            text = b.column(len(names))
-            size = pc.fill_null(pc.binary_length(text), 0).to_numpy()
-            for rows in _groups(size, GROUP_BYTES):
-                texts = [text[r].as_py() or b"" for r in rows]
-                none = lambda: [[] for _ in range(1 + len(longs) + with_ids)]
-                out, held = none(), 0
-                for r, ids in zip(rows, encoder.encode(texts)):
-                    ids += end
-                    own = b.column(len(names) + 1)[r].as_py() if places else None
-                    for k, at in enumerate(range(0, len(ids), step)):
-                        piece = ids[at:at + step]
-                        where = (own[k]["sequence_id"], own[k]["offset"]) if places else ()
-                        last = (piece,) if with_ids else ()
-                        for x, v in zip(out, (r, at // 4, len(piece) // 4, len(ids) // 4, *where, *last)):
-                            x.append(v)
-                        held += len(piece)
-                        if held > 8 << 20:
-                            yield flush(b, *out)
-                            out, held = none(), 0
-                if out[0]:
-                    yield flush(b, *out)
+            for first, n in groups(byte_sizes(b.column(len(names)))):
+                yield from pieces_of(b, first, n)
 
-    return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("binary").alias("text"),
+    return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("string").alias("text"),
                                 *([F.col(places)] if places else [])).mapInArrow(run, schema)
 
 
@@ -290,21 +166,17 @@ def place(pieces: DataFrame, window: int = 4096) -> DataFrame:
     ranked = numbered(pieces.drop(*clash), "length", order, "__rank")
     counts = {r["length"]: r["n"] for r in
               pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``window`` rows
-    by_length: dict[int, list] = {}
-    for length, a, b, first, offset in plan_best_fit(counts, window):
-        by_length.setdefault(length, []).append((a, first, offset))
-    starts = {k: [x[0] for x in v] for k, v in by_length.items()}
+    plan = np.array(sorted((length, a, first, offset) for length, a, _, first, offset in plan_best_fit(counts, window)),
+                    np.int64).reshape(-1, 4)
+    most = int(max(counts.values(), default=0)) + 1
 
     def find(batches):
+        keys = plan[:, 0] * most + plan[:, 1]  # stretches by length and first rank
         for b in batches:
-            lengths, ranks = b.column(0).to_pylist(), b.column(1).to_pylist()
-            seq, off = [], []
-            for n, r in zip(lengths, ranks):
-                a, first, offset = by_length[n][bisect_right(starts[n], r) - 1]
-                seq.append(first + r - a)
-                off.append(offset)
+            length, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            _, a, first, offset = plan[np.searchsorted(keys, length * most + rank, "right") - 1].T
             cols = [b.column(i) for i in range(2, b.num_columns)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(first + rank - a, pa.int64()), pa.array(offset, pa.int64())],
                                              [*b.schema.names[2:], "sequence_id", "offset"])
 
     rest = [c for c in ranked.columns if c != "__rank"]

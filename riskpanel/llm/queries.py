@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskpanel.llm import (approximate_neighbours, exact_topk, language_id, line_dedup, mixing, near_dedup, packing,
-                           sharding, token_counts, toxicity)
-from riskpanel.llm.common import fold, is_held_out, table
+                           sharding, token_counts, token_files, toxicity)
+from riskpanel.llm.common import fold, is_held_out, scratch_folder, table
 
 
 def _tokenizer(name: str) -> str:
@@ -118,12 +118,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens, with digests of their ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = packing.cut_documents(docs, _tokenizer("word_bpe_49k.json"), window=4096, end_id=2)
-    digests = packing.written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "piece-digests")
+    pieces = packing.cut_documents(docs, _tokenizer("word_bpe_49k.json"), window=4096, end_id=2, with_ids=False, with_crc=True)
+    digests = packing.written(pieces, "piece-digests")
     return packing.place(digests, 4096).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
                                                "offset")
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's token ids, read back from Arrow files of equal-length sequences."""
+    folder = scratch_folder(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write_token_files(docs, folder, _tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_files.read_documents(manifest, folder)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -132,5 +140,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_near_dedup, op3_sharding, op4_line_dedup, op5_toxicity, op6_token_counts, op7_exact_topk,
-    op8_neighbours, op9_mixing, op10_packing, pipeline)}
+    op8_neighbours, op9_mixing, op10_packing, op13_token_files, pipeline)}
 SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_exact_topk": OP7_SQL}

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from riskpanel.llm import packing as P
 from riskpanel.llm import queries
+from riskpanel.llm import word_encoder as W
 from riskpanel.llm.common import written
 from tests.llm.helpers import documents, read
 
@@ -69,9 +70,9 @@ def test_ids_equal_the_tokenizers(monkeypatch):
     texts = ["Hello, World! It's  a test.", "don't 's 're 'll", "a b c\u0085d", "<|endoftext|> x<|startoftext|>y", "ÉTÉ Ǆ ΣΑΣ ΟΔΟΣ",
              "a ́b é é", "tab\tnew\nline\x0b\x0c\r.", "!!! ?? ... ) a).", "(abc) [été]. ~x~ `y` a_b a^b", '"ça" ÷ a÷ ø- -ø ý ÿ. ß!', "日本語 テキスト", "\x1c\x1d a\x1fb", "", "x" * 3000, "１２ ½ ﬁ ẞ İ"]
     texts += [r["text"] for r in read(SF, "documents")[:200]]
-    monkeypatch.setattr(P, "CACHED_WORDS", 500)
-    monkeypatch.setattr(P, "CACHED_PARTS", 400)
-    encoder = P.WordEncoder(PATH)
+    monkeypatch.setattr(W, "CACHED_WORDS", 500)
+    monkeypatch.setattr(W, "CACHED_PARTS", 400)
+    encoder = W.WordEncoder(PATH)
     for _ in range(2):
         for at in range(0, len(texts), 7):
             part = texts[at:at + 7]
@@ -129,5 +130,5 @@ def test_query_round_trip(spark):
 def test_special_strings_count_in_their_own_spelling():
     texts = ["<|ENDOFTEXT|>", "Ab <|EndOfText|>x C", "<|endoftext|>", "Ab<|endoftext|>CD É<|StartOfText|>Ü <|startoftext|>",
              "<|endoftext|>", "A <| B |> <|ENDOFTEXT|>"]
-    got = P.WordEncoder(PATH).encode([t.encode() for t in texts])
+    got = W.WordEncoder(PATH).encode([t.encode() for t in texts])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == encode(texts)
