@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskpanel.llm import (approximate_neighbours, exact_topk, language_id, line_dedup, mixing, near_dedup, packing,
-                           sharding, token_counts, token_files, toxicity)
+                           sharding, token_counts, token_files, toxicity, whitening)
 from riskpanel.llm.common import fold, is_held_out, scratch_folder, table
 
 
@@ -124,6 +124,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "offset")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the four leading components of the distinct ones, whitened."""
+    w = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=4, scale=256)
+    return w.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place and checksum of every document's token ids, read back from Arrow files of equal-length sequences."""
     folder = scratch_folder(spark, "token-files")
@@ -140,5 +146,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_near_dedup, op3_sharding, op4_line_dedup, op5_toxicity, op6_token_counts, op7_exact_topk,
-    op8_neighbours, op9_mixing, op10_packing, op13_token_files, pipeline)}
+    op8_neighbours, op9_mixing, op10_packing, op12_whitening, op13_token_files, pipeline)}
 SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_exact_topk": OP7_SQL}
