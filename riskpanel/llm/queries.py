@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskpanel.llm import (approximate_neighbours, exact_topk, language_id, line_dedup, mixing, near_dedup, packing,
+from riskpanel.llm import (approximate_neighbours, collocations, exact_topk, language_id, line_dedup, mixing, near_dedup, packing,
                            sharding, token_counts, token_files, toxicity, whitening)
 from riskpanel.llm.common import fold, is_held_out, scratch_folder, table
 
@@ -124,6 +124,44 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "offset")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of every language, by the weakest of their cuts."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents").select("lang", "text"), least=10, max_words=3, top=2000)
+
+
+OP11_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from pieces),
+total as (select lang, cast(sum(len(ws)) as bigint) as n from words group by lang),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) as w
+  from words, (values (1), (2), (3)) as sizes(k) where len(ws) >= k),
+counts as (select lang, w, cast(count(*) as bigint) as f from grams group by lang, w having count(*) >= 10),
+phrases as (select lang, w, f as a from counts where len(w) > 1),
+inside as (
+  select lang, w, max(a) as longer from (
+    select lang, a, unnest([w[1:2], w[2:3]]) as w from phrases where len(w) = 3) group by lang, w),
+kept as (
+  select p.lang, p.w, p.a from phrases p left join inside i on p.lang = i.lang and p.w = i.w
+  where i.longer is null or 100 * i.longer < 50 * p.a),
+cuts as (
+  select p.lang, p.w, p.a, k, l.f as l, r.f as r,
+         cast((cast(1000000 as hugeint) * p.a * p.a) // (cast(l.f as hugeint) * r.f) as bigint) as score
+  from (select *, unnest(range(1, len(w))) as k from kept) p
+  join counts l on l.lang = p.lang and l.w = p.w[1:k]
+  join counts r on r.lang = p.lang and r.w = p.w[k + 1:]),
+lowest as (select *, row_number() over (partition by lang, w order by score, k) as o from cuts),
+ranked as (
+  select lang, array_to_string(w, ' ') as phrase, a, l, r, score,
+         row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(w, ' '))) as rank
+  from lowest where o = 1)
+select x.lang, rank, phrase, a, l, r, n, score from ranked x join total t on x.lang = t.lang where rank <= 2000
+"""
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding along the four leading components of the distinct ones, whitened."""
     w = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=4, scale=256)
@@ -146,5 +184,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_near_dedup, op3_sharding, op4_line_dedup, op5_toxicity, op6_token_counts, op7_exact_topk,
-    op8_neighbours, op9_mixing, op10_packing, op12_whitening, op13_token_files, pipeline)}
-SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_exact_topk": OP7_SQL}
+    op8_neighbours, op9_mixing, op10_packing, op11_collocations,
+    op12_whitening, op13_token_files, pipeline)}
+SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_exact_topk": OP7_SQL,
+                       "op11_collocations": OP11_SQL}
