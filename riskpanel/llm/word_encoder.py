@@ -1,9 +1,10 @@
 """Token ids of many texts by way of their distinct words.
 
-The tokenizer drops white space and never joins text across it, so a text's ids
-are those of its words in turn. A batch of texts is split and its words are
-numbered in Arrow; only words that the worker has not met are tokenized, and
-the ids of all words are gathered in one step.
+The tokenizer drops white space and never joins text across it, nor an ASCII
+mark and an ASCII letter or digit beside it. So the bytes of a batch of texts
+are cut at these places and the cuts numbered, all in numpy and Arrow; only
+words that the worker has not met are tokenized, and the ids of all words are
+gathered in one step.
 """
 
 from __future__ import annotations
@@ -18,24 +19,53 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words, and parts of words, whose ids a Python worker remembers; beyond, it starts anew.
-CACHED_WORDS, CACHED_PARTS = 400_000, 700_000
+#: Words whose ids a Python worker remembers; beyond, it starts anew.
+CACHED_WORDS = 700_000
 #: Bytes of text encoded together.
 GROUP_BYTES = 4_000_000
-#: ASCII marks but the apostrophe; and runs of small letters that are not all ASCII.
-_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+#: Runs of small letters that are not all ASCII.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_SPACE, _MARK, _ALNUM, _OTHER = range(4)
+#: Class of each byte: ASCII white space, marks but the apostrophe, letters and digits; all else.
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = _MARK
+_CLASS[[c for c in range(128) if chr(c).isalnum()]] = _ALNUM
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Is there a cut between neighbours of these classes (4 x the first + the second)?
+_AT_SPACE = np.array([(a == _SPACE) != (b == _SPACE) for a in range(4) for b in range(4)])
+_CUT = _AT_SPACE | np.array([{a, b} == {_MARK, _ALNUM} for a in range(4) for b in range(4)])
+
+
+def _cuts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, firsts): the cuts of all texts in turn (white space included), those of text i from firsts[i] on.
+
+    A-Z are lower-cased, except where a special token may stand in the texts:
+    those are found before lower-casing, and words are then cut at white space only.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+    bounds = bounds - bounds[0]
+    special = data.tobytes().find(b"<|") >= 0
+    if not special:
+        data = _LOWER[data]
+    kind = _CLASS[data]
+    cut = np.ones(len(data) + 1, bool)
+    cut[1:-1] = (_AT_SPACE if special else _CUT)[4 * kind[:-1] + kind[1:]]
+    cut[bounds] = True
+    offsets = np.flatnonzero(cut)
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return words, np.searchsorted(offsets, bounds)
 
 
 class WordEncoder:
     """Ids of texts, each distinct word encoded once.
 
-    A word of small letters with marks around it is cut by the tokenizer into
-    marks, letters, marks; the letter runs of many words are encoded in one call
-    (with the file's own model and byte mapping) and told apart by the tokens
-    that end a word. All other words go through the whole tokenizer one by one.
-    Special tokens are found before lower-casing, so words that may hold one
-    keep their spelling.
+    Runs of small letters are encoded many in one call (with the file's own
+    model and byte mapping) and told apart by the tokens that end a word. All
+    other words go through the whole tokenizer one by one.
     """
 
     def __init__(self, path: str):
@@ -52,25 +82,24 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
 
     def encode_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of all texts (a string column; null: empty) in turn, as little-endian unsigned
         32-bit numbers, those of text i at offsets[i] up to offsets[i + 1]; each text ends with ``end_id`` if given."""
-        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-        counts = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
-        coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        words, firsts = _cuts(texts)
+        coded = words.dictionary_encode()
+        at = np.frombuffer(coded.dictionary.buffers()[1], np.int64, len(coded.dictionary) + 1).tolist()
+        raw = (coded.dictionary.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
         new = [w for w in distinct if w not in self.words]
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words.clear()
             new = distinct
         self._learn(new)
-        ids_of = pa.array([self.words[w] for w in distinct], pa.large_binary())
-        gathered = ids_of.take(coded.indices)
-        bounds = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1) if len(gathered) else np.zeros(1, np.int64)
-        ids = np.frombuffer(gathered.buffers()[2], "<u4") if bounds[-1] else np.zeros(0, "<u4")
-        offsets = bounds[np.concatenate([[0], np.cumsum(counts)])] // 4
+        gathered = pa.array([self.words[w] for w in distinct], pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1) if len(gathered) else np.zeros(1, np.int64)
+        ids = np.frombuffer(gathered.buffers()[2], "<u4") if ends[-1] else np.zeros(0, "<u4")
+        offsets = ends[firsts] // 4
         if end_id is not None:
             ids = np.insert(ids[:offsets[-1]], offsets[1:], np.uint32(end_id))
             offsets = offsets + np.arange(len(offsets))
@@ -82,32 +111,16 @@ class WordEncoder:
         return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.parts) > CACHED_PARTS:
-            self.parts = {b"": b""}
-        plain = {w: w if b"<|" in w else w.lower() for w in new}
-        bare, marked, other = [], [], []
-        for w in {x for x in plain.values() if x not in self.words}:
-            run = w.strip(_MARKS)
-            if not (run.isalpha() or _LETTERS.fullmatch(run)) or b"<|" in w:
-                other.append(w)
-            elif len(run) == len(w):
-                bare.append(w)
+        letters, other = [], []
+        for w in new:
+            if w.isspace():
+                self.words[w] = b""
+            elif w.islower() and (w.isalpha() or _LETTERS.fullmatch(w)):
+                letters.append(w)
             else:
-                at = w.index(run)
-                marked.append((w, w[:at], run, w[at + len(run):]))
-        runs = set(bare)
-        runs.update(m[2] for m in marked)
-        self._letter_runs(list(runs.difference(self.parts)))
-        marks = {x for m in marked for x in (m[1], m[3])}
-        self._one_by_one(list(marks.difference(self.parts)), self.parts)
-        parts = self.parts
-        for w in bare:
-            self.words[w] = parts[w]
-        for w, before, run, after in marked:
-            self.words[w] = parts[before] + parts[run] + parts[after]
-        self._one_by_one(other, self.words)
-        for w, low in plain.items():
-            self.words[w] = self.words[low]
+                other.append(w)
+        self._letter_runs(letters)
+        self._one_by_one(other)
 
     def _letter_runs(self, runs: list[bytes]) -> None:
         for i in range(0, len(runs), 4000):
@@ -116,19 +129,19 @@ class WordEncoder:
             ids = np.array(got, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(part):
-                self._one_by_one(part, self.parts)
+                self._one_by_one(part)
                 continue
             whole, start = ids.tobytes(), 0
             for w, end in zip(part, (4 * last).tolist()):
-                self.parts[w] = whole[start:end]
+                self.words[w] = whole[start:end]
                 start = end
 
-    def _one_by_one(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+    def _one_by_one(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 4000):
             part = words[i:i + 4000]
             got = self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for w, e in zip(part, got):
-                into[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                self.words[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
 
 @lru_cache(maxsize=1)
