@@ -3,7 +3,7 @@
 Documents are encoded in ascending order of their ids, one range of ids per
 task, and each task streams its token ids into one file of the Arrow IPC file
 format: batches of ``BATCH`` rows with two fixed-size-list columns, ``ids`` and
-``mask`` (1 for a token, 0 for the padding at the end of the file's last
+``mask`` (true for a token, false for the padding at the end of the file's last
 sequence). The values of a batch lie in one buffer, so sequence i is a slice of
 batch i // BATCH, and a memory-mapped file gives any of them without reading
 the others. A second file beside it says where each document lies.
@@ -26,6 +26,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from riskpanel.llm.common import parallelism, shipped, written
 from riskpanel.llm.word_encoder import byte_sizes, groups, word_encoder
@@ -46,24 +47,24 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def sequence_schema(length: int, end_id: int) -> pa.Schema:
-    """Schema of a token file; its metadata hold the sequence length and the end id."""
-    return pa.schema([pa.field("ids", pa.list_(pa.field("item", pa.uint32(), False), length), False),
-                      pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False)],
+def sequence_schema(length: int, end_id: int, kind: pa.DataType) -> pa.Schema:
+    """Schema of a token file with ids of type ``kind``; its metadata hold the sequence length and the end id."""
+    return pa.schema([pa.field("ids", pa.list_(pa.field("item", kind, False), length), False),
+                      pa.field("mask", pa.list_(pa.field("item", pa.bool_(), False), length), False)],
                      {"length": str(length), "end_id": str(end_id)})
 
 
 class TokenWriter:
     """One token file and its document file, written in batches of bounded size."""
 
-    def __init__(self, folder: str, name: str, length: int, end_id: int):
+    def __init__(self, folder: str, name: str, length: int, end_id: int, kind: pa.DataType):
         self.fs, base = file_system(folder)
         self.names = f"{base}/tokens-{name}.arrow", f"{base}/documents-{name}.arrow"
-        self.length, self.schema = length, sequence_schema(length, end_id)
+        self.length, self.schema = length, sequence_schema(length, end_id, kind)
         self.streams = [self.fs.open_output_stream(n) for n in self.names]
         self.tokens = pa.ipc.new_file(self.streams[0], self.schema)
         self.places = pa.ipc.new_file(self.streams[1], _PLACES)
-        self.held = np.empty(BATCH * length, "<u4")
+        self.held = np.empty(BATCH * length, kind.to_pandas_dtype())
         self.fill = self.written = self.docs = self.sequences = 0
 
     def add(self, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> None:
@@ -84,11 +85,10 @@ class TokenWriter:
         rows = -(-self.fill // self.length)
         size = rows * self.length
         self.held[self.fill:size] = 0
-        mask = np.zeros(size, np.uint8)
-        mask[:self.fill] = 1
+        mask = pa.Array.from_buffers(pa.bool_(), size, [None, pa.py_buffer(np.packbits(np.arange(size) < self.fill, bitorder="little"))])
         self.tokens.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(v), type=f.type)
-             for v, f in zip((self.held[:size], mask), self.schema)], schema=self.schema))
+            [pa.FixedSizeListArray.from_arrays(v, type=f.type)
+             for v, f in zip((pa.array(self.held[:size]), mask), self.schema)], schema=self.schema))
         self.written, self.fill, self.sequences = self.written + self.fill, 0, self.sequences + rows
 
     def close(self) -> tuple[str, str, int, int, int]:
@@ -111,17 +111,17 @@ class TokenFile:
         self.length = int(self.reader.schema.metadata[b"length"])
         self._at, self._values = -1, ()
 
-    def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, k: int) -> tuple[np.ndarray, pa.Array]:
         if k != self._at:
             b = self.reader.get_batch(k)
-            self._at, self._values = k, tuple(b.column(i).flatten().to_numpy() for i in (0, 1))
+            self._at, self._values = k, (b.column(0).flatten().to_numpy(), b.column(1).flatten())
         return self._values
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i: views of the file's buffers."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence i: views of the file's buffers (a mask is a bit for each id)."""
         ids, mask = self._batch(i // BATCH)
-        s = slice(i % BATCH * self.length, (i % BATCH + 1) * self.length)
-        return ids[s], mask[s]
+        at = i % BATCH * self.length
+        return ids[at:at + self.length], mask.slice(at, self.length)
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The n ids from ``start`` on: views, one for each batch they lie in."""
@@ -146,7 +146,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     document file, n_docs, n_sequences, n_tokens (padding not counted). A range
     without documents, and so an empty table, has no file. ``folder`` must be
     shared by all executors (a path or URI that pyarrow opens); it is made if missing.
+    Ids are stored in 16 bits where the tokenizer's vocabulary and ``end_id`` allow it, else in 32.
     """
+    top = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values())
+    kind = pa.uint16() if top < 1 << 16 else pa.uint32()
     fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
 
@@ -158,7 +161,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                 ids, bounds = word_encoder(tokenizer).encode_column(text.slice(first, n), end_id)
                 if writer is None:
                     part = TaskContext.get().partitionId()
-                    writer = TokenWriter(folder, f"{part:06d}-{uuid.uuid4().hex}", length, end_id)
+                    writer = TokenWriter(folder, f"{part:06d}-{uuid.uuid4().hex}", length, end_id, kind)
                 writer.add(b.column(0).slice(first, n), ids, bounds)
         if writer is not None:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(
@@ -196,11 +199,11 @@ def read_documents(manifest: DataFrame, folder: str, with_ids: bool = False) ->
                     for i, (start, n) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                         c, views = 0, list(tokens.ids(start, n))
                         for v in views:
-                            c = zlib.crc32(v, c)
+                            c = zlib.crc32(v.astype("<u4"), c)
                         crc.append(c)
                         held += 4 * n if with_ids else 0
                         if with_ids:
-                            ids.append(b"".join(v.tobytes() for v in views))
+                            ids.append(b"".join(v.astype("<u4").tobytes() for v in views))
                         if held > 8 << 20 or i + 1 == part.num_rows:
                             m = i + 1 - done
                             out = [part.column(0).slice(done, m),
@@ -220,7 +223,7 @@ def read_documents(manifest: DataFrame, folder: str, with_ids: bool = False) ->
 
 
 def read_sequences(manifest: DataFrame, folder: str) -> DataFrame:
-    """(part, sequence, ids array<long>, mask array<tinyint>): all sequences, numbered within their file."""
+    """(part, sequence, ids array<long>, mask array<boolean>): all sequences, numbered within their file."""
     def run(batches):
         for b in batches:
             for part, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -232,9 +235,9 @@ def read_sequences(manifest: DataFrame, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part] * n, pa.int32()), pa.array(np.arange(n) + k * BATCH, pa.int64()),
                          pa.ListArray.from_arrays(at, got.column(0).flatten().cast(pa.int64())),
-                         pa.ListArray.from_arrays(at, got.column(1).flatten().cast(pa.int8()))],
+                         pa.ListArray.from_arrays(at, got.column(1).flatten())],
                         ["part", "sequence", "ids", "mask"])
                 f.close()
 
     return shipped(manifest).select("part", "tokens").repartition(max(1, manifest.count())) \
-        .mapInArrow(run, "part int, sequence long, ids array<long>, mask array<tinyint>")
+        .mapInArrow(run, "part int, sequence long, ids array<long>, mask array<boolean>")

@@ -44,7 +44,7 @@ def test_files_hold_equal_sequences_and_masks(spark, monkeypatch):
         file = F.TokenFile(folder, r["tokens"])
         for s in own:
             ids, mask = file.sequence(s["sequence"])
-            assert ids.tolist() == s["ids"] and mask.tolist() == s["mask"] and len(ids) == 8
+            assert ids.tolist() == s["ids"] and mask.to_pylist() == s["mask"] and len(ids) == 8
             assert not ids.flags.owndata and ids.base is not None  # a view of the mapped file
         flat = [i for s in own for i, m in zip(s["ids"], s["mask"]) if m]
         assert len(flat) == r["n_tokens"] and [m for s in own for m in s["mask"]] == [1] * len(flat) + [0] * (8 * len(own) - len(flat))
