@@ -59,6 +59,26 @@ def q_read_facilities_csv(t):
     return _csv_roundtrip(t, "health_facilities", t.facilities)
 
 
+@register("read_csv_line_breaks", "S6", """
+SELECT facility_code, facility_name || chr(10) || 'Annex "B", ' || repeat(facility_code, 400) AS facility_name,
+       length(facility_name || chr(10) || 'Annex "B", ' || repeat(facility_code, 400)) AS name_length FROM health_facilities
+UNION ALL SELECT 'rejected', 'stray', (SELECT count(*) FROM health_facilities WHERE id % 3 = 0)""")
+def q_read_csv_line_breaks(t):
+    """Facilities whose names hold line breaks, doubled quotes, commas and thousands of
+    characters, with broken records between them: names read, records rejected."""
+    path = scratch_path(t.spark, "facilities-line-breaks")
+    name = F.concat("facility_name", F.lit('\nAnnex "B", '), F.repeat("facility_code", F.lit(400)))
+    quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+    cols = [n for n, _ in Fs.CSV_LAYOUTS["health_facilities"]]
+    line = F.concat_ws(",", *[quoted if c == "facility_name" else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    broken = F.when(F.col("id") % 3 == 0, F.concat(F.lit("\nstray,"), "facility_code", F.lit(",only,four"))).otherwise("")
+    t.facilities.select(F.concat(line, broken)).write.text(path)
+    good, bad = Fs.read_facilities_csv(t.spark, path)
+    return good.select("facility_code", "facility_name", F.length("facility_name").cast("long").alias("name_length")).unionByName(
+        bad.agg(F.lit("rejected").alias("facility_code"), F.min(F.substring_index("_corrupt_record", ",", 1)).alias("facility_name"),
+                F.count(F.lit(1)).alias("name_length")))
+
+
 D_RAIN = minus(CASES_AS_OF, 100)
 D_TEMP = minus(CASES_AS_OF, 400)
 
@@ -177,21 +197,21 @@ def q_read_districts_geojson(t):
     return Fs.read_districts_geojson(t.spark, path)
 
 
-@register("append_rows_checked", "S9", f"""
+@register("append_rows_checked", "S9", """
 WITH n_ AS (SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN 'NOPE' WHEN id % 11 = 0 THEN repeat('x', 30)
-                              ELSE district_code END AS district_code) FROM cases WHERE case_date >= DATE '{R30}')
+                              ELSE district_code END AS district_code) FROM cases)
 SELECT case_id, district_code, 'stored' AS result FROM n_ WHERE district_code IN (SELECT district_code FROM districts)
   AND (facility_code IS NULL OR facility_code IN (SELECT facility_code FROM health_facilities))
 UNION ALL
 SELECT case_id, district_code, 'rejected' FROM n_ WHERE NOT (district_code IN (SELECT district_code FROM districts)
   AND (facility_code IS NULL OR facility_code IN (SELECT facility_code FROM health_facilities)))""")
 def q_append_rows_checked(t):
-    """Recent cases, some given an unknown or too long district, appended with foreign
+    """All cases, some given an unknown or too long district, appended with foreign
     keys and widths checked: what is stored and what is rejected."""
     path = scratch_path(t.spark, "cases-append-fk")
     code = F.when(F.col("id") % 7 == 0, "NOPE").when(F.col("id") % 11 == 0, F.repeat(F.lit("x"), 30)) \
         .otherwise(F.col("district_code"))
-    new = t.cases.filter(F.col("case_date") >= F.lit(R30).cast("date")).withColumn("district_code", code)
+    new = t.cases.withColumn("district_code", code)
     bad = Fs.append_rows(new, path, "cases", None, {"districts": t.districts, "health_facilities": t.facilities})
     stored = t.spark.read.parquet(path)
     return stored.select("case_id", "district_code", F.lit("stored").alias("result")).unionByName(

@@ -83,9 +83,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
-    # the folder goes when the driver's file system closes
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    folder = os.path.join(base, "tables", uuid.uuid4().hex)
+    # the folder goes when the driver's file system closes (it must be there to be marked)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return os.path.join(folder, name)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from riskpanel import schemas
 from riskpanel.functions.scalar import ntz_lit
+from riskpanel.sources.records import read_records
 
 S, I, D, DT, B = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.BooleanType()
 
@@ -51,26 +52,27 @@ def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, Dat
     """CSV with header and the table's fixed layout.
     Returns (good rows, rejected rows with the raw record in _corrupt_record).
 
-    Each record is read as one line of text and split by ``from_csv`` into text
-    fields plus two spare ones; every field is then tested with ``try_cast``.
-    A record with a field too few or too many, a value its column cannot hold,
-    or a missing required value is rejected. Both frames are plain lazy plans
-    over the file (no copy is made), and since the test is part of the filter it
-    is not pruned away when few columns are read. Records are single lines; the
-    header line is left out."""
+    Each record (``read_records``: quoted fields may hold line breaks, and are of
+    any length) is split by ``from_csv`` into text fields plus a spare one;
+    every field is then tested with ``try_cast``. A quote within a quoted field
+    is doubled. A record with a field too few or too many, a value its column
+    cannot hold, or a missing required value is rejected. Both frames are lazy
+    plans over the file (no copy is made), and since the test is part of the
+    filter it is not pruned away when few columns are read. The header is left out."""
     layout = CSV_LAYOUTS[table]
     names = [n for n, _ in layout]
     fields = T.StructType([T.StructField(n, S, True) for n in names] + [T.StructField("_spare", S, True)])
     # with a quote never closed or too many fields the last column swallows or drops text: count fields apart
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = read_records(spark, path).filter(F.trim("value") != "")
     parsed = lines.select("value", F.from_csv("value", fields.simpleString()[len("struct<"):-1].replace(":", " "),
-                                              {"mode": "PERMISSIVE", "quote": '"'}).alias("r"))
+                                              {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}).alias("r"))
     is_header = F.lit(True)
     for n in names:
         is_header = is_header & (F.lower(F.trim(F.col("r")[n])) == n)
     parsed = parsed.filter(~F.coalesce(is_header, F.lit(False)))
-    n_fields = F.size(F.split(F.regexp_replace("value", '"([^"]|"")*"', "q"), ",", -1))
-    bad = n_fields != len(names)
+    n_fields = F.size(F.split(F.regexp_replace("value", '"[^"]*"', "q"), ",", -1))  # a doubled quote: two runs
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    bad = (n_fields != len(names)) | (quotes % 2 == 1)
     typed = {}
     for n, t in layout:
         raw = F.col("r")[n]
