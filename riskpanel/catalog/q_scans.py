@@ -197,6 +197,22 @@ def q_read_districts_geojson(t):
     return Fs.read_districts_geojson(t.spark, path)
 
 
+@register("read_geojson_one_file", "S7", """
+SELECT district_code, district_name || ' "}],[{ ' || chr(10) AS district_name, region, population, geometry FROM districts""")
+def q_read_geojson_one_file(t):
+    """All districts in one FeatureCollection without line breaks, their names full of
+    brackets and quotes, read by several tasks."""
+    path = scratch_path(t.spark, "districts-one-geojson")
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(
+        "district_code", F.concat("district_name", F.lit(' "}],[{ \n')).alias("district_name"), "region", "population").alias("properties"),
+        F.col("geometry").alias("geometry"))
+    # one text file needs one row; the districts are a dimension table
+    t.districts.select(F.to_json(feature).alias("f")).agg(F.concat(
+        F.lit('{"type":"FeatureCollection","crs":{"features":[{"type":"no"}]},"features":['),
+        F.concat_ws(",", F.collect_list("f")), F.lit('],"bbox":[0,1]}')).alias("value")).write.text(path)
+    return Fs.read_districts_geojson(t.spark, path)
+
+
 @register("append_rows_checked", "S9", """
 WITH n_ AS (SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN 'NOPE' WHEN id % 11 = 0 THEN repeat('x', 30)
                               ELSE district_code END AS district_code) FROM cases)

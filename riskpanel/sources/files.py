@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from riskpanel import schemas
 from riskpanel.functions.scalar import ntz_lit
+from riskpanel.sources.features import read_features
 from riskpanel.sources.records import read_records
 
 S, I, D, DT, B = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.BooleanType()
@@ -130,15 +131,13 @@ def read_districts_geojson(spark: SparkSession, path: str) -> DataFrame:
 
     The schema is fixed, so the columns do not vary with the file and no
     inference job runs: a missing property is null. A FeatureCollection is one
-    JSON document, so one task parses a file; many files are parsed in parallel."""
+    JSON document; ``read_features`` cuts even a single large one in parallel."""
     props = T.StructType([T.StructField("district_code", S), T.StructField("district_name", S),
                           T.StructField("region", S), T.StructField("population", T.LongType())])
     feature = T.StructType([T.StructField("properties", props), T.StructField("geometry", S)])
-    doc = spark.read.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])) \
-        .option("multiLine", True).json(path)
-    return doc.select(F.explode("features").alias("f")).select(
-        "f.properties.district_code", "f.properties.district_name", "f.properties.region",
-        F.col("f.properties.population").cast("int").alias("population"), "f.geometry")
+    doc = read_features(spark, path).select(F.from_json("value", feature).alias("f"))
+    return doc.select("f.properties.district_code", "f.properties.district_name", "f.properties.region",
+                      F.col("f.properties.population").cast("int").alias("population"), "f.geometry")
 
 
 def scan_table(spark: SparkSession, path: str, district_code: str | None = None) -> DataFrame:

@@ -70,6 +70,34 @@ def test_geojson_districts(spark, tmp_dir):
     assert [x.region for x in rows.collect()] == ["Upland", None]
 
 
+def test_one_geojson_file_in_several_tasks(spark, tmp_dir):
+    import random
+    r = random.Random(2)
+    odd = ["}", "{", "[", "]", '"', "\\", "\\\\", '\\"', "features", '"features":[{', "\n", "é"]
+    features = [{"type": "Feature", "properties": {"district_code": "".join(r.choice(odd) for _ in range(r.randrange(9))),
+                                                   "district_name": str(i), "extra": [{"features": [{"a": 1}]}] * r.randrange(3)},
+                 "geometry": {"type": "Polygon", "coordinates": [[[i, j] for j in range(r.choice([1, 2, 60]))]], "m": {}}}
+                for i in range(60)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        for case, (indent, ascii_) in enumerate([(None, True), (1, False)]):
+            docs = [{"type": "FeatureCollection", "crs": {"features": [{"properties": {"district_name": "no"}}]},
+                     "other": [{"properties": {}}], "features": features[:50], "bbox": [1, {"features": [{}]}]},
+                    {"features": features[50:], "last": [{"properties": {}}]}, {"features": []}]
+            folder = os.path.join(tmp_dir, f"g{case}")
+            for k, d in enumerate(docs):
+                _write(os.path.join(folder, f"{k}.geojson"), json.dumps(d, indent=indent, ensure_ascii=ascii_))
+            for size in ("300b", "64m"):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+                spark.conf.set("spark.sql.files.openCostInBytes", "0")
+                got = {x.district_name: (x.district_code, json.loads(x.geometry)) for x in
+                       Fs.read_districts_geojson(spark, folder).collect()}
+                assert got == {f["properties"]["district_name"]: (f["properties"]["district_code"], f["geometry"]) for f in features}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
 def test_ingest_json_defaults_and_rejects(spark):
     recs = spark.createDataFrame([
         ('{"case_id":"C1","district_code":"Q01","case_date":"2024-01-15"}',),
