@@ -110,20 +110,20 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def candidate_stars(classes: DataFrame) -> DataFrame:
-    """Edges (u, v) that join all classes sharing a table key, from (rep, half_a, half_b)."""
-    halves = classes.select("rep", F.explode("half_a").alias("h"), F.lit(True).alias("first")).unionByName(
-        classes.select("rep", F.explode("half_b").alias("h"), F.lit(False).alias("first")))
+    """Edges (u, v) that join all classes sharing a table key, from (node, half_a, half_b)."""
+    halves = classes.select("node", F.explode("half_a").alias("h"), F.lit(True).alias("first")).unionByName(
+        classes.select("node", F.explode("half_b").alias("h"), F.lit(False).alias("first")))
     halves = written(halves, "near-halves")
     shared = halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    sides = (halves.join(shared, "h", "left_semi").groupBy("rep")
+    sides = (halves.join(shared, "h", "left_semi").groupBy("node")
              .agg(F.collect_list(F.when(F.col("first"), F.col("h"))).alias("a"),
                   F.collect_list(F.when(~F.col("first"), F.col("h"))).alias("b")))
-    keys = written(sides.select("rep", F.explode("a").alias("a"), "b")
-                   .select("rep", "a", F.explode("b").alias("b"))
-                   .select("rep", F.xxhash64("a", "b").alias("key")), "near-keys")
-    centre = keys.groupBy("key").agg(F.min("rep").alias("v"), F.count(F.lit(1)).alias("n")) \
+    keys = written(sides.select("node", F.explode("a").alias("a"), "b")
+                   .select("node", "a", F.explode("b").alias("b"))
+                   .select("node", F.xxhash64("a", "b").alias("key")), "near-keys")
+    centre = keys.groupBy("key").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")) \
         .filter("n > 1").select("key", "v")
-    return keys.join(centre, "key").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+    return keys.join(centre, "key").filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
 def similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -183,8 +183,8 @@ def spanning(link: np.ndarray) -> np.ndarray:
 
 def _verify(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep").drop_duplicates("rep")
-        ids = pdf["rep"].to_numpy()
+        pdf = pdf.sort_values("node").drop_duplicates("node")  # a class whose words several rows of its least id have
+        ids = pdf["node"].to_numpy()
         label = spanning(similar([np.asarray(s, np.int64).view(np.uint64) for s in pdf["s"]], percent))
         moved = label != np.arange(len(label))
         return pd.DataFrame({"u": ids[moved], "v": ids[label[moved]]})
@@ -192,31 +192,31 @@ def _verify(percent: int):
 
 
 def _sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """members (rep, c1, c2, jobs) with their shingle set s, read from the texts once more."""
+    """members (node, rep, c1, c2, jobs) with their shingle set s, read once more from the texts of document rep."""
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                rep, jobs, sets = [], [], []
+                node, jobs, sets = [], [], []
                 for r, t, c1, c2, j in zip(*[c for c in part.columns]):
                     words = words_of(t.as_py()) if t.is_valid else []
                     digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.int64)
                     if (digest[0], digest[1]) == (c1.as_py(), c2.as_py()):
-                        rep.append(r.as_py())
+                        node.append(r.as_py())
                         jobs.append(j.as_py())
                         sets.append(shingles(words).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep, pa.int64()), pa.array(jobs, pa.list_(pa.string())),
-                     pa.array(sets, pa.list_(pa.int64()))], ["rep", "jobs", "s"])
+                    [pa.array(node, pa.int64()), pa.array(jobs, pa.list_(pa.string())),
+                     pa.array(sets, pa.list_(pa.int64()))], ["node", "jobs", "s"])
 
     text = shipped(docs).select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text"))
     # members grow with the input, so the join shuffles at every size instead of turning into a broadcast at some
-    return text.join(members.hint("merge"), "rep").select("rep", "text", "c1", "c2", "jobs") \
-        .mapInArrow(run, "rep long, jobs array<string>, s array<long>")
+    return text.join(members.hint("merge"), "rep").select("node", "text", "c1", "c2", "jobs") \
+        .mapInArrow(run, "node long, jobs array<string>, s array<long>")
 
 
 def comparison_jobs(members: DataFrame, percent: int) -> DataFrame:
-    """Add ``jobs``: names of the block comparisons each (rep, n, cluster) takes part in.
+    """Add ``jobs``: names of the block comparisons each (node, n, cluster) takes part in.
 
     Small clusters share comparisons. A large one is cut by set size into
     layers so wide that linked sets lie in the same layer or in neighbours,
@@ -238,14 +238,14 @@ def comparison_jobs(members: DataFrame, percent: int) -> DataFrame:
         near = near.join(blocks.select("cluster", (F.col("layer") - step).alias("layer"),
                                        F.col("blocks").alias(name)), ["cluster", "layer"], "left")
     near = written(near, "near-blocks")  # plain tables on both sides: a hot layer's partition can be split
-    big = big.join(near, ["cluster", "layer"]).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("b0")))
+    big = big.join(near, ["cluster", "layer"]).withColumn("i", F.pmod(F.xxhash64("node"), F.col("b0")))
     own = F.expr("""transform(sequence(0L, b0 - 1), j -> concat_ws(':', cluster, layer, least(i, j), layer, greatest(i, j)))""")
     up = F.expr("""case when b1 is null then array() else
         transform(sequence(0L, b1 - 1), j -> concat_ws(':', cluster, layer, i, layer + 1, j)) end""")
     down = F.expr("""case when b_1 is null then array() else
         transform(sequence(0L, b_1 - 1), j -> concat_ws(':', cluster, layer - 1, j, layer, i)) end""")
     big = big.withColumn("jobs", F.concat(own, up, down))
-    cols = ["rep", "c1", "c2", "jobs"]
+    cols = ["node", "rep", "c1", "c2", "jobs"]
     return small.select(*cols).unionByName(big.select(*cols))
 
 
@@ -263,19 +263,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     sig = written(signatures(docs), "near-signatures")
     some = sig.filter("n_shingles > 0")
+    # a class has a number of its own: an id with two texts is the least of two classes
     classes = written(some.filter("doc_id is not null").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("half_a").alias("half_a"), F.first("half_b").alias("half_b")), "near-classes")
+        F.first("half_a").alias("half_a"), F.first("half_b").alias("half_b"))
+        .withColumn("node", F.monotonically_increasing_id()), "near-classes")
     clusters = connected_components(candidate_stars(classes))
-    members = written(classes.select("rep", "c1", "c2", "n").join(
-        clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep"), "near-members")
+    members = written(classes.select("node", "rep", "c1", "c2", "n").join(
+        clusters.select("node", F.col("component").alias("cluster")), "node"), "near-members")
     jobs = written(comparison_jobs(members, percent), "near-jobs")
-    sets = _sets(docs, jobs).select(F.explode("jobs").alias("job"), "rep", "s")
+    sets = _sets(docs, jobs).select(F.explode("jobs").alias("job"), "node", "s")
     links = shipped(sets).groupBy("job").applyInPandas(_verify(percent), "u long, v long")
     groups = connected_components(links)
-    named = written(classes.select("c1", "c2", "rep").join(
-        groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("c1", "c2", F.coalesce("component", "rep").alias("component_id")), "near-named")
+    grouped = written(classes.select("c1", "c2", "rep", "node").join(groups, "node", "left")
+                      .withColumn("component", F.coalesce("component", "node")), "near-grouped")
+    least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = written(grouped.select("c1", "c2", "component").join(least, "component").drop("component"), "near-named")
     linked = some.select("doc_id", "n_shingles", "c1", "c2").join(named, ["c1", "c2"], "left") \
         .select("doc_id", "n_shingles", "component_id")
     alone = sig.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

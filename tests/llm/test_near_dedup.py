@@ -98,3 +98,10 @@ def test_components_of_random_graphs(spark):
 def test_query_matches_all_pairs(spark):
     docs = [(r["doc_id"], r["text"]) for r in read(SF, "documents")]
     assert result(queries.op2_near_dedup(spark, SF)) == expected(docs)
+
+
+def test_an_id_with_two_texts_links_through_both(spark):
+    a, b = ([f"{x}{i}" for i in range(100)] for x in "ab")
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[:-1] + ["x"])), (3, " ".join(b[:-1] + ["x"])), (4, "alone here")]
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(documents(spark, docs)).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
