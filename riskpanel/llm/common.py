@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +72,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def stable_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key (__file, __row) that every scan gives alike.
+
+    A Parquet table's rows are named by file and position; anything else is
+    written to such a table first.
+    """
+    def keyed(df):
+        return df.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+    base = docs.drop("__file", "__row")
+    try:
+        return keyed(base)
+    except AnalysisException:  # not a scan: no file, no position
+        return keyed(written(base, "stable-rows"))
+
+
 def fold(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5 (null id: null)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -17,12 +17,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.llm.common import numbered, shipped, written
+from riskpanel.llm.common import numbered, shipped, stable_rows, written
 from riskpanel.llm.word_encoder import byte_sizes, groups, word_encoder
 
 def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = True,
@@ -186,22 +185,6 @@ def place(pieces: DataFrame, window: int = 4096) -> DataFrame:
         .mapInArrow(find, schema)
 
 
-def _stable_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row key (__file, __row) that every scan gives alike.
-
-    A Parquet table's rows are named by file and position; anything else is
-    written to such a table first.
-    """
-    def keyed(df):
-        return df.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-
-    base = docs.drop("__file", "__row", "__places")
-    try:
-        return keyed(base)
-    except AnalysisException:  # not a scan: no file, no position
-        return keyed(written(base, "pack-docs"))
-
-
 def pack(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2) -> DataFrame:
     """Cut and place whole documents: the pieces with their ids, sequence_id and offset.
 
@@ -209,7 +192,7 @@ def pack(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2) -> Dat
     alone; each document then gets its pieces' places and is encoded once more
     where its pieces are returned.
     """
-    rows = _stable_rows(docs)
+    rows = stable_rows(docs.drop("__places"))
     key = ["__file", "__row"]
     order = [c for c in ("doc_id",) if c in rows.columns]
     lengths = written(cut_documents(rows.select(*key, *order, "text"), path, window, end_id, with_ids=False), "pieces")

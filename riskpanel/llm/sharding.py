@@ -16,14 +16,13 @@ open bundle a task). Rows, texts and small groups stay on the executors.
 
 from __future__ import annotations
 
-import heapq
 from bisect import bisect_left, insort
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.llm.common import numbered, parallelism, shipped, written
+from riskpanel.llm.common import numbered, parallelism, shipped, stable_rows, written
 
 GRAIN = 2048
 
@@ -89,12 +88,20 @@ def best_fit_decreasing(sizes: list[int], capacity: int, most_bins: int | None =
 
 
 def fixed_shards(sizes: list[int], shards: int) -> list[int]:
-    """Pack into at most ``shards`` bins at the smallest capacity (to 1e-4) that allows it."""
+    """Pack ``sizes`` (descending) into at most ``shards`` bins at the smallest capacity (to 1e-4) that allows it.
+
+    An item as large as an equal share of what is left gets a bin of its own;
+    the others are packed into the remaining bins.
+    """
+    alone, rest = 0, sum(sizes)
+    while alone < min(len(sizes), shards - 1) and sizes[alone] * (shards - alone) >= rest:
+        rest -= sizes[alone]
+        alone += 1
+    own, sizes, shards = list(range(alone)), sizes[alone:], shards - alone
     if not sizes:
-        return []
-    fair = -(-sum(sizes) // shards)
-    low = max(fair, sizes[0])
-    high = low
+        return own
+    fair = -(-rest // shards)
+    low = high = max(fair, sizes[0])
     while (best := best_fit_decreasing(sizes, high, shards)) is None:
         low, high = high, high + max(1, high // 64)
     while high - low > max(1, fair // 10_000):
@@ -104,20 +111,7 @@ def fixed_shards(sizes: list[int], shards: int) -> list[int]:
             low = mid
         else:
             high, best = mid, got
-    if sizes[0] >= high:  # one group alone is as large as the capacity: even out the others below it
-        best = _level(sizes, shards)
-    return best
-
-
-def _level(sizes: list[int], shards: int) -> list[int]:
-    """Each item (descending) to the least filled bin: for capacities that one giant group dictates."""
-    heap = [(0, b) for b in range(shards)]
-    out = []
-    for size in sizes:
-        filled, b = heapq.heappop(heap)
-        out.append(b)
-        heapq.heappush(heap, (filled + size, b))
-    return out
+    return own + [alone + x for x in best]
 
 
 def _bundles(small: DataFrame, capacity: int) -> DataFrame:
@@ -183,8 +177,14 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     return numbered(written(located, "shard-located"), "shard", order, "slot")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 8, key: str = "doc_id") -> DataFrame:
-    """Write the documents as one folder per shard (``shard=N``) and return the assignment."""
-    a = assign_shards(docs, shards)
-    docs.join(a.select(key, "shard", "slot"), key).write.partitionBy("shard").parquet(path)
-    return a
+def write_shards(docs: DataFrame, path: str, shards: int = 8) -> DataFrame:
+    """Write every row of ``docs`` as one folder per shard (``shard=N``, with its slot) and return the assignment.
+
+    Rows are told apart by their place, not by an id, so repeated and null ids
+    are written like others. Input columns named shard or slot are replaced.
+    """
+    rows = stable_rows(docs.drop("shard", "slot"))
+    key = ["__file", "__row"]
+    a = written(assign_shards(rows.select(*key, *[c for c in ("doc_id",) if c in rows.columns], "text"), shards), "shard-assignment")
+    rows.join(a.select(*key, "shard", "slot"), key).drop(*key).write.partitionBy("shard").parquet(path)
+    return a.drop(*key)

@@ -75,11 +75,32 @@ def test_one_giant_group_and_empty_input(spark):
     assert S.assign_shards(documents(spark, []), 8).count() == 0
 
 
+def test_giant_items_alone_and_the_rest_packed():
+    r = random.Random(9)
+    for _ in range(50):
+        rest = sorted((r.randrange(1, 400) for _ in range(r.randrange(20, 300))), reverse=True)
+        giants = sorted((sum(rest) // 3 + r.randrange(1000) for _ in range(r.randrange(3))), reverse=True)
+        got = S.fixed_shards(giants + rest, 8)
+        bins = defaultdict(list)
+        for size, b in zip(giants + rest, got):
+            bins[b].append(size)
+        assert all(len(bins[got[i]]) == 1 for i in range(len(giants)))
+        others = [sum(v) for b, v in bins.items() if b not in got[:len(giants)]]
+        assert len(others) <= 8 - len(giants) and max(others) <= sum(rest) / (8 - len(giants)) * 1.02 + 400
+    assert S.fixed_shards([5, 5], 8) == [0, 1] and S.fixed_shards([], 3) == [] and S.fixed_shards([4, 3], 1) == [0, 0]
+
+
 def test_files_hold_every_document(spark, tmp_dir):
     docs = [(i, f"text {i % 7}", "en", "s") for i in range(50)]
     S.write_shards(documents(spark, docs), f"{tmp_dir}/shards", 4)
     back = spark.read.parquet(f"{tmp_dir}/shards")
     assert sorted(r["doc_id"] for r in back.collect()) == list(range(50))
+    odd = documents(spark, [(1, "a", "en"), (1, "b", "en"), (1, "b", "en"), (None, None, None)]).withColumnRenamed("source", "slot")
+    a = S.write_shards(odd, f"{tmp_dir}/odd", 2)
+    back = spark.read.parquet(f"{tmp_dir}/odd").collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), str(r["lang"])) for r in back) == [
+        ("1", "a", "en"), ("1", "b", "en"), ("1", "b", "en"), ("None", "None", "None")]
+    assert a.count() == 4 and {(r["shard"], r["slot"]) for r in back} == {(r["shard"], r["slot"]) for r in a.collect()}
 
 
 def test_query_over_the_documents(spark):
