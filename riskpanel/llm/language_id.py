@@ -26,8 +26,8 @@ from riskpanel.llm.common import fresh, shipped
 DIM = 1024
 GRAM = 3
 SEED = 20_011
-#: Code points handled at once.
-CHUNK = 400_000
+#: Code points handled at once, and n-grams whose vectors are held at once.
+CHUNK, SLICE = 400_000, 16_384
 
 
 @lru_cache(maxsize=1)
@@ -108,23 +108,79 @@ def count_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def _chunks(texts: list[str | None]):
-    """(index list, text list) of about CHUNK code points; a very long text comes in overlapping parts."""
+    """(index list, text list) of about CHUNK code points; longer texts are left out (see ``long_counts``)."""
     at, part, held = [], [], 0
     for i, t in enumerate(texts):
-        if not t:
+        if not t or len(t) > CHUNK:
             continue
-        for s in range(0, len(t), CHUNK):
-            piece = t[s:s + CHUNK]
-            at.append(i)
-            part.append(piece)
-            held += len(piece)
-            if held >= CHUNK:
-                yield at, part
-                at, part, held = [], [], 0
+        at.append(i)
+        part.append(t)
+        held += len(t)
+        if held >= CHUNK:
+            yield at, part
+            at, part, held = [], [], 0
     if part:
         yield at, part
 
 
+def long_counts(text: str, chunk: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, counts) of a whole text, read in parts: as ``count_grams``, in memory that does not grow with the text.
+
+    Parts end at a character that is no letter where there is one among the next
+    ``chunk``; the last GRAM - 1 characters of a part are read again with the next.
+    """
+    chunk = chunk or CHUNK
+    grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    before, start = np.array([32], np.int64), 0
+    while start < len(text):
+        stop = min(len(text), start + chunk)
+        while stop < min(len(text), start + 2 * chunk) and text[stop - 1].isalpha():
+            stop += 1
+        code = np.frombuffer(text[start:stop].lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        letter = _letters()[code]
+        code = np.concatenate([before, np.where(letter, code, 32), [32] if stop == len(text) else []]).astype(np.int64)
+        code = code[np.concatenate([[True], (code[1:] != 32) | (code[:-1] != 32)])]  # one space for each run
+        n = len(code) - GRAM + 1
+        if n > 0:
+            packed = np.zeros(n, np.int64)
+            for i in range(GRAM):
+                packed = packed << 21 | code[i:n + i]
+            new, times = np.unique(packed, return_counts=True)
+            grams, back = np.unique(np.concatenate([grams, new]), return_inverse=True)
+            counts = np.bincount(back, np.concatenate([counts, times]), len(grams)).astype(np.int64)
+        before, start = code[max(0, len(code) - GRAM + 1):], stop
+    places = [grams >> 21 * (GRAM - 1 - i) & (1 << 21) - 1 for i in range(GRAM)]
+    known = np.any([_letters()[x] for x in places], axis=0) if len(grams) else np.zeros(0, bool)
+    return np.stack(places, axis=1)[known], counts[known]
+
+
+def bundle(grams: np.ndarray, weight: np.ndarray, dim: int) -> np.ndarray:
+    """Weighted sum of the n-grams' vectors, a slice of them at a time."""
+    out = np.zeros(dim)
+    for a in range(0, len(grams), SLICE):
+        out += weight[a:a + SLICE].astype(np.float32) @ gram_vectors(grams[a:a + SLICE], dim).astype(np.float32)
+    return out
+
+
+def _doc_vectors(texts: list[str | None], dim: int):
+    """(row, bundled vector) of every text with a letter: square roots of the n-gram counts of the whole text."""
+    for i, t in enumerate(texts):
+        if t and len(t) > CHUNK:
+            grams, n = long_counts(t)
+            if len(grams):
+                yield i, bundle(grams, np.sqrt(n), dim)
+    for at, part in _chunks(texts):
+        of, index, n, grams = count_grams(part)
+        if not len(of):
+            continue
+        small = len(grams) <= SLICE  # vectors that all texts of the part share
+        hv = gram_vectors(grams, dim) if small else None
+        start = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        for s, e in zip(start, np.append(start[1:], len(of))):
+            w, own = np.sqrt(n[s:e]), index[s:e]
+            yield at[of[s]], w.astype(np.float32) @ hv[own].astype(np.float32) if small else bundle(grams[own], w, dim)
+
+
 def learn_prototypes(train: DataFrame, dim: int = DIM) -> DataFrame:
     """(lang, position, value): bundled vectors of the languages, from rows (text, lang).
 
@@ -134,16 +190,20 @@ def learn_prototypes(train: DataFrame, dim: int = DIM) -> DataFrame:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for i, t in enumerate(texts):
+                if t and len(t) > CHUNK:
+                    grams, n = long_counts(t)
+                    if len(grams):
+                        sums[langs[i]] = sums.get(langs[i], 0) + bundle(grams, np.sqrt(n), dim)
             for at, part in _chunks(texts):
                 of, index, n, grams = count_grams(part)
-                if not len(of):
-                    continue
-                vectors = gram_vectors(grams, dim).astype(np.float32)
                 lang_of = np.array([langs[i] for i in at], object)
-                for lang in set(lang_of):
+                for lang in set(lang_of) if len(of) else ():
                     mine = (lang_of == lang)[of]
-                    weight = np.bincount(index[mine], np.sqrt(n[mine]), len(grams)).astype(np.float32)
-                    sums[lang] = sums.get(lang, 0) + (weight @ vectors).astype(np.float64)
+                    weight = np.bincount(index[mine], np.sqrt(n[mine]), len(grams))
+                    used = np.flatnonzero(weight)
+                    if len(used):
+                        sums[lang] = sums.get(lang, 0) + bundle(grams[used], weight[used], dim)
         for lang, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dim), pa.array(range(dim), pa.int32()),
                                               pa.array(v)], ["lang", "position", "value"])
@@ -175,22 +235,7 @@ def predict_language(docs: DataFrame, langs: list[str], prototypes: np.ndarray,
 
     def score(texts):
         inner, norm2 = np.zeros((len(texts), len(langs))), np.zeros(len(texts))
-        vectors: dict[int, np.ndarray] = {}
-        for at, part in _chunks(texts):
-            of, index, n, grams = count_grams(part)
-            if not len(of):
-                continue
-            hv = gram_vectors(grams, dim)
-            start = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            stop = np.append(start[1:], len(of))
-            for s, e in zip(start, stop):
-                v = np.sqrt(n[s:e]).astype(np.float32) @ hv[index[s:e]].astype(np.float32)
-                i = at[of[s]]
-                if len(texts[i]) > CHUNK:  # bundle the parts of a long text
-                    vectors[i] = vectors.get(i, 0) + v.astype(np.float64)
-                else:
-                    inner[i], norm2[i] = proto @ v, v @ v
-        for i, v in vectors.items():
+        for i, v in _doc_vectors(texts, dim):
             inner[i], norm2[i] = proto @ v, v @ v
         return inner / np.maximum(np.sqrt(norm2), 1e-12)[:, None], norm2 > 0
 

@@ -58,13 +58,59 @@ def test_nothing_learned_and_nothing_asked(spark):
     assert L.predict_language(empty, langs, proto).count() == 0
 
 
-def test_a_long_text_in_parts_scores_like_its_whole(spark, monkeypatch):
-    text = "the cat sat on the mat. " * 100
-    langs, proto = L.collect_prototypes(L.learn_prototypes(documents(spark, [(1, "the cat sat", "en"), (2, "der hund", "de")])))
-    whole = L.predict_language(documents(spark, [(1, text)]), langs, proto).first()["score"]
-    of, index, n, grams = L.count_grams([text])
-    v = np.sqrt(n) @ L.gram_vectors(grams, L.DIM).astype(float)
-    assert abs(whole - (proto[1] @ v) / np.linalg.norm(v)) < 1e-6
+def test_a_long_text_in_parts_counts_like_its_whole():
+    for text in ["the cat sat on the mat. " * 100, "Été  à la  plage\n\n1, 2" * 30, "日本語テキスト" * 60, "...a" * 99, "12 " * 200, "x" * 400 + "  "]:
+        for chunk in (7, 64, 300, 10_000):
+            grams, n = L.long_counts(text, chunk)
+            assert Counter({"".join(map(chr, g)): k for g, k in zip(grams.tolist(), n.tolist())}) == grams_of(text), (text[:20], chunk)
+
+
+def plain_vector(text):
+    v = np.zeros(L.DIM)
+    for gram, n in grams_of(text).items():
+        bound = np.ones(L.DIM)
+        for i, c in enumerate(gram):
+            bound = bound * np.roll(L.letter_vector(ord(c), L.DIM), L.GRAM - 1 - i)
+        v += np.sqrt(n) * bound
+    return v
+
+
+def same_scores(got, proto, texts):
+    langs = sorted(proto)
+    unit = np.array([proto[x] / np.linalg.norm(proto[x]) for x in langs])
+    for r in got:
+        v = plain_vector(texts[r["doc_id"]] or "")
+        if not v.any():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cos = unit @ v / np.linalg.norm(v)
+        assert abs(r["score"] - max(0, cos.max())) < 1e-5 and cos[langs.index(r["lang_pred"])] > cos.max() - 1e-5
+
+
+def test_query_equals_a_plain_version(spark):
+    docs = read("/root/testdata/sf0.001", "documents")
+    proto = {}
+    for lang in {r["lang"] for r in docs} - {None}:
+        whole = Counter()
+        for r in docs:
+            if r["lang"] == lang and r["text"] is not None and not held_out(r["doc_id"]):
+                whole.update({g: np.sqrt(n) for g, n in grams_of(r["text"]).items()})
+        v = np.zeros(L.DIM)
+        for gram, w in whole.items():
+            bound = np.ones(L.DIM)
+            for i, c in enumerate(gram):
+                bound = bound * np.roll(L.letter_vector(ord(c), L.DIM), L.GRAM - 1 - i)
+            v += w * bound
+        proto[lang] = v
+    same_scores(queries.op1_language_id(spark, "/root/testdata/sf0.001").collect(), proto, {r["doc_id"]: r["text"] for r in docs})
+
+
+def test_very_long_texts_and_large_alphabets(spark):
+    han = "".join(chr(0x4E00 + 37 * i % 6000) for i in range(30_000))  # more n-grams than are held at once
+    texts = {1: "the cat sat on the mat. " * (2 * L.CHUNK // 24 + 2000), 2: han, 3: "the cat", 4: "der hund"}
+    docs = documents(spark, list(texts.items()))
+    langs, proto = L.collect_prototypes(L.learn_prototypes(documents(spark, [(1, "the cat sat", "en"), (2, "der hund", "de"), (3, han[:20_000], "zh")])))
+    same_scores(L.predict_language(docs, langs, proto).collect(), dict(zip(langs, proto)), texts)
 
 
 def test_query_held_out_accuracy(spark):
