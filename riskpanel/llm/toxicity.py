@@ -13,6 +13,7 @@ of matches by kind feed a logistic model fitted on the same labelled sample.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -25,8 +26,8 @@ from riskpanel.llm.common import fresh, shipped, written
 
 #: Labelled rows the model is fitted on, at most (chosen by a hash of the id).
 SAMPLE = 20_000
-#: Terms of the lexicon, at most, and the toxic documents a term must occur in.
-TERMS, SUPPORT = 256, 8
+#: Toxic documents that a term of the lexicon must occur in.
+SUPPORT = 8
 #: A term is matched with misspellings if at most this share of clean documents has a near miss of it.
 NEAR_MISSES = 0.003
 #: Weight of a match lost with each edit.
@@ -206,7 +207,7 @@ def _terms_of(text: str) -> set[str]:
     out = set()
     for t in set(text.lower().split()):
         w = core(t)
-        if 3 <= len(w) <= 32:
+        if len(w) >= 3:
             out.add(w)
             out.update(w[:k] + "*" for k in PREFIX if len(w) > k)
     return out
@@ -216,18 +217,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
     """(text, toxic) of at most ``rows`` labelled documents, chosen by a hash of the id.
 
     Labels other than 0 and 1 and null ids are left out; of several labels of one
-    document the largest counts.
+    document the largest counts, of several texts of one id the least.
     """
+    docs = docs.select("doc_id", "text")
     few = (labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id")
            .agg(F.max("toxic").cast("int").alias("toxic"))
            .orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id").limit(rows))  # bounded: can be broadcast
     return written(docs.join(F.broadcast(few.withColumnRenamed("doc_id", "__id")), docs["doc_id"] == F.col("__id"))
-                   .select(F.coalesce("text", F.lit("")).alias("text"), F.col("__id"), F.col(few.columns[1]))
-                   .dropDuplicates(["__id"]).repartition(32, "__id").select("text", "toxic"), "tox-sample")
+                   .groupBy("__id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+                   .repartition(32, "__id").select("text", "toxic"), "tox-sample")
 
 
-def learn_lexicon(sample: DataFrame, terms: int = TERMS, support: int = SUPPORT) -> Lexicon:
-    """The terms with the largest evidence for toxic documents in (text, toxic) rows."""
+def learn_lexicon(sample: DataFrame, support: int = SUPPORT) -> Lexicon:
+    """All terms with enough evidence for toxic documents in (text, toxic) rows; the bounded sample bounds them."""
     def run(batches):
         n = [Counter(), Counter()]
         for b in batches:
@@ -248,12 +250,17 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, support: int = SUPPORT)
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     weight = F.log((F.col("toxic") + 0.5) / (bad + 1.0)) - F.log((F.col("clean") + 0.5) / (good + 1.0))
     best = (stats.filter(F.col("toxic") >= support).withColumn("weight", weight).filter("weight > 1.5")
-            .orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(terms).collect())
+            .orderBy("term").collect())
     words = {r["term"]: r["weight"] for r in best if not r["term"].endswith("*")}
-    # a beginning that only repeats a whole term adds nothing
-    beginnings = {r["term"][:-1]: r["weight"] for r in best if r["term"].endswith("*")
-                  and not any(w.startswith(r["term"][:-1]) and r["toxic"] <= 1.2 * max(
-                      x["toxic"] for x in best if x["term"] == w) for w in words)}
+    # a beginning that only repeats a whole term adds nothing; words come in order, so those with a beginning are neighbours
+    ordered, holders = sorted(words), {r["term"]: r["toxic"] for r in best}
+    beginnings = {}
+    for r in best:
+        if r["term"].endswith("*"):
+            start = r["term"][:-1]
+            same = [holders[w] for w in ordered[bisect_left(ordered, start):bisect_left(ordered, start + "\U0010ffff")]]
+            if not same or r["toxic"] > 1.2 * max(same):
+                beginnings[start] = r["weight"]
     return Lexicon(words, beginnings, _noisy_terms(sample, Lexicon(words, beginnings), good))
 
 
