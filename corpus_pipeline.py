@@ -6,6 +6,9 @@ it as Parquet and rereads it as the next stage's docs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +20,44 @@ from riskpanel.llm.queries import _tokenizer
 ORACLE_SQL = None
 
 
+#: Columns that stages read or change; all others ride along in one struct, so no stage's own names meet theirs.
+USED = ("doc_id", "text", "source", "n_chars")
+
+
+def _with_all_columns(stage: Callable) -> Callable:
+    """The stage on the columns it uses; every row comes back with all columns of its input, in their order."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        used, others = [c for c in docs.columns if c in USED], [c for c in docs.columns if c not in USED]
+        packed = docs.select(*used, F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")) if others else docs
+        out = stage(spark, packed, sf_dir)
+        return out.select(*[F.col(c) if c in USED else F.col(f"others.`{c}`").alias(c) for c in docs.columns])
+    return run
+
+
+@_with_all_columns
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model (fitted on the labelled ones) does not reject."""
     lexicon, w = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, lexicon, w, with_text=True).filter("predicted = 0").select(*docs.columns)
 
 
+@_with_all_columns
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that at least three documents share; n_chars follows the text."""
     out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
 
 
+@_with_all_columns
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (similarity 0.8 or more)."""
     return near_dedup.drop_near_duplicates(docs, percent=80)
 
 
+@_with_all_columns
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the weighted mix of sources takes them."""
     return mixing.mixed_rows(docs)
