@@ -74,3 +74,17 @@ def test_near_dedup_stage_links_from_four_fifths(spark):
     docs = [(r["doc_id"], r["text"]) for r in read("/root/testdata/sf0.01", "documents")]
     near = C.near_dedup_stage(spark, documents(spark, docs), SF).collect()
     assert {r["doc_id"] for r in near} == {i for i, (_, c) in near_components(docs, 80).items() if i == c}
+
+
+def test_stages_give_back_clashing_columns(spark):
+    names = ["size", "source_size", "target", "copies", "n_lines", "n_dropped", "score", "predicted", "__lines", "__doc", "__drop",
+             "__i", "u_doc", "__stay", "others", "n", "rep", "node", "h", "lang"]
+    base = [(i, " ".join(f"w{i}x{j}" for j in range(30)), f"s{i % 2}") for i in range(12)] + [(50, None, None), (51, "", "s0")]
+    docs = spark.createDataFrame([(*r, *[f"{n}-{r[0]}" for n in names]) for r in base],
+                                 "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        docs = written(out, f"test-clash-{name}")
+        rows = docs.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names), name
