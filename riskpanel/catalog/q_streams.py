@@ -22,6 +22,32 @@ def q_stream_daily_cases(t):
     return St.read_daily_counts(sp, out).drop("late_cases")
 
 
+@register("stream_daily_cases_state", "R2", """
+SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases
+WHERE case_date < (SELECT max(case_date) FROM cases) - INTERVAL 1 DAY GROUP BY ALL""")
+def q_stream_daily_cases_state(t):
+    """The same from Spark's own state: event-time windows closed by the watermark."""
+    sp = t.spark
+    src, out, ck = (scratch_path(sp, f"state-stream-{x}") for x in ("src", "out", "ck"))
+    t.cases.write.parquet(src)
+    stream = sp.readStream.schema(t.cases.schema).parquet(src)
+    (St.daily_case_counts(stream).writeStream.outputMode("append").format("parquet").option("path", out)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return sp.read.schema(St.DAY_COUNT).parquet(out)
+
+
+@register("stream_daily_cases_many", "R2", """
+WITH d_ AS (SELECT district_code, case_date AS date, count(*) AS cases_count FROM cases GROUP BY ALL)
+SELECT * FROM d_ WHERE date < (SELECT max(case_date) FROM cases) - INTERVAL 1 DAY""")
+def q_stream_daily_cases_many(t):
+    """Daily counts kept over many micro-batches in levelled runs."""
+    sp = t.spark
+    src, out, ck = (scratch_path(sp, f"many-stream-{x}") for x in ("src", "out", "ck"))
+    t.cases.repartition(9).write.parquet(src)
+    St.run_daily_case_counts(sp, src, out, ck, max_files_per_trigger=1).awaitTermination()
+    return St.read_daily_counts(sp, out).drop("late_cases")
+
+
 SPLIT = minus(CASES_AS_OF, 120)
 
 
@@ -100,4 +126,4 @@ def q_stream_alerts(t):
     t.alerts.write.parquet(alerts)
     out, ck = scratch_path(sp, "alerts-stream-out"), scratch_path(sp, "alerts-stream-ck")
     St.run_stream_alerts(sp, preds, alerts, out, ck, EVENTS_AS_OF, EVENTS_AS_OF_TS).awaitTermination()
-    return sp.read.parquet(out).drop("epoch")
+    return sp.read.parquet(out).drop("day", "epoch")

@@ -9,7 +9,6 @@ so a restarted driver or lost executor resumes from the last committed batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +17,7 @@ from riskpanel import config as C
 from riskpanel import schemas
 from riskpanel.operators.predicates import trailing_since
 from riskpanel.operators.state import generate_alerts
+from riskpanel.streaming.runs import Runs
 
 
 def event_time(c, is_date: bool = False) -> F.Column:
@@ -36,18 +36,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _epochs(spark: SparkSession, path: str, before: int, schema) -> DataFrame | None:
-    """Rows of the epochs written before ``before`` (None if there is none)."""
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(schema).option("mergeSchema", False).parquet(path).filter(F.col("epoch") < before)
-
-
 CASE_RECORD = T.StructType([T.StructField(n, t) for n, t, _, _ in schemas.CREATE_RECORDS["cases"]])
 REJECT = T.StructType([T.StructField("record", T.StringType()), T.StructField("reason", T.StringType()),
                        T.StructField("n_rows", T.LongType())])
 
 
+#: Buckets of the stored case ids, by a hash of the id.
+ID_BUCKETS = 256
+STORED_ID = T.StructType([T.StructField("case_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
+
+def id_bucket(c: str = "case_id") -> F.Column:
+    return F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS)).cast("int")
+
+
+def stored_ids(ids: DataFrame, cases: DataFrame) -> DataFrame:
+    """The bucketed ids (case_id, bucket) that some row of ``cases`` may have: only the buckets of its own ids are read."""
+    held = [r[0] for r in cases.filter("case_id is not null").select(id_bucket().alias("b")).distinct().collect()]
+    return ids.filter(F.col("bucket").isin(held))  # at most ID_BUCKETS numbers
+
+
 def split_case_records(records: DataFrame, stored: DataFrame | None, districts: DataFrame | None = None):
     """JSON records (``value``) -> (cases to store, rejects with reason and count).
 
@@ -72,7 +80,7 @@ def split_case_records(records: DataFrame, stored: DataFrame | None, districts:
         parsed = parsed.join(known, F.col("r.district_code") == F.col("_d"), "left").withColumn(
             "reason", F.coalesce("reason", F.when(F.col("_d").isNull(), "unknown district"))).drop("_d")
     if stored is not None:
-        # of the stored table only the ids of this batch are kept, so the table is scanned, not shuffled as a whole
+        # of the stored table only the ids of this batch are kept, so it is scanned, not shuffled as a whole
         ids = stored.select(F.col("case_id").alias("_s")).join(
             parsed.select(F.col("case_id").alias("_s")).distinct(), "_s", "left_semi").distinct()
         parsed = parsed.join(ids, F.col("case_id") == F.col("_s"), "left").withColumn(
@@ -96,23 +104,33 @@ def stream_ingest_cases(spark: SparkSession, json_dir: str, table_path: str, rej
     """JSON case records arriving as files -> checked case rows in
     ``table_path``, everything else in ``rejects_path`` with reason and count.
 
-    A case id is stored once, however late it comes: each micro-batch is checked
-    against ``existing`` and all earlier epochs of the table, so no watermark
-    drops a back-filled record. Each batch writes its own ``epoch=<id>`` folder
-    with overwrite, so a replayed batch replaces its own output."""
+    A case id is stored once, however late it comes. The ids stored so far are
+    kept beside the table (``<table_path>_ids``) in hash buckets and levelled
+    runs; a micro-batch reads the buckets of its own ids only, so no watermark
+    drops a back-filled record and the table is not read again. The ids of
+    ``existing`` are taken in when the stream first starts. Each batch writes its
+    own ``epoch=<id>`` folder with overwrite, so a replayed batch replaces its
+    own output."""
     reader = spark.readStream.schema("value STRING")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    ids = Runs(spark, f"{table_path}_ids", STORED_ID, partition_by="bucket")
+    held = f"{table_path}_ids_existing"
+    if existing is not None and not path_exists(spark, f"{held}/_SUCCESS"):
+        existing.select("case_id", id_bucket().alias("bucket")).filter("case_id is not null") \
+            .repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(held)
 
     def batch(records: DataFrame, epoch_id: int):
-        stored = _epochs(spark, table_path, epoch_id, T.StructType([*CASE_RECORD.fields, T.StructField("epoch", T.IntegerType())]))
-        stored = stored.select("case_id") if stored is not None else None
+        known = ids.read(before=epoch_id)
         if existing is not None:
-            old = existing.select("case_id")
-            stored = old if stored is None else stored.unionByName(old)
-        good, rejects = split_case_records(records, stored, districts)
+            known = known.unionByName(spark.read.schema(STORED_ID).parquet(held))
+        arrived = records.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).select(
+            F.get_json_object("value", "$.case_id").alias("case_id"))
+        good, rejects = split_case_records(records, stored_ids(known, arrived), districts)
         good.write.mode("overwrite").parquet(f"{table_path}/epoch={epoch_id}")
         rejects.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
+        new = spark.read.schema(CASE_RECORD).parquet(f"{table_path}/epoch={epoch_id}")
+        ids.add(new.select("case_id", id_bucket().alias("bucket")).repartition("bucket"), epoch_id)
 
     return (reader.text(json_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -127,18 +145,32 @@ DAY_COUNT = T.StructType([T.StructField("district_code", T.StringType()), T.Stru
                           T.StructField("cases_count", T.LongType())])
 
 
+PARTIAL_COUNT = T.StructType([*DAY_COUNT.fields, T.StructField("before", T.DateType())])
+
+
+def _count_runs(spark: SparkSession, out_path: str) -> Runs:
+    """Partial counts by (district, day, newest day seen before the batch), which add up when runs are merged."""
+    return Runs(spark, out_path, PARTIAL_COUNT, lambda df: df.groupBy("district_code", "date", "before").agg(
+        F.sum("cases_count").alias("cases_count")))
+
+
 def run_daily_case_counts(spark: SparkSession, cases_dir: str, out_path: str, checkpoint: str,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """R2: cases arriving as files -> counts per (district, day), one partial count
-    per micro-batch and key in ``epoch=<id>``. Nothing is dropped for coming
-    late; ``read_daily_counts`` adds the partial counts up."""
+    """R2: cases arriving as files -> counts per (district, day), kept as levelled
+    runs of partial counts: a micro-batch adds its own, and full levels are
+    merged, so the counts are read from a logarithmic number of runs however
+    many batches there were. Nothing is dropped for coming late: each partial
+    count knows the newest day seen before its batch, and ``read_daily_counts``
+    adds them up."""
     reader = spark.readStream.schema(schemas.CASES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    runs = _count_runs(spark, out_path)
 
     def batch(cases: DataFrame, epoch_id: int):
-        counts = cases.groupBy("district_code", F.col("case_date").alias("date")).agg(F.count(F.lit(1)).alias("cases_count"))
-        counts.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
+        newest = runs.read(before=epoch_id).agg(F.max("date")).first()[0]
+        runs.add(cases.groupBy("district_code", F.col("case_date").alias("date")).agg(F.count(F.lit(1)).alias("cases_count"))
+                 .withColumn("before", F.lit(newest).cast("date")), epoch_id)
 
     return (reader.parquet(cases_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -150,19 +182,13 @@ def read_daily_counts(spark: SparkSession, out_path: str, delay_days: int = 1) -
     A day is closed when a case more than ``delay_days`` days after it has come
     in; ``late_cases`` are those that came in a batch after the one that closed
     their day. They are counted, and told apart, not dropped."""
-    parts = spark.read.schema(T.StructType([*DAY_COUNT.fields, T.StructField("epoch", T.IntegerType())])).parquet(out_path)
-    # one row per micro-batch: the newest day seen up to the batch before
-    newest = parts.groupBy("epoch").agg(F.max("date").alias("newest"))
-    before = newest.select("epoch", F.max("newest").over(
-        W.orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)).alias("before"),
-        F.max("newest").over(W.orderBy("epoch").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("last"))
+    parts = _count_runs(spark, out_path).read()
+    last = parts.agg(F.max("date").alias("last"))  # one row
     late = F.col("date") < F.date_sub("before", delay_days)
-    return (parts.join(F.broadcast(before), "epoch")
-            .groupBy("district_code", "date").agg(
-                F.sum("cases_count").alias("cases_count"),
-                F.coalesce(F.sum(F.when(late, F.col("cases_count"))), F.lit(0)).alias("late_cases"),
-                F.max("last").alias("last"))
-            .filter(F.col("date") < F.date_sub("last", delay_days)).drop("last"))
+    return (parts.groupBy("district_code", "date").agg(
+        F.sum("cases_count").alias("cases_count"),
+        F.coalesce(F.sum(F.when(late, F.col("cases_count"))), F.lit(0)).alias("late_cases"))
+        .join(F.broadcast(last), F.col("date") < F.date_sub("last", delay_days)).drop("last"))
 
 
 def daily_case_counts(cases_stream: DataFrame, watermark: str = "1 day",
@@ -185,9 +211,11 @@ def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new
     alert table as it stands (its own earlier output included), so the 7-day
     suppression holds across batches. Batches run one after another.
 
-    Each micro-batch writes its alerts to ``epoch=<id>`` with overwrite, so a
-    batch that Spark replays after a failure replaces its own output instead of
-    appending it twice; earlier epochs are read without the one being written.
+    Each micro-batch writes its alerts to ``day=<as_of>/epoch=<id>`` with
+    overwrite, so a batch that Spark replays after a failure replaces its own
+    output instead of appending it twice; earlier epochs are read without the
+    one being written. An alert suppresses others for a week, so a batch reads
+    the folders of that many days and no older ones, however long the stream runs.
 
     Without ``as_of`` each batch runs as of the newest prediction date among the
     Ensemble predictions it brings, so a long-lived stream moves on with its data."""
@@ -197,6 +225,8 @@ def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new
     src = reader.parquet(preds_dir)
 
     cols = ["district_code", "prediction_horizon_weeks", "status", "triggered_at"]
+    stored = T.StructType([*[f for f in schemas.TABLES["alerts"].fields if f.name in cols],
+                           T.StructField("day", T.DateType()), T.StructField("epoch", T.IntegerType())])
 
     def batch(df: DataFrame, epoch_id: int):
         day = as_of or df.filter(F.col("model_name") == C.ENSEMBLE).agg(F.max("prediction_date")).first()[0]
@@ -204,14 +234,15 @@ def run_stream_alerts(spark: SparkSession, preds_dir: str, alerts_path: str, new
             return
         stamp = as_of_ts or f"{str(day)[:10]} 00:00:00"
         # only alerts that can still suppress one are read, from the table and from earlier epochs
+        since = trailing_since(str(day)[:10], C.ALERT_WINDOW_DAYS)
         recent = F.col("triggered_at") >= trailing_since(str(day)[:10], C.ALERT_WINDOW_DAYS, "timestamp")
-        alerts = spark.read.parquet(alerts_path).select(*cols)
+        alerts = spark.read.schema(schemas.TABLES["alerts"]).parquet(alerts_path).select(*cols)
         if path_exists(spark, new_alerts_path):
-            earlier = spark.read.parquet(new_alerts_path).filter(F.col("epoch") < epoch_id)
+            earlier = spark.read.schema(stored).parquet(new_alerts_path).filter((F.col("day") >= since) & (F.col("epoch") < epoch_id))
             alerts = alerts.unionByName(earlier.select(*cols))
         alerts = alerts.filter(recent)
         (generate_alerts(df, alerts, str(day)[:10], stamp).write.mode("overwrite")
-         .parquet(f"{new_alerts_path}/epoch={epoch_id}"))
+         .parquet(f"{new_alerts_path}/day={str(stamp)[:10]}/epoch={epoch_id}"))
 
     return (src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -141,3 +141,60 @@ def test_stream_days_do_not_depend_on_session_time_zone(spark, tables):
             _rows(batch.select("district_code", "date", "cases_count"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_many_batches_are_read_from_few_runs(spark, tmp_dir):
+    import datetime as dt
+    from riskpanel.streaming.runs import Runs
+    schema = St.PARTIAL_COUNT
+    out = f"{tmp_dir}/runs"
+    runs = St._count_runs(spark, out)
+    day = dt.date(2024, 1, 1)
+    for e in range(50):
+        runs.add(spark.createDataFrame([("D1", day, 1, None), (f"D{e % 3}", day, 2, None)], schema).coalesce(1), e)
+        assert len(runs.live()) <= 3 * 3
+        assert [x for a, b in runs.live() for x in range(a, b + 1)] == list(range(e + 1))
+    assert runs.live() == [(0, 15), (16, 31), (32, 47), (48, 48), (49, 49)]
+    got = {r["district_code"]: r["n"] for r in runs.read().groupBy("district_code").agg(F.sum("cases_count").alias("n")).collect()}
+    assert got == {"D0": 34, "D1": 50 + 34, "D2": 32}
+    runs.add(spark.createDataFrame([("D1", day, 99, None)], schema), 20)  # a replay of a merged batch
+    runs.add(spark.createDataFrame([("D1", day, 1, None), ("D1", day, 2, None)], schema), 49)  # and of the last
+    assert {r[0]: r[1] for r in runs.read().groupBy("district_code").agg(F.sum("cases_count")).collect()} == got
+    assert runs.read(before=16).agg(F.sum("cases_count")).first()[0] == 16 * 3
+    assert Runs(spark, f"{tmp_dir}/none", schema).read().count() == 0
+
+
+def test_a_batch_reads_the_buckets_of_its_ids_only(spark, tmp_dir):
+    src, out, bad, ck = (f"{tmp_dir}/{x}" for x in ("src", "out", "bad", "ck"))
+    held = spark.createDataFrame([("H1",)], "case_id string")
+
+    def feed(*ids):
+        spark.createDataFrame([(f'{{"case_id":"{i}","district_code":"D1","case_date":"2024-06-01"}}',) for i in ids],
+                              "value string").coalesce(1).write.mode("append").text(src)
+        St.stream_ingest_cases(spark, src, out, bad, ck, held).awaitTermination()
+
+    feed(*[f"C{i}" for i in range(300)])
+    feed("C5", "N1", "H1")
+    assert St.read_ingested(spark, out).count() == 301
+    assert {r["record"][12:14]: r["reason"] for r in spark.read.parquet(bad).collect()} == {
+        "C5": "case_id already stored", "H1": "case_id already stored"}
+    ids = spark.read.schema(St.STORED_ID).parquet(f"{out}_ids/run=0-0")
+    few = St.stored_ids(ids, spark.createDataFrame([("C5",)], "case_id string"))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan or "bucket#" in plan.split("PartitionFilters")[1][:60]
+    assert 0 < few.count() < 20
+
+
+def test_alerts_read_the_folders_of_a_week(spark, tables, tmp_dir):
+    import datetime as dt
+    preds, alerts, out, ck = (f"{tmp_dir}/{x}" for x in ("p", "a", "o", "ck"))
+    tables.alerts.limit(0).write.parquet(alerts)
+    row = tables.predictions.filter("model_name = 'Ensemble'").limit(1)
+    raised = []
+    for k, day in enumerate((1, 4, 8, 9, 20)):
+        row.withColumn("id", F.lit(1000 + k).cast("long")).withColumn("risk_score", F.lit(95.0).cast(row.schema["risk_score"].dataType)) \
+            .withColumn("prediction_date", F.lit(dt.date(2024, 3, day))).select(*row.columns).write.mode("append").parquet(preds)
+        St.run_stream_alerts(spark, preds, alerts, out, ck).awaitTermination()
+        raised = sorted(str(r["triggered_at"])[:10] for r in spark.read.parquet(out).collect())
+    # an alert of the 1st suppresses up to the 8th; that of the 9th is out of the 20th's week
+    assert raised == ["2024-03-01", "2024-03-09", "2024-03-20"]
