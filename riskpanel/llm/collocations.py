@@ -37,9 +37,9 @@ from riskpanel.llm.word_encoder import byte_sizes, groups
 #: Bytes of text that share a dictionary.
 BATCH_BYTES = 8_000_000
 #: Bits of the bit maps (8 MB), of a bucket's number, and entries of a bucket table that a task holds before it sends them.
-MAP_BITS, BUCKET_BITS, HELD = 26, 40, 4_000_000
-#: Phrases of a trie: at most about 30 MB to broadcast.
-TRIE_PHRASES = 500_000
+MAP_BITS, BUCKET_BITS, HELD = 26, 40, 2_000_000
+#: Phrases of a trie: about 10 MB to broadcast (its states take 24 bytes each, its words 8).
+TRIE_PHRASES = 300_000
 #: Parts in which a bit map is put together, and entries of one slice of buckets at most.
 MAP_PARTS, SLICE_ROWS = 64, 4_000_000
 
@@ -265,14 +265,17 @@ class Trie:
     def __init__(self, langs: list[str], phrases: np.ndarray, lang_of: np.ndarray):
         self.alphabet = np.unique(phrases)
         self.roots = {x: i + 1 for i, x in enumerate(langs)}
-        m, k = phrases.shape
-        room = 4 * (m * k + len(langs)) + len(self.alphabet) + 2
+        words = np.searchsorted(self.alphabet, phrases).T + 1
+        edges, prefix = [], lang_of.astype(np.int64)
+        for word in words:  # distinct beginnings of every length: a third of the places will be taken
+            distinct, prefix = np.unique(prefix << 32 | word, return_inverse=True)
+            edges.append(len(distinct))
+        room = 3 * (sum(edges) + len(langs)) + len(self.alphabet) + 64
         self.base, self.check = np.zeros(room, np.int32), np.zeros(room, np.int32)
         self.check[:len(langs) + 1] = -1  # the roots' own places
         self._rng = np.random.Generator(np.random.PCG64(11))
         state = lang_of + 1
-        for i in range(k):
-            word = np.searchsorted(self.alphabet, phrases[:, i]) + 1
+        for word in words:
             state = self._level(state, word)
         self.state_of = state
 
