@@ -42,7 +42,7 @@ REJECT = T.StructType([T.StructField("record", T.StringType()), T.StructField("r
 
 
 #: Buckets of the stored case ids, by a hash of the id.
-ID_BUCKETS = 256
+ID_BUCKETS = 64
 STORED_ID = T.StructType([T.StructField("case_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
 
 
