@@ -131,7 +131,7 @@ def bit_map(hashes: DataFrame) -> np.ndarray:
 
     parts = shipped(bits).withColumn("part", F.floor(F.col("bit") / size)).groupBy("part").applyInArrow(run, "part long, bits binary")
     out = np.zeros((MAP_PARTS, size // 8), np.uint8)
-    for r in parts.toLocalIterator():  # MAP_PARTS rows at most
+    for r in parts.collect():  # MAP_PARTS rows at most
         out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out.ravel()
 
@@ -473,13 +473,19 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
             .join(frequent.select("lang", F.col("w")[0].alias("one"), F.col("word").cast("string").alias("word")), ["lang", "one"])
             .groupBy("lang", "w").agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("x"))
             .select("lang", "w", F.concat_ws(" ", "x.word").alias("phrase")))
-    rows = lowest.join(text, ["lang", "w"]).select("lang", "phrase", "a", "s.l", "s.r", "s.score")
+    # score classes, fine at every size; a language has about 1300 at most
+    rows = written(lowest.join(text, ["lang", "w"]).select("lang", "phrase", "a", "s.l", "s.r", "s.score").withColumn(
+        "class", F.floor(F.log2(F.col("score") + 1) * 64)), "phrase-scored")
 
-    # a language may hold most phrases: first ranks within parts of it, of which no later one can be among the first
+    # a language may hold most phrases: whole classes that lie below the first ``top`` go, then, in parts of the
+    # language, what ``top`` others of its part precede; only the rest is ranked in one place
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    above = Window.partitionBy("lang").orderBy(F.desc("class")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (rows.groupBy("lang", "class").agg(F.count(F.lit(1)).alias("m"))
+              .withColumn("above", F.coalesce(F.sum("m").over(above), F.lit(0))).filter(F.col("above") < top).select("lang", "class"))
     part = F.pmod(F.xxhash64("phrase"), F.lit(max(16, parallelism(docs))))
-    rows = rows.withColumn("part", part).withColumn("r0", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))) \
-        .filter(F.col("r0") <= top).drop("part", "r0")
+    rows = rows.join(needed, ["lang", "class"]).withColumn("part", part).withColumn(
+        "r0", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("r0") <= top)
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")) \
         .filter(F.col("rank") <= top)
     n = corpus.groupBy("lang").agg(F.sum("n").alias("n"))
