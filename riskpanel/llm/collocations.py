@@ -22,6 +22,7 @@ hashes, and another seed is taken if there are any.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,21 +120,24 @@ def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         seed += 1
 
 
-def bit_map(hashes: DataFrame) -> np.ndarray:
-    """Bits set at the top MAP_BITS of every hash (column h), put together in parts: a fixed size, whatever comes in."""
+def bit_map(hashes: DataFrame) -> list[bytes]:
+    """Bits set at the top MAP_BITS of every hash (column h), as compressed parts: a fixed size, whatever comes in."""
     bits = hashes.select(F.shiftrightunsigned("h", 64 - MAP_BITS).alias("bit")).distinct()
     size = (1 << MAP_BITS) // MAP_PARTS
 
     def run(key, table):
         out = np.zeros(size, bool)
         out[table.column("bit").to_numpy() % size] = True
-        return pa.table({"part": [key[0].as_py()], "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+        return pa.table({"part": [key[0].as_py()], "bits": pa.array([zlib.compress(np.packbits(out).tobytes(), 1)], pa.binary())})
 
     parts = shipped(bits).withColumn("part", F.floor(F.col("bit") / size)).groupBy("part").applyInArrow(run, "part long, bits binary")
-    out = np.zeros((MAP_PARTS, size // 8), np.uint8)
-    for r in parts.collect():  # MAP_PARTS rows at most
-        out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out.ravel()
+    got = {r["part"]: bytes(r["bits"]) for r in parts.collect()}  # MAP_PARTS rows at most
+    none = zlib.compress(bytes(size // 8), 1)
+    return [got.get(k, none) for k in range(MAP_PARTS)]
+
+
+def _unpacked(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(zlib.decompress, parts)), np.uint8)
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -183,7 +187,7 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
     shift, per = 64 - BUCKET_BITS, (1 << BUCKET_BITS) // slices
 
     def run(batches):
-        held, size = [], 0
+        held, size, known = [], 0, _unpacked(ends.value)
 
         def flush():
             bucket, times = np.unique(np.concatenate(held), return_counts=True)
@@ -195,7 +199,7 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
                                                pa.array([r[2] for r in rows], pa.binary())], ["slice", "buckets", "times"])
 
         for lang, hashes, codes in _batches(batches):
-            at = _positions(lang, hashes, codes, k, ends.value)
+            at = _positions(lang, hashes, codes, k, known)
             held.append(phrase_hash(lang, [hashes[codes[at + i] - 1] for i in range(k)]) >> np.uint64(shift))
             size += len(at)
             if size > HELD:
@@ -230,7 +234,7 @@ def candidates(corpus: DataFrame, k: int, ends, buckets) -> DataFrame:
 
     def run(batches):
         held: dict[str, list] = {}
-        size = 0
+        size, known, full = 0, _unpacked(ends.value), _unpacked(buckets.value)
 
         def flush():
             for lang, parts in held.items():
@@ -240,9 +244,9 @@ def candidates(corpus: DataFrame, k: int, ends, buckets) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), w], ["lang", "w"])
 
         for lang, hashes, codes in _batches(batches):
-            at = _positions(lang, hashes, codes, k, ends.value)
+            at = _positions(lang, hashes, codes, k, known)
             words = [hashes[codes[at + i] - 1] for i in range(k)]
-            hit = _has(buckets.value, phrase_hash(lang, words))
+            hit = _has(full, phrase_hash(lang, words))
             rows = distinct(np.stack([w[hit] for w in words], axis=1))
             held.setdefault(lang, []).append(rows)
             size += len(rows)
@@ -354,7 +358,7 @@ def tries(found: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
     def run(key, table):
         t = build(table)
         n = table.num_rows
-        packed = pickle.dumps((t.alphabet, t.roots, t.base, t.check), protocol=5)
+        packed = zlib.compress(pickle.dumps((t.alphabet, t.roots, t.base, t.check), protocol=5), 1)
         return pa.table({"block": pa.array([key[0].as_py()] * n, pa.int32()), "state": pa.array(t.state_of, pa.int32()),
                          "lang": table.column("lang"), "w": table.column("w"),
                          "trie": pa.array([packed] + [None] * (n - 1), pa.binary())})
@@ -370,14 +374,15 @@ def count_phrases(corpus: DataFrame, found: DataFrame, k: int, least: int) -> Da
     spark = corpus.sparkSession
     counts = None
     for block in range(blocks):
-        rows = packed.filter(F.col("block") == block).collect()  # one trie, of bounded size
-        if not rows:
+        trie = packed.filter(F.col("block") == block).select("trie").collect()  # one trie, of bounded size
+        if not trie:
             continue
-        shared = spark.sparkContext.broadcast(bytes(rows[0]["trie"]))
+        shared = spark.sparkContext.broadcast(bytes(trie[0][0]))
+        del trie
 
         def run(batches, shared=shared, block=block):
             t = Trie.__new__(Trie)
-            t.alphabet, t.roots, t.base, t.check = pickle.loads(shared.value)
+            t.alphabet, t.roots, t.base, t.check = pickle.loads(zlib.decompress(shared.value))
             total = np.zeros(len(t.check), np.int64)
             for lang, hashes, codes in _batches(batches):
                 total += np.bincount(t.advance(lang, hashes, codes, k), minlength=len(total))
