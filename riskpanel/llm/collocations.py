@@ -225,38 +225,61 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
     return parts.groupBy("slice").applyInArrow(add, "h long")
 
 
-def candidates(corpus: DataFrame, k: int, ends, buckets) -> DataFrame:
-    """(lang, w array<long>): the distinct k-word phrases of the corpus that pass both bit maps."""
-    def distinct(rows):
-        order = np.lexsort(rows.T)
-        rows = rows[order]
-        return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])] if len(rows) else rows
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])] if len(rows) else rows
 
+
+def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFrame:
+    """(lang, w array<long>): the distinct k-word phrases of the corpus that pass both bit maps.
+
+    A task sends each of its phrases once, packed by slices of their hash; a slice has all copies of its phrases.
+    """
     def run(batches):
         held: dict[str, list] = {}
         size, known, full = 0, _unpacked(ends.value), _unpacked(buckets.value)
 
         def flush():
+            out = []
             for lang, parts in held.items():
-                rows = distinct(np.concatenate(parts))
-                flat = pa.array(rows.view(np.int64).ravel())
-                w = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), w], ["lang", "w"])
+                rows = _distinct(np.concatenate(parts))
+                of = phrase_hash(lang, list(rows.T)) % np.uint64(slices)
+                order = np.argsort(of, kind="stable")
+                rows, of = rows[order], of[order]
+                cut = np.searchsorted(of, np.arange(slices + 1, dtype=np.uint64))
+                out += [(s, lang, rows[x:y].tobytes()) for s, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(
+                (pa.int32(), pa.string(), pa.binary()))], ["slice", "lang", "phrases"])
 
         for lang, hashes, codes in _batches(batches):
             at = _positions(lang, hashes, codes, k, known)
             words = [hashes[codes[at + i] - 1] for i in range(k)]
             hit = _has(full, phrase_hash(lang, words))
-            rows = distinct(np.stack([w[hit] for w in words], axis=1))
+            rows = _distinct(np.stack([w[hit] for w in words], axis=1))
             held.setdefault(lang, []).append(rows)
             size += len(rows)
             if size > HELD // 2:
-                yield from flush()
+                yield flush()
                 held, size = {}, 0
-        yield from flush()
+        if size:
+            yield flush()
+
+    def unite(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, np.ndarray] = {}
+        for b in parts:
+            new: dict[str, list] = {}
+            for lang, rows in zip(b.column("lang").to_pylist(), b.column("phrases")):
+                new.setdefault(lang, []).append(np.frombuffer(rows.as_py(), np.uint64).reshape(-1, k))
+            for lang, rows in new.items():
+                seen[lang] = _distinct(np.concatenate([*([seen[lang]] if lang in seen else []), *rows]))
+        for lang, rows in seen.items():
+            flat = pa.array(rows.view(np.int64).ravel())
+            w = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), w], ["lang", "w"])
 
-    found = shipped(corpus).select("lang", "hashes", "codes").mapInArrow(run, "lang string, w array<long>")
-    return written(found.distinct(), "phrase-candidates")
+    found = shipped(corpus).select("lang", "hashes", "codes").mapInArrow(run, "slice int, lang string, phrases binary")
+    return written(found.groupBy("slice").applyInArrow(unite, "lang string, w array<long>"), "phrase-candidates")
 
 
 class Trie:
@@ -442,7 +465,7 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     for k in range(2, max_words + 1):
         ends = sc.broadcast(bit_map(_hashed(last)))
         buckets = sc.broadcast(bit_map(full_buckets(corpus, k, ends, least, slices)))
-        found = candidates(corpus, k, ends, buckets)
+        found = candidates(corpus, k, ends, buckets, slices)
         ends.destroy()
         buckets.destroy()
         last = count_phrases(corpus, found, k, least)
