@@ -210,14 +210,26 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
 
     def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = times = np.zeros(0, np.uint64)
+        more: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged():
+            both = np.concatenate([bucket, *(x for x, _ in more)])
+            count = np.concatenate([times, *(t for _, t in more)])
+            order = np.argsort(both)
+            both, count = both[order], count[order]
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+            return both[first], np.minimum(np.add.reduceat(count, first), np.uint64(least))
+
+        pending = 0
         for b in parts:
             for x, t in zip(b.column("buckets"), b.column("times")):
-                both = np.concatenate([bucket, _from_planes(x.as_py())])
-                count = np.concatenate([times, np.frombuffer(t.as_py(), np.uint32).astype(np.uint64)])
-                order = np.argsort(both, kind="stable")
-                both, count = both[order], count[order]
-                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-                bucket, times = both[first], np.minimum(np.add.reduceat(count, first), np.uint64(least))
+                more.append((_from_planes(x.as_py()), np.frombuffer(t.as_py(), np.uint32).astype(np.uint64)))
+                pending += len(more[-1][0])
+                if pending > max(len(bucket), 100_000):  # as many new as old: each is sorted a few times only
+                    bucket, times = merged()
+                    more, pending = [], 0
+        if more:
+            bucket, times = merged()
         full = bucket[times >= least]
         yield pa.RecordBatch.from_arrays([pa.array((full << np.uint64(shift)).view(np.int64))], ["h"])
 
