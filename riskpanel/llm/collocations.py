@@ -237,10 +237,15 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
     return parts.groupBy("slice").applyInArrow(add, "h long")
 
 
-def _distinct(rows: np.ndarray) -> np.ndarray:
-    order = np.lexsort(rows.T)
-    rows = rows[order]
-    return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])] if len(rows) else rows
+def _distinct(lang: str, rows: np.ndarray) -> np.ndarray:
+    h = phrase_hash(lang, list(rows.T))
+    order = np.argsort(h)
+    rows, h = rows[order], h[order]
+    repeated = h[1:] == h[:-1]
+    if (rows[1:][repeated] != rows[:-1][repeated]).any():  # two phrases with one hash: sorted by their words
+        rows = rows[np.lexsort(rows.T)]
+        repeated = (rows[1:] == rows[:-1]).all(axis=1)
+    return rows[np.concatenate([[True], ~repeated])] if len(rows) else rows
 
 
 def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFrame:
@@ -255,7 +260,7 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
         def flush():
             out = []
             for lang, parts in held.items():
-                rows = _distinct(np.concatenate(parts))
+                rows = _distinct(lang, np.concatenate(parts))
                 of = phrase_hash(lang, list(rows.T)) % np.uint64(slices)
                 order = np.argsort(of, kind="stable")
                 rows, of = rows[order], of[order]
@@ -268,7 +273,7 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
             at = _positions(lang, hashes, codes, k, known)
             words = [hashes[codes[at + i] - 1] for i in range(k)]
             hit = _has(full, phrase_hash(lang, words))
-            rows = _distinct(np.stack([w[hit] for w in words], axis=1))
+            rows = _distinct(lang, np.stack([w[hit] for w in words], axis=1))
             held.setdefault(lang, []).append(rows)
             size += len(rows)
             if size > HELD // 2:
@@ -284,7 +289,7 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
             for lang, rows in zip(b.column("lang").to_pylist(), b.column("phrases")):
                 new.setdefault(lang, []).append(np.frombuffer(rows.as_py(), np.uint64).reshape(-1, k))
             for lang, rows in new.items():
-                seen[lang] = _distinct(np.concatenate([*([seen[lang]] if lang in seen else []), *rows]))
+                seen[lang] = _distinct(lang, np.concatenate([*([seen[lang]] if lang in seen else []), *rows]))
         for lang, rows in seen.items():
             flat = pa.array(rows.view(np.int64).ravel())
             w = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
