@@ -38,7 +38,9 @@ from riskpanel.llm.word_encoder import byte_sizes, groups
 #: Bytes of text that share a dictionary.
 BATCH_BYTES = 8_000_000
 #: Bits of the bit maps (8 MB), of a bucket's number, and entries of a bucket table that a task holds before it sends them.
-MAP_BITS, BUCKET_BITS, HELD = 26, 40, 2_000_000
+MAP_BITS, BUCKET_BITS, HELD = 26, 40, 1_000_000
+#: Positions of a batch that a task works on at a time.
+POSITIONS = 500_000
 #: Phrases of a trie: about 10 MB to broadcast (its states take 24 bytes each, its words 8).
 TRIE_PHRASES = 300_000
 #: Parts in which a bit map is put together, and entries of one slice of buckets at most.
@@ -168,6 +170,13 @@ def _batches(batches):
             yield lang, hashes.values.to_numpy(zero_copy_only=False).view(np.uint64), np.frombuffer(codes.as_py(), np.int32)
 
 
+def _pieces(batches, k: int):
+    """The batches in pieces of bounded length, in each of which every k-word phrase starts once."""
+    for lang, hashes, codes in _batches(batches):
+        for i in range(0, len(codes) - k + 1, POSITIONS):
+            yield lang, hashes, codes[i:i + POSITIONS + k - 1]
+
+
 def _planes(x: np.ndarray) -> bytes:
     """Differences of sorted 64-bit numbers, bytes of equal weight together: most are zero and compress away."""
     d = np.diff(x, prepend=np.uint64(0))
@@ -190,21 +199,25 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
         held, size, known = [], 0, _unpacked(ends.value)
 
         def flush():
-            bucket, times = np.unique(np.concatenate(held), return_counts=True)
-            times = np.minimum(times, least)
+            bucket = np.concatenate(held)
+            held.clear()
+            bucket.sort()
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            times = np.minimum(np.diff(np.append(first, len(bucket))), least)
+            bucket = bucket[first]
             cut = np.searchsorted(bucket, np.arange(1, slices, dtype=np.uint64) * np.uint64(per))
             rows = [(s, _planes(x), t.astype(np.uint32).tobytes()) for s, (x, t) in
                     enumerate(zip(np.split(bucket, cut), np.split(times, cut))) if len(x)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
                                                pa.array([r[2] for r in rows], pa.binary())], ["slice", "buckets", "times"])
 
-        for lang, hashes, codes in _batches(batches):
+        for lang, hashes, codes in _pieces(batches, k):
             at = _positions(lang, hashes, codes, k, known)
             held.append(phrase_hash(lang, [hashes[codes[at + i] - 1] for i in range(k)]) >> np.uint64(shift))
             size += len(at)
             if size > HELD:
                 yield flush()
-                held, size = [], 0
+                size = 0
         if size:
             yield flush()
 
@@ -269,14 +282,14 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(
                 (pa.int32(), pa.string(), pa.binary()))], ["slice", "lang", "phrases"])
 
-        for lang, hashes, codes in _batches(batches):
+        for lang, hashes, codes in _pieces(batches, k):
             at = _positions(lang, hashes, codes, k, known)
             words = [hashes[codes[at + i] - 1] for i in range(k)]
             hit = _has(full, phrase_hash(lang, words))
             rows = _distinct(lang, np.stack([w[hit] for w in words], axis=1))
             held.setdefault(lang, []).append(rows)
             size += len(rows)
-            if size > HELD // 2:
+            if size > HELD:
                 yield flush()
                 held, size = {}, 0
         if size:
