@@ -15,8 +15,8 @@ Counting goes up by phrase length k:
    once, level by level, and adds up the accepting states by bincount; sums
    over the tasks are the exact counts. One block is broadcast at a time.
 
-Words are known by 64-bit hashes; all distinct words are checked for equal
-hashes, and another seed is taken if there are any.
+Words are known by 64-bit hashes; a second hash shows whether two share one,
+and then another seed is taken.
 """
 
 from __future__ import annotations
@@ -108,17 +108,23 @@ def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
         run, "lang string, words array<binary>, hashes array<long>, counts array<long>, n long, codes binary")
 
 
+def _words(corpus: DataFrame) -> DataFrame:
+    return corpus.select("lang", F.explode(F.arrays_zip("hashes", "words", "counts")).alias("x")).select(
+        "lang", F.col("x.hashes").alias("h"), F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+
+
 def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The written corpus and its (lang, h, word, f) of all distinct words, under a seed that gives each its own hash."""
+    """The written corpus and its (lang, h, f) of all distinct words, under a seed that gives each its own hash.
+
+    Words are told apart by a second hash of 64 bits, so that their counts need no sort.
+    """
     seed = 0
     while True:
         corpus = written(encoded_corpus(docs, seed), "phrase-corpus")
-        each = corpus.select("lang", F.explode(F.arrays_zip("hashes", "words", "counts")).alias("x"))
-        words = written(each.select("lang", F.col("x.hashes").alias("h"), F.col("x.words").alias("w"), F.col("x.counts").alias("c"))
-                        .groupBy("lang", "h").agg(F.sum("c").alias("f"), F.min("w").alias("word"), F.max("w").alias("other")),
-                        "phrase-words")
-        if words.filter("word <> other").isEmpty():
-            return corpus, words.drop("other")
+        words = written(_words(corpus).withColumn("other", F.xxhash64("word")).groupBy("lang", "h").agg(
+            F.sum("c").alias("f"), F.min("other").alias("low"), F.max("other").alias("high")), "phrase-words")
+        if words.filter("low <> high").isEmpty():
+            return corpus, words.select("lang", "h", "f")
         seed += 1
 
 
@@ -488,7 +494,7 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     spark = docs.sparkSession
     sc = spark.sparkContext
     corpus, words = _corpus(docs)
-    frequent = words.filter(F.col("f") >= least).select("lang", F.array("h").alias("w"), "f", "word")
+    frequent = words.filter(F.col("f") >= least).select("lang", F.array("h").alias("w"), "f")
     total = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slices = 1 << max(6, int(np.ceil(np.log2(max(1, total / (SLICE_ROWS // 4))))))
     levels, last = [], frequent
@@ -527,8 +533,11 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
         .withColumn("under", exact["l"] * exact["r"]).withColumn("score", F.expr("top div under"))
     lowest = cuts.groupBy("lang", "w").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("s"))
 
-    text = (kept.select("lang", "w", F.posexplode("w").alias("i", "one"))
-            .join(frequent.select("lang", F.col("w")[0].alias("one"), F.col("word").cast("string").alias("word")), ["lang", "one"])
+    # the spelling of the words of these phrases only
+    used = written(kept.select("lang", F.explode("w").alias("h")).distinct(), "phrase-used")
+    spelt = (_words(corpus).join(used, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("word").alias("word"))
+             .select("lang", F.col("h").alias("one"), F.col("word").cast("string").alias("word")))
+    text = (kept.select("lang", "w", F.posexplode("w").alias("i", "one")).join(spelt, ["lang", "one"])
             .groupBy("lang", "w").agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("x"))
             .select("lang", "w", F.concat_ws(" ", "x.word").alias("phrase")))
     # score classes, fine at every size; a language has about 1300 at most
