@@ -36,7 +36,7 @@ from riskpanel.llm.common import parallelism, shipped, written
 from riskpanel.llm.word_encoder import byte_sizes, groups
 
 #: Bytes of text that share a dictionary.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 #: Bits of the bit maps (8 MB), of a bucket's number, and entries of a bucket table that a task holds before it sends them.
 MAP_BITS, BUCKET_BITS, HELD = 26, 40, 1_000_000
 #: Positions of a batch that a task works on at a time.
@@ -88,7 +88,10 @@ def cut_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
 
 
 def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
-    """(lang, words, hashes, counts, n, codes): batches of texts of one language (null: und) as word numbers."""
+    """(lang, words, hashes, counts, n, codes): batches of texts of one language (null: und) as word numbers.
+
+    words are joined by spaces, hashes, counts and codes are the bytes of 64- and 32-bit numbers.
+    """
     def run(batches):
         for b in batches:
             lang = pc.fill_null(b.column(0), "und").dictionary_encode()
@@ -98,19 +101,29 @@ def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
                     words, codes = cut_words([t or b"" for t in text.slice(first, n).to_pylist()])
                     times = np.bincount(codes, minlength=len(words) + 1)[1:]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([words], pa.list_(pa.binary())),
-                         pa.array([np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).view(np.int64)], pa.list_(pa.int64())),
-                         pa.array([times], pa.list_(pa.int64())), pa.array([int(times.sum())], pa.int64()),
+                        [pa.array([name]), pa.array([b" ".join(words)], pa.binary()),
+                         pa.array([np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).tobytes()], pa.binary()),
+                         pa.array([times.astype(np.int64).tobytes()], pa.binary()), pa.array([int(times.sum())], pa.int64()),
                          pa.array([codes.tobytes()], pa.binary())],
                         ["lang", "words", "hashes", "counts", "n", "codes"])
 
     return shipped(docs).select(F.col("lang"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "lang string, words array<binary>, hashes array<long>, counts array<long>, n long, codes binary")
+        run, "lang string, words binary, hashes binary, counts binary, n long, codes binary")
 
 
 def _words(corpus: DataFrame) -> DataFrame:
-    return corpus.select("lang", F.explode(F.arrays_zip("hashes", "words", "counts")).alias("x")).select(
-        "lang", F.col("x.hashes").alias("h"), F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+    """(lang, h, word, c): the words of every batch with their counts there."""
+    def run(batches):
+        for b in batches:
+            for lang, *parts in zip(b.column("lang").to_pylist(), b.column("words"), b.column("hashes"), b.column("counts")):
+                words, hashes, counts = (x.as_py() for x in parts)
+                if hashes:
+                    h = pa.array(np.frombuffer(hashes, np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(h)), h, pa.array(words.split(b" "), pa.binary()), pa.array(np.frombuffer(counts, np.int64))],
+                        ["lang", "h", "word", "c"])
+
+    return shipped(corpus).select("lang", "words", "hashes", "counts").mapInArrow(run, "lang string, h long, word binary, c long")
 
 
 def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -173,7 +186,7 @@ def _positions(lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, ends: n
 def _batches(batches):
     for b in batches:
         for lang, hashes, codes in zip(b.column("lang").to_pylist(), b.column("hashes"), b.column("codes")):
-            yield lang, hashes.values.to_numpy(zero_copy_only=False).view(np.uint64), np.frombuffer(codes.as_py(), np.int32)
+            yield lang, np.frombuffer(hashes.as_py(), np.uint64), np.frombuffer(codes.as_py(), np.int32)
 
 
 def _pieces(batches, k: int):
