@@ -15,8 +15,8 @@ Counting goes up by phrase length k:
    once, level by level, and adds up the accepting states by bincount; sums
    over the tasks are the exact counts. One block is broadcast at a time.
 
-Words are known by 64-bit hashes; a second hash shows whether two share one,
-and then another seed is taken.
+Words are known by 64-bit hashes; all distinct words are checked for equal
+hashes, and another seed is taken if there are any.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def cut_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
 def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
     """(lang, words, hashes, counts, n, codes): batches of texts of one language (null: und) as word numbers.
 
-    words are joined by spaces, hashes, counts and codes are the bytes of 64- and 32-bit numbers.
+    words are joined by spaces, counts and codes are the bytes of 64- and 32-bit numbers.
     """
     def run(batches):
         for b in batches:
@@ -102,13 +102,13 @@ def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
                     times = np.bincount(codes, minlength=len(words) + 1)[1:]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name]), pa.array([b" ".join(words)], pa.binary()),
-                         pa.array([np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).tobytes()], pa.binary()),
+                         pa.array([np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).view(np.int64)], pa.list_(pa.int64())),
                          pa.array([times.astype(np.int64).tobytes()], pa.binary()), pa.array([int(times.sum())], pa.int64()),
                          pa.array([codes.tobytes()], pa.binary())],
                         ["lang", "words", "hashes", "counts", "n", "codes"])
 
     return shipped(docs).select(F.col("lang"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "lang string, words binary, hashes binary, counts binary, n long, codes binary")
+        run, "lang string, words binary, hashes array<long>, counts binary, n long, codes binary")
 
 
 def _words(corpus: DataFrame) -> DataFrame:
@@ -116,28 +116,26 @@ def _words(corpus: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for lang, *parts in zip(b.column("lang").to_pylist(), b.column("words"), b.column("hashes"), b.column("counts")):
-                words, hashes, counts = (x.as_py() for x in parts)
-                if hashes:
-                    h = pa.array(np.frombuffer(hashes, np.int64))
+                words, hashes, counts = parts
+                h = hashes.values
+                if len(h):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(h)), h, pa.array(words.split(b" "), pa.binary()), pa.array(np.frombuffer(counts, np.int64))],
+                        [pa.array([lang] * len(h)), h, pa.array(words.as_py().split(b" "), pa.binary()),
+                         pa.array(np.frombuffer(counts.as_py(), np.int64))],
                         ["lang", "h", "word", "c"])
 
     return shipped(corpus).select("lang", "words", "hashes", "counts").mapInArrow(run, "lang string, h long, word binary, c long")
 
 
 def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The written corpus and its (lang, h, f) of all distinct words, under a seed that gives each its own hash.
-
-    Words are told apart by a second hash of 64 bits, so that their counts need no sort.
-    """
+    """The written corpus and its (lang, h, word, f) of all distinct words, under a seed that gives each its own hash."""
     seed = 0
     while True:
         corpus = written(encoded_corpus(docs, seed), "phrase-corpus")
-        words = written(_words(corpus).withColumn("other", F.xxhash64("word")).groupBy("lang", "h").agg(
-            F.sum("c").alias("f"), F.min("other").alias("low"), F.max("other").alias("high")), "phrase-words")
-        if words.filter("low <> high").isEmpty():
-            return corpus, words.select("lang", "h", "f")
+        words = written(_words(corpus).groupBy("lang", "h").agg(F.sum("c").alias("f"), F.min("word").alias("word"), F.max("word").alias("other")),
+                        "phrase-words")
+        if words.filter("word <> other").isEmpty():
+            return corpus, words.drop("other")
         seed += 1
 
 
@@ -186,7 +184,7 @@ def _positions(lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, ends: n
 def _batches(batches):
     for b in batches:
         for lang, hashes, codes in zip(b.column("lang").to_pylist(), b.column("hashes"), b.column("codes")):
-            yield lang, np.frombuffer(hashes.as_py(), np.uint64), np.frombuffer(codes.as_py(), np.int32)
+            yield lang, hashes.values.to_numpy(zero_copy_only=False).view(np.uint64), np.frombuffer(codes.as_py(), np.int32)
 
 
 def _pieces(batches, k: int):
@@ -507,7 +505,7 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     spark = docs.sparkSession
     sc = spark.sparkContext
     corpus, words = _corpus(docs)
-    frequent = words.filter(F.col("f") >= least).select("lang", F.array("h").alias("w"), "f")
+    frequent = words.filter(F.col("f") >= least).select("lang", F.array("h").alias("w"), "f", "word")
     total = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slices = 1 << max(6, int(np.ceil(np.log2(max(1, total / (SLICE_ROWS // 4))))))
     levels, last = [], frequent
@@ -546,11 +544,8 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
         .withColumn("under", exact["l"] * exact["r"]).withColumn("score", F.expr("top div under"))
     lowest = cuts.groupBy("lang", "w").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("s"))
 
-    # the spelling of the words of these phrases only
-    used = written(kept.select("lang", F.explode("w").alias("h")).distinct(), "phrase-used")
-    spelt = (_words(corpus).join(used, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("word").alias("word"))
-             .select("lang", F.col("h").alias("one"), F.col("word").cast("string").alias("word")))
-    text = (kept.select("lang", "w", F.posexplode("w").alias("i", "one")).join(spelt, ["lang", "one"])
+    text = (kept.select("lang", "w", F.posexplode("w").alias("i", "one"))
+            .join(frequent.select("lang", F.col("w")[0].alias("one"), F.col("word").cast("string").alias("word")), ["lang", "one"])
             .groupBy("lang", "w").agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("x"))
             .select("lang", "w", F.concat_ws(" ", "x.word").alias("phrase")))
     # score classes, fine at every size; a language has about 1300 at most
