@@ -43,6 +43,8 @@ MAP_BITS, BUCKET_BITS, HELD = 26, 40, 1_000_000
 POSITIONS = 500_000
 #: Phrases of a trie: about 10 MB to broadcast (its states take 24 bytes each, its words 8).
 TRIE_PHRASES = 300_000
+#: Batches' words, repeats included, of one slice of the words.
+WORDS_SLICE = 1_000_000
 #: Parts in which a bit map is put together, and entries of one slice of buckets at most.
 MAP_PARTS, SLICE_ROWS = 64, 4_000_000
 
@@ -111,20 +113,52 @@ def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
         run, "lang string, words binary, hashes array<long>, counts binary, n long, codes binary")
 
 
-def _words(corpus: DataFrame) -> DataFrame:
-    """(lang, h, word, c): the words of every batch with their counts there."""
+def _words(corpus: DataFrame, slices: int) -> DataFrame:
+    """(lang, h, word, f): the distinct words of the corpus with their counts.
+
+    The words of a batch travel packed by slices of their hash; a slice adds up
+    all batches' words that fall into it, a bounded number.
+    """
     def run(batches):
         for b in batches:
-            for lang, *parts in zip(b.column("lang").to_pylist(), b.column("words"), b.column("hashes"), b.column("counts")):
-                words, hashes, counts = parts
-                h = hashes.values
-                if len(h):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(h)), h, pa.array(words.as_py().split(b" "), pa.binary()),
-                         pa.array(np.frombuffer(counts.as_py(), np.int64))],
-                        ["lang", "h", "word", "c"])
+            for lang, words, hashes, counts in zip(b.column("lang").to_pylist(), b.column("words"), b.column("hashes"), b.column("counts")):
+                h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                if not len(h):
+                    continue
+                of = _mix(h) % np.uint64(slices)
+                order = np.argsort(of, kind="stable")
+                h, times = h[order], np.frombuffer(counts.as_py(), np.int64)[order]
+                spelt = words.as_py().split(b" ")
+                cut = np.searchsorted(of[order], np.arange(slices + 1, dtype=np.uint64))
+                rows = [(s, lang, b" ".join([spelt[i] for i in order[x:y]]), h[x:y].tobytes(), times[x:y].tobytes())
+                        for s, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+                    (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()))], ["slice", "lang", "words", "hashes", "counts"])
+
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, more, pending = None, [], 0
+
+        def merged():
+            both = pa.concat_tables([*([] if total is None else [total]), *more])
+            return both.group_by(["lang", "h", "word"], use_threads=False).aggregate([("f", "sum")]).rename_columns(
+                ["lang", "h", "word", "f"])
+
+        for b in parts:
+            for lang, words, hashes, counts in zip(*[b.column(c).to_pylist() for c in ("lang", "words", "hashes", "counts")]):
+                h = pa.array(np.frombuffer(hashes, np.int64))
+                more.append(pa.table({"lang": pa.array([lang] * len(h), pa.string()), "h": h, "word": pa.array(words.split(b" "), pa.binary()),
+                                      "f": pa.array(np.frombuffer(counts, np.int64))}))
+                pending += len(h)
+                if pending > max(0 if total is None else total.num_rows, 100_000):  # as many new as old: few passes over each
+                    total, more, pending = merged(), [], 0
+        if more:
+            total = merged()
+        if total is not None:
+            yield from total.combine_chunks().to_batches(max_chunksize=100_000)
 
-    return shipped(corpus).select("lang", "words", "hashes", "counts").mapInArrow(run, "lang string, h long, word binary, c long")
+    packed = shipped(corpus).select("lang", "words", "hashes", "counts").mapInArrow(
+        run, "slice int, lang string, words binary, hashes binary, counts binary")
+    return packed.groupBy("slice").applyInArrow(add, "lang string, h long, word binary, f long")
 
 
 def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -132,10 +166,10 @@ def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     seed = 0
     while True:
         corpus = written(encoded_corpus(docs, seed), "phrase-corpus")
-        words = written(_words(corpus).groupBy("lang", "h").agg(F.sum("c").alias("f"), F.min("word").alias("word"), F.max("word").alias("other")),
-                        "phrase-words")
-        if words.filter("word <> other").isEmpty():
-            return corpus, words.drop("other")
+        size = corpus.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]  # words of all batches, repeats included
+        words = written(_words(corpus, max(64, -(-size // WORDS_SLICE))), "phrase-words")
+        if words.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("spellings")).filter("spellings > 1").isEmpty():
+            return corpus, words
         seed += 1
 
 
