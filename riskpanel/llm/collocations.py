@@ -38,9 +38,9 @@ from riskpanel.llm.word_encoder import byte_sizes, groups
 #: Bytes of text that share a dictionary.
 BATCH_BYTES = 4_000_000
 #: Bits of the bit maps (8 MB), of a bucket's number, and entries of a bucket table that a task holds before it sends them.
-MAP_BITS, BUCKET_BITS, HELD = 26, 40, 1_000_000
+MAP_BITS, BUCKET_BITS, HELD = 26, 40, 500_000
 #: Positions of a batch that a task works on at a time.
-POSITIONS = 500_000
+POSITIONS = 250_000
 #: Phrases of a trie: about 10 MB to broadcast (its states take 24 bytes each, its words 8).
 TRIE_PHRASES = 300_000
 #: Batches' words, repeats included, of one slice of the words.
@@ -217,6 +217,7 @@ def _positions(lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, ends: n
 
 def _batches(batches):
     for b in batches:
+        pa.default_memory_pool().release_unused()  # what the batch before took
         for lang, hashes, codes in zip(b.column("lang").to_pylist(), b.column("hashes"), b.column("codes")):
             yield lang, hashes.values.to_numpy(zero_copy_only=False).view(np.uint64), np.frombuffer(codes.as_py(), np.int32)
 
