@@ -153,7 +153,7 @@ def _panel(t):
 
 @register("boosted_forecast", "P4", None)
 def q_boosted(t):
-    """Pooled gradient-boosted trees (100 trees, depth 6, rate 0.1, seed 42) on the
+    """Gradient-boosted trees of every district (100 trees, depth 6, rate 0.1) on its
     panel features; score of each district's last day, clamped, 50 on failure."""
     from riskpanel.operators.learn import boosted_forecast
     return _final(boosted_forecast(_panel(t), CASES_AS_OF, H))

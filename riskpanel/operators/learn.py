@@ -1,10 +1,9 @@
-"""Learned forecasters with ``pyspark.ml``, pooled over all districts.
+"""Learned forecasters.
 
-The application fits one small model per district in a Python loop; here one
-distributed fit covers every district (a district enters through the level,
-spread and trend of its own training days, so the model does not grow with the
-number of districts), and the work is spread over the cluster instead of a
-loop on one machine.
+The application fits one small model per district in a Python loop. The boosted
+trees here are one model a district too, all fitted in one grouped job, a
+district in one task; the sequence model is one ``pyspark.ml`` fit pooled over
+all districts.
 
 mode="nowcast" (default) reproduces the application: the label is the
 current day's count and the features include columns built from it, so the
@@ -16,17 +15,19 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskpanel import config as C
 from riskpanel.operators.aggregates import fit_metrics
+from riskpanel.operators.boosting import boosted_scores
 from riskpanel.operators.windows import chrono_split, lag_columns, rolling_columns, sequence_window
+from riskpanel.session import ship_package
 
 MODEL_BASE = ["rainfall_mm", "temperature_celsius", "cases_count", "water_area_sqkm"]
 
@@ -77,20 +78,6 @@ def _out(pred: DataFrame, as_of, horizon_weeks, model_name) -> DataFrame:
                        F.col("prediction").cast("double").alias("raw_score"))
 
 
-DISTRICT_FEATURES = ["district_level", "district_spread", "district_trend"]
-
-
-def with_district_features(df: DataFrame) -> DataFrame:
-    """Mean, standard deviation and daily trend of each district's training labels
-    (0 where a district has too few), computed on training rows only."""
-    y = "CASE WHEN is_train THEN label END"
-    over = "OVER (PARTITION BY district_code)"
-    t = "CAST(unix_date(date) AS DOUBLE)"
-    return df.selectExpr("*", f"coalesce(avg({y}) {over}, 0D) AS district_level",
-                         f"coalesce(stddev_pop({y}) {over}, 0D) AS district_spread",
-                         f"coalesce(regr_slope({y}, {t}) {over}, 0D) AS district_trend")
-
-
 def _no_scores(panel: DataFrame, as_of, horizon_weeks, model_name, with_metrics: bool):
     """Null scores for every district (50.0 downstream): nothing to train on."""
     out = _out(panel.select("district_code").distinct().withColumn("prediction", F.lit(None).cast("double")),
@@ -101,29 +88,50 @@ def _no_scores(panel: DataFrame, as_of, horizon_weeks, model_name, with_metrics:
     return out, fit_metrics(none)
 
 
+def boosted_rows(df: DataFrame, feats: list[str], trees: int, depth: int, rate: float) -> DataFrame:
+    """(district_code, date, label, is_train, yhat): every day of every district, scored by that district's own
+    model; a district without a training day has null scores.
+
+    A group is one district's calendar, so its size does not depend on the
+    number of cases. Fits take far longer than their few rows suggest, hence
+    the fixed number of partitions, which adaptive execution leaves alone.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+    def fit(days: pa.Table) -> pa.Table:
+        days = days.sort_by("date")
+        x = np.array(days.column("x").to_pylist(), dtype=float).reshape(days.num_rows, len(feats))
+        label = days.column("label").to_numpy()
+        train = days.column("is_train").to_numpy() & ~np.isnan(label)
+        yhat = boosted_scores(x, np.nan_to_num(label), train, trees, depth, rate) if train.any() else np.full(len(x), np.nan)
+        return days.drop_columns("x").append_column("yhat", pa.array(yhat, from_pandas=True))
+
+    return (df.select("district_code", "date", "label", "is_train", F.array(*feats).alias("x"))
+            .repartition(spread, "district_code").groupBy("district_code")
+            .applyInArrow(fit, "district_code string, date date, label double, is_train boolean, yhat double"))
+
+
 def boosted_forecast(panel: DataFrame, as_of, horizon_weeks: int = C.DEFAULT_HORIZON_WEEKS,
                      trees: int = C.BOOST_TREES, depth: int = C.BOOST_DEPTH, rate: float = C.BOOST_RATE,
-                     seed: int = C.SEED, mode: str = "nowcast", with_metrics: bool = False):
-    """Gradient-boosted trees on the panel features, first 80 % of each
-    district's days for training; the score is the prediction of each
-    district's last row (and, with_metrics, MAE/MSE/R^2 on the other 20 %)."""
+                     mode: str = "nowcast", with_metrics: bool = False):
+    """Gradient-boosted trees on the panel features, one model a district,
+    all in one job: the first 80 % of a district's days train its model, the
+    score is the prediction of its last day (and, with_metrics, MAE/MSE/R^2 on
+    the other 20 %). Nothing is drawn at random."""
     df, feats = boosted_features(panel)
     if mode == "direct":
         feats = [f for f in feats if not (f.startswith("cases_roll") or f.startswith("cases_count_roll"))]
-    df = _cut(with_district_features(chrono_split(_label(df, horizon_weeks, mode))))
-    train = df.filter(F.col("is_train") & F.col("label").isNotNull())
-    if train.isEmpty():
-        return _no_scores(panel, as_of, horizon_weeks, "XGBoost", with_metrics)
-    assembler = VectorAssembler(inputCols=feats + DISTRICT_FEATURES, outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth,
-                       stepSize=rate, seed=seed, maxBins=64)
-    model = Pipeline(stages=[assembler, gbt]).fit(train)
-    pred = model.transform(_last_rows(df))
-    out = _out(pred, as_of, horizon_weeks, "XGBoost")
+    scored = boosted_rows(chrono_split(_label(df, horizon_weeks, mode)), feats, trees, depth, rate)
+    if with_metrics:
+        scored = _cut(scored)  # read twice
+    last = scored.groupBy("district_code").agg(F.max_by("yhat", "date").alias("prediction"))
+    out = _out(last, as_of, horizon_weeks, "XGBoost")
     if not with_metrics:
         return out
-    test = model.transform(df.filter(~F.col("is_train") & F.col("label").isNotNull()))
-    return out, fit_metrics(test.select("district_code", F.col("label").alias("y"), F.col("prediction").alias("yhat")))
+    test = scored.filter(~F.col("is_train") & F.col("label").isNotNull() & F.col("yhat").isNotNull())
+    return out, fit_metrics(test.select("district_code", F.col("label").alias("y"), "yhat"))
 
 
 def sequence_features(panel: DataFrame, seq: int = C.SEQUENCE_LENGTH) -> DataFrame:

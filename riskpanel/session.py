@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -90,3 +91,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs.mkdirs(target)
     fs.deleteOnExit(target)
     return os.path.join(folder, name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per Spark context, send the package's sources to the executors, as
+    ``--py-files`` would: functions that run in tasks are imported from them."""
+    sc = spark.sparkContext
+    if any(os.path.basename(x) == "riskpanel-src.zip" for x in sc._python_includes):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="riskpanel-src-"), "riskpanel-src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("riskpanel", os.path.relpath(full, root)))
+    sc.addPyFile(path)

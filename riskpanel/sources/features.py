@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.session import ship_package
+
 _KEY = re.compile(rb'"features"\s*:\s*\Z')
 _STEP = np.zeros(256, np.int8)
 _STEP[[ord("{"), ord("[")]] = 1
@@ -80,6 +82,7 @@ def _per_block(chunks: DataFrame, columns: dict, start, step, row) -> DataFrame:
             yield out()
 
     kinds = {pa.int64(): "long", pa.bool_(): "boolean"}
+    ship_package(chunks.sparkSession)
     return chunks.mapInArrow(run, ", ".join(["file long", "block long", *[f"{n} {kinds[t]}" for n, t in columns.items()]]))
 
 
@@ -192,6 +195,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
         if key is not None and held:
             yield end()
 
+    ship_package(chunks.sparkSession)
     cut = chunks.mapInArrow(run, "value string, file long, record long, block long")
     whole = cut.filter("record is null").select("value")
     if len(starts) < 2:

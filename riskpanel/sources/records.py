@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.session import ship_package
+
 #: Lines of a record at most: a quote that is not closed within as many stands for itself, and so does its line.
 MAX_LINES = 10_000
 
@@ -57,6 +59,7 @@ def _summaries(lines: DataFrame, most: int) -> DataFrame:
         if key is not None:
             yield row()
 
+    ship_package(lines.sparkSession)
     return lines.select("file", "block", "odd").mapInArrow(run, schema)
 
 
@@ -146,6 +149,7 @@ def _cut(lines: DataFrame, states: dict, most: int) -> DataFrame:
         if key is not None:
             yield from end()
 
+    ship_package(lines.sparkSession)
     return lines.select("file", "block", "odd", "value").mapInArrow(run, "value string, file long, record long, block long")
 
 

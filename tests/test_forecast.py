@@ -132,3 +132,59 @@ def test_boosting_holds_with_500_districts(spark):
     many = one.drop("district_code").crossJoin(spark.range(500).select(F.format_string("K%03d", "id").alias("district_code")))
     out = boosted_forecast(many, AS_OF, 8, trees=2, depth=2)
     assert out.count() == 500 and out.filter("raw_score IS NULL OR isnan(raw_score)").count() == 0
+
+
+def _plain_boosting(x, y, train, trees, depth, rate):
+    """Predictions of all rows, by loops over rows, features and cuts."""
+    def mids(f):
+        v = sorted({x[i][f] for i in train})
+        return [(a + b) / 2 for a, b in zip(v, v[1:])]
+    places = [mids(f) for f in range(len(x[0]))]
+
+    def grow(rows, level, rest):
+        g, n = sum(rest[i] for i in rows), len(rows)
+        tried = []
+        for f, at in enumerate(places):
+            for c in at:
+                left = [i for i in rows if x[i][f] <= c]
+                if level < depth and 0 < len(left) < n:
+                    gl = sum(rest[i] for i in left)
+                    tried.append((gl * gl / (len(left) + 1) + (g - gl) ** 2 / (n - len(left) + 1) - g * g / (n + 1), f, c))
+        best = max((t[0] for t in tried), default=0)
+        if best <= 1e-6:
+            return rate * g / (n + 1)
+        _, f, c = next(t for t in tried if t[0] >= best - 1e-9 * best)
+        return (f, c, grow([i for i in rows if x[i][f] <= c], level + 1, rest),
+                grow([i for i in rows if x[i][f] > c], level + 1, rest))
+
+    def read(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+        return tree
+    score = [sum(y[i] for i in train) / len(train)] * len(x)
+    for _ in range(trees):
+        tree = grow(train, 0, {i: y[i] - score[i] for i in train})
+        score = [s + read(tree, r) for s, r in zip(score, x)]
+    return score
+
+
+def test_every_district_has_the_trees_of_a_plain_loop(spark):
+    import random
+
+    from riskpanel.operators.learn import boosted_features, boosted_forecast
+    rnd = random.Random(5)
+    start = AS_OF - dt.timedelta(days=59)
+    rows = [(d, start + dt.timedelta(days=i), rnd.randrange(20) + (40 if d == "B" else 0), rnd.random() * 9,
+             20 + rnd.random(), 50.0, rnd.random(), 0.0) for d, n in (("A", 60), ("B", 45), ("C", 1)) for i in range(n)]
+    panel = spark.createDataFrame(rows, _panel_like(spark, 1).schema)
+    out, metrics = boosted_forecast(panel, AS_OF, 8, trees=6, depth=3, with_metrics=True)
+    got, fit = {r.district_code: r.raw_score for r in out.collect()}, {r.district_code: r.mae for r in metrics.collect()}
+    assert got["C"] is None and set(fit) == {"A", "B"}  # one day: nothing to train on
+    df, feats = boosted_features(panel)
+    for d, n in (("A", 60), ("B", 45)):
+        days = df.filter(F.col("district_code") == d).orderBy("date").collect()
+        x, y = [[r[f] for f in feats] for r in days], [float(r.cases_count) for r in days]
+        want = _plain_boosting(x, y, list(range(int(0.8 * n))), 6, 3, 0.1)
+        assert got[d] == pytest.approx(want[-1], rel=1e-9)
+        held = range(int(0.8 * n), n)
+        assert fit[d] == pytest.approx(sum(abs(y[i] - want[i]) for i in held) / len(held), rel=1e-9)
