@@ -21,6 +21,7 @@ hashes, and another seed is taken if there are any.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import zlib
 from collections.abc import Iterator
@@ -89,10 +90,15 @@ def cut_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return kept, np.append(codes[~(stop & np.roll(stop, 1))], 0).astype(np.int32)
 
 
+def _code_type(words: int):
+    """Type of the codes of a batch with so many distinct words."""
+    return np.uint16 if words < 65_536 else np.int32
+
+
 def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
     """(lang, words, hashes, counts, n, codes): batches of texts of one language (null: und) as word numbers.
 
-    words are joined by spaces, counts and codes are the bytes of 64- and 32-bit numbers.
+    words are joined by spaces, counts and codes are the bytes of 64-bit numbers and of numbers of ``_code_type``.
     """
     def run(batches):
         for b in batches:
@@ -102,6 +108,7 @@ def encoded_corpus(docs: DataFrame, seed: int) -> DataFrame:
                 for first, n in groups(byte_sizes(text), BATCH_BYTES):
                     words, codes = cut_words([t or b"" for t in text.slice(first, n).to_pylist()])
                     times = np.bincount(codes, minlength=len(words) + 1)[1:]
+                    codes = codes.astype(_code_type(len(words)))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name]), pa.array([b" ".join(words)], pa.binary()),
                          pa.array([np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).view(np.int64)], pa.list_(pa.int64())),
@@ -216,10 +223,14 @@ def _positions(lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, ends: n
 
 
 def _batches(batches):
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: freed arrays above 1 MB go back to the system
     for b in batches:
         pa.default_memory_pool().release_unused()  # what the batch before took
         for lang, hashes, codes in zip(b.column("lang").to_pylist(), b.column("hashes"), b.column("codes")):
-            yield lang, hashes.values.to_numpy(zero_copy_only=False).view(np.uint64), np.frombuffer(codes.as_py(), np.int32)
+            h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            yield lang, h, np.frombuffer(codes.as_buffer(), _code_type(len(h)))
 
 
 def _pieces(batches, k: int):
