@@ -25,36 +25,43 @@ def cuts(values: np.ndarray) -> np.ndarray:
 def boosted_scores(x: np.ndarray, y: np.ndarray, train: np.ndarray, trees: int, depth: int, rate: float) -> np.ndarray:
     """Predictions for all rows of ``x`` (rows by features) of a model fitted to the rows marked in ``train``."""
     at = [cuts(column[train]) for column in x.T]
-    first = np.cumsum([0, *(len(c) + 1 for c in at)])  # where each feature's bins start among all bins
-    code = np.stack([np.searchsorted(c, column) + f for c, column, f in zip(at, x.T, first)], axis=1)
-    bins = int(first[-1])
-    feature = np.repeat(np.arange(len(at)), np.diff(first))
-    before = first[feature]  # the first bin of the bin's own feature
+    code = np.stack([np.searchsorted(c, column) for c, column in zip(at, x.T)])  # features by rows
     score = np.full(len(x), y[train].mean())
-    seen = code[train]
+    seen = code[:, train]
+    by_code = np.argsort(seen, axis=1, kind="stable")  # training rows in the order of each feature
+    each = np.arange(len(at))[:, None]
 
     for _ in range(trees):
-        left_over = np.where(train, y - score, 0.0)
+        rest = np.where(train, y - score, 0.0)
+        own_rest = rest[train]
         node, leaf, nodes = np.zeros(len(x), int), np.zeros(len(x)), 1  # node -1: the row is in a leaf
         for level in range(depth + 1):
             own = node[train]
-            g = np.bincount(own[own >= 0], left_over[train][own >= 0], nodes)
-            n = np.bincount(own[own >= 0], minlength=nodes)
+            inside = own >= 0
+            g = np.bincount(own[inside], own_rest[inside], nodes)
+            n = np.bincount(own[inside], minlength=nodes)
             split = np.zeros(nodes, bool)
             if level < depth:
-                place = (own[:, None] * bins + seen)[own >= 0].ravel()
-                weight = np.repeat(left_over[train][own >= 0], seen.shape[1])
-                sums = []
-                for h in (np.bincount(place, weight, nodes * bins), np.bincount(place, minlength=nodes * bins)):
-                    run = np.concatenate([np.zeros((nodes, 1)), h.reshape(nodes, bins).cumsum(axis=1)], axis=1)
-                    sums.append(run[:, 1:] - run[:, before])
-                gl, nl = sums
-                gr, nr = g[:, None] - gl, n[:, None] - nl
-                gain = gl ** 2 / (nl + 1) + gr ** 2 / (nr + 1) - (g ** 2 / (n + 1))[:, None]
-                gain[(nl < 1) | (nr < 1)] = -np.inf
-                best = gain.max(axis=1)
+                # rows by node, then by the feature's value: the nodes lie alike in every feature
+                rows = np.take_along_axis(by_code, np.argsort(
+                    np.where(inside, own, nodes).astype(np.int16)[by_code], axis=1, kind="stable"), axis=1)[:, :n.sum()]
+                start = np.cumsum(n) - n
+                of = np.repeat(np.arange(nodes), n)
+                run = own_rest[rows].cumsum(axis=1)
+                run0 = np.concatenate([np.zeros((len(at), 1)), run], axis=1)[:, start]
+                gl = run - run0[:, of]
+                nl = np.arange(len(of)) - start[of] + 1
+                gain = gl ** 2 / (nl + 1) + (g[of] - gl) ** 2 / (n[of] - nl + 1) - (g ** 2 / (n + 1))[of]
+                value = seen[each, rows]
+                last = np.ones(gain.shape, bool)  # a cut lies behind the last row of a value that is not the node's last
+                last[:, :-1] = value[:, :-1] != value[:, 1:]
+                gain[~last | (nl == n[of])] = -np.inf
+                best = np.maximum.reduceat(gain, start, axis=1).max(axis=0)
                 split = best > LEAST_GAIN
-                cut = (gain >= (best - EQUAL * np.abs(best))[:, None]).argmax(axis=1)
+                equal = gain >= np.where(split, best - EQUAL * best, np.inf)[of]
+                feature = np.logical_or.reduceat(equal, start, axis=1).argmax(axis=0)
+                here = np.where(equal[feature[of], np.arange(len(of))], np.arange(len(of)), len(of) - 1)
+                cut = value[feature, np.minimum.reduceat(here, start)]
             done = (node >= 0) & ~split[node]
             leaf[done] = rate * (g / (n + 1))[node[done]]
             node[done] = -1
@@ -63,8 +70,7 @@ def boosted_scores(x: np.ndarray, y: np.ndarray, train: np.ndarray, trees: int,
             number = np.cumsum(split) - 1  # children of the k-th split node: 2k and 2k + 1
             on = np.flatnonzero(node >= 0)
             parent = node[on]
-            right = code[on, feature[cut[parent]]] > cut[parent]
-            node[on] = 2 * number[parent] + right
+            node[on] = 2 * number[parent] + (code[feature[parent], on] > cut[parent])
             nodes = 2 * int(split.sum())
         score = score + leaf
     return score
