@@ -44,7 +44,7 @@ def boosted_scores(x: np.ndarray, y: np.ndarray, train: np.ndarray, trees: int,
             if level < depth:
                 # rows by node, then by the feature's value: the nodes lie alike in every feature
                 rows = np.take_along_axis(by_code, np.argsort(
-                    np.where(inside, own, nodes).astype(np.int16)[by_code], axis=1, kind="stable"), axis=1)[:, :n.sum()]
+                    np.where(inside, own, nodes).astype(np.min_scalar_type(nodes))[by_code], axis=1, kind="stable"), axis=1)[:, :n.sum()]
                 start = np.cumsum(n) - n
                 of = np.repeat(np.arange(nodes), n)
                 run = own_rest[rows].cumsum(axis=1)
@@ -58,7 +58,7 @@ def boosted_scores(x: np.ndarray, y: np.ndarray, train: np.ndarray, trees: int,
                 gain[~last | (nl == n[of])] = -np.inf
                 best = np.maximum.reduceat(gain, start, axis=1).max(axis=0)
                 split = best > LEAST_GAIN
-                equal = gain >= np.where(split, best - EQUAL * best, np.inf)[of]
+                equal = gain >= np.where(split, (1 - EQUAL) * best, np.inf)[of]
                 feature = np.logical_or.reduceat(equal, start, axis=1).argmax(axis=0)
                 here = np.where(equal[feature[of], np.arange(len(of))], np.arange(len(of)), len(of) - 1)
                 cut = value[feature, np.minimum.reduceat(here, start)]
