@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +52,18 @@ def shipped(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return this process's freed memory to the system.
+
+    For tasks with large arrays: Spark reuses Python workers and keeps idle
+    ones, which else hold the most that any earlier task took.
+    """
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """Make a folder (named by a UUID) under the shared checkpoint folder; it goes when the driver's file system closes."""
     path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.llm.common import numbered, shipped, stable_rows, written
+from riskpanel.llm.common import give_back, numbered, shipped, stable_rows, written
 from riskpanel.llm.word_encoder import byte_sizes, groups, word_encoder
 
 def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = True,
@@ -73,9 +73,12 @@ def cut_documents(docs: DataFrame, path: str, window: int = 4096, end_id: int =
             yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
 
     def run(batches):
+        give_back()  # what other tasks of this worker left
         for b in batches:
             for first, n in groups(byte_sizes(b.column(len(names)))):
                 yield from pieces_of(b, first, n)
+            del b
+            give_back()
 
     return shipped(docs).select(*[F.col(f"`{n}`") for n in names], F.col("text").cast("string").alias("text"),
                                 *([F.col(places)] if places else [])).mapInArrow(run, schema)

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids a Python worker remembers; beyond, it starts anew.
-CACHED_WORDS = 700_000
+#: Words whose ids a Python worker remembers, in two halves: when one is full, the one before it goes.
+CACHED_WORDS = 200_000
 #: Bytes of text encoded together.
 GROUP_BYTES = 4_000_000
 #: Runs of small letters that are not all ASCII.
@@ -31,11 +31,12 @@ _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = _MARK
 _CLASS[[c for c in range(128) if chr(c).isalnum()]] = _ALNUM
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Is there a cut between neighbours of these classes (4 x the first + the second)?
 _AT_SPACE = np.array([(a == _SPACE) != (b == _SPACE) for a in range(4) for b in range(4)])
 _CUT = _AT_SPACE | np.array([{a, b} == {_MARK, _ALNUM} for a in range(4) for b in range(4)])
+#: The same as tables for bytes.translate.
+_KINDS, _SPACE_CUTS, _CUTS = (np.resize(x, 256).tobytes() for x in (_CLASS, _AT_SPACE, _CUT))
 
 
 def _cuts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -46,14 +47,14 @@ def _cuts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]].tobytes()
     bounds = bounds - bounds[0]
-    special = data.tobytes().find(b"<|") >= 0
+    special = b"<|" in data
     if not special:
-        data = _LOWER[data]
-    kind = _CLASS[data]
+        data = data.translate(_LOWER)
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
     cut = np.ones(len(data) + 1, bool)
-    cut[1:-1] = (_AT_SPACE if special else _CUT)[4 * kind[:-1] + kind[1:]]
+    cut[1:-1] = np.frombuffer((4 * kind[:-1] + kind[1:]).tobytes().translate(_SPACE_CUTS if special else _CUTS), bool)
     cut[bounds] = True
     offsets = np.flatnonzero(cut)
     words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
@@ -82,6 +83,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of all texts (a string column; null: empty) in turn, as little-endian unsigned
@@ -91,11 +93,7 @@ class WordEncoder:
         at = np.frombuffer(coded.dictionary.buffers()[1], np.int64, len(coded.dictionary) + 1).tolist()
         raw = (coded.dictionary.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
         distinct = [raw[a:b] for a, b in zip(at, at[1:])]
-        new = [w for w in distinct if w not in self.words]
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = distinct
-        self._learn(new)
+        self._remember(distinct)
         gathered = pa.array([self.words[w] for w in distinct], pa.large_binary()).take(coded.indices)
         ends = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1) if len(gathered) else np.zeros(1, np.int64)
         ids = np.frombuffer(gathered.buffers()[2], "<u4") if ends[-1] else np.zeros(0, "<u4")
@@ -110,6 +108,14 @@ class WordEncoder:
         ids, at = self.encode_column(pa.array([t.decode() for t in texts], pa.string()))
         return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
+    def _remember(self, distinct: list[bytes]) -> None:
+        """See to it that ``words`` has all of these; words that keep coming are tokenized once only."""
+        missing = [w for w in distinct if w not in self.words]
+        if len(self.words) + len(missing) > CACHED_WORDS // 2:
+            self.older, self.words, missing = self.words, {}, distinct
+        self.words.update((w, self.older[w]) for w in missing if w in self.older)
+        self._learn([w for w in missing if w not in self.words])
+
     def _learn(self, new: list[bytes]) -> None:
         letters, other = [], []
         for w in new:

@@ -1,9 +1,11 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from riskpanel.llm import packing as P
@@ -132,3 +134,31 @@ def test_special_strings_count_in_their_own_spelling():
              "<|endoftext|>", "A <| B |> <|ENDOFTEXT|>"]
     got = W.WordEncoder(PATH).encode([t.encode() for t in texts])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == encode(texts)
+
+
+def test_remembered_words_are_bounded_and_frequent_ones_stay(monkeypatch):
+    monkeypatch.setattr(W, "CACHED_WORDS", 100)
+    encoder, learned = W.WordEncoder(PATH), Counter()
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.update(new), learn(new)))
+    texts = ["often " + " ".join(f"x{i}y{j}" for j in range(20)) for i in range(30)]
+    for t in texts:
+        got = encoder.encode([t.encode()])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == encode([t])
+        assert len(encoder.words) + len(encoder.older) <= 100
+    assert learned[b"often"] == 1
+    wide = " ".join(f"w{i}" for i in range(300))  # more words than are remembered
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([wide.encode()])] == encode([wide])
+
+
+def test_cutting_needs_few_bytes_beside_the_text():
+    text = "Ab, c\u00e9 (d1) it's\n" * 50_000
+    column = pa.array([text, None, "", text + "<|"])
+    W._cuts(column.slice(0, 1))
+    tracemalloc.start()
+    words, firsts = W._cuts(column.slice(0, 3))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(text.encode()) and b"".join(words.to_pylist()) == text.lower().encode() and firsts[2] == firsts[3] == len(words)
+    words, _ = W._cuts(column.slice(3, 1))
+    assert b"".join(words.to_pylist()) == (text + "<|").encode()
