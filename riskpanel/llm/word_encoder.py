@@ -20,7 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a Python worker remembers, in two halves: when one is full, the one before it goes.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
+#: Words of one call of the tokenizer.
+_AT_ONCE = 200
 #: Bytes of text encoded together.
 GROUP_BYTES = 4_000_000
 #: Runs of small letters that are not all ASCII.
@@ -37,6 +39,7 @@ _AT_SPACE = np.array([(a == _SPACE) != (b == _SPACE) for a in range(4) for b in
 _CUT = _AT_SPACE | np.array([{a, b} == {_MARK, _ALNUM} for a in range(4) for b in range(4)])
 #: The same as tables for bytes.translate.
 _KINDS, _SPACE_CUTS, _CUTS = (np.resize(x, 256).tobytes() for x in (_CLASS, _AT_SPACE, _CUT))
+_NONE = pa.array([], pa.large_binary())
 
 
 def _cuts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -66,35 +69,37 @@ class WordEncoder:
 
     Runs of small letters are encoded many in one call (with the file's own
     model and byte mapping) and told apart by the tokens that end a word. All
-    other words go through the whole tokenizer one by one.
+    other words go through the whole tokenizer one by one. Words met before and
+    their ids are kept in Arrow arrays, ``words`` and ``ids`` (``older`` and
+    ``older_ids``: the half before), and whole batches are looked up in them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        marks_bytes = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        spec |= {"normalizer": None, "added_tokens": [],
-                 "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, marks_bytes]}}
-        self.letters = Tokenizer.from_str(json.dumps(spec))
+            spec = json.load(f)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
+        options = {k: v for k, v in spec.items() if k not in ("type", "vocab", "merges") and v is not None}
+        # no cache of the model's own: it gets each word once
+        model = models.BPE(vocab=spec["vocab"], merges=merges, cache_capacity=0, **options)
+        self.ascii, self.letters = Tokenizer(model), Tokenizer(model)
+        spaces, as_bytes = pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.ascii.pre_tokenizer = spaces  # ASCII letters stand for their own bytes
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([spaces, as_bytes])
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.words = self.ids = self.older = self.older_ids = _NONE
+        self.learned: dict[bytes, bytes] = {}
 
     def encode_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of all texts (a string column; null: empty) in turn, as little-endian unsigned
         32-bit numbers, those of text i at offsets[i] up to offsets[i + 1]; each text ends with ``end_id`` if given."""
         words, firsts = _cuts(texts)
         coded = words.dictionary_encode()
-        at = np.frombuffer(coded.dictionary.buffers()[1], np.int64, len(coded.dictionary) + 1).tolist()
-        raw = (coded.dictionary.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
-        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
-        self._remember(distinct)
-        gathered = pa.array([self.words[w] for w in distinct], pa.large_binary()).take(coded.indices)
+        gathered = self._ids_of(coded.dictionary).take(coded.indices)
         ends = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1) if len(gathered) else np.zeros(1, np.int64)
         ids = np.frombuffer(gathered.buffers()[2], "<u4") if ends[-1] else np.zeros(0, "<u4")
         offsets = ends[firsts] // 4
@@ -108,30 +113,42 @@ class WordEncoder:
         ids, at = self.encode_column(pa.array([t.decode() for t in texts], pa.string()))
         return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
-    def _remember(self, distinct: list[bytes]) -> None:
-        """See to it that ``words`` has all of these; words that keep coming are tokenized once only."""
-        missing = [w for w in distinct if w not in self.words]
-        if len(self.words) + len(missing) > CACHED_WORDS // 2:
-            self.older, self.words, missing = self.words, {}, distinct
-        self.words.update((w, self.older[w]) for w in missing if w in self.older)
-        self._learn([w for w in missing if w not in self.words])
+    def _ids_of(self, distinct: pa.Array) -> pa.Array:
+        """Ids of each of these different words, which are remembered; words that keep coming are tokenized once only."""
+        at = pc.index_in(distinct, value_set=self.words)
+        if len(self.words) + at.null_count > CACHED_WORDS // 2:
+            self.older, self.older_ids, self.words, self.ids = self.words, self.ids, _NONE, _NONE
+            at = pa.nulls(len(distinct), pa.int32())
+        missing = distinct.filter(at.is_null())
+        before = pc.index_in(missing, value_set=self.older)
+        new = missing.filter(before.is_null()).to_pylist()
+        self._learn(new)
+        ids = pc.replace_with_mask(self.older_ids.take(before), before.is_null(),
+                                   pa.array([self.learned[w] for w in new], pa.large_binary()))
+        self.learned = {}
+        added = pa.array(np.arange(len(self.words), len(self.words) + len(missing)), pa.int32())
+        self.words, self.ids = pa.concat_arrays([self.words, missing]), pa.concat_arrays([self.ids, ids])
+        return self.ids.take(pc.replace_with_mask(at, at.is_null(), added))
 
     def _learn(self, new: list[bytes]) -> None:
-        letters, other = [], []
+        ascii, letters, other = [], [], []
         for w in new:
             if w.isspace():
-                self.words[w] = b""
-            elif w.islower() and (w.isalpha() or _LETTERS.fullmatch(w)):
+                self.learned[w] = b""
+            elif w.isalpha() and w.islower():
+                ascii.append(w)
+            elif w.islower() and _LETTERS.fullmatch(w):
                 letters.append(w)
             else:
                 other.append(w)
-        self._letter_runs(letters)
+        self._letter_runs(ascii, self.ascii)
+        self._letter_runs(letters, self.letters)
         self._one_by_one(other)
 
-    def _letter_runs(self, runs: list[bytes]) -> None:
-        for i in range(0, len(runs), 4000):
-            part = runs[i:i + 4000]
-            got = self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
+    def _letter_runs(self, runs: list[bytes], tokenizer) -> None:
+        for i in range(0, len(runs), _AT_ONCE):
+            part = runs[i:i + _AT_ONCE]
+            got = tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
             ids = np.array(got, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(part):
@@ -139,7 +156,7 @@ class WordEncoder:
                 continue
             whole, start = ids.tobytes(), 0
             for w, end in zip(part, (4 * last).tolist()):
-                self.words[w] = whole[start:end]
+                self.learned[w] = whole[start:end]
                 start = end
 
     def _one_by_one(self, words: list[bytes]) -> None:
@@ -147,7 +164,7 @@ class WordEncoder:
             part = words[i:i + 4000]
             got = self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for w, e in zip(part, got):
-                self.words[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                self.learned[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
 
 @lru_cache(maxsize=1)

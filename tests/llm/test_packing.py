@@ -162,3 +162,19 @@ def test_cutting_needs_few_bytes_beside_the_text():
     assert peak < 8 * len(text.encode()) and b"".join(words.to_pylist()) == text.lower().encode() and firsts[2] == firsts[3] == len(words)
     words, _ = W._cuts(column.slice(3, 1))
     assert b"".join(words.to_pylist()) == (text + "<|").encode()
+
+
+def test_a_worker_remembers_two_hundred_thousand_words_in_few_bytes(monkeypatch):
+    encoder, learned = W.WordEncoder(PATH), Counter()
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.update(new), learn(new)))
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c + d + e for a in letters for b in letters for c in letters for d in letters for e in "ée"][:240_000]
+    first, second = " ".join(words[:120_000]), " ".join(words[120_000:])
+    before = encoder.encode([first.encode()])
+    encoder.encode([second.encode()])
+    assert encoder.encode([first.encode(), b"", first.encode()]) == [*before, b"", *before]
+    assert max(learned.values()) == 1 and len(encoder.words) == len(words) + 1
+    assert sum(x.nbytes for x in (encoder.words, encoder.ids, encoder.older, encoder.older_ids)) < 48 * len(words)
+    ids = np.frombuffer(before[0], "<u4")
+    assert ids.tolist() == encode([first])[0]
