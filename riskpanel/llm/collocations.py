@@ -6,14 +6,17 @@ Counting goes up by phrase length k:
 
 1. Candidates are Apriori-safe: both (k-1)-word ends of a phrase must be
    frequent, or its count cannot be. The frequent ends go to the tasks as a bit
-   map of fixed size (by hash, so a few others slip in, none is lost). What
+   map (by hash, so a few others slip in, none is lost). What
    passes is counted into hashed buckets, again as an upper bound: a phrase in
    a bucket that stays under the least count is no candidate either.
-2. The candidates are dealt to blocks of bounded size and each block becomes a
-   double-array trie over words: from state s, word c leads to base[s] + c if
-   check there is s. A task moves the states of all positions of a batch at
-   once, level by level, and adds up the accepting states by bincount; sums
-   over the tasks are the exact counts. One block is broadcast at a time.
+2. Candidates become double-array tries over words: from state s, word c leads
+   to base[s] + c if check there is s. States are moved for many positions at
+   once, level by level, and accepting states are added up. The most frequent
+   candidates, a bounded number, make one trie that is broadcast; one pass
+   over the corpus counts them. The same pass deals all other occurrences of
+   candidates, packed, to blocks of candidates by the phrase's hash; each block
+   has a trie of its own, which counts what is dealt to it. So a level takes
+   the same few passes however many candidates there are.
 
 Words are known by 64-bit hashes; all distinct words are checked for equal
 hashes, and another seed is taken if there are any.
@@ -33,21 +36,25 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskpanel.llm.common import parallelism, shipped, written
+from riskpanel.llm.common import give_back, parallelism, shipped, written
 from riskpanel.llm.word_encoder import byte_sizes, groups
 
 #: Bytes of text that share a dictionary.
 BATCH_BYTES = 4_000_000
-#: Bits of the bit maps (8 MB), of a bucket's number, and entries of a bucket table that a task holds before it sends them.
-MAP_BITS, BUCKET_BITS, HELD = 26, 40, 500_000
+#: Bits of a bit map at least (8 MB) and at most (32 MB), and of one of the parts in which it is put together.
+MAP_BITS, MOST_BITS, PART_BITS = 26, 28, 20
+#: Bits of a bucket's number, and occurrences that a task holds before it sends them.
+BUCKET_BITS, HELD = 40, 500_000
 #: Positions of a batch that a task works on at a time.
 POSITIONS = 250_000
 #: Phrases of a trie: about 10 MB to broadcast (its states take 24 bytes each, its words 8).
 TRIE_PHRASES = 300_000
+#: Parts in which the tasks' counts of the broadcast trie's states are added up.
+STATE_PARTS = 16
 #: Batches' words, repeats included, of one slice of the words.
 WORDS_SLICE = 1_000_000
-#: Parts in which a bit map is put together, and entries of one slice of buckets at most.
-MAP_PARTS, SLICE_ROWS = 64, 4_000_000
+#: Entries of one slice of buckets at most.
+SLICE_ROWS = 4_000_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Space and tab become a space, piece ends a full stop, A-Z small letters.
@@ -180,31 +187,73 @@ def _corpus(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         seed += 1
 
 
-def bit_map(hashes: DataFrame) -> list[bytes]:
-    """Bits set at the top MAP_BITS of every hash (column h), as compressed parts: a fixed size, whatever comes in."""
-    bits = hashes.select(F.shiftrightunsigned("h", 64 - MAP_BITS).alias("bit")).distinct()
-    size = (1 << MAP_BITS) // MAP_PARTS
+def _hashes(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _phrase_hashes(b: pa.RecordBatch) -> np.ndarray:
+    """phrase_hash of every (lang, w)."""
+    lang, out = b.column("lang").dictionary_encode(), np.zeros(b.num_rows, np.uint64)
+    if b.num_rows:
+        words = b.column("w").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(b.num_rows, -1)
+        index = lang.indices.to_numpy(zero_copy_only=False)
+        for i, name in enumerate(lang.dictionary.to_pylist()):
+            out[index == i] = phrase_hash(name, list(words[index == i].T))
+    return out
+
+
+def bit_map(rows: DataFrame, n: int, hashes=_hashes) -> list[bytes]:
+    """A bit map of the top BUCKET_BITS of the hashes of n rows, as compressed parts: both bits of every hash are set.
+
+    It grows with n between its least and its most size.
+    """
+    bits = min(MOST_BITS, max(MAP_BITS, (32 * n).bit_length()))
+
+    def deal(batches):
+        for b in batches:
+            h = hashes(b)
+            at = np.sort(np.concatenate([_first_bit(h, bits), _second_bit(h, bits)]))
+            part = at >> np.uint64(PART_BITS)
+            cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[x]) for x in cut[:-1]], pa.int32()), pa.array(
+                [(at[x:y] % np.uint64(1 << PART_BITS)).astype(np.uint32).tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())], ["part", "at"])
 
     def run(key, table):
-        out = np.zeros(size, bool)
-        out[table.column("bit").to_numpy() % size] = True
-        return pa.table({"part": [key[0].as_py()], "bits": pa.array([zlib.compress(np.packbits(out).tobytes(), 1)], pa.binary())})
+        out = np.zeros(1 << PART_BITS, bool)
+        for at in table.column("at").to_pylist():
+            out[np.frombuffer(at, np.uint32)] = True
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(np.packbits(out).tobytes(), 1)], pa.binary())})
 
-    parts = shipped(bits).withColumn("part", F.floor(F.col("bit") / size)).groupBy("part").applyInArrow(run, "part long, bits binary")
-    got = {r["part"]: bytes(r["bits"]) for r in parts.collect()}  # MAP_PARTS rows at most
-    none = zlib.compress(bytes(size // 8), 1)
-    return [got.get(k, none) for k in range(MAP_PARTS)]
+    parts = shipped(rows).mapInArrow(deal, "part int, at binary").groupBy("part").applyInArrow(run, "part int, bits binary")
+    got = {r["part"]: bytes(r["bits"]) for r in parts.collect()}  # a part has 2^PART_BITS bits
+    none = zlib.compress(bytes((1 << PART_BITS) // 8), 1)
+    return [got.get(k, none) for k in range(1 << (bits - PART_BITS))]
 
 
 def _unpacked(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(zlib.decompress, parts)), np.uint8)
 
 
-def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h >> np.uint64(64 - MAP_BITS)
+def _first_bit(h: np.ndarray, bits: int) -> np.ndarray:
+    return h >> np.uint64(64 - bits)
+
+
+def _second_bit(h: np.ndarray, bits: int) -> np.ndarray:
+    return _mix(h >> np.uint64(64 - BUCKET_BITS)) >> np.uint64(64 - bits)
+
+
+def _is_set(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) != 0
 
 
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    size = (8 * len(bits)).bit_length() - 1
+    out = _is_set(bits, _first_bit(h, size))
+    left = np.flatnonzero(out)
+    out[left] = _is_set(bits, _second_bit(h[left], size))
+    return out
+
+
 def _positions(lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, ends: np.ndarray) -> np.ndarray:
     """Positions where a k-word phrase starts whose two (k-1)-word ends are in the bit map ``ends``."""
     n = len(codes) - k + 1
@@ -227,7 +276,7 @@ def _batches(batches):
     if hasattr(libc, "mallopt"):
         libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: freed arrays above 1 MB go back to the system
     for b in batches:
-        pa.default_memory_pool().release_unused()  # what the batch before took
+        give_back()  # what the batch before took
         for lang, hashes, codes in zip(b.column("lang").to_pylist(), b.column("hashes"), b.column("codes")):
             h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
             yield lang, h, np.frombuffer(codes.as_buffer(), _code_type(len(h)))
@@ -241,13 +290,21 @@ def _pieces(batches, k: int):
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Differences of sorted 64-bit numbers, bytes of equal weight together: most are zero and compress away."""
-    d = np.diff(x, prepend=np.uint64(0))
-    return np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers, bytes of equal weight together: those of small numbers are zero and compress away."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def _from_planes(b: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _steps(x: np.ndarray) -> bytes:
+    """Sorted 64-bit numbers as the planes of their differences."""
+    return _planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def _from_steps(b: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(b), dtype=np.uint64)
 
 
 def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> DataFrame:
@@ -269,7 +326,7 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
             times = np.minimum(np.diff(np.append(first, len(bucket))), least)
             bucket = bucket[first]
             cut = np.searchsorted(bucket, np.arange(1, slices, dtype=np.uint64) * np.uint64(per))
-            rows = [(s, _planes(x), t.astype(np.uint32).tobytes()) for s, (x, t) in
+            rows = [(s, _steps(x), t.astype(np.uint32).tobytes()) for s, (x, t) in
                     enumerate(zip(np.split(bucket, cut), np.split(times, cut))) if len(x)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
                                                pa.array([r[2] for r in rows], pa.binary())], ["slice", "buckets", "times"])
@@ -299,7 +356,7 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
         pending = 0
         for b in parts:
             for x, t in zip(b.column("buckets"), b.column("times")):
-                more.append((_from_planes(x.as_py()), np.frombuffer(t.as_py(), np.uint32).astype(np.uint64)))
+                more.append((_from_steps(x.as_py()), np.frombuffer(t.as_py(), np.uint32).astype(np.uint64)))
                 pending += len(more[-1][0])
                 if pending > max(len(bucket), 100_000):  # as many new as old: each is sorted a few times only
                     bucket, times = merged()
@@ -313,21 +370,30 @@ def full_buckets(corpus: DataFrame, k: int, ends, least: int, slices: int) -> Da
     return parts.groupBy("slice").applyInArrow(add, "h long")
 
 
-def _distinct(lang: str, rows: np.ndarray) -> np.ndarray:
-    h = phrase_hash(lang, list(rows.T))
+def _summed(lang: str, rows: np.ndarray, h: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows, each a phrase, their hashes and the sums of their times."""
+    if not len(rows):
+        return rows, h, times
     order = np.argsort(h)
     rows, h = rows[order], h[order]
     repeated = h[1:] == h[:-1]
     if (rows[1:][repeated] != rows[:-1][repeated]).any():  # two phrases with one hash: sorted by their words
-        rows = rows[np.lexsort(rows.T)]
+        again = np.lexsort(rows.T)
+        rows, h, order = rows[again], h[again], order[again]
         repeated = (rows[1:] == rows[:-1]).all(axis=1)
-    return rows[np.concatenate([[True], ~repeated])] if len(rows) else rows
+    first = np.flatnonzero(np.concatenate([[True], ~repeated]))
+    return rows[first], h[first], np.add.reduceat(times[order], first)
+
+
+def _once(n: int) -> np.ndarray:
+    return np.ones(n, np.uint64)
 
 
 def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFrame:
-    """(lang, w array<long>): the distinct k-word phrases of the corpus that pass both bit maps.
+    """(lang, w array<long>, h, sent): the distinct k-word phrases of the corpus that pass both bit maps.
 
     A task sends each of its phrases once, packed by slices of their hash; a slice has all copies of its phrases.
+    h is the phrase's hash, sent how often it was sent: more for the more frequent ones.
     """
     def run(batches):
         held: dict[str, list] = {}
@@ -336,8 +402,9 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
         def flush():
             out = []
             for lang, parts in held.items():
-                rows = _distinct(lang, np.concatenate(parts))
-                of = phrase_hash(lang, list(rows.T)) % np.uint64(slices)
+                rows, h = (np.concatenate(x) for x in zip(*parts))
+                rows, h, _ = _summed(lang, rows, h, _once(len(rows)))
+                of = h % np.uint64(slices)
                 order = np.argsort(of, kind="stable")
                 rows, of = rows[order], of[order]
                 cut = np.searchsorted(of, np.arange(slices + 1, dtype=np.uint64))
@@ -348,9 +415,10 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
         for lang, hashes, codes in _pieces(batches, k):
             at = _positions(lang, hashes, codes, k, known)
             words = [hashes[codes[at + i] - 1] for i in range(k)]
-            hit = _has(full, phrase_hash(lang, words))
-            rows = _distinct(lang, np.stack([w[hit] for w in words], axis=1))
-            held.setdefault(lang, []).append(rows)
+            h = phrase_hash(lang, words)
+            hit = np.flatnonzero(_has(full, h))
+            rows, h, _ = _summed(lang, np.stack([w[hit] for w in words], axis=1), h[hit], _once(len(hit)))
+            held.setdefault(lang, []).append((rows, h))
             size += len(rows)
             if size > HELD:
                 yield flush()
@@ -359,20 +427,26 @@ def candidates(corpus: DataFrame, k: int, ends, buckets, slices: int) -> DataFra
             yield flush()
 
     def unite(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, np.ndarray] = {}
+        seen: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for b in parts:
             new: dict[str, list] = {}
             for lang, rows in zip(b.column("lang").to_pylist(), b.column("phrases")):
                 new.setdefault(lang, []).append(np.frombuffer(rows.as_py(), np.uint64).reshape(-1, k))
             for lang, rows in new.items():
-                seen[lang] = _distinct(lang, np.concatenate([*([seen[lang]] if lang in seen else []), *rows]))
-        for lang, rows in seen.items():
-            flat = pa.array(rows.view(np.int64).ravel())
-            w = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), w], ["lang", "w"])
+                rows = np.concatenate(rows)
+                more = rows, phrase_hash(lang, list(rows.T)), _once(len(rows))
+                seen[lang] = _summed(lang, *(more if lang not in seen else map(np.concatenate, zip(seen[lang], more))))
+        for lang, (rows, h, sent) in seen.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), _word_lists(rows), pa.array(h.view(np.int64)),
+                                              pa.array(sent.view(np.int64))], ["lang", "w", "h", "sent"])
 
     found = shipped(corpus).select("lang", "hashes", "codes").mapInArrow(run, "slice int, lang string, phrases binary")
-    return written(found.groupBy("slice").applyInArrow(unite, "lang string, w array<long>"), "phrase-candidates")
+    return written(found.groupBy("slice").applyInArrow(unite, "lang string, w array<long>, h long, sent long"), "phrase-candidates")
+
+
+def _word_lists(rows: np.ndarray) -> pa.Array:
+    flat = pa.array(rows.view(np.int64).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, rows.shape[1], dtype=np.int32)), flat)
 
 
 class Trie:
@@ -445,93 +519,174 @@ class Trie:
 
     def advance(self, lang: str, hashes: np.ndarray, codes: np.ndarray, k: int) -> np.ndarray:
         """The accepting states of all positions of a batch."""
+        return self.accepted(lang, hashes, codes, k, np.arange(max(0, len(codes) - k + 1)))[1]
+
+    def accepted(self, lang: str, hashes: np.ndarray, codes: np.ndarray, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the positions ``at`` of a batch where a phrase starts, and their accepting states."""
         root = self.roots.get(lang)
-        if root is None or len(codes) < k:
-            return np.zeros(0, np.int32)
-        place = np.minimum(np.searchsorted(self.alphabet, hashes), len(self.alphabet) - 1)
-        local = np.concatenate([[0], np.where(self.alphabet[place] == hashes, place + 1, 0)]).astype(np.int32)
-        word = local[codes]
-        at = np.flatnonzero(word[:len(word) - k + 1])
+        if root is None:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        word = np.concatenate([[0], self._places(hashes)]).astype(np.int32)[codes]
         state = np.full(len(at), root, np.int32)
         for i in range(k):
             c = word[at + i]
             to = self.base[state] + c
             ok = (c != 0) & (self.check[to] == state)
             at, state = at[ok], to[ok]
-        return state
+        return at, state
 
+    def states(self, lang: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of those rows of word hashes that are phrases, and their accepting states."""
+        n, k = rows.shape
+        return self.accepted(lang, rows.ravel(), np.arange(1, n * k + 1), k, np.arange(0, n * k, k))
 
-def tries(found: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
-    """(block, trie), (block, state, lang, w) and the number of blocks, of at most about TRIE_PHRASES phrases each."""
-    blocks = -(-found.count() // TRIE_PHRASES)
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("lang", "w"), F.lit(max(1, blocks))).cast("int"))
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.alphabet, hashes), len(self.alphabet) - 1)
+        return np.where(self.alphabet[place] == hashes, place + 1, 0)
 
-    def build(table):
-        lang = table.column("lang").combine_chunks().dictionary_encode()
-        phrases = table.column("w").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, k)
-        return Trie(lang.dictionary.to_pylist(), phrases, lang.indices.to_numpy(zero_copy_only=False))
 
-    def run(key, table):
-        t = build(table)
-        n = table.num_rows
+def _trie(lang: pa.Array, w: pa.Array) -> Trie:
+    lang = lang.dictionary_encode()
+    phrases = w.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(w), -1)
+    return Trie(lang.dictionary.to_pylist(), phrases, lang.indices.to_numpy(zero_copy_only=False))
+
+
+def packed_trie(found: DataFrame) -> tuple[bytes, DataFrame]:
+    """The trie of a bounded number of phrases (lang, w), compressed, and its (state, lang, w)."""
+    def run(table):
+        t, n = _trie(table.column("lang").combine_chunks(), table.column("w").combine_chunks()), table.num_rows
         packed = zlib.compress(pickle.dumps((t.alphabet, t.roots, t.base, t.check), protocol=5), 1)
-        return pa.table({"block": pa.array([key[0].as_py()] * n, pa.int32()), "state": pa.array(t.state_of, pa.int32()),
-                         "lang": table.column("lang"), "w": table.column("w"),
+        return pa.table({"state": pa.array(t.state_of, pa.int32()), "lang": table.column("lang"), "w": table.column("w"),
                          "trie": pa.array([packed] + [None] * (n - 1), pa.binary())})
 
-    built = written(shipped(dealt).groupBy("block").applyInArrow(
-        run, "block int, state int, lang string, w array<long>, trie binary"), "phrase-tries")
-    return built.filter("trie is not null").select("block", "trie"), built.drop("trie"), blocks
+    built = written(shipped(found).select("lang", "w", F.lit(0).alias("block")).groupBy("block").applyInArrow(
+        run, "state int, lang string, w array<long>, trie binary"), "phrase-trie")
+    return bytes(built.filter("trie is not null").select("trie").first()[0]), built.drop("trie")
 
 
-def count_phrases(corpus: DataFrame, found: DataFrame, k: int, least: int) -> DataFrame:
-    """(lang, w, f): the candidates that occur at least ``least`` times, with their exact counts."""
-    packed, states, blocks = tries(found, k)
+def count_phrases(corpus: DataFrame, found: DataFrame, k: int, least: int, ends, buckets, slices: int) -> DataFrame:
+    """(lang, w, f): the candidates that occur at least ``least`` times, with their exact counts.
+
+    One pass over the corpus, whatever the number of candidates. Its rows go to
+    blocks with the block's candidates sorted before them: blocks from 0 on have a
+    hash's share of the candidates and what is dealt of their occurrences, those
+    below 0 a range of the broadcast trie's states and the tasks' counts of them.
+    """
     spark = corpus.sparkSession
-    counts = None
-    for block in range(blocks):
-        trie = packed.filter(F.col("block") == block).select("trie").collect()  # one trie, of bounded size
-        if not trie:
-            continue
-        shared = spark.sparkContext.broadcast(bytes(trie[0][0]))
+    level = F.floor(F.log2("sent") * 8)  # at most some hundred
+    sizes = sorted(((r["level"], r["count"]) for r in found.groupBy(level.alias("level")).count().collect()), reverse=True)
+    total = sum(n for _, n in sizes)
+    if not total:
+        return spark.createDataFrame([], "lang string, w array<long>, f long")
+    common, lowest = 0, None  # of the levels that fit into one trie
+    for x, n in sizes:
+        if common + n > TRIE_PHRASES:
+            break
+        common, lowest = common + n, x
+    blocks = max(slices, -(-(total - common) // TRIE_PHRASES))
+    rest = found if not common else found.filter(level < lowest)
+    phrases = rest.select(F.pmod("h", F.lit(blocks)).cast("int").alias("block"), "lang", "w", F.lit(None).cast("int").alias("state"))
+    shared, width = None, 1
+    if common:
+        trie, states = packed_trie(found.filter(level >= lowest))
+        shared = spark.sparkContext.broadcast(trie)
+        width = 1 + states.agg(F.max("state")).first()[0] // STATE_PARTS
         del trie
+        phrases = phrases.unionByName(states.select((-1 - F.floor(F.col("state") / width)).cast("int").alias("block"), "lang", "w", "state"))
 
-        def run(batches, shared=shared, block=block):
-            t = Trie.__new__(Trie)
+    def run(batches):
+        held: dict[str, list] = {}
+        size, known, full = 0, _unpacked(ends.value), _unpacked(buckets.value)
+        t = Trie.__new__(Trie)
+        if shared is not None:
             t.alphabet, t.roots, t.base, t.check = pickle.loads(zlib.decompress(shared.value))
-            total = np.zeros(len(t.check), np.int64)
-            for lang, hashes, codes in _batches(batches):
-                total += np.bincount(t.advance(lang, hashes, codes, k), minlength=len(total))
-            hit = np.flatnonzero(total)
-            for i in range(0, len(hit), 100_000):
-                part = hit[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block, np.int32)), pa.array(part, pa.int32()),
-                                                  pa.array(total[part])], ["block", "state", "f"])
-
-        got = written(shipped(corpus).select("lang", "hashes", "codes").mapInArrow(run, "block int, state int, f long")
-                      .groupBy("block", "state").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrase-counts")
-        shared.destroy()
-        counts = got if counts is None else counts.unionByName(got)
-    if counts is None:
-        return spark.createDataFrame([], "lang string, w array<long>, f long")
-    return written(states.join(counts, ["block", "state"]).select("lang", "w", "f"), "phrase-frequent")
+        sums = np.zeros(0 if shared is None else len(t.check), np.uint64)
 
+        def packed(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], x) for i, x in enumerate(
+                (pa.int32(), pa.string(), pa.binary(), pa.binary()))], ["block", "lang", "items", "times"])
 
-def _hashed(phrases: DataFrame) -> DataFrame:
-    """(h): phrase_hash of (lang, w)."""
-    def run(batches):
-        for b in batches:
-            lang, out = b.column(0).dictionary_encode(), np.zeros(b.num_rows, np.uint64)
-            size = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
-            if b.num_rows:
-                flat = b.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(b.num_rows, size[0])
-                index = lang.indices.to_numpy(zero_copy_only=False)
-                for k, name in enumerate(lang.dictionary.to_pylist()):
-                    rows = flat[index == k]
-                    out[index == k] = phrase_hash(name, list(rows.T))
-            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
+        def flush():
+            out = []
+            for lang, parts in held.items():
+                rows, h = (np.concatenate(x) for x in zip(*parts))
+                rows, h, times = _summed(lang, rows, h, _once(len(rows)))
+                of = h.view(np.int64) % blocks
+                order = np.argsort(of, kind="stable")
+                rows, times, of = rows[order], times[order], of[order]
+                cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else []
+                out += [(int(of[x]), lang, rows[x:y].tobytes(), _planes(times[x:y])) for x, y in zip(cut[:-1], cut[1:])]
+            return packed(out)
 
-    return shipped(phrases).select("lang", "w").mapInArrow(run, "h long")
+        for lang, hashes, codes in _pieces(batches, k):
+            at = _positions(lang, hashes, codes, k, known)
+            h = phrase_hash(lang, [hashes[codes[at + i] - 1] for i in range(k)])
+            hit = _has(full, h)
+            at, h = at[hit], h[hit]
+            if shared is not None:
+                there, state = t.accepted(lang, hashes, codes, k, at)
+                np.add.at(sums, state.astype(np.intp), np.uint64(1))
+                left = np.ones(len(codes), bool)
+                left[there] = False
+                left = left[at]
+                at, h = at[left], h[left]
+            held.setdefault(lang, []).append((np.stack([hashes[codes[at + i] - 1] for i in range(k)], axis=1), h))
+            size += len(at)
+            if size > HELD:
+                yield flush()
+                held, size = {}, 0
+        if size:
+            yield flush()
+        hit = np.flatnonzero(sums).astype(np.uint64)
+        cut = np.searchsorted(hit, np.arange(0, len(sums) + width, width, dtype=np.uint64))
+        yield packed([(-1 - i, None, _steps(hit[x:y]), _planes(sums[hit[x:y]])) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x])
+
+    def count(batches):
+        block, own, trie, sums = None, [], None, np.zeros(0, np.uint64)
+
+        def ended():
+            table = pa.Table.from_batches(own).combine_chunks()
+            f = sums[trie.state_of if block >= 0 else table.column("state").to_numpy() - (-1 - block) * width]
+            often = np.flatnonzero(f >= least)
+            yield from pa.table({"lang": table.column("lang"), "w": table.column("w"), "f": pa.array(f.view(np.int64))}).take(
+                often).combine_chunks().to_batches()
+
+        for b in batches:
+            blocks_, of_phrase = b.column("block").to_numpy(), b.column("items").is_null().to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero(np.concatenate([[True], (blocks_[1:] != blocks_[:-1]) | (of_phrase[1:] != of_phrase[:-1]), [True]]))
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                part = b.slice(x, y - x)
+                if blocks_[x] != block:
+                    if trie is not None or len(sums):
+                        yield from ended()
+                    block, own, trie, sums = int(blocks_[x]), [], None, np.zeros(0, np.uint64)
+                if of_phrase[x]:
+                    own.append(part.select(["lang", "w", "state"]))
+                    continue
+                if not own:
+                    continue  # what slipped through the bit maps
+                if not len(sums):
+                    if block >= 0:
+                        table = pa.Table.from_batches(own).combine_chunks()
+                        trie = _trie(table.column("lang").chunk(0), table.column("w").chunk(0))
+                    sums = np.zeros(len(trie.check) if block >= 0 else width, np.uint64)
+                for lang, items, times in zip(part.column("lang").to_pylist(), part.column("items"), part.column("times")):
+                    add = _from_planes(times.as_py())
+                    if block >= 0:
+                        place, state = trie.states(lang, np.frombuffer(items.as_py(), np.uint64).reshape(-1, k))
+                        sums[state] += add[place // k]  # each phrase is in a row once
+                    else:
+                        sums[_from_steps(items.as_py()) - np.uint64((-1 - block) * width)] += add
+        if trie is not None or len(sums):
+            yield from ended()
+
+    dealt = shipped(corpus).select("lang", "hashes", "codes").mapInArrow(run, "block int, lang string, items binary, times binary")
+    both = phrases.unionByName(dealt, allowMissingColumns=True)
+    got = written(both.repartition("block").sortWithinPartitions("block", F.col("items").isNotNull()).mapInArrow(
+        count, "lang string, w array<long>, f long"), "phrase-frequent")
+    if shared is not None:
+        shared.destroy()
+    return got
 
 
 def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int = 2000, drop_percent: int = 50) -> DataFrame:
@@ -556,12 +711,13 @@ def mine_phrases(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     slices = 1 << max(6, int(np.ceil(np.log2(max(1, total / (SLICE_ROWS // 4))))))
     levels, last = [], frequent
     for k in range(2, max_words + 1):
-        ends = sc.broadcast(bit_map(_hashed(last)))
-        buckets = sc.broadcast(bit_map(full_buckets(corpus, k, ends, least, slices)))
+        ends = sc.broadcast(bit_map(last.select("lang", "w"), last.count(), _phrase_hashes))
+        full = written(full_buckets(corpus, k, ends, least, slices), "phrase-buckets")
+        buckets = sc.broadcast(bit_map(full, full.count()))
         found = candidates(corpus, k, ends, buckets, slices)
+        last = count_phrases(corpus, found, k, least, ends, buckets, slices)
         ends.destroy()
         buckets.destroy()
-        last = count_phrases(corpus, found, k, least)
         levels.append(last)
         if last.isEmpty():
             break

@@ -93,3 +93,51 @@ def test_trie_counts_like_a_dictionary():
                 want[state[p]] += 1
         assert Counter(t.advance("y", words, codes, k).tolist()) == want and sum(want.values()) > 50
         assert len(t.advance("z", words, codes, k)) == 0
+
+
+def test_a_level_takes_the_same_passes_however_many_candidates(spark, monkeypatch):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(" ".join(r.choices(words, [1 / (i + 1) for i in range(60)], k=600)), r.choice(["en", "d"])) for _ in range(24)]
+    df = documents(spark, [(i, t, l) for i, (t, l) in enumerate(docs)]).repartition(8)
+    tables, common, write, pack = [], [], C.written, getattr(C, "packed_trie", None)
+
+    def packed(found):
+        common.append(found.count())
+        return pack(found)
+
+    monkeypatch.setattr(C, "written", lambda df, name: (tables.append(name), write(df, name))[1])
+    monkeypatch.setattr(C, "packed_trie", packed, raising=False)
+    monkeypatch.setattr(C, "HELD", 200)
+    monkeypatch.setattr(C, "BATCH_BYTES", 500)
+    want = plain(docs, 4)
+    assert rows(C.mine_phrases(df, least=4)) == want
+    at_once, whole = len(tables), list(common)
+    tables.clear(), common.clear()
+    monkeypatch.setattr(C, "TRIE_PHRASES", 50)
+    assert rows(C.mine_phrases(df, least=4)) == want
+    assert len(tables) <= at_once
+    # first all in the trie that every task has, then a few; the others are counted where they are dealt
+    assert whole[0] > 500 and 0 < common[0] <= 50
+
+
+def test_phrases_dealt_with_equal_hashes_are_told_apart():
+    two = np.array([[1, 2], [3, 4], [1, 2], [3, 4], [5, 6]], np.uint64)
+    got, h, times = C._summed("x", two, np.array([7, 7, 7, 7, 8], np.uint64), np.array([1, 10, 100, 1000, 5], np.uint64))
+    assert sorted(zip(got.tolist(), h.tolist(), times.tolist())) == [([1, 2], 7, 101), ([3, 4], 7, 1010), ([5, 6], 8, 5)]
+    t = C.Trie(["x"], got, np.zeros(3, np.int32))
+    place, state = t.states("x", np.array([[5, 6], [1, 4], [1, 2], [9, 9]], np.uint64))
+    assert [p // 2 for p in place.tolist()] == [0, 2]
+    assert state.tolist() == [t.state_of[got.tolist().index(p)] for p in ([5, 6], [1, 2])]
+    assert len(t.states("y", got)[0]) == 0
+
+
+def test_bit_maps_grow_and_hold_every_hash(spark):
+    h = np.random.Generator(np.random.PCG64(9)).integers(0, 2 ** 63, 20_000).astype(np.uint64) * np.uint64(2)
+    df = spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "h long")
+    small, large = C.bit_map(df, len(h)), C.bit_map(df, 3_000_000)
+    assert len(large) == 2 * len(small) and len(C.bit_map(df, 10 ** 9)) == 4 * len(small)
+    for parts in (small, large):
+        bits = C._unpacked(parts)
+        assert C._has(bits, h).all() and C._has(bits, h + np.uint64(1 << 40)).mean() < 0.01
+    assert not C._has(C._unpacked(C.bit_map(df.limit(0), 0)), h).any()
